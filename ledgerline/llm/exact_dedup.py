@@ -22,7 +22,11 @@ from pyspark.sql import functions as F
 
 from .base import BROADCAST_BYTES, ascii_lower, body, scratch, small, stored
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+ROCKSDB = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",  # many small stores: no space is set aside in advance
+}
 FILES_PER_BATCH = 4096
 
 
@@ -33,7 +37,8 @@ def sha256(text: Column) -> Column:
 def registry(digests: DataFrame, path: str, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
     """digest, n, keep (doc_id, row), hits of the state after all files in path, a folder of digest rows."""
     session = digests.sparkSession.newSession()
-    session.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    for key, value in ROCKSDB.items():
+        session.conf.set(key, value)
     session.conf.set("spark.sql.shuffle.partitions", digests.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     log = scratch(session, "registry")
     source = session.readStream.schema(digests.schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
