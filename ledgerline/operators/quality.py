@@ -1,0 +1,175 @@
+"""Declarative data-quality checks, fused: all row-level checks of a table share one scan.
+
+Polarity, as each kind has its own: an expression that is null fails; accepted_values fails null; value_range fails null
+unless told otherwise; referential ignores null keys; not_null counts a row once, whatever number of its columns is null.
+"""
+
+from __future__ import annotations
+
+import time
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass, field
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from ..functions import MONEY, not_in
+
+Resolver = Callable[[str], DataFrame]
+RESULTS = "batch_id string, layer string, table_name string, check_name string, kind string, severity string, rows_checked bigint, rows_failed bigint, passed boolean, detail string, seconds double, checked_at timestamp"
+
+
+@dataclass(frozen=True)
+class Check:
+    """Either `failing`, a column that is true for a failed row, or `probe`, which gives (checked, failed, detail)."""
+
+    table: str
+    name: str
+    kind: str
+    failing: Callable[[], Column] | None = None
+    probe: Callable[[Resolver], tuple[int, int, str]] | None = None
+    severity: str = "ERROR"
+
+
+@dataclass(frozen=True)
+class Result:
+    check: Check
+    rows_checked: int
+    rows_failed: int
+    detail: str = ""
+    seconds: float = 0.0
+    passed: bool = field(init=False)
+
+    def __post_init__(self):
+        object.__setattr__(self, "passed", self.rows_failed == 0)
+
+    @property
+    def id(self) -> str:
+        return f"{self.check.table}.{self.check.name}"
+
+
+class GateFailed(RuntimeError):
+    pass
+
+
+def _any(conditions: Sequence[Column]) -> Column:
+    out = F.lit(False)
+    for c in conditions:
+        out = out | c
+    return out
+
+
+def not_null(table: str, columns: Sequence[str], severity: str = "ERROR") -> Check:
+    return Check(table, "not_null", "not_null", lambda: _any([F.col(c).isNull() for c in columns]), severity=severity)
+
+
+def accepted_values(table: str, column: str, values: Sequence, severity: str = "ERROR") -> Check:
+    return Check(table, f"{column}_accepted", "accepted_values", lambda: not_in(column, values), severity=severity)
+
+
+def value_range(table: str, column: str, low=None, high=None, allow_null: bool = False, severity: str = "ERROR") -> Check:
+    def failing() -> Column:
+        c = F.col(column)
+        tests = ([c < low] if low is not None else []) + ([c > high] if high is not None else [])
+        return F.coalesce(_any(tests), F.lit(False)) | (F.lit(not allow_null) & c.isNull())
+
+    return Check(table, f"{column}_range", "value_range", failing, severity=severity)
+
+
+def expression(table: str, name: str, sql: str, severity: str = "ERROR") -> Check:
+    return Check(table, name, "expression", lambda: ~F.coalesce(F.expr(sql), F.lit(False)), severity=severity)
+
+
+def unique(table: str, key: Sequence[str], severity: str = "ERROR") -> Check:
+    """Failed rows are those beyond the first of each key."""
+
+    def probe(read: Resolver) -> tuple[int, int, str]:
+        r = duplicates(read(table), key).first()
+        return r["n"], r["extra"], f"{r['keys']} keys repeat"
+
+    return Check(table, "unique", "unique", probe=probe, severity=severity)
+
+
+def duplicates(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    """n rows, keys that repeat, extra rows beyond the first of each key."""
+    groups = df.groupBy(*key).count()
+    return groups.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("n"), F.count_if(F.expr("count > 1")).alias("keys"), F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("extra"))
+
+
+def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
+    keys = parent.select(F.col(parent_column).alias("_parent"))
+    return child.where(F.col(column).isNotNull()).join(keys, F.col(column) == F.col("_parent"), "left_anti")
+
+
+def referential(table: str, column: str, parent: str, parent_column: str | None = None, severity: str = "ERROR") -> Check:
+    def probe(read: Resolver) -> tuple[int, int, str]:
+        child = read(table)
+        return child.count(), orphans(child, column, read(parent), parent_column or column).count(), f"not in {parent}"
+
+    return Check(table, f"{column}_in_{parent}", "referential", probe=probe, severity=severity)
+
+
+def row_count_match(table: str, other: str, severity: str = "ERROR") -> Check:
+    def probe(read: Resolver) -> tuple[int, int, str]:
+        a, b = read(table).count(), read(other).count()
+        return a, abs(a - b), f"{a} rows, {b} in {other}"
+
+    return Check(table, f"rows_match_{other}", "row_count_match", probe=probe, severity=severity)
+
+
+def total(df: DataFrame, column: str) -> Column:
+    return df.agg(F.coalesce(F.sum(F.col(column).cast(MONEY)), F.lit(0).cast(MONEY)).alias("s"))
+
+
+def sum_match(table: str, column: str, other: str, other_column: str | None = None, tolerance: float = 0.01, severity: str = "ERROR") -> Check:
+    def probe(read: Resolver) -> tuple[int, int, str]:
+        a, b = total(read(table), column).first()["s"], total(read(other), other_column or column).first()["s"]
+        return 1, int(abs(a - b) > tolerance), f"{a} against {b}"
+
+    return Check(table, f"{column}_sum_matches_{other}", "sum_match", probe=probe, severity=severity)
+
+
+def metric_at_most(table: str, name: str, metric: Callable[[Resolver], tuple[float, str]], limit: float, severity: str = "ERROR", kind: str = "metric") -> Check:
+    """The limit itself passes."""
+
+    def probe(read: Resolver) -> tuple[int, int, str]:
+        value, detail = metric(read)
+        return 1, int(not value <= limit), detail
+
+    return Check(table, name, kind, probe=probe, severity=severity)
+
+
+def scorecard(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """One row: n, and for the k-th row-level check the count failed_k, in a single scan."""
+    return df.agg(F.count("*").alias("n"), *[F.count_if(c.failing()).alias(f"failed_{k}") for k, c in enumerate(checks)])
+
+
+def evaluate(checks: Sequence[Check], read: Resolver) -> list[Result]:
+    """Results in the order of the checks."""
+    fused: dict[str, list[Check]] = {}
+    for c in checks:
+        if c.failing:
+            fused.setdefault(c.table, []).append(c)
+    found: dict[int, Result] = {}
+    for table, own in fused.items():
+        began = time.time()
+        row = scorecard(read(table), own).first()
+        for k, c in enumerate(own):
+            found[id(c)] = Result(c, row["n"], row[f"failed_{k}"], "", (time.time() - began) / len(own))
+    for c in checks:
+        if c.probe:
+            began = time.time()
+            checked, failed, detail = c.probe(read)
+            found[id(c)] = Result(c, checked, failed, detail, time.time() - began)
+    return [found[id(c)] for c in checks]
+
+
+def result_frame(spark, results: Sequence[Result], layer: str, batch: str, at) -> DataFrame:
+    rows = [(batch, layer, r.check.table, r.id, r.check.kind, r.check.severity, r.rows_checked, r.rows_failed, r.passed, r.detail, r.seconds, at) for r in results]
+    return spark.createDataFrame(rows, RESULTS)
+
+
+def gate(results: Sequence[Result]) -> None:
+    failed = [r for r in results if not r.passed and r.check.severity == "ERROR"]
+    if failed:
+        raise GateFailed("; ".join(f"{r.id}: {r.rows_failed} of {r.rows_checked} rows failed {r.detail}".strip() for r in failed))
