@@ -85,7 +85,7 @@ def duplicates(docs: DataFrame, digest: Callable[[Column], Column] = sha256, fil
 def distinct_texts(docs: DataFrame) -> DataFrame:
     """docs with one row of each group of equal texts, that with the largest doc_id, all its columns as they were."""
     marks = stored(duplicates(docs), "marks")
-    own = marks.groupBy("doc_id", "digest").agg(F.count("*").alias("n"), F.count_if("kept").alias("k"))
+    own = marks.groupBy("doc_id", "digest").agg(F.count("*").alias("n"), F.count_if(F.expr("kept")).alias("k"))
     on = lambda right: docs["doc_id"].eqNullSafe(right["__id"]) & (sha256(ascii_lower(body(docs["text"]))) == right["__digest"])
     named = lambda rows: small(rows.select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest")), 64)
     gone = named(own.where("k = 0"))

@@ -46,17 +46,29 @@ def compress(ids: np.ndarray, lengths: np.ndarray, base: int, rounds: int = ROUN
         if len(s) < 2:
             break
         buckets = _pair_buckets(s)
-        inner = ~last[:-1]
-        counts = np.bincount(buckets[inner], minlength=_BUCKETS)
-        bar = max(least, int(np.partition(counts, -rules)[-rules]))
-        at = np.flatnonzero(inner & (counts >= bar)[buckets])
-        pairs, which, n = np.unique(s[at].astype(np.uint64) << np.uint64(32) | s[at + 1], return_inverse=True, return_counts=True)
-        chosen = np.argsort(-n, kind="stable")[:rules]
-        chosen = chosen[n[chosen] >= least]
+        buckets[last[:-1]] = _BUCKETS
+        counts = np.bincount(buckets, minlength=_BUCKETS + 1)[:-1]
+        hot = np.sort(np.argpartition(counts, -rules)[-rules:])
+        hot = hot[counts[hot] >= least]
+        slot = np.full(_BUCKETS + 1, -1, np.int32)
+        slot[hot] = np.arange(len(hot))
+        which = slot[buckets]
+        at = np.flatnonzero(which >= 0)
+        which, pairs = which[at], s[at].astype(np.uint64) << np.uint64(32) | s[at + 1]
+        # pairs that share a bucket: the part of it that most occurrences fall in names the pair
+        part = which * 256 + (pairs * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(56)).astype(np.int32)
+        most = np.bincount(part, minlength=256 * len(hot)).reshape(-1, 256).argmax(axis=1) if len(hot) else np.zeros(0, int)
+        named = np.zeros(len(hot), np.uint64)
+        main = part == (np.arange(len(hot)) * 256 + most)[which] if len(hot) else np.zeros(0, bool)
+        named[which[main]] = pairs[main]
+        same = named[which] == pairs
+        n = np.bincount(which[same], minlength=len(hot))
+        chosen = np.flatnonzero(n >= least)
         if not len(chosen):
             break
-        number = np.full(len(pairs), -1)
+        number = np.full(len(hot), -1)
         number[chosen] = np.arange(len(chosen))
+        at, which, pairs = at[same], which[same], named
         rule = number[which]
         at, rule = at[rule >= 0], rule[rule >= 0]
         index = np.arange(len(at))  # of neighbouring occurrences, every other one from the left is replaced
@@ -158,8 +170,8 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, shard: int =
 SCHEMA = "part int, shard int, doc_ids array<bigint>, n_tokens bigint, payload binary"
 
 
-def read(spark, path: str) -> DataFrame:
-    """doc_id, start, n_tokens, ids (little-endian unsigned 32-bit) of each document in the shards at path."""
+def decoded(spark, path: str) -> DataFrame:
+    """part, shard, doc_id, within, n_tokens, ids (little-endian unsigned 32-bit) of each document in the shards at path."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1):
@@ -171,19 +183,29 @@ def read(spark, path: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([same(0), same(1), batch.column(2).flatten(), pa.array(starts), pa.array(ends - starts), data], ["part", "shard", "doc_id", "within", "n_tokens", "ids"])
 
     files = spark.read.schema(SCHEMA).parquet(path)
+    return files.select("part", "shard", "doc_ids", "payload").mapInArrow(run, "part int, shard int, doc_id bigint, within bigint, n_tokens bigint, ids binary")
+
+
+def first_ids(spark, path: str) -> DataFrame:
+    """part, shard, first: the number of ids before each shard. Sums of parts come first, so no task sees all shards."""
+    files = spark.read.schema(SCHEMA).parquet(path).select("part", "shard", "n_tokens")
     totals = files.groupBy("part").agg(F.sum("n_tokens").alias("n")).select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))
     inner = F.sum("n_tokens").over(Window.partitionBy("part").orderBy("shard")) - F.col("n_tokens")
-    firsts = files.select("part", "shard", "n_tokens").withColumn("inner", inner).join(totals, "part").select("part", "shard", (F.col("before") + F.col("inner")).alias("first"))
-    texts = files.select("part", "shard", "doc_ids", "payload").mapInArrow(run, "part int, shard int, doc_id bigint, within bigint, n_tokens bigint, ids binary")
-    return texts.join(firsts, ["part", "shard"]).select("doc_id", (F.col("first") + F.col("within")).alias("start"), "n_tokens", "ids")
+    return files.withColumn("inner", inner).join(totals, "part").select("part", "shard", (F.col("before") + F.col("inner")).alias("first"))
+
+
+def read(spark, path: str, payload: str = "ids") -> DataFrame:
+    """doc_id, start, n_tokens and an expression over ids, by default ids itself, which alone is moved to the start."""
+    texts = decoded(spark, path).selectExpr("part", "shard", "doc_id", "within", "n_tokens", payload)
+    joined = texts.join(first_ids(spark, path), ["part", "shard"])
+    return joined.withColumn("start", F.col("first") + F.col("within")).drop("part", "shard", "first", "within")
 
 
 def round_trip(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32, from the files that docs were written to."""
     path = scratch(docs.sparkSession, "tokens")
     write(docs, path, tokenizer)
-    checked = read(docs.sparkSession, path)
-    return checked.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    return read(docs.sparkSession, path, "crc32(ids) AS ids_crc32").select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
 def crc32(ids: np.ndarray) -> int:
