@@ -27,12 +27,12 @@ def country_tab(cells: DataFrame, rates: DataFrame, fixed: Collection[str] = (),
     c = F.col
     second = c("line") == "Credit Cards" if "F1" in fixed else c("product").startswith("CC")
     own = cells.groupBy("month_end", "scope").agg(
-        (sum_if("balance", c("line") == "Personal Loans") + sum_if("balance", second)).alias("total_local"), sum_if("balance", c("dpd_min") >= 30).alias("late30"), sum_if("balance", c("dpd_min") >= 90).alias("late90"),
+        (sum_if("balance", c("line") == "Personal Loans") + sum_if("balance", second)).cast("decimal(18,2)").alias("total_local"), sum_if("balance", c("dpd_min") >= 30).alias("late30"), sum_if("balance", c("dpd_min") >= 90).alias("late90"),
         F.sum("balance").alias("all_local"), F.sum("accounts").alias("accounts"),
     )
     before = own.select(F.last_day(F.add_months("month_end", 1)).alias("month_end"), "scope", F.col("late30").alias("late30_before"))
     rated = own.join(before, ["month_end", "scope"], "left").join(F.broadcast(rates), ["month_end", "scope"], "left")
-    rate = c("rate") if "F2" in fixed else F.when(c("scope") == fixed_rate_scope, F.lit(FIXED_RATE).cast("decimal(18,8)")).otherwise(c("rate"))
+    rate = c("rate").cast("decimal(18,8)") if "F2" in fixed else F.when(c("scope") == fixed_rate_scope, F.lit(FIXED_RATE).cast("decimal(18,8)")).otherwise(c("rate"))
     numerator = c("late30") if "F3" in fixed else F.coalesce("late30_before", F.lit(0).cast("decimal(18,2)"))
     return rated.select(
         "month_end", "scope", (c("total_local") * rate).cast("double").alias("balance_eur"), ratio_or_zero(numerator, "all_local").alias("dpd30_rate"), ratio_or_zero("late90", "all_local").alias("dpd90_rate"),
