@@ -67,7 +67,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
     draw = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1_000_000))
     share = F.when(F.col("toxic") == 1, 1_000_000 * sample // sizes.get(1, 1) + 1).otherwise(1_000_000 * sample // sizes.get(0, 1) + 1)
     taken = known.where(draw < share).select(F.col("doc_id").alias("__id"), F.col("toxic").cast("int").alias("toxic"))
-    return docs.join(F.broadcast(taken), docs["doc_id"] == F.col("__id")).select("doc_id", "toxic", "text")  # bounded by 2 * sample rows
+    return docs.select("doc_id", "text").join(F.broadcast(taken), F.col("doc_id") == F.col("__id")).select("doc_id", "toxic", "text")  # bounded by 2 * sample rows
 
 
 def mine(rows: DataFrame, n: tuple[int, int]) -> list[bytes]:
