@@ -29,7 +29,8 @@ def words(text: Column) -> Column:
 
 
 def _shingled(parts: Column, of) -> Column:
-    """of(k) for each window start k, an empty array for fewer than SHINGLE words."""
+    """of(k) for each window start k, an empty array for fewer than SHINGLE words. parts is a column, not an expression, as it
+    is looked up for each window."""
     starts = F.sequence(F.lit(0), F.size(parts) - SHINGLE)
     return F.when(F.size(parts) >= SHINGLE, F.transform(starts, of)).otherwise(F.array().cast("array<string>"))
 
@@ -62,11 +63,11 @@ def contaminated(docs: DataFrame, items: DataFrame, containment: float = CONTAIN
     met = probes.join(small(sketch, 32), "hash").groupBy("doc_id", "item_id", "need").agg(F.countDistinct("hash").alias("n")).where("n >= need")
     candidates = stored(met.select("doc_id", "item_id"), "candidates")
 
-    own = items.select("item_id", F.explode(F.array_distinct(shingles(words(F.col("text"))))).alias("shingle")).distinct()
+    own = items.select("item_id", words(F.col("text")).alias("w")).select("item_id", F.explode(F.array_distinct(shingles(F.col("w")))).alias("shingle")).distinct()
     wanted = candidates.select("item_id").distinct()
     own = stored(own.join(wanted, "item_id", "left_semi").withColumn("n_item", F.count("*").over(_by_item())), "item_shingles")
     suspects = keyed(docs.select("doc_id", "text"), candidates, "left_semi")
-    held = suspects.select("doc_id", F.explode(F.array_distinct(shingles(words(F.col("text"))))).alias("shingle"))
+    held = suspects.select("doc_id", words(F.col("text")).alias("w")).select("doc_id", F.explode(F.array_distinct(shingles(F.col("w")))).alias("shingle"))
     shared = held.join(small(own, 128), "shingle").groupBy("doc_id", "item_id", "n_item").agg(F.countDistinct("shingle").alias("n_shared"))
     share = F.col("n_shared").cast("double") / F.col("n_item").cast("double")
     return shared.select("doc_id", "item_id", "n_shared", F.col("n_item").cast("bigint").alias("n_item"), share.alias("containment")).where(F.col("containment") >= containment)
