@@ -1,9 +1,11 @@
 """License scan by a positional index of rare words.
 
-Templates are stored as words. Over all documents it is counted how many hold each template word; its IDF follows. A file's
-licence words are looked up, the RARE of highest IDF keep their places, and each place with each template posting of that
-word votes for where the template would start (place minus position). A start is a match if the matched words carry at
-least SHARE of the template's IDF and the mandatory phrase of the template stands, word for word, within the matched span.
+Templates are stored as words. Over all documents it is counted how many hold each template word; its IDF follows. The
+RARE words of highest IDF of each template are its rare words and have postings. A file's licence words are looked up;
+those that are rare words of a template whose mandatory phrase may stand in the file keep their places, and each place with
+each posting of that template votes for where the template would start (place minus position). A start is a match if its
+votes carry at least SHARE of the IDF of all the template's postings, held by the file or not, and the mandatory phrase
+stands, word for word, within the matched span. Words are chosen by template, so one licence in a file hides no other.
 
 Base phrases and their labels are found in every text and counted at all places. The score is the best matched share, and
 at least BASE_SCORE where a base phrase stands; 0 without either.
@@ -23,7 +25,7 @@ from pyspark.sql import functions as F
 
 from .base import slices, raw
 
-RARE, SHARE, BASE_SCORE, PLACES = 12, 0.6, 0.5, 64
+RARE, SHARE, BASE_SCORE, SLACK = 12, 0.6, 0.5, 2
 
 # Base phrases and their labels.
 BASE = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
@@ -70,40 +72,39 @@ def document_frequencies(docs: DataFrame) -> tuple[int, dict[bytes, int]]:
 
 
 class Index:
-    """Templates with the IDF of their words and the postings of each."""
+    """Templates with the IDF of their words and the postings of their rare words."""
 
     def __init__(self, n: int, held: dict[bytes, int]):
         self.idf = {w: math.log((n + 1) / (held.get(w, 0) + 0.5)) + 0.01 for _, text, _ in TEMPLATES for w in text.encode().split()}
-        self.templates, self.postings = [], {}
-        for k, (label, text, phrase) in enumerate(TEMPLATES):
+        self.templates = []
+        for label, text, phrase in TEMPLATES:
             own, must = text.encode().split(), phrase.encode().split()
-            for at, w in enumerate(own):
-                self.postings.setdefault(w, []).append((k, at))
-            self.templates.append((label, len(own), b" ".join(must), frozenset(must)))
+            rare = sorted(set(own), key=lambda w: (-self.idf[w], w))[:RARE]
+            postings = {w: [at for at, x in enumerate(own) if x == w] for w in rare}
+            full = sum(self.idf[w] * len(at) for w, at in postings.items())
+            self.templates.append((label, len(own), b" " + b" ".join(must) + b" ", frozenset(must), postings, full))
 
     def matches(self, found: list[bytes], held: frozenset) -> dict[str, float]:
         """Label and matched share of each template that stands in these words."""
-        open_ = {k for k, (_, _, _, must) in enumerate(self.templates) if must <= held}
-        if not open_:
-            return {}
-        rare = sorted((w for w in held if w in self.idf), key=lambda w: (-self.idf[w], w))[:RARE]
-        places: dict[bytes, list[int]] = {w: [] for w in rare}
-        for at, w in enumerate(found):
-            if w in places:
-                places[w].append(at)
-        votes: dict[tuple[int, int], float] = {}
-        for w, own in places.items():
-            for k, position in self.postings[w]:
-                if k in open_:
-                    for at in own:
-                        votes[k, at - position] = votes.get((k, at - position), 0.0) + self.idf[w]
-        full = {k: sum(self.idf[w] for w in rare for j, _ in self.postings[w] if j == k) for k in open_}
+        open_ = [t for t in self.templates if t[3] <= held]
+        places: dict[bytes, list[int]] = {w: [] for t in open_ for w in t[4]}
+        if places:
+            for at, w in enumerate(found):
+                if w in places:
+                    places[w].append(at)
         out: dict[str, float] = {}
-        for (k, start), got in votes.items():
-            label, size, must, _ = self.templates[k]
-            share = min(1.0, got / full[k]) if full[k] else 0.0
-            if share >= SHARE and share > out.get(label, 0.0) and b" " + must + b" " in b" " + b" ".join(found[max(0, start - 2) : start + size + 2]) + b" ":
-                out[label] = share
+        for label, size, phrase, _, postings, full in open_:
+            votes: dict[int, float] = {}
+            for w, positions in postings.items():
+                for position in positions:
+                    for at in places[w]:
+                        votes[at - position] = votes.get(at - position, 0.0) + self.idf[w]
+            for start, got in votes.items():
+                share = min(1.0, got / full)
+                if share >= SHARE and share > out.get(label, 0.0):
+                    span = found[max(0, start - SLACK) : start + size + SLACK]
+                    if phrase in b" " + b" ".join(span) + b" ":
+                        out[label] = share
         return out
 
 
@@ -122,11 +123,12 @@ def scan(docs: DataFrame) -> DataFrame:
                 line = b" " + b" ".join(found) + b" "
                 starts, base = [], set()
                 for phrase, label in phrases:
-                    at = line.find(phrase)
+                    before, word, at = 0, 0, line.find(phrase)
                     while at >= 0:
-                        starts.append(line.count(b" ", 0, at))
+                        word += line.count(b" ", before, at)
+                        starts.append(word)
                         base.add(label)
-                        at = line.find(phrase, at + 1)
+                        before, at = at, line.find(phrase, at + 1)
                 matched = index.matches(found, frozenset(found))
                 score = max([*matched.values(), BASE_SCORE if base else 0.0], default=0.0)
                 rows.append((len(found), len(starts), min(starts, default=None), max(starts, default=None), ",".join(sorted(base)), ",".join(sorted(base | matched.keys())), score))

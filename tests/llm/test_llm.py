@@ -1,4 +1,5 @@
 import itertools
+import re
 import zlib
 
 import numpy as np
@@ -139,6 +140,28 @@ def test_licenses(spark, docs, empty):
     assert licenses.scan(docs).count() == len(ROWS) and licenses.scan(empty).count() == 0
 
 
+def test_license_templates_hide_no_other():
+    index = licenses.Index(1000, {b"license": 40, b"the": 900})
+    text = " then ".join(t for _, t, _ in licenses.TEMPLATES).encode()
+    found = licenses.words(text)
+    assert index.matches(found, frozenset(found)) == pytest.approx({label: 1.0 for label, _, _ in licenses.TEMPLATES})
+    part = licenses.words(b"permission is hereby granted free of charge to enter the park")
+    assert index.matches(part, frozenset(part)) == {}
+
+
+def test_license_base_places_match_brute_force(spark):
+    path = "/root/testdata/sf0.001/documents.parquet"
+    got = {r["doc_id"]: r for r in licenses.scan(spark.read.parquet(path)).collect()}
+    lower = str.maketrans({c: c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"})
+    for row in spark.read.parquet(path).collect():
+        found = re.findall("[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+", (row["text"] or "").translate(lower))
+        starts = [(k, label) for phrase, label in licenses.BASE.items() for k in range(len(found)) if found[k : k + len(phrase.split())] == phrase.split()]
+        r = got[row["doc_id"]]
+        assert (r["n_words"], r["n_base"], r["base_labels"]) == (len(found), len(starts), ",".join(sorted({label for _, label in starts})))
+        assert (r["first_word"], r["last_word"]) == ((min(starts)[0], max(starts)[0]) if starts else (None, None))
+        assert {label for _, label in starts} <= set(r["labels"].split(","))
+
+
 def test_chat(spark):
     rows = [(1, 1, "bob", "<|x"), (1, 0, "ann", "hi"), (None, None, None, None)]
     got = {(r["conv_id"], r["participant"]): r for r in chat.rotations(spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")).collect()}
