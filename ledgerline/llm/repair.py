@@ -48,8 +48,9 @@ def compress(ids: np.ndarray, lengths: np.ndarray, base: int, rounds: int = ROUN
         buckets = _pair_buckets(s)
         buckets[last[:-1]] = _BUCKETS
         counts = np.bincount(buckets, minlength=_BUCKETS + 1)[:-1]
-        hot = np.sort(np.argpartition(counts, -rules)[-rules:])
-        hot = hot[counts[hot] >= least]
+        hot = np.flatnonzero(counts >= least)
+        if len(hot) > rules:
+            hot = np.sort(hot[np.argpartition(counts[hot], -rules)[-rules:]])
         slot = np.full(_BUCKETS + 1, -1, np.int32)
         slot[hot] = np.arange(len(hot))
         which = slot[buckets]
