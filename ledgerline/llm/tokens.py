@@ -79,8 +79,7 @@ class Encoder:
         return found | dict(zip(words, self._words(words))) if words else found
 
     def _unknown(self, cut: list) -> set:
-        kept = self.kept
-        return {p for p in set().union(*(c for c in cut if c)) if p not in kept}
+        return set().union(*(c for c in cut if c)).difference(self.kept)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         cut = [self._cut(t, ",." not in t and ".," not in t and ".." not in t and ",," not in t) if t else [] for t in texts]
@@ -89,30 +88,22 @@ class Encoder:
         last = lambda p: (p[0] if type(p) is tuple else p)[-1:]
         odd = {p for p in new if p not in (",", ".") and last(p) and not last(p).isalnum()}
         odd |= self.odd
-        for k, c in enumerate(cut):
-            if c and not odd.isdisjoint(c):
-                cut[k] = self._cut(texts[k], False)
-        new = self._unknown(cut)
+        again = [k for k, c in enumerate(cut) if c and not odd.isdisjoint(c)]
+        for k in again:
+            cut[k] = self._cut(texts[k], False)
+        new |= self._unknown([cut[k] for k in again])
         fresh = self._new(new)
-        if len(self.kept) + len(fresh) <= self.capacity:
-            self.kept.update(fresh)
+        full = len(self.kept) + len(fresh) > self.capacity
+        self.kept.update(fresh)
+        if not full:
             self.odd |= odd & new
-            known = self.kept
-        else:  # full: these pieces are used for this batch only
-            known = _Either(self.kept)
-            known.update(fresh)
         whole = iter(self._library([t for t, c in zip(texts, cut) if c is None]))
-        get = known.__getitem__
-        return [np.frombuffer(next(whole) if c is None else b"".join(map(get, c)), self.dtype) for c in cut]
-
-
-class _Either(dict):
-    def __init__(self, rest: dict):
-        super().__init__()
-        self.rest = rest
-
-    def __missing__(self, key):
-        return self.rest[key]
+        get = self.kept.__getitem__
+        found = [np.frombuffer(next(whole) if c is None else b"".join(map(get, c)), self.dtype) for c in cut]
+        if full:  # these pieces served this batch only
+            for p in fresh:
+                del self.kept[p]
+        return found
 
 
 def public_path(name: str = "byte_bpe_50k.json") -> str:
