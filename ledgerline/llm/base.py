@@ -9,7 +9,9 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,6 +65,18 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.Re
             yield batch.slice(at, rows)
 
 
+def sized(batches: Iterator[pa.RecordBatch], column: int, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Slices whose strings in a column take about size bytes together, one row at least."""
+    for batch in batches:
+        lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(lengths, dtype=np.int64)
+        at = 0
+        while at < batch.num_rows:
+            stop = max(at + 1, int(np.searchsorted(ends, (int(ends[at - 1]) if at else 0) + size, "right")))
+            yield batch.slice(at, stop - at)
+            at = stop
+
+
 def raw(column: pa.Array) -> list[bytes]:
     """A string column's UTF-8; null as empty."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]

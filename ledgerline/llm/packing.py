@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import per_worker, slices
+from .base import per_worker, sized
 from .tokens import Encoder, public_path
 
 LENGTH, END, SENTENCE, MIDDLE, GRID, BLOCK = 2048, 1, 1, 3, 48, 1 << 19
@@ -138,9 +138,9 @@ def pack(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH, en
             data = pa.Array.from_buffers(pa.binary(), len(names), [None, pa.py_buffer((bounds * 4).astype(np.int32)), pa.py_buffer(ids)])
             return pa.RecordBatch.from_arrays([pa.array(names, type_), *map(pa.array, (start, size, total, (part << 33) + sequence, offset)), data], ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"])
 
-        for batch in slices(batches):
+        for batch in sized(batches, 2):
             part, type_ = batch.column(0)[0].as_py(), batch.column(1).type
-            for name, own in zip(batch.column(1).to_pylist(), encoder.encode([t or "" for t in batch.column(2).to_pylist()])):
+            for name, own in zip(batch.column(1).to_pylist(), encoder.encode_column(batch.column(2))):
                 yield from map(out, packer.add(name, np.concatenate((own, tail))))
         if packer.docs:
             yield out(packer.settle(True))

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .base import per_worker, scratch, slices
+from .base import per_worker, scratch, sized, slices
 from .tokens import Encoder, public_path
 
 END, SHARD, ROUNDS, RULES, LEAST = 0, 1 << 19, 3, 128, 16
@@ -152,9 +152,9 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, shard: int =
             payload = compress(np.concatenate(ids), lengths, encoder.vocabulary)
             return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([number], pa.int32()), pa.array([names], pa.list_(pa.int64())), pa.array([int(lengths.sum())]), pa.array([payload], pa.binary())], ["part", "shard", "doc_ids", "n_tokens", "payload"])
 
-        for batch in slices(batches):
+        for batch in sized(batches, 2):
             part = batch.column(0)[0].as_py()
-            for name, own in zip(batch.column(1).to_pylist(), encoder.encode([t or "" for t in batch.column(2).to_pylist()])):
+            for name, own in zip(batch.column(1).to_pylist(), encoder.encode_column(batch.column(2))):
                 ids.append(np.concatenate((own, tail)))
                 names.append(name)
                 held += len(own) + 1

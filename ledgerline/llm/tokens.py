@@ -1,24 +1,86 @@
 """Token ids by the tokenizers library, with ids of text pieces kept between texts.
 
-A byte-level BPE of the GPT-2 family never joins a piece of text across a single space, a line feed between other
-characters, or a full stop or comma after a letter or digit. Texts are cut there, pieces that were not met before are
-encoded by the library in one batch, and the ids of a text are those of its pieces. Words go straight to the library's BPE
-model, as there is nothing to cut in them. Texts with runs of white space are encoded whole. The result equals that of
-encoding each text alone.
+A byte-level BPE of the GPT-2 family cuts a text where letters, digits and other marks meet and before a white space that
+anything else follows, and never joins ids across such a place. Texts are cut at those of these places that their bytes show
+beyond doubt, the pieces are told apart by Arrow's dictionary encoding, those that were not met before are encoded by the
+library in one batch, and the ids of a text are those of its pieces. Letters after a space go straight to the library's BPE
+model, as there is nothing to cut in them. The result equals that of encoding each text alone.
 """
 
 from __future__ import annotations
 
 import os
-import re
+from itertools import repeat
 
 import numpy as np
+import pyarrow as pa
 
 CAPACITY = 600_000
-#: Where one of these occurs, a text is not cut: runs of white space, or a full stop or comma after white space.
-RUNS = ("  ", "\n\n", " \n", "\n ", " ,", " .", "\n,", "\n.")
-BLANKS = tuple(chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) not in " \n")
-BLANK = re.compile(r"\s\s|\s[.,]")
+#: Classes of bytes. OTHER: what is not sure (control characters, white space beyond ASCII, most characters of several bytes).
+OTHER, LETTER, DIGIT, MARK, SPACE, FEED, HIGH, QUOTE = range(8)
+#: First bytes of two-byte characters that are letters, but for U+00D7 and U+00F7.
+LETTER_LEADS = (0xC3, 0xC4, 0xC5, 0xD0, 0xD1)
+#: First bytes of the characters that may be white space.
+BLANK_LEADS = (0xC2, 0xE1, 0xE2, 0xE3)
+#: What holds between two neighbouring bytes: a cut between them, a cut before the first.
+BETWEEN, BEFORE = 1, 2
+
+
+def _classes() -> np.ndarray:
+    table = np.full(256, OTHER, np.uint8)
+    for b in range(33, 127):
+        table[b] = DIGIT if chr(b).isdigit() else LETTER if chr(b).isalpha() else MARK
+    table[[ord(" "), ord("\n"), ord("'")]] = SPACE, FEED, QUOTE
+    table[0xC4:0xF5] = HIGH
+    table[list(BLANK_LEADS)] = OTHER
+    table[list(LETTER_LEADS)] = LETTER
+    return table
+
+
+def _meetings() -> np.ndarray:
+    """By 8 times the class of a byte plus that of the next. A quote may open a contraction, so nothing is cut after it."""
+    table = np.zeros((8, 8), np.uint8)
+    for a, others in ((LETTER, (DIGIT, MARK, QUOTE)), (DIGIT, (LETTER, MARK, QUOTE)), (MARK, (LETTER, DIGIT))):
+        table[a, others] = BETWEEN
+    shown = (LETTER, DIGIT, MARK, QUOTE, HIGH)
+    table[SPACE, shown] = BEFORE
+    table[FEED, shown] = BEFORE | BETWEEN
+    return table.reshape(-1)
+
+
+CLASSES, MEETINGS = _classes(), _meetings()
+
+
+def piece_starts(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Where pieces start in the bytes of texts that lie one after another; bounds: start of each text and the last's end."""
+    kind = CLASSES[data]
+    leads = np.flatnonzero((kind == LETTER) & (data >= 0x80))
+    leads = leads[leads < len(data) - 1]
+    kind[leads + 1] = LETTER
+    signs = leads[(data[leads] == 0xC3) & ((data[leads + 1] == 0x97) | (data[leads + 1] == 0xB7))]
+    kind[signs], kind[signs + 1] = HIGH, OTHER
+    meeting = MEETINGS[kind[:-1] * np.uint8(8) + kind[1:]]
+    inner = bounds[(bounds > 0) & (bounds < len(data))]
+    meeting[inner - 1] = 0
+    cut = np.zeros(len(data), bool)
+    cut[1:] = meeting & BETWEEN
+    cut[:-1] |= (meeting & BEFORE) > 0
+    cut[inner] = True
+    cut[:1] = True
+    return np.flatnonzero(cut)
+
+
+def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The UTF-8 bytes of a string column, null as empty, and where each text starts, with the last's end."""
+    if texts.type != pa.string():
+        texts = texts.cast(pa.string())
+    if texts.null_count:
+        texts = texts.fill_null("")
+    _, offsets, data = texts.buffers()
+    if not len(texts) or data is None:
+        return np.zeros(0, np.uint8), np.zeros(len(texts) + 1, np.int64)
+    bounds = np.frombuffer(offsets, np.int32, len(texts) + 1, 4 * texts.offset).astype(np.int64)
+    return np.frombuffer(data, np.uint8, int(bounds[-1] - bounds[0]), int(bounds[0])), bounds - bounds[0]
 
 
 def byte_characters() -> dict[int, str]:
@@ -40,70 +102,65 @@ class Encoder:
         self.dtype = np.dtype("<u2") if self.vocabulary <= 1 << 16 else np.dtype("<u4")
         self.characters = byte_characters()
         self.opens = np.array([(self.library.id_to_token(k) or "").startswith(self.characters[32]) for k in range(self.vocabulary)])
-        self.kept: dict = {}
-        self.odd: set = set()
         self.capacity = capacity
+        self.kept: dict[bytes, int] = {}
+        self.ids = np.zeros(0, self.dtype)  # of all kept pieces, one after another
+        self.ends = np.zeros(1, np.int64)  # 0, then the end of each piece there
 
-    @staticmethod
-    def _cut(text: str, marks: bool) -> list | None:
-        """Pieces: a string that starts with a line feed, full stop or comma is itself, any other follows a space; a tuple
-        holds the start of the text. None: the text is to be encoded whole."""
-        if any(r in text for r in RUNS) or any(b in text for b in (BLANKS[:9] if text.isascii() else BLANKS)) and BLANK.search(text):
-            return None
-        text = text.replace("\n", " \n")
-        if marks:
-            text = text.replace(",", " ,").replace(".", " .")
-        pieces: list = text.split(" ")
-        pieces[0] = (pieces[0],)
-        return pieces
-
-    def _library(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.dtype).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _words(self, words: list[str]) -> list[bytes]:
-        """ids of letters after a space, which the model takes as they are."""
-        space = self.characters[32]
-        plain = [space + (w if w.isascii() else w.encode().decode("latin-1").translate(self.characters)) for w in words]
+    def _library(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        found = [e.ids for e in self.library.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)]
+        return np.array([k for ids in found for k in ids], self.dtype), np.fromiter(map(len, found), np.int64, len(found))
+
+    def _words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """ids of pieces that are a space and letters, which the model takes as they are."""
+        plain = [w.decode("latin-1").translate(self.characters) for w in words]
         found = self.words.encode_batch_fast([plain[k : k + 500] for k in range(0, len(plain), 500)], is_pretokenized=True, add_special_tokens=False)
         ids = np.concatenate([np.array(e.ids, self.dtype) for e in found])
-        bounds = [*np.flatnonzero(self.opens[ids]).tolist(), len(ids)]
-        if len(bounds) != len(words) + 1:
-            return self._library([" " + w for w in words])
-        data, size = ids.tobytes(), self.dtype.itemsize
-        return [data[a * size : b * size] for a, b in zip(bounds, bounds[1:])]
-
-    def _new(self, pieces: set) -> dict:
-        words = [p for p in pieces if type(p) is str and p.isalpha()]
-        rest = [p for p in pieces if type(p) is tuple or not p.isalpha()]
-        found = dict(zip(rest, self._library([p[0] if type(p) is tuple else p if p[:1] in ("\n", ".", ",") else " " + p for p in rest])))
-        return found | dict(zip(words, self._words(words))) if words else found
-
-    def _unknown(self, cut: list) -> set:
-        return set().union(*(c for c in cut if c)).difference(self.kept)
+        starts = np.flatnonzero(self.opens[ids])
+        if len(starts) != len(words):
+            return self._library(words)
+        return ids, np.diff(starts, append=len(ids))
+
+    def _new(self, pieces: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+        """The pieces in another order, that order, their ids one after another and the number of ids of each."""
+        word = np.fromiter((p[:1] == b" " and p[1:].isalpha() for p in pieces), bool, len(pieces))
+        order = np.concatenate((np.flatnonzero(word), np.flatnonzero(~word)))
+        moved, n = [pieces[k] for k in order.tolist()], int(word.sum())
+        done = [f(own) for f, own in ((self._words, moved[:n]), (self._library, moved[n:])) if own]
+        return moved, order, *map(np.concatenate, zip(*done))
+
+    def encode_column(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of each text of a string column, null as empty."""
+        ids, bounds = self._flat(texts)
+        return [ids[a:b] for a, b in zip(bounds.tolist(), bounds[1:].tolist())]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [self._cut(t, ",." not in t and ".," not in t and ".." not in t and ",," not in t) if t else [] for t in texts]
-        new = self._unknown(cut)
-        # a full stop or comma after another mark is no place to cut: such texts are cut at white space only
-        last = lambda p: (p[0] if type(p) is tuple else p)[-1:]
-        odd = {p for p in new if p not in (",", ".") and last(p) and not last(p).isalnum()}
-        odd |= self.odd
-        again = [k for k, c in enumerate(cut) if c and not odd.isdisjoint(c)]
-        for k in again:
-            cut[k] = self._cut(texts[k], False)
-        new |= self._unknown([cut[k] for k in again])
-        fresh = self._new(new)
-        full = len(self.kept) + len(fresh) > self.capacity
-        self.kept.update(fresh)
-        if not full:
-            self.odd |= odd & new
-        whole = iter(self._library([t for t, c in zip(texts, cut) if c is None]))
-        get = self.kept.__getitem__
-        found = [np.frombuffer(next(whole) if c is None else b"".join(map(get, c)), self.dtype) for c in cut]
-        if full:  # these pieces served this batch only
-            for p in fresh:
-                del self.kept[p]
-        return found
+        return self.encode_column(pa.array(texts, pa.string()))
+
+    def _flat(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after another, and where those of each text start, with the last's end."""
+        data, bounds = text_bytes(texts)
+        if not len(data):
+            return np.zeros(0, self.dtype), bounds
+        starts = piece_starts(data, bounds)
+        places = np.append(starts, len(data)).astype(np.int32)
+        coded = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(places), pa.py_buffer(data)]).dictionary_encode()
+        pieces, code = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        at = np.fromiter(map(self.kept.get, pieces, repeat(-1)), np.int64, len(pieces))
+        unknown = np.flatnonzero(at < 0)
+        known, all_ids, all_ends = len(self.kept), self.ids, self.ends
+        if len(unknown):
+            fresh, order, ids, sizes = self._new([pieces[k] for k in unknown.tolist()])
+            at[unknown[order]] = np.arange(known, known + len(fresh))
+            all_ids = np.concatenate((self.ids, ids))
+            all_ends = np.concatenate((self.ends, self.ends[-1] + np.cumsum(sizes)))
+            if known + len(fresh) <= self.capacity:  # else these pieces serve this batch only
+                self.kept.update(zip(fresh, range(known, known + len(fresh))))
+                self.ids, self.ends = all_ids, all_ends
+        first, size = all_ends[at][code], (all_ends[at + 1] - all_ends[at])[code]
+        ends = np.concatenate(([0], np.cumsum(size)))
+        found = all_ids[np.repeat(first - ends[:-1], size) + np.arange(ends[-1])]
+        return found, ends[np.searchsorted(starts, bounds)]
 
 
 def public_path(name: str = "byte_bpe_50k.json") -> str:

@@ -3,11 +3,14 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from ledgerline.llm import chat, decontam, exact_dedup, langid, licenses, packing, repair, simhash, tokens, toxicity, urlfilter
+from ledgerline.llm import base, chat, decontam, exact_dedup, langid, licenses, packing, repair, simhash, tokens, toxicity, urlfilter
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, __id string, row int, fp int"
 ROWS = [(1, "Hello World again", "en"), (2, "hello world AGAIN", "en"), (3, None, None), (4, "", "de"), (5, "ÄÖ ü", "de"), (6, "äö ü", "de"), (7, "a " * 3000, "en"), (7, "a " * 3000, "en"), (None, "x", None), (8, "12 34!", "fr")]
@@ -105,7 +108,29 @@ def test_encoder_equals_library():
     hard = ["", "\n", " ", "a.b", "a ,b", "..", "it.'s 4.0. x", "a\n\nb", "  a", "a  b\tc", ",", "a_,b", "x!., y", "don't, we'll. <|endoftext|> a", "á,é.\nñ Ω 漢字, 漢", "١٢,٣", "é, x", "a…, b. c\rd"]
     want = [e.ids for e in whole.library.encode_batch_fast(hard, add_special_tokens=False)]
     assert [x.tolist() for x in whole.encode(hard)] == want
-    assert [x.tolist() for x in tokens.Encoder(tokens.public_path(), capacity=5).encode(hard)] == want
+    small = tokens.Encoder(tokens.public_path(), capacity=5)
+    assert [x.tolist() for x in small.encode(hard)] == [x.tolist() for x in small.encode(hard)] == want
+    column = pa.array(["skip", None, *hard, "skip"], pa.string()).slice(1, len(hard) + 1)
+    assert [x.tolist() for x in whole.encode_column(column)] == [[], *want]
+    assert whole.encode([]) == [] and [len(x) for x in whole.encode_column(pa.array([None, ""], pa.large_string()))] == [0, 0]
+
+
+PARTS = ["a", "Z", "é", "×", "÷", "Ł", "ж", "ß", "漢", "٣", "7", "'", "’", "'s", "'ll", "S", ".", ",", "-", '"', "“", "…", "_", "<|endoftext|>", " ", "  ", "\n", "\r", "\t", "\x00", "\x1c", "\x7f", "\x85", "\u00a0", "\u2009", "\u3000", "\u0301", "«", "😀"]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(PARTS), max_size=25).map("".join), max_size=6))
+def test_encoder_equals_library_on_any_text(texts):
+    assert [x.tolist() for x in ENCODER.encode(texts)] == [e.ids for e in ENCODER.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+
+ENCODER = tokens.Encoder(tokens.public_path(), capacity=2000)
+
+
+def test_slices_by_size():
+    batch = pa.RecordBatch.from_arrays([pa.array(range(7)), pa.array(["abcd", None, "", "x" * 50, "ab", "cd", "e"])], ["k", "t"])
+    got = [b.column(0).to_pylist() for b in base.sized(iter([batch, batch.slice(0, 0)]), 1, 4)]
+    assert got == [[0, 1, 2], [3], [4, 5], [6]]
 
 
 def test_repair_round_trip_and_random_access():
