@@ -2,7 +2,8 @@
 
 Documents are dealt by ranges of doc_id and sorted, encoded, and cut into shards of about SHARD ids, whole documents each.
 In a shard, frequent pairs of neighbouring symbols within a document are replaced by nonterminals, in rounds: a round counts
-all pairs, gives a rule to each of the most frequent, and replaces their occurrences from left to right. The file of a shard
+all pairs, gives a rule to each of the most frequent, and replaces their occurrences from left to right. Rounds end when no
+pair occurs LEAST times, so the rules of a round together expand to a sixteenth of the shard at most. The file of a shard
 holds the rules, the expansion length of each, the remaining symbols and, for each document, where its symbols end. A
 document, or a range of its ids, is decoded without touching the rest of the shard.
 
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from .base import per_worker, scratch, sized, slices
 from .tokens import Encoder, public_path
 
-END, SHARD, ROUNDS, RULES, LEAST = 0, 1 << 19, 3, 128, 16
+END, SHARD, RULES, LEAST = 0, 1 << 19, 256, 16
 MAGIC = 0x31475052
 _BUCKETS = 1 << 18
 
@@ -36,21 +37,23 @@ def _pair_buckets(s: np.ndarray) -> np.ndarray:
     return (mixed ^ mixed >> np.uint32(15)) & np.uint32(_BUCKETS - 1)
 
 
-def compress(ids: np.ndarray, lengths: np.ndarray, base: int, rounds: int = ROUNDS, rules: int = RULES, least: int = LEAST) -> bytes:
-    """The file of one shard: ids of its documents one after another, the length of each, the first nonterminal."""
+def compress(ids: np.ndarray, lengths: np.ndarray, base: int, rules: int = RULES, least: int = LEAST) -> bytes:
+    """The file of one shard: ids of its documents one after another, the length of each, the first nonterminal.
+
+    rules: how many a round makes at least, where so many pairs are frequent; an eighth of them if that is more.
+    """
     s = ids.astype(np.uint32)
     last = np.zeros(len(s), bool)
     last[np.cumsum(lengths)[lengths > 0] - 1] = True
     grammar = np.zeros((0, 2), np.uint32)
-    for _ in range(rounds):
-        if len(s) < 2:
-            break
+    while len(s) > 1:
         buckets = _pair_buckets(s)
         buckets[last[:-1]] = _BUCKETS
         counts = np.bincount(buckets, minlength=_BUCKETS + 1)[:-1]
         hot = np.flatnonzero(counts >= least)
-        if len(hot) > rules:
-            hot = np.sort(hot[np.argpartition(counts[hot], -rules)[-rules:]])
+        limit = max(rules, len(hot) // 8)
+        if len(hot) > limit:
+            hot = np.sort(hot[np.argpartition(counts[hot], -limit)[-limit:]])
         slot = np.full(_BUCKETS + 1, -1, np.int32)
         slot[hot] = np.arange(len(hot))
         which = slot[buckets]

@@ -141,6 +141,7 @@ def test_repair_round_trip_and_random_access():
     back, ends = shard.all()
     assert back.tolist() == ids.tolist() and ends.tolist() == np.cumsum(lengths).tolist()
     assert len(shard.symbols) < len(ids)
+    assert (shard.grammar >= shard.base).any() and shard.sizes.max() > 4  # rules of rules
     own = ids[501:3501]
     assert shard.document(3).tolist() == own.tolist() and shard.document(3, 17, 99).tolist() == own[17:99].tolist()
 
