@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from .base import per_worker, scratch, sized, slices
 from .tokens import Encoder, public_path
 
-END, SHARD, RULES, LEAST = 0, 1 << 19, 256, 16
+END, SHARD, RULES, LEAST = 0, 1 << 19, 4096, 16
 MAGIC = 0x31475052
 _BUCKETS = 1 << 18
 
