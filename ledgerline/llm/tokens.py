@@ -15,7 +15,7 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 
-CAPACITY = 600_000
+CAPACITY = 250_000
 #: Classes of bytes. OTHER: what is not sure (control characters, white space beyond ASCII, most characters of several bytes).
 OTHER, LETTER, DIGIT, MARK, SPACE, FEED, HIGH, QUOTE = range(8)
 #: First bytes of two-byte characters that are letters, but for U+00D7 and U+00F7.
