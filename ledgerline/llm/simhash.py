@@ -208,12 +208,18 @@ def near_duplicates(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
     return fps.join(of, "fp", "left").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def representatives(docs: DataFrame) -> DataFrame:
+def representatives(docs: DataFrame, similarity: float | None = None, shingle: int = 5) -> DataFrame:
     """docs with one document of each group of near-duplicates: that with the smallest doc_id, all its columns as they were.
 
-    A document without a doc_id stays.
+    Groups are those of op2. With a similarity, pairs of at least that Jaccard similarity over shingles of so many words are
+    linked as well, which fingerprints within RADIUS bits mostly miss (see jaccard.py). A document without a doc_id stays.
     """
+    from . import jaccard
     from .base import keyed
 
     groups = near_duplicates(docs).where("doc_id <> component_id")
+    if similarity is not None:
+        edges = groups.select(F.col("doc_id").cast("bigint").alias("a"), F.col("component_id").alias("b"))
+        similar = jaccard.links(docs, shingle, similarity).select(F.col("a").cast("bigint").alias("a"), F.col("b").cast("bigint").alias("b"))
+        groups = components(stored(edges.unionByName(similar), "near_links")).select(F.col("node").alias("doc_id"))
     return keyed(docs, stored(groups.select("doc_id"), "near"), "left_anti")

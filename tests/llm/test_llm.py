@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from ledgerline.llm import base, chat, decontam, exact_dedup, langid, licenses, packing, repair, simhash, tokens, toxicity, urlfilter
+from ledgerline.llm import base, chat, decontam, exact_dedup, jaccard, langid, licenses, packing, repair, simhash, tokens, toxicity, urlfilter
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, __id string, row int, fp int"
 ROWS = [(1, "Hello World again", "en"), (2, "hello world AGAIN", "en"), (3, None, None), (4, "", "de"), (5, "ÄÖ ü", "de"), (6, "äö ü", "de"), (7, "a " * 3000, "en"), (7, "a " * 3000, "en"), (None, "x", None), (8, "12 34!", "fr")]
@@ -77,6 +77,40 @@ def test_near_duplicates(docs, empty):
     assert simhash.near_duplicates(empty).count() == 0
 
 
+def test_representatives_match_brute_force_jaccard(spark):
+    rng = np.random.default_rng(6)
+    word = lambda: "w%d" % rng.integers(0, 500)
+    texts = {}
+    for k in range(12):
+        own = [word() for _ in range(rng.integers(40, 300))]
+        for n in range(6):
+            new = list(own)
+            for at in rng.integers(0, len(new), n * len(new) // 150):
+                new[at] = word()
+            texts[6 * k + n] = " ".join(new)
+    texts |= {80: "one two three", 81: "ONE  two three", 82: "one two", 83: "漢 É x y z w", 84: "漢 é x y z w"}
+    grams = lambda t: {tuple(w[i : i + 5]) for w in [t.lower().split()] for i in range(max(1, len(w) - 4))}
+    sets, fp = {i: grams(t) for i, t in texts.items()}, {i: plain_fingerprint(t) for i, t in texts.items()}
+    root = {i: i for i in texts}
+
+    def find(a):
+        return a if root[a] == a else find(root[a])
+
+    far = 0
+    for a, b in itertools.combinations(sorted(texts), 2):
+        like, near = len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8, (fp[a] ^ fp[b]).bit_count() <= 3
+        far += like and not near
+        if like or near:
+            x, y = find(a), find(b)
+            root[max(x, y)] = min(x, y)
+    assert far > 10
+    rows = [*texts.items(), (None, texts[0]), (90, None)]
+    got = simhash.representatives(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3), similarity=0.8)
+    assert {r["doc_id"] for r in got.collect()} == {i for i in texts if find(i) == i} | {None, 90}
+    sets = [np.array([1, 2, 3, 4], np.uint64), np.array([1, 2, 3, 4, 5], np.uint64), np.array([1, 2, 3, 9], np.uint64)]
+    assert list(jaccard.trees(sets, 0.8)) == [(0, 1)]
+
+
 def test_exact_duplicates_and_collisions(docs, empty):
     want = {1: (2, 2), 2: (2, 2), 3: (4, 2), 4: (4, 2), 5: (5, 1), 6: (6, 1), 7: (7, 2), 8: (8, 1), None: (None, 1)}
     for digest in (exact_dedup.sha256, lambda t: F.substring(exact_dedup.sha256(t), 1, 0)):
