@@ -4,12 +4,15 @@ A byte-level BPE of the GPT-2 family cuts a text where letters, digits and other
 anything else follows, and never joins ids across such a place. Texts are cut at those of these places that their bytes show
 beyond doubt, the pieces are told apart by Arrow's dictionary encoding, those that were not met before are encoded by the
 library in one batch, and the ids of a text are those of its pieces. Letters after a space go straight to the library's BPE
-model, as there is nothing to cut in them. The result equals that of encoding each text alone.
+model, as there is nothing to cut in them. Added tokens of the tokenizer's file, such as <|endoftext|>, are found in a text
+before all else, as the library does, and each is a piece. The result equals that of encoding each text alone with the
+tokenizer as its file has it, without special tokens put around the text.
 """
 
 from __future__ import annotations
 
 import os
+import re
 from itertools import repeat
 
 import numpy as np
@@ -96,7 +99,11 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        added = list(self.library.get_added_tokens_decoder().values())
+        if self.library.normalizer or any(t.lstrip or t.rstrip or t.single_word for t in added):
+            raise ValueError("a tokenizer that changes texts, or has added tokens that take or ask for what is beside them")
+        found = sorted((t.content.encode() for t in added), key=len, reverse=True)  # the longest at a place wins
+        self.added = re.compile(b"|".join(map(re.escape, found))) if found else None
         self.words = Tokenizer(self.library.model)
         self.vocabulary = self.library.get_vocab_size()
         self.dtype = np.dtype("<u2") if self.vocabulary <= 1 << 16 else np.dtype("<u4")
@@ -137,12 +144,24 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         return self.encode_column(pa.array(texts, pa.string()))
 
+    def _added(self, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """Start and end of each added token in the texts, ascending."""
+        found = []
+        if self.added and self.added.search(data):
+            for a, b in zip(bounds.tolist(), bounds[1:].tolist()):
+                found += [m.span() for m in self.added.finditer(data, a, b)]
+        return np.array(found, np.int64).reshape(-1, 2)
+
     def _flat(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after another, and where those of each text start, with the last's end."""
         data, bounds = text_bytes(texts)
         if not len(data):
             return np.zeros(0, self.dtype), bounds
-        starts = piece_starts(data, bounds)
+        spans = self._added(data, bounds)
+        starts = piece_starts(data, np.unique(np.concatenate((bounds, spans.ravel()))))
+        if len(spans):
+            at = np.searchsorted(spans[:, 0], starts) - 1  # the last that begins before
+            starts = starts[(at < 0) | (starts >= spans[at, 1])]
         places = np.append(starts, len(data)).astype(np.int32)
         coded = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(places), pa.py_buffer(data)]).dictionary_encode()
         pieces, code = coded.dictionary.to_pylist(), coded.indices.to_numpy()

@@ -9,6 +9,7 @@ import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from ledgerline.llm import base, chat, decontam, exact_dedup, jaccard, langid, licenses, packing, repair, simhash, tokens, toxicity, urlfilter
 
@@ -161,6 +162,30 @@ def test_encoder_equals_library_on_any_text(texts):
 ENCODER = tokens.Encoder(tokens.public_path(), capacity=2000)
 
 
+FRESH = Tokenizer.from_file(tokens.public_path())
+
+
+def test_encoder_equals_tokenizer_of_the_file():
+    assert ENCODER.encode(["a <|endoftext|> b"])[0].tolist() == [64, 220, 50256, 275]
+    texts = ["<|endoftext|>", "<|endoftext|><|endoftext|>x", "a  <|endoftext|>  b", "é<|endo", "ftext|>'s", "", "it'<|endoftext|>s", "<<|endoftext|>>\n", "<|endoftext|", "7<|endoftext|>8 漢<|endoftext|>字"]
+    assert [x.tolist() for x in ENCODER.encode(texts)] == [FRESH.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.lists(st.sampled_from([*PARTS, "<|endoftext|>", "<|endo", "ftext|>"]), max_size=25).map("".join), max_size=6))
+def test_encoder_equals_tokenizer_of_the_file_on_any_text(texts):
+    assert [x.tolist() for x in ENCODER.encode(texts)] == [FRESH.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_token_columns_with_a_special_token(spark):
+    rows = [(1, "a <|endoftext|> b"), (2, "c")]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    got = {r["doc_id"]: r for r in repair.round_trip(frame).collect()}
+    ids = np.array([64, 220, 50256, 275, 0], "<u4")
+    assert (got[1]["n_tokens"], got[1]["ids_crc32"], got[2]["start"]) == (5, zlib.crc32(ids.tobytes()), 5)
+    assert {r["doc_tokens"] for r in packing.packed(frame).where("doc_id = 1").collect()} == {5}
+
+
 def test_slices_by_size():
     batch = pa.RecordBatch.from_arrays([pa.array(range(7)), pa.array(["abcd", None, "", "x" * 50, "ab", "cd", "e"])], ["k", "t"])
     got = [b.column(0).to_pylist() for b in base.sized(iter([batch, batch.slice(0, 0)]), 1, 4)]
