@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .base import keyed, per_worker, slices, stored
+from .base import per_worker, slices
 
 ORDERS, BINS, PER_LANGUAGE, EVIDENCE, SMOOTHING = 3, 1 << 14, 2000, 200, 0.5
 UNKNOWN = "und"
@@ -82,6 +82,26 @@ def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> tuple[list[str
     return list(counts), np.log(each / each.sum(axis=1, keepdims=True)).reshape(ORDERS * BINS, -1).astype(np.float32)
 
 
+def _scored(texts: list[str | None], logs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each text the number of its language (that after the last: none), the score, and whether it has a letter."""
+    found, has = windows([t or "" for t in texts])
+    total, n = np.zeros((len(texts), logs.shape[1])), np.zeros(len(texts), np.int64)
+    if logs.shape[1]:
+        for bins, bounds in found:
+            gathered = np.concatenate((logs[bins], np.zeros((ORDERS, logs.shape[1]), np.float32)))
+            some = bounds[:, 1] > bounds[:, 0]
+            summed = np.add.reduceat(gathered, bounds.ravel(), axis=0, dtype=np.float64)[::2]
+            total += np.where(some[:, None], summed, 0)
+            n += bounds[:, 1] - bounds[:, 0]
+        even = total * (np.minimum(n, EVIDENCE) / np.maximum(n, 1))[:, None]
+        odds = np.exp(even - even.max(axis=1, keepdims=True))
+        best, score = odds.argmax(axis=1), odds.max(axis=1) / odds.sum(axis=1)
+    else:
+        best, score = np.zeros(len(texts), int), np.zeros(len(texts))
+    unknown = ~has | (logs.shape[1] == 0)
+    return np.where(unknown, logs.shape[1], best), np.where(unknown, 0.0, score), has
+
+
 def predict(docs: DataFrame, langs: list[str], matrix: np.ndarray) -> DataFrame:
     """doc_id, lang_pred, score for each row of docs."""
     model = docs.sparkSession.sparkContext.broadcast((langs, matrix))
@@ -90,23 +110,7 @@ def predict(docs: DataFrame, langs: list[str], matrix: np.ndarray) -> DataFrame:
         names, logs = model.value
         names = [*names, UNKNOWN]
         for part in slices(batches, 128):
-            texts = part.column(1).to_pylist()
-            found, has = windows([t or "" for t in texts])
-            total, n = np.zeros((len(texts), logs.shape[1])), np.zeros(len(texts), np.int64)
-            if logs.shape[1]:
-                for bins, bounds in found:
-                    gathered = np.concatenate((logs[bins], np.zeros((ORDERS, logs.shape[1]), np.float32)))
-                    some = bounds[:, 1] > bounds[:, 0]
-                    summed = np.add.reduceat(gathered, bounds.ravel(), axis=0, dtype=np.float64)[::2]
-                    total += np.where(some[:, None], summed, 0)
-                    n += bounds[:, 1] - bounds[:, 0]
-                even = total * (np.minimum(n, EVIDENCE) / np.maximum(n, 1))[:, None]
-                odds = np.exp(even - even.max(axis=1, keepdims=True))
-                best, score = odds.argmax(axis=1), odds.max(axis=1) / odds.sum(axis=1)
-            else:
-                best, score = np.zeros(len(texts), int), np.zeros(len(texts))
-            unknown = ~has | (logs.shape[1] == 0)
-            best, score = np.where(unknown, len(names) - 1, best), np.where(unknown, 0.0, score)
+            best, score, _ = _scored(part.column(1).to_pylist(), logs)
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array([names[k] for k in best]), pa.array(score)], ["doc_id", "lang_pred", "score"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -123,6 +127,17 @@ def identify(docs: DataFrame) -> DataFrame:
 
 
 def recognised(docs: DataFrame) -> DataFrame:
-    """docs without those of no language (`und`): null texts and texts without a letter. All columns as they were."""
-    unknown = stored(identify(docs).where(F.col("lang_pred") == UNKNOWN).select("doc_id"), "unknown")
-    return keyed(docs, unknown, "left_anti")
+    """docs without those of no language (`und`): null texts and texts without a letter. All columns as they were.
+
+    Each row goes by its own prediction, whatever other rows share its doc_id. Where nothing was learned, by its letters alone.
+    """
+    model = docs.sparkSession.sparkContext.broadcast(fit(docs.where(~held_out(F.col("doc_id"))))[1])
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        logs = model.value
+        for part in slices(batches, 128):
+            best, _, has = _scored(part.column(at).to_pylist(), logs)
+            yield part.filter(pa.array(best < logs.shape[1] if logs.shape[1] else has))
+
+    return docs.mapInArrow(run, docs.schema)

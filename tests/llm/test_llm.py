@@ -297,6 +297,18 @@ def test_language(docs, empty):
     assert langid.recognised(docs).columns == docs.columns and langid.identify(empty).count() == 0
 
 
+def test_language_rejects_row_by_row(spark, docs, empty):
+    rows = [(1, "plain words", "en"), (1, "12 34", "en"), (1, None, "en"), (None, "more words", None), (None, "5!", None), (None, None, None), (2, "", "de"), (3, "Wörter", "de")]
+    kept = [("plain words", 1), ("more words", None), ("Wörter", 3)]
+    for learned in (True, False):
+        frame = spark.createDataFrame([(t, i, lang if learned else None, ["x"]) for i, t, lang in rows], "text string, doc_id bigint, lang string, more array<string>").repartition(2)
+        got = langid.recognised(frame)
+        assert got.schema == frame.schema
+        assert sorted(got.collect(), key=str) == sorted((r for r in frame.collect() if (r["text"], r["doc_id"]) in kept), key=str)
+        assert got.count() == 3
+    assert langid.recognised(docs).count() == 7 and langid.recognised(empty).count() == 0
+
+
 def test_urls(spark, tmp_path):
     rows = [(1, "http://A.Example.NET/en/x?q"), (2, "https://b.net/z"), (3, None), (4, "no"), (5, "http://x.org/fr/1#a"), (6, "http://net"), (7, "http://notnet/"), (8, "http://é.example.com/de/")]
     got = {r["page_id"]: tuple(r)[1:] for r in urlfilter.judge(spark.createDataFrame(rows, "page_id bigint, url string")).collect()}
