@@ -9,7 +9,8 @@ they lie: their shingle hashes meet the sketches in a broadcast join, whose size
 Candidates are then verified by the exact share of the item's shingles, compared as text.
 
 Words are maximal runs of letters and digits, lower-cased. Nulls and empty texts hold no shingle. Items of fewer than five
-words have no five-word shingle and are never matched. Rows that share a doc_id or an item_id count as one. Empty tables
+words have no five-word shingle and are never matched. Rows that share a doc_id or an item_id count as one, in
+contaminated() those without a doc_id too; clean() judges these one by one. Empty tables
 give no rows.
 """
 
@@ -80,8 +81,15 @@ def _by_item():
 
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """docs without those that contain a benchmark item, all columns as they were."""
-    return keyed(docs, stored(contaminated(docs, items).select("doc_id").where("doc_id IS NOT NULL"), "leaks"), "left_anti")
+    """docs without those that contain a benchmark item, all columns as they were. Rows without a doc_id are judged one by one."""
+    named = keyed(docs, stored(contaminated(docs.where("doc_id IS NOT NULL"), items).select("doc_id"), "leaks"), "left_anti")
+    nameless = docs.where("doc_id IS NULL").withColumn("__row", F.monotonically_increasing_id())
+    nameless = stored(nameless, "nameless")
+    if nameless.isEmpty():
+        return named
+    leaks = contaminated(nameless.select(F.col("__row").alias("doc_id"), "text"), items).select(F.col("doc_id").alias("__leak")).distinct()
+    kept = nameless.join(stored(leaks, "nameless_leaks"), F.col("__row") == F.col("__leak"), "left_anti").drop("__row")
+    return named.where("doc_id IS NOT NULL").unionByName(kept)
 
 
 ORACLE = r"""

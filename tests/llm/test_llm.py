@@ -138,6 +138,17 @@ def test_containment_matches_brute_force(spark, empty):
     assert decontam.contaminated(empty, bench).count() == 0
 
 
+def test_clean_judges_rows_without_id_one_by_one(spark, docs):
+    item = " ".join("w%d" % k for k in range(24))
+    halves = " ".join(item.split()[:14]), " ".join(item.split()[10:])
+    rows = [(1, "z " + item, 1), (None, item + " z", 2), (None, halves[0], 3), (None, halves[1], 4), (2, "clean", 5), (None, None, 6)]
+    bench = spark.createDataFrame([(1, item)], "item_id bigint, text string")
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, __id int").repartition(2)
+    got = decontam.clean(frame, bench)
+    assert got.schema == frame.schema and sorted(r["__id"] for r in got.collect()) == [3, 4, 5, 6]
+    assert decontam.clean(docs, bench).count() == len(ROWS)
+
+
 def test_encoder_equals_library():
     whole = tokens.Encoder(tokens.public_path())
     hard = ["", "\n", " ", "a.b", "a ,b", "..", "it.'s 4.0. x", "a\n\nb", "  a", "a  b\tc", ",", "a_,b", "x!., y", "don't, we'll. <|endoftext|> a", "á,é.\nñ Ω 漢字, 漢", "١٢,٣", "é, x", "a…, b. c\rd"]
