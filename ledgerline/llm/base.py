@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import pickle
 import shutil
 import sys
 import tempfile
@@ -12,8 +13,10 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import SparkContext, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BROADCAST_BYTES = 32 << 20
@@ -27,10 +30,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the folder that driver and executors share (spark.checkpoint.dir).
 
-    Where the session names none, as in tests on one machine, a temporary folder is made and removed at exit.
+    Where the session names none and all runs on one machine, as in tests, a temporary folder is made and removed at exit.
     """
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         if not _own_root:
             _own_root.append(tempfile.mkdtemp(prefix="ledgerline-"))
             atexit.register(shutil.rmtree, _own_root[0], ignore_errors=True)
@@ -42,12 +47,38 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """df, written to the shared folder and read back: later stages restart from the files, not from the input."""
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
 
 
-def small(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """df with a broadcast hint if its counted rows take at most limit bytes, else df, to be joined by shuffling."""
-    return F.broadcast(df) if df.count() * row_bytes <= limit else df
+def discard(spark: SparkSession, *used: DataFrame | str) -> None:
+    """Deletes scratch tables (or paths) that nothing reads any more."""
+    for path in (u if isinstance(u, str) else u._scratch for u in used):
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """df with a broadcast hint if its rows, measured, take at most limit bytes, else df, to be joined by shuffling."""
+    size = F.lit(16 * (1 + len(df.columns)))
+    for f in df.schema:
+        if isinstance(f.dataType, (StringType, BinaryType)):
+            size = size + F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0))
+        elif f.dataType.typeName() not in ("long", "integer", "double", "boolean"):
+            size = size + F.octet_length(F.to_json(F.struct(F.col(f"`{f.name}`"))))
+    return F.broadcast(df) if (df.agg(F.sum(size.cast("bigint"))).first()[0] or 0) <= limit else df
+
+
+def shipped(context: SparkContext, value) -> Callable:
+    """A broadcast of value, whose classes the executors need not be able to import; call it in a task."""
+    data = context.broadcast(cloudpickle.dumps(value))
+    return lambda: pickle.loads(data.value)
+
+
+def drawn(share: Column | float) -> Column:
+    """True for each row with this probability, whatever the row holds and however often it repeats."""
+    return F.xxhash64(F.monotonically_increasing_id()).cast("double") / float(1 << 64) + 0.5 < share
 
 
 def ascii_lower(text: Column) -> Column:
@@ -90,7 +121,7 @@ def per_worker(key: tuple, make: Callable):
     return kept[key]
 
 
-def keyed(docs: DataFrame, ids: DataFrame, how: str, row_bytes: int = 16) -> DataFrame:
+def keyed(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
     """docs with (left_semi) or without (left_anti) the doc_ids in ids, whatever else either has for columns."""
-    right = small(ids.select(F.col("doc_id").alias("__id")).distinct(), row_bytes)
+    right = small(ids.select(F.col("doc_id").alias("__id")).distinct())
     return docs.join(right, docs["doc_id"].eqNullSafe(right["__id"]), how)

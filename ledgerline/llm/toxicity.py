@@ -1,20 +1,22 @@
 """Toxicity by weak supervision.
 
-1. Lexicons: on a bounded sample of labelled rows that are not held out (at most SAMPLE of either label, chosen by a hash of
-   the doc_id), words and word beginnings are ranked by how much more often toxic documents hold them; those beyond chance
-   are dealt to several lexicons.
+1. Lexicons: over all labelled rows that are not held out, words, their beginnings of four, five and six bytes and their
+   endings are counted by label. What toxic rows hold beyond chance becomes an entry. Each kind of evidence is a lexicon of
+   its own, words two: strong ones and the rest.
 2. Voters: each lexicon votes when a text holds one of its entries; further voters look for a public list of insults, for
-   several hits, shouting, repeated marks, and the absence of any hit.
+   several hits, for words disguised by digits, shouting, repeated marks, and the absence of any hit.
 3. Label model: the votes of all documents are counted by pattern (at most 2^VOTERS patterns, whatever the corpus). A
-   two-class generative model is fitted to the counts by expectation-maximisation; patterns of the labelled sample count
-   with their labels. Correlations of voters within a class are measured on the fitted model, and voters that say the same
-   share their weight.
-4. Classifier: a logistic regression over lexicon entries and votes, trained on the posterior labels of a bounded sample of
-   documents, scores every whole text.
+   two-class generative model is fitted to the counts by expectation-maximisation; patterns of labelled rows count with their
+   labels. Correlations of voters within a class are measured on the fitted model, and voters that say the same share their
+   weight.
+4. Classifier: a logistic regression over lexicon entries and votes, trained on the posterior labels of a bounded sample
+   (about `rows` documents, and about `sample` rows of either label, whose posterior is their label), scores every whole text.
+   Rows are drawn one by one, so ids that repeat or are null do not make the sample larger.
 
 labels, lang, source and doc_id are no inputs of a score. A null or empty text holds nothing and is scored as such. Rows
-without a label, or with a null one, teach nothing; a doc_id labelled twice counts as toxic if one label is. Without any
-label the insults alone vote. Repeated rows are scored alike; an empty table gives no rows.
+without a label, or with a null one, teach nothing; a doc_id labelled twice counts as toxic if one label is; documents that
+share a labelled doc_id all teach. Without any label the insults alone vote. Repeated rows are scored alike; an empty table
+gives no rows.
 """
 
 from __future__ import annotations
@@ -28,16 +30,21 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .base import raw, slices
+from .base import drawn, raw, shipped, slices, small, stored
 
-SAMPLE, CLASSIFIER_ROWS, ENTRIES, LEAST_Z, LEAST_ODDS = 4000, 20000, 384, 4.0, 2.0
-WORD_LEXICONS, START_LEXICONS, STARTS = 6, 4, (4, 5, 6)
-VOTERS = WORD_LEXICONS + START_LEXICONS + 6
+SAMPLE, CLASSIFIER_ROWS, LEAST_Z, LEAST_ODDS, LEAST_ROWS, STRONG_Z, KEPT = 4000, 20000, 5.0, 2.0, 4, 10.0, 200_000
+STARTS, ENDING = (4, 5, 6), 4
+LEXICONS = ("strong words", "words", *(f"beginnings of {n}" for n in STARTS), "endings")
+RULES = ("insult", "several hits", "disguised", "shouting", "exclamation", "masked", "no hit")
+VOTERS = len(LEXICONS) + len(RULES)
 
 # A short public list of English insults.
 INSULTS = ["clown", "disgusting", "dumb", "fool", "idiot", "imbecile", "loser", "moron", "pathetic", "scum", "stupid", "trash", "ugly", "vermin", "worthless"]
 
 TO_WORDS = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256))
+#: The same, with digits and signs read as the letters they stand for in disguised words.
+DISGUISE = dict(zip(b"0134579@$", b"oieastgas"))
+TO_DISGUISED = bytes(DISGUISE.get(b, TO_WORDS[b]) for b in range(256))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -45,73 +52,83 @@ def held_out(doc_id: Column) -> Column:
 
 
 def entries(text: bytes) -> set[bytes]:
-    """Words, and with a star their beginnings."""
+    """Words; with a star after them their beginnings, with one before them their endings."""
     found = set(text.translate(TO_WORDS).split())
-    return found | {w[:n] + b"*" for w in found for n in STARTS if len(w) >= n}
+    return found | {w[:n] + b"*" for w in found for n in STARTS if len(w) >= n} | {b"*" + w[-ENDING:] for w in found if len(w) >= ENDING}
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    sums: tuple[Counter, Counter] = Counter(), Counter()
+    """toxic, text in; entry and rows of either label that hold it out. What is held is passed on at KEPT entries."""
+
+    def out(sums: dict[bytes, list[int]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(sums), pa.binary()), pa.array([x[0] for x in sums.values()], pa.int64()), pa.array([x[1] for x in sums.values()], pa.int64())], ["entry", "clean", "toxic"])
+
+    sums: dict[bytes, list[int]] = {}
     for part in slices(batches):
         for toxic, text in zip(part.column(0).to_pylist(), raw(part.column(1))):
-            sums[toxic].update(entries(text))
-    for toxic, own in enumerate(sums):
-        for batch in pa.table({"entry": pa.array(list(own), pa.binary()), "toxic": pa.array([toxic] * len(own), pa.int32()), "n": pa.array(list(own.values()), pa.int64())}).to_batches(20_000):
-            yield batch
-
-
-def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """doc_id, toxic, text of at most about `sample` rows of either label, none of them held out."""
-    known = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    sizes = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
-    draw = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1_000_000))
-    share = F.when(F.col("toxic") == 1, 1_000_000 * sample // sizes.get(1, 1) + 1).otherwise(1_000_000 * sample // sizes.get(0, 1) + 1)
-    taken = known.where(draw < share).select(F.col("doc_id").alias("__id"), F.col("toxic").cast("int").alias("toxic"))
-    return docs.select("doc_id", "text").join(F.broadcast(taken), F.col("doc_id") == F.col("__id")).select("doc_id", "toxic", "text")  # bounded by 2 * sample rows
-
-
-def mine(rows: DataFrame, n: tuple[int, int]) -> list[bytes]:
-    """Entries that toxic rows hold beyond chance, the strongest first."""
-    counts = rows.select("toxic", "text").coalesce(8).mapInArrow(_count, "entry binary, toxic int, n bigint").groupBy("entry").pivot("toxic", [0, 1]).agg(F.sum("n")).fillna(0)
-    clean, toxic = F.col("0"), F.col("1")
+            for e in entries(text):
+                if e in sums:
+                    sums[e][toxic] += 1
+                else:
+                    sums[e] = [1 - toxic, toxic]
+            if len(sums) >= KEPT:
+                yield out(sums)
+                sums = {}
+    if sums:
+        yield out(sums)
+
+
+def labelled_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """toxic, text of all documents with a label that are not held out."""
+    known = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
+    known = known.select(F.col("doc_id").alias("__id"), "toxic")
+    right = small(known)
+    joined = docs.select("doc_id", "text").join(right, F.col("doc_id") == F.col("__id")).select("toxic", "text")
+    return stored(joined, "labelled") if right is known else joined  # joined by shuffling: once for all uses
+
+
+def mine(rows: DataFrame, n: tuple[int, int]) -> list[tuple[bytes, float]]:
+    """All entries that toxic rows hold beyond chance, and how far beyond (z), the strongest first."""
+    counts = rows.mapInArrow(_count, "entry binary, clean bigint, toxic bigint").groupBy("entry").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    clean, toxic = F.col("clean"), F.col("toxic")
     expected = (clean + toxic) * (n[1] / (n[0] + n[1]))
     odds = F.log((toxic + 0.5) / (n[1] + 1)) - F.log((clean + 0.5) / (n[0] + 1))
     z = (toxic - expected) / F.sqrt(expected + 0.25)
-    best = counts.where((toxic >= 3) & (z >= LEAST_Z) & (odds >= LEAST_ODDS)).orderBy(z.desc(), "entry").limit(ENTRIES)
-    return [bytes(r["entry"]) for r in best.collect()]
+    found = counts.where((toxic >= LEAST_ROWS) & (z >= LEAST_Z) & (odds >= LEAST_ODDS)).select("entry", z.alias("z")).collect()  # words of toxic rows alone
+    return sorted(((bytes(r["entry"]), r["z"]) for r in found), key=lambda x: (-x[1], x[0]))
 
 
 class Voters:
-    def __init__(self, mined: list[bytes]):
-        entries_ = [*mined, *(w for w in map(str.encode, INSULTS) if w not in mined)]
-        self.number = {e: k for k, e in enumerate(entries_)}
-        words = [e for e in mined if not e.endswith(b"*")]
-        starts = [e for e in mined if e.endswith(b"*")]
-        self.lexicon = {e: k % WORD_LEXICONS for k, e in enumerate(words)} | {e: WORD_LEXICONS + k % START_LEXICONS for k, e in enumerate(starts)}
+    def __init__(self, mined: list[tuple[bytes, float]]):
+        own = [e for e, _ in mined]
+        insults = [w for w in map(str.encode, INSULTS) if w not in set(own)]
         self.insults = frozenset(map(str.encode, INSULTS))
-        self.features = len(entries_) + VOTERS
+        self.words = {e: k for k, e in enumerate([*own, *insults]) if b"*" not in e}
+        self.starts = [{e[:-1]: k for k, e in enumerate(own) if e[-1:] == b"*" and len(e) == n + 1} for n in STARTS]
+        self.ends = {e[1:]: k for k, e in enumerate(own) if e[:1] == b"*"}
+        self.strong = frozenset(e for e, z in mined if b"*" not in e and z >= STRONG_Z)
+        self.weak = frozenset(e for e, z in mined if b"*" not in e and z < STRONG_Z)
+        self.entries = len(own) + len(insults)
 
     def look(self, text: bytes) -> tuple[int, list[int]]:
         """Votes as bits, and the numbers of the entries it holds."""
         found = set(text.translate(TO_WORDS).split())
-        number, hits = self.number, set()
-        for w in found:
-            if w in number:
-                hits.add(w)
-            for n in STARTS:
-                start = w[:n] + b"*"
-                if len(w) >= n and start in number:
-                    hits.add(start)
-        votes, at = 0, WORD_LEXICONS + START_LEXICONS
-        for e in hits:
-            if e in self.lexicon:
-                votes |= 1 << self.lexicon[e]
+        words = self.words.keys() & found
+        starts = [own.keys() & {w[:n] for w in found} for n, own in zip(STARTS, self.starts)]
+        ends = self.ends.keys() & {w[-ENDING:] for w in found}
+        hits = [self.words[w] for w in words]
+        for own, got in zip(self.starts, starts):
+            hits += [own[w] for w in got]
+        hits += [self.ends[w] for w in ends]
         upper = len(text) - len(text.translate(None, b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"))
         lower = len(text) - len(text.translate(None, b"abcdefghijklmnopqrstuvwxyz"))
-        rules = (not self.insults.isdisjoint(found), len(hits) >= 3, upper > 2 * lower and upper > 20, b"!!" in text, b"***" in text or b"%%%" in text, not hits)
-        for k, holds in enumerate(rules):
-            votes |= bool(holds) << at + k
-        return votes, [number[e] for e in sorted(hits)]
+        disguised = set(text.translate(TO_DISGUISED).split()) - found
+        says = (
+            not self.strong.isdisjoint(words), not self.weak.isdisjoint(words), *map(bool, starts), bool(ends),
+            not self.insults.isdisjoint(found), len(hits) >= 3, not disguised.isdisjoint(self.insults) or not disguised.isdisjoint(self.strong),
+            upper > 2 * lower and upper > 20, b"!!" in text, b"***" in text or b"%%%" in text, not hits,
+        )
+        return sum(1 << k for k, holds in enumerate(says) if holds), sorted(hits)
 
 
 class LabelModel:
@@ -120,8 +137,8 @@ class LabelModel:
     def __init__(self, patterns: np.ndarray, counts: np.ndarray, toxic: np.ndarray, clean: np.ndarray, rounds: int = 100):
         """Counts of each pattern over all documents, and over the labelled rows of either kind."""
         votes = self.unpack(patterns)
-        last = np.arange(VOTERS) == VOTERS - 1
-        quiet = np.arange(VOTERS) >= WORD_LEXICONS + START_LEXICONS + 2
+        name = np.array([*LEXICONS, *RULES])
+        last, quiet = name == "no hit", np.isin(name, ("disguised", "shouting", "exclamation", "masked"))
         known = toxic.sum() + clean.sum()
         self.share = float(np.clip(toxic.sum() / known if known else 0.1, 0.01, 0.5))
         self.rate = np.stack((np.where(last, 0.9, np.where(quiet, 0.1, 0.02)), np.where(last, 0.05, np.where(quiet, 0.1, 0.4))))
@@ -156,16 +173,21 @@ class LabelModel:
         return 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
 
 
-def logistic(x: np.ndarray, y: np.ndarray, steps: int = 400, rate: float = 0.05, decay: float = 1e-4) -> tuple[np.ndarray, float]:
-    """Weights and intercept on soft labels, by Adam."""
-    w, b = np.zeros(x.shape[1], np.float32), 0.0
-    m, v = np.zeros(x.shape[1] + 1), np.zeros(x.shape[1] + 1)
+def logistic(hits: list[list[int]], dense: np.ndarray, y: np.ndarray, entries_: int, steps: int = 400, rate: float = 0.05, decay: float = 1e-4) -> tuple[np.ndarray, float]:
+    """Weights (entries, then votes) and intercept on soft labels, by Adam. hits: for each row the entries it holds."""
+    n, width = len(y), entries_ + dense.shape[1]
+    at = np.repeat(np.arange(n), [len(h) for h in hits])
+    entry = np.array([k for h in hits for k in h], np.int64)
+    w, b = np.zeros(width), 0.0
+    m, v = np.zeros(width + 1), np.zeros(width + 1)
     for t in range(1, steps + 1):
-        error = 1 / (1 + np.exp(-np.clip(x @ w + b, -30, 30))) - y
-        g = np.append(x.T @ error / len(y) + decay * w, error.mean())
+        z = np.bincount(at, w[entry], n) + dense @ w[entries_:] + b
+        error = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - y
+        g = np.concatenate((np.bincount(entry, error[at], entries_), dense.T @ error)) / n + decay * w
+        g = np.append(g, error.mean())
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         step = rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
-        w, b = (w - step[:-1]).astype(np.float32), b - step[-1]
+        w, b = w - step[:-1], b - step[-1]
     return w, float(b)
 
 
@@ -180,52 +202,56 @@ class Model:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, rows: int = CLASSIFIER_ROWS) -> Model:
-    context = docs.sparkSession.sparkContext
-    taken = labelled_sample(docs, labels, sample).persist()
-    sizes = {r["toxic"]: r["count"] for r in taken.groupBy("toxic").count().collect()}
-    n = sizes.get(0, 0), sizes.get(1, 0)
-    voters = Voters(mine(taken, n) if min(n) else [])
-    shared = context.broadcast(voters)
+def vote_counts(docs: DataFrame, labelled: DataFrame, voters: Voters) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Patterns, and for each how many documents, labelled toxic rows and labelled clean rows vote so."""
+    get = shipped(docs.sparkSession.sparkContext, voters)
 
-    def votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        look, sums = shared.value.look, Counter()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        look, sums = get().look, Counter()
         for part in slices(batches):
             sums.update((label, look(t)[0]) for label, t in zip(part.column(0).to_pylist(), raw(part.column(1))))
         if sums:
             yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in sums], pa.int32()), pa.array([k[1] for k in sums], pa.int32()), pa.array(list(sums.values()), pa.int64())], ["label", "votes", "n"])
 
+    counted = [rows.mapInArrow(run, "label int, votes int, n bigint") for rows in (docs.select(F.lit(-1).alias("label"), "text"), labelled.select(F.col("toxic").alias("label"), "text"))]
+    table = counted[0].unionByName(counted[1]).groupBy("votes").pivot("label", [-1, 0, 1]).agg(F.sum("n")).fillna(0).collect()  # at most 2^VOTERS rows
+    return tuple(np.array([r[k] for r in table], np.int64) for k in ("votes", "-1", "1", "0"))
+
+
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, rows: int = CLASSIFIER_ROWS) -> Model:
+    labelled = labelled_rows(docs, labels)
+    sizes = {r["toxic"]: r["count"] for r in labelled.groupBy("toxic").count().collect()}
+    n = sizes.get(0, 0), sizes.get(1, 0)
+    voters = Voters(mine(labelled, n) if min(n) else [])
+    patterns, all_, toxic, clean = vote_counts(docs, labelled, voters)
+    total = int(all_.sum())
+    if not total:
+        return Model(voters, np.zeros(voters.entries + VOTERS), 0.0)
+    model = LabelModel(patterns, all_, toxic, clean)
+    get = shipped(docs.sparkSession.sparkContext, voters)
+
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        look = shared.value.look
+        look = get().look
         for part in slices(batches):
-            seen = [look(t) for t in raw(part.column(0))]
-            yield pa.RecordBatch.from_arrays([pa.array([v for v, _ in seen], pa.int32()), pa.array([h for _, h in seen], pa.list_(pa.int32()))], ["votes", "hits"])
-
-    cast = lambda rows_, label: rows_.select(F.lit(label).alias("label") if isinstance(label, int) else F.col(label).alias("label"), "text")
-    counted = cast(docs, -1).mapInArrow(votes, "label int, votes int, n bigint").unionByName(cast(taken, "toxic").mapInArrow(votes, "label int, votes int, n bigint"))
-    table = counted.groupBy("votes").pivot("label", [-1, 0, 1]).agg(F.sum("n")).fillna(0).collect()  # at most 2^VOTERS rows
-    columns = [np.array([r[k] for r in table], np.int64) for k in ("votes", "-1", "0", "1")]
-    model = LabelModel(columns[0], columns[1], columns[3], columns[2])
-
-    total = int(columns[1].sum())
-    draw = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1_000_000))
-    some = docs.where(F.coalesce(draw, F.lit(0)) < 1_000_000 * rows // max(total, 1) + 1).select("text").unionByName(taken.select("text"))
-    seen = some.mapInArrow(features, "votes int, hits array<int>").collect() if total else []
-    taken.unpersist()
-    x = np.zeros((len(seen), voters.features), np.float32)
-    patterns = np.array([r["votes"] for r in seen], np.int64)
-    for k, r in enumerate(seen):
-        x[k, r["hits"]] = 1
-    x[:, -VOTERS:] = LabelModel.unpack(patterns) if len(seen) else 0
-    return Model(voters, *(logistic(x, model.posterior(patterns)) if len(seen) else (np.zeros(voters.features, np.float32), 0.0)))
+            seen = [look(t) for t in raw(part.column(1))]
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([v for v, _ in seen], pa.int32()), pa.array([h for _, h in seen], pa.list_(pa.int32()))], ["label", "votes", "hits"])
+
+    some = docs.select(F.lit(-1).alias("label"), "text").where(drawn(rows / total))
+    taught = labelled.select(F.col("toxic").alias("label"), "text").where(drawn(F.when(F.col("label") == 1, sample / max(n[1], 1)).otherwise(sample / max(n[0], 1))))
+    seen = [r for part in (some, taught) for r in part.mapInArrow(features, "label int, votes int, hits array<int>").collect()]  # about rows + 2 * sample
+    if not seen:
+        return Model(voters, np.zeros(voters.entries + VOTERS), 0.0)
+    votes, label = np.array([r["votes"] for r in seen], np.int64), np.array([r["label"] for r in seen])
+    y = np.where(label < 0, model.posterior(votes), label)
+    return Model(voters, *logistic([r["hits"] for r in seen], LabelModel.unpack(votes), y, voters.entries))
 
 
 def scores(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, held_out, score, predicted for each row of docs."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    get = shipped(docs.sparkSession.sparkContext, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        score = shared.value.score
+        score = get().score
         for part in slices(batches):
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array([score(t) for t in raw(part.column(1))], pa.float64())], ["doc_id", "score"])
 
