@@ -4,8 +4,9 @@ Texts are lower-cased, whatever is no letter becomes a space, and all windows of
 into BINS bins an order. The model is a matrix of log probabilities (bins by languages), broadcast to the workers; a batch
 of texts is scored in numpy: rows of the matrix are gathered for the windows and summed within each text.
 
-The model is fitted on a bounded sample of labelled rows: about PER_LANGUAGE rows of each language, chosen by a hash of the
-doc_id (all rows where there are fewer). Every whole text is scored.
+The model is fitted on a bounded sample of labelled rows: about PER_LANGUAGE rows of each language, drawn row by row (all
+rows where there are fewer), so ids that repeat or are null do not make it larger. All languages count as equally frequent
+(a uniform prior), as labels need not be dealt as texts are. Every whole text is scored.
 
 A null text or one without a letter is `und`, score 0; so is every text where nothing was learned. The score is the
 posterior, tempered to at most EVIDENCE windows, so that it stays below 1. Ties go to the language that sorts first.
@@ -14,14 +15,15 @@ Repeated rows are scored alike; other columns are not looked at.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .base import per_worker, slices
+from .base import drawn, per_worker, slices
 
 ORDERS, BINS, PER_LANGUAGE, EVIDENCE, SMOOTHING = 3, 1 << 14, 2000, 200, 0.5
 UNKNOWN = "und"
@@ -52,31 +54,31 @@ def windows(texts: list[str]) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.n
 
 
 def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """lang, text in; a row with the counts of all bins for each language out."""
-    sums: dict[str, np.ndarray] = {}
+    """lang, text in; the counts of the bins that occur, for each language, out."""
     for part in slices(batches):
         langs = part.column(0).to_pylist()
-        found, _ = windows(part.column(1).to_pylist())
-        for bins, bounds in found:
+        sums: dict[str, np.ndarray] = {}
+        for bins, bounds in windows(part.column(1).to_pylist())[0]:
             for lang, (a, b) in zip(langs, bounds.tolist()):
                 own = sums.setdefault(lang, np.zeros(ORDERS * BINS, np.int64))
                 own += np.bincount(bins[a:b], minlength=ORDERS * BINS)
-    if sums:
-        yield pa.RecordBatch.from_arrays([pa.array(list(sums)), pa.array([x.tobytes() for x in sums.values()], pa.binary())], ["lang", "counts"])
+        for lang, own in sums.items():
+            at = np.flatnonzero(own)
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(own[at])], ["lang", "bin", "n"])
 
 
 def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> tuple[list[str], np.ndarray]:
-    """labelled: doc_id, text, lang. The languages, sorted, and their log probabilities (one row a bin)."""
+    """labelled: text, lang. The languages, sorted, and their log probabilities (one row a bin)."""
     rows = labelled.where("lang IS NOT NULL AND text IS NOT NULL")
     sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     if not sizes:
         return [], np.zeros((ORDERS * BINS, 0), np.float32)
-    draw = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1_000_000))
-    share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1_000_000, 1 + 1_000_000 * per_language // n))])
-    taken = rows.where(draw < share[F.col("lang")]).select("lang", "text").repartition(2)
+    share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, per_language / n))])
+    taken = rows.select("lang", "text").where(drawn(share[F.col("lang")]))
     counts: dict[str, np.ndarray] = {lang: np.zeros(ORDERS * BINS) for lang in sorted(sizes)}
-    for r in taken.mapInArrow(_counter, "lang string, counts binary").collect():
-        counts[r["lang"]] += np.frombuffer(r["counts"], np.int64)
+    summed = taken.mapInArrow(_counter, "lang string, bin int, n bigint").groupBy("lang", "bin").agg(F.sum("n").alias("n"))
+    for r in summed.collect():  # at most a row for each bin and language
+        counts[r["lang"]][r["bin"]] = r["n"]
     matrix = np.stack(list(counts.values()), axis=1) + SMOOTHING
     each = matrix.reshape(ORDERS, BINS, -1)
     return list(counts), np.log(each / each.sum(axis=1, keepdims=True)).reshape(ORDERS * BINS, -1).astype(np.float32)
@@ -126,18 +128,28 @@ def identify(docs: DataFrame) -> DataFrame:
     return predict(docs, *fit(docs.where(~held_out(F.col("doc_id")))))
 
 
-def recognised(docs: DataFrame) -> DataFrame:
-    """docs without those of no language (`und`): null texts and texts without a letter. All columns as they were.
+def recognised(docs: DataFrame, wanted: Collection[str] | None = None, least: float = 0.0) -> DataFrame:
+    """docs without those whose language is `und`, is not wanted (by default every learned one is) or scores under `least`.
 
-    Each row goes by its own prediction, whatever other rows share its doc_id. Where nothing was learned, by its letters alone.
+    A null lang is filled with the prediction; all other values stay as they were. Each row goes by its own prediction,
+    whatever other rows share its doc_id. Where nothing was learned, rows go by their letters alone and no lang is filled.
     """
-    model = docs.sparkSession.sparkContext.broadcast(fit(docs.where(~held_out(F.col("doc_id"))))[1])
-    at = docs.columns.index("text")
+    names, matrix = fit(docs.where(~held_out(F.col("doc_id"))))
+    model = docs.sparkSession.sparkContext.broadcast((names, matrix, None if wanted is None else sorted(wanted)))
+    at, lang = docs.columns.index("text"), docs.columns.index("lang")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        logs = model.value
+        names, logs, only = model.value
+        accepted = np.array([only is None or name in only for name in names] + [False])
         for part in slices(batches, 128):
-            best, _, has = _scored(part.column(at).to_pylist(), logs)
-            yield part.filter(pa.array(best < logs.shape[1] if logs.shape[1] else has))
+            best, score, has = _scored(part.column(at).to_pylist(), logs)
+            if not names:
+                yield part.filter(pa.array(has))
+                continue
+            column = part.column(lang)
+            if column.null_count:
+                column = pc.coalesce(column, pa.array([*names, None], column.type).take(pa.array(best)))
+                part = part.set_column(lang, part.schema.field(lang), column)
+            yield part.filter(pa.array(accepted[best] & (score >= least)))
 
     return docs.mapInArrow(run, docs.schema)
