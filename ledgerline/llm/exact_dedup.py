@@ -1,26 +1,32 @@
 """Exact deduplication as a stream with keyed state on disk.
 
-A digest table (doc_id, digest of the normalised text, row locator) is written first and read as a file stream. A streaming
-aggregation keeps, for each digest and without expiry, the row count and the stable identifier and locator of the copy that
-stays; its state lies in RocksDB and is checkpointed in the shared folder, so a lost executor costs one micro-batch. Counts
-and identifiers only grow, so of the updates written for a digest the one with the largest count is its last state.
+A digest table (doc_id, digest of the normalised text, content locator) is written first and read as a file stream. The
+locator is the file and the row in it that hold the text. A streaming aggregation keeps, for each digest and without expiry,
+the row count and the stable identifier and locator of the copy that stays; its state lies in RocksDB and is checkpointed in
+the shared folder, so a lost executor costs one micro-batch. Counts and identifiers only grow, so of the updates written for
+a digest the one with the largest count is its last state.
 
-A digest that was hit more than once has its texts compared in full: equal texts have equal smallest and largest text. The
-comparison is an aggregation, combined before the shuffle, so a group that holds a third of the rows costs one row a task.
-Where texts differ under one digest, those rows are grouped by the whole text instead.
+The rows of a digest that was hit more than once are fetched by their locators and compared in full: equal texts have equal
+smallest and largest text. The comparison is an aggregation, combined before the shuffle, so a group that holds a third of
+the rows costs one row a task. Where texts differ under one digest, those rows are grouped by the whole text instead. Each
+text is hashed once; what goes is removed by locator.
+
+Documents that do not come straight from Parquet files (other columns, filters and renamed ones do no harm) are written to
+the shared folder first, where each row has a place.
 
 Nulls: a null text is empty, and empty texts are equal. A null doc_id is smaller than any other. Of rows that repeat both
-doc_id and text exactly one is kept. An empty table gives no rows.
+doc_id and text exactly one is kept. Other columns stay as they were, whatever their names. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .base import BROADCAST_BYTES, ascii_lower, body, scratch, small, stored
+from .base import ascii_lower, body, discard, scratch, small, stored
 
 ROCKSDB = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -34,68 +40,96 @@ def sha256(text: Column) -> Column:
     return F.unhex(F.sha2(text.cast("binary"), 256))
 
 
-def registry(digests: DataFrame, path: str, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
-    """digest, n, keep (doc_id, row), hits of the state after all files in path, a folder of digest rows."""
+LOCATOR = ["file", "at"]
+#: Plans of one scan whose rows still stand for one row of a file each.
+_PLAIN = ("LogicalRelation", "Project", "Filter", "SubqueryAlias", "View")
+
+
+def located(docs: DataFrame) -> DataFrame:
+    """__docs (all columns of docs as a struct), file, at: a struct, so that no column name can clash."""
+
+    def placed(df: DataFrame) -> DataFrame:
+        meta = df.metadataColumn("_metadata")
+        return df.select(F.struct(*[df[f"`{c}`"] for c in df.columns]).alias("__docs"), meta["file_path"].alias("file"), meta["row_index"].alias("at"))
+
+    plan, plain = docs._jdf.queryExecution().analyzed(), True
+    while plain:
+        plain = plan.getClass().getSimpleName() in _PLAIN
+        if plan.children().isEmpty():
+            break
+        plan = plan.children().head()
+    try:
+        return placed(docs if plain else stored(docs, "docs"))
+    except AnalysisException:  # files of a kind that has no row numbers
+        return placed(stored(docs, "docs"))
+
+
+def _normal() -> Column:
+    return ascii_lower(body(F.col("__docs.text")))
+
+
+def registry(digests: DataFrame, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
+    """digest, n, keep (doc_id, file, at): the state after all files of digests, a written table."""
     session = digests.sparkSession.newSession()
     for key, value in ROCKSDB.items():
         session.conf.set(key, value)
     session.conf.set("spark.sql.shuffle.partitions", digests.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    log = scratch(session, "registry")
-    source = session.readStream.schema(digests.schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
-    state = source.groupBy("digest").agg(F.count("*").alias("n"), F.max(F.struct("doc_id", "row")).alias("keep"))
+    log, checkpoint = scratch(session, "registry"), scratch(session, "state")
+    source = session.readStream.schema(digests.schema).option("maxFilesPerTrigger", files_per_batch).parquet(digests._scratch)
+    state = source.groupBy("digest").agg(F.count("*").alias("n"), F.max(F.struct("doc_id", *LOCATOR)).alias("keep"))
 
     def append(batch: DataFrame, number: int) -> None:  # a batch that is run again replaces its own folder
         batch.write.mode("overwrite").parquet(f"{log}/batch={number}")
 
-    query = state.writeStream.outputMode("update").foreachBatch(append).option("checkpointLocation", scratch(session, "state")).trigger(availableNow=True).start()
+    query = state.writeStream.outputMode("update").foreachBatch(append).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
     spark = digests.sparkSession
-    kind = digests.select("digest", F.lit(0).cast("bigint").alias("n"), F.struct("doc_id", "row").alias("keep")).schema
-    if not any(p.numInputRows for p in query.recentProgress):
+    discard(spark, checkpoint)
+    kind = digests.select("digest", F.lit(0).cast("bigint").alias("n"), F.struct("doc_id", *LOCATOR).alias("keep")).schema
+    batches = sum(p.numInputRows > 0 for p in query.recentProgress)
+    if not batches:
         return spark.createDataFrame([], kind)
     updates = spark.read.schema(kind).option("basePath", log).parquet(f"{log}/batch=*").select("digest", "n", "keep")
-    if sum(p.numInputRows > 0 for p in query.recentProgress) == 1:
-        return updates
-    return updates.groupBy("digest").agg(F.max("n").alias("n"), F.max("keep").alias("keep"))
+    return updates if batches == 1 else updates.groupBy("digest").agg(F.max("n").alias("n"), F.max("keep").alias("keep"))
 
 
-def duplicates(docs: DataFrame, digest: Callable[[Column], Column] = sha256, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
-    """For each row of docs: doc_id, keep_id, group_size, kept, digest, row. Rows keep no order."""
-    spark = docs.sparkSession
-    path = scratch(spark, "digests")
-    normal = ascii_lower(body("text"))
-    docs.select("doc_id", digest(normal).alias("digest"), F.monotonically_increasing_id().alias("row")).write.parquet(path)
-    kind = docs.select("doc_id", digest(normal).alias("digest"), F.lit(0).cast("bigint").alias("row")).schema
-    digests = spark.read.schema(kind).parquet(path)
-    known = registry(digests, path, files_per_batch)
-    marked = digests.join(known, "digest").select("doc_id", F.col("keep.doc_id").alias("keep_id"), F.col("n").alias("group_size"), (F.col("row") == F.col("keep.row")).alias("kept"), "digest", "row")
-
-    hits = small(known.where("n > 1").select("digest"), 64)
-    texts = docs.select("doc_id", digest(normal).alias("digest"), normal.alias("body")).join(hits, "digest", "left_semi")
-    differ = stored(texts.groupBy("digest").agg(F.min("body").alias("a"), F.max("body").alias("b")).where("a <> b").select("digest"), "collisions")
+def _at(left: DataFrame, right: DataFrame) -> Column:
+    return (left["file"] == right["__file"]) & (left["at"] == right["__at"])
+
+
+def _places(rows: DataFrame, *others: str) -> DataFrame:
+    return small(rows.select(F.col("file").alias("__file"), F.col("at").alias("__at"), *others))
+
+
+def _marks(docs: DataFrame, digest: Callable[[Column], Column], files_per_batch: int) -> DataFrame:
+    """docs: located. doc_id, keep_id, group_size, kept, digest, file, at of each row, written."""
+    digests = stored(docs.select(F.col("__docs.doc_id").alias("doc_id"), digest(_normal()).alias("digest"), *LOCATOR), "digests")
+    known = registry(digests, files_per_batch)
+    columns = ["doc_id", F.col("keep.doc_id").alias("keep_id"), F.col("n").alias("group_size"), ((F.col("file") == F.col("keep.file")) & (F.col("at") == F.col("keep.at"))).alias("kept"), "digest", *LOCATOR]
+    marked = stored(digests.join(known, "digest").select(*columns), "marks")
+    discard(docs.sparkSession, digests)
+
+    hits = _places(marked.where("group_size > 1"), F.col("digest").alias("__digest"))
+    fetched = docs.join(hits, _at(docs, hits)).select(F.col("__digest").alias("digest"), _normal().alias("body"))
+    differ = stored(fetched.groupBy("digest").agg(F.min("body").alias("a"), F.max("body").alias("b")).where("a <> b").select("digest"), "collisions")
     if differ.isEmpty():
         return marked
-    where = small(differ, 64, BROADCAST_BYTES)
-    numbered = stored(docs.select("doc_id", digest(normal).alias("digest"), normal.alias("body")).join(where, "digest", "left_semi").withColumn("row", F.monotonically_increasing_id()), "colliding")
-    groups = numbered.groupBy("digest", "body").agg(F.count("*").alias("n"), F.max(F.struct("doc_id", "row")).alias("keep"))
-    apart = numbered.join(groups, ["digest", "body"]).select("doc_id", F.col("keep.doc_id").alias("keep_id"), F.col("n").alias("group_size"), (F.col("row") == F.col("keep.row")).alias("kept"), "digest", "row")
-    return marked.join(where, "digest", "left_anti").select(*apart.columns).unionByName(apart)
+    own = _places(marked.join(small(differ), "digest", "left_semi"), F.col("digest").alias("__digest"))
+    apart = docs.join(own, _at(docs, own)).select(F.col("__docs.doc_id").alias("doc_id"), F.col("__digest").alias("digest"), _normal().alias("body"), *LOCATOR)
+    groups = apart.groupBy("digest", "body").agg(F.count("*").alias("n"), F.max(F.struct("doc_id", *LOCATOR)).alias("keep"))
+    return marked.join(small(differ), "digest", "left_anti").select(*marked.columns).unionByName(apart.join(groups, ["digest", "body"]).select(*columns))
+
+
+def duplicates(docs: DataFrame, digest: Callable[[Column], Column] = sha256, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
+    """For each row of docs: doc_id, keep_id, group_size, kept, digest, file, at. Rows keep no order."""
+    return _marks(located(docs), digest, files_per_batch)
 
 
 def distinct_texts(docs: DataFrame) -> DataFrame:
     """docs with one row of each group of equal texts, that with the largest doc_id, all its columns as they were."""
-    marks = stored(duplicates(docs), "marks")
-    own = marks.groupBy("doc_id", "digest").agg(F.count("*").alias("n"), F.count_if(F.expr("kept")).alias("k"))
-    on = lambda right: docs["doc_id"].eqNullSafe(right["__id"]) & (sha256(ascii_lower(body(docs["text"]))) == right["__digest"])
-    named = lambda rows: small(rows.select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest")), 64)
-    gone = named(own.where("k = 0"))
-    repeated = named(own.where("k > 0 AND n > k"))
-    once = docs.join(gone, on(gone), "left_anti")
-    if repeated.isEmpty():
-        return once
-    # rows that repeat a kept document under its own doc_id: one of each stays, found among those rows alone
-    held = once.join(repeated, on(repeated), "left_semi").withColumn("__digest", sha256(ascii_lower(body("text"))))
-    return once.join(repeated, on(repeated), "left_anti").unionByName(held.dropDuplicates(["doc_id", "__digest"]).drop("__digest"))
+    rows = located(docs)
+    gone = _places(_marks(rows, sha256, FILES_PER_BATCH).where("NOT kept"))
+    return rows.join(gone, _at(rows, gone), "left_anti").select("__docs.*")
 
 
 ORACLE = """
