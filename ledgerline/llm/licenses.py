@@ -1,16 +1,18 @@
 """License scan by a positional index of rare words.
 
-Templates are stored as words. Over all documents it is counted how many hold each template word; its IDF follows. The
-RARE words of highest IDF of each template are its rare words and have postings. A file's licence words are looked up;
-those that are rare words of a template whose mandatory phrase may stand in the file keep their places, and each place with
-each posting of that template votes for where the template would start (place minus position). A start is a match if its
-votes carry at least SHARE of the IDF of all the template's postings, held by the file or not, and the mandatory phrase
-stands, word for word, within the matched span. Words are chosen by template, so one licence in a file hides no other.
-
-Base phrases and their labels are found in every text and counted at all places. The score is the best matched share, and
-at least BASE_SCORE where a base phrase stands; 0 without either.
-
-A null text is empty: no words, empty labels, null places, score 0. Repeated rows count each. An empty table gives no rows.
+Templates are licence texts and notices, stored as words with postings: which template holds a word, and where. Over all
+documents it is counted how many hold each licence word; its IDF follows. A template is open for a file that holds its
+mandatory phrase. Of the words a file shares with an open template the RARE of highest IDF in the corpus are looked up, so it
+is the file that chooses them: a file that lacks a template's rarest words is looked up by the next ones, and one licence
+hides no other. Each place of such a word votes with each of its postings for where the template would start (place minus
+position, give or take SLACK), and starts on which two words agree go on (one, where the file holds but one).
+
+A start is a match if at least SHARE of the template's IDF stands where it should, give or take SLACK words, and the mandatory
+phrase stands, word for word, within that span. The score is the best share that matched, and at least BASE_SCORE where a base
+phrase stands; 0 without either. Base phrases and their labels are found in every text and counted at all places.
+
+A null text is empty: no words, empty labels, null places, score 0. Repeated rows count each; other columns are not looked
+at. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -23,27 +25,39 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import slices, raw
+from .base import raw, shipped, slices
 
 RARE, SHARE, BASE_SCORE, SLACK = 12, 0.6, 0.5, 2
 
 # Base phrases and their labels.
 BASE = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
 
-# Label, licence text or notice, mandatory phrase.
+# Label, mandatory phrase, licence text or notice (public texts, as words).
 TEMPLATES = [
-    ("apache-2.0", "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license you may obtain a copy of the license at", "apache license version 2 0"),
-    ("apache-2.0", "licensed under the apache license version 2 0", "apache license version 2 0"),
-    ("bsd-3-clause", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met", "redistribution and use in source and binary forms"),
-    ("cc-by-4.0", "this work is licensed under a creative commons attribution 4 0 international license", "creative commons attribution 4 0"),
-    ("cc-by-nc-4.0", "licensed under cc by nc 4 0", "cc by nc 4 0"),
-    ("gpl-3.0", "this work is licensed under the gnu general public license version 3", "gnu general public license version 3"),
-    ("gpl-3.0", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license", "gnu general public license"),
-    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", "permission to use copy modify and or distribute this software"),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", "permission is hereby granted free of charge"),
-    ("mit", "released under the mit license", "mit license"),
-    ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2 0", "mozilla public license"),
+    ("apache-2.0", "apache license version 2 0", "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license you may obtain a copy of the license at http www apache org licenses license 2 0 unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied see the license for the specific language governing permissions and limitations under the license"),
+    ("apache-2.0", "apache license version 2 0", "licensed under the apache license version 2 0"),
+    ("bsd-2-clause", "redistribution and use in source and binary forms", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met 1 redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer 2 redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution"),
+    ("bsd-3-clause", "neither the name of", "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission"),
+    ("cc-by-4.0", "creative commons attribution 4 0", "this work is licensed under a creative commons attribution 4 0 international license"),
+    ("cc-by-nc-4.0", "creative commons attribution noncommercial 4 0", "this work is licensed under a creative commons attribution noncommercial 4 0 international license"),
+    ("cc-by-nc-4.0", "cc by nc 4 0", "licensed under cc by nc 4 0"),
+    ("cc-by-nd-4.0", "creative commons attribution noderivatives 4 0", "this work is licensed under a creative commons attribution noderivatives 4 0 international license"),
+    ("cc-by-sa-4.0", "creative commons attribution sharealike 4 0", "this work is licensed under a creative commons attribution sharealike 4 0 international license"),
+    ("cc-by-sa-4.0", "cc by sa 4 0", "licensed under cc by sa 4 0"),
+    ("cc0-1.0", "cc0 1 0 universal", "this work is dedicated to the public domain under cc0 1 0 universal"),
+    ("gpl-2.0", "gnu general public license", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version"),
+    ("gpl-3.0", "gnu general public license", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version"),
+    ("gpl-3.0", "gnu general public license version 3", "this work is licensed under the gnu general public license version 3"),
+    ("isc", "permission to use copy modify and or distribute this software", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies the software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness"),
+    ("lgpl-2.1", "gnu lesser general public license", "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1 of the license or at your option any later version"),
+    ("mit", "permission is hereby granted free of charge", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement"),
+    ("mit", "permission is hereby granted free of charge", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
+    ("mit", "mit license", "released under the mit license"),
+    ("mpl-2.0", "mozilla public license", "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not distributed with this file you can obtain one at http mozilla org mpl 2 0"),
+    ("unlicense", "released into the public domain", "this is free and unencumbered software released into the public domain anyone is free to copy modify publish use compile sell or distribute this software"),
 ]
+#: Templates that differ in this word alone, of which a text must hold the template's own at its place.
+DECIDING = {"gpl-2.0": ("version 2",), "gpl-3.0": ("version 3",)}
 
 #: A-Z to a-z; what is neither an ASCII letter or digit nor part of a longer character becomes a space.
 TO_WORDS = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
@@ -55,7 +69,7 @@ def words(text: bytes) -> list[bytes]:
 
 def document_frequencies(docs: DataFrame) -> tuple[int, dict[bytes, int]]:
     """The number of documents and, for each template word, of documents that hold it."""
-    vocabulary = frozenset(w for _, text, _ in TEMPLATES for w in text.encode().split())
+    vocabulary = frozenset(w for _, _, text in TEMPLATES for w in text.encode().split())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: Counter = Counter()
@@ -71,50 +85,66 @@ def document_frequencies(docs: DataFrame) -> tuple[int, dict[bytes, int]]:
     return found.pop(b"", 0), found
 
 
+class Template:
+    def __init__(self, label: str, phrase: str, text: str, idf: dict[bytes, float]):
+        self.label, self.words = label, text.encode().split()
+        self.phrases = [f" {p} ".encode() for p in (phrase, *DECIDING.get(label, ()))]
+        self.weights = [idf[w] for w in self.words]
+        self.full = sum(self.weights)
+        self.postings: dict[bytes, list[int]] = {}
+        for at, w in enumerate(self.words):
+            self.postings.setdefault(w, []).append(at)
+
+
 class Index:
-    """Templates with the IDF of their words and the postings of their rare words."""
+    """Templates with the IDF of their words and their postings."""
 
     def __init__(self, n: int, held: dict[bytes, int]):
-        self.idf = {w: math.log((n + 1) / (held.get(w, 0) + 0.5)) + 0.01 for _, text, _ in TEMPLATES for w in text.encode().split()}
-        self.templates = []
-        for label, text, phrase in TEMPLATES:
-            own, must = text.encode().split(), phrase.encode().split()
-            rare = sorted(set(own), key=lambda w: (-self.idf[w], w))[:RARE]
-            postings = {w: [at for at, x in enumerate(own) if x == w] for w in rare}
-            full = sum(self.idf[w] * len(at) for w, at in postings.items())
-            self.templates.append((label, len(own), b" " + b" ".join(must) + b" ", frozenset(must), postings, full))
-
-    def matches(self, found: list[bytes], held: frozenset) -> dict[str, float]:
-        """Label and matched share of each template that stands in these words."""
-        open_ = [t for t in self.templates if t[3] <= held]
-        places: dict[bytes, list[int]] = {w: [] for t in open_ for w in t[4]}
-        if places:
-            for at, w in enumerate(found):
-                if w in places:
-                    places[w].append(at)
+        self.idf = {w: math.log((n + 1) / (held.get(w, 0) + 0.5)) + 0.01 for _, _, text in TEMPLATES for w in text.encode().split()}
+        self.templates = [Template(*t, self.idf) for t in TEMPLATES]
+
+    def matches(self, found: list[bytes], line: bytes) -> dict[str, float]:
+        """Label and matched share of each template that stands in these words. line: the words with a space around each."""
+        open_ = [t for t in self.templates if t.phrases[0] in line]
+        if not open_:
+            return {}
+        places: dict[bytes, list[int]] = {}
+        for at, w in enumerate(found):
+            if w in self.idf:
+                places.setdefault(w, []).append(at)
         out: dict[str, float] = {}
-        for label, size, phrase, _, postings, full in open_:
-            votes: dict[int, float] = {}
-            for w, positions in postings.items():
-                for position in positions:
-                    for at in places[w]:
-                        votes[at - position] = votes.get(at - position, 0.0) + self.idf[w]
-            for start, got in votes.items():
-                share = min(1.0, got / full)
-                if share >= SHARE and share > out.get(label, 0.0):
-                    span = found[max(0, start - SLACK) : start + size + SLACK]
-                    if phrase in b" " + b" ".join(span) + b" ":
-                        out[label] = share
+        for t in open_:
+            rare = sorted(places.keys() & t.postings.keys(), key=lambda w: (-self.idf[w], w))[:RARE]
+            votes: Counter = Counter(start for w in rare for start in {at - position + d for position in t.postings[w] for at in places[w] for d in range(-SLACK, SLACK + 1)})
+            agreed = min(2, len(rare))
+            for start in [s for s, n in votes.items() if n >= agreed]:
+                share = self.share(t, found, start)
+                if share >= SHARE and share > out.get(t.label, 0.0) and self.verified(t, found, start):
+                    out[t.label] = share
         return out
 
+    @staticmethod
+    def share(t: Template, found: list[bytes], start: int) -> float:
+        """The part of the template's IDF that stands where it should, give or take SLACK words."""
+        got = 0.0
+        for at, (w, weight) in enumerate(zip(t.words, t.weights), start):
+            if w in found[max(0, at - SLACK) : max(0, at + SLACK + 1)]:
+                got += weight
+        return got / t.full
+
+    @staticmethod
+    def verified(t: Template, found: list[bytes], start: int) -> bool:
+        span = b" " + b" ".join(found[max(0, start - SLACK) : start + len(t.words) + SLACK]) + b" "
+        return all(p in span for p in t.phrases)
+
 
 def scan(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score for each row of docs."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    known = docs.sparkSession.sparkContext.broadcast(Index(*document_frequencies(docs)))
+    get = shipped(docs.sparkSession.sparkContext, Index(*document_frequencies(docs)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = known.value
+        index = get()
         phrases = [(b" " + p.encode() + b" ", label) for p, label in BASE.items()]
         for part in slices(batches):
             rows = []
@@ -129,7 +159,7 @@ def scan(docs: DataFrame) -> DataFrame:
                         starts.append(word)
                         base.add(label)
                         before, at = at, line.find(phrase, at + 1)
-                matched = index.matches(found, frozenset(found))
+                matched = index.matches(found, line)
                 score = max([*matched.values(), BASE_SCORE if base else 0.0], default=0.0)
                 rows.append((len(found), len(starts), min(starts, default=None), max(starts, default=None), ",".join(sorted(base)), ",".join(sorted(base | matched.keys())), score))
             types = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64()]
