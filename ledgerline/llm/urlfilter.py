@@ -1,19 +1,22 @@
 """URL filter: a sorted digest array, memory-mapped, probed by binary search and confirmed on the stored strings.
 
-A rule is a host and a path prefix with an action. Its key `host/path` is hashed to 64 bits (xxHash); sorted hashes, the
-offsets of the keys and the keys themselves form one file, which Spark ships to every executor once and which Python
-workers map into memory together. For a url, every host suffix is combined with every prefix of its path that has the
-length of a rule's path; all probes of a batch are searched in one vectorised binary search, and a hash that is found
-counts only if the stored key is equal, so collisions change nothing. The longest key that fits decides.
-
-A url without `://`, or null, has an empty host and path and fits no rule. What fits no rule gets the default verdict.
-An empty rule list, empty tables and repeated rows are fine; of equal rules the last one holds.
+A rule is a host and a path prefix with an action; its key is `host/path`. A term is a word that hosts are blocked for; its
+key is `*term`. Keys are hashed to 64 bits (xxHash); sorted hashes, the offsets of the keys and the keys themselves form one
+file, which Spark ships to every executor once and which Python workers map into memory together. For a url, every host suffix
+is combined with every prefix of its path that has the length of a rule's path (the lengths stand in the file's head), and
+every word of the host is tried as a term; all probes of a batch are searched in one vectorised binary search, and a hash that
+is found counts only if the stored key is equal, so collisions change nothing. The longest rule that fits decides; where none
+does, a host with a blocked term is blocked and all else allowed.
+
+Rules are given as a list or a DataFrame (host, path, action). A url without `://`, or null, has an empty host and path, fits
+no rule and is allowed. Empty rule and term lists, empty tables, repeated rows and urls of any length are fine; of equal rules
+the last one holds. Other columns are not looked at.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,35 +27,36 @@ from pyspark.sql import DataFrame, SparkSession
 from .base import per_worker, raw, scratch, slices
 
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
-DEFAULT = "allow"
+# Words of hosts that sell gambling, drugs, pornography or pirated software.
+TERMS = ["bets", "betting", "casino", "escort", "pills", "poker", "porn", "viagra", "warez", "xxx"]
 
 
 def digest(key: bytes) -> int:
     return xxhash.xxh64_intdigest(key)
 
 
-def pack(rules: Iterable[tuple[str, str, str]], hashed=digest) -> bytes:
-    """The file: count, sorted hashes, key ends, actions (1: block), key bytes. Keys of equal hash stand side by side."""
-    keys = {f"{host.lower()}{path}".encode(): action for host, path, action in rules}
-    order = sorted(keys, key=lambda k: (hashed(k), k))
-    ends = np.cumsum([len(k) for k in order], dtype=np.int64) if order else np.zeros(0, np.int64)
-    head = np.array([len(order)], np.int64).tobytes() + np.array([hashed(k) for k in order], np.uint64).tobytes() + ends.tobytes()
-    return head + bytes(keys[k] == "block" for k in order) + b"".join(order)
+def pack(rules: Iterable[tuple[str, str, str]], terms: Iterable[str] = (), hashed: Callable = digest) -> bytes:
+    """The file: count, number of path lengths, those lengths, sorted hashes, key ends, actions (BLOCK or 0), key bytes. Keys
+    of equal hash stand side by side."""
+    rules = list(rules)
+    keys = {f"{host.lower()}{path}".encode(): action for host, path, action in rules} | {f"*{t.lower()}".encode(): "block" for t in terms}
+    lengths = sorted({len(path.encode()) for _, path, _ in rules})
+    order = sorted((hashed(k), k) for k in keys)
+    ends = np.cumsum([len(k) for _, k in order], dtype=np.int64) if order else np.zeros(0, np.int64)
+    head = np.array([len(order), len(lengths), *lengths], np.int64).tobytes() + np.array([h for h, _ in order], np.uint64).tobytes() + ends.tobytes()
+    return head + bytes(keys[k] == "block" for _, k in order) + b"".join(k for _, k in order)
 
 
 class Digests:
-    """The file, mapped."""
+    """The file, mapped; nothing of it is read before it is probed."""
 
-    def __init__(self, path: str, hashed=digest):
+    def __init__(self, path: str, hashed: Callable = digest):
         file = np.memmap(path, np.uint8, mode="r")
-        n = int(file[:8].view(np.int64)[0])
-        self.hashes, self.ends = file[8 : 8 + 8 * n].view(np.uint64), file[8 + 8 * n : 8 + 16 * n].view(np.int64)
-        self.block, self.keys, self.n, self.hashed = file[8 + 16 * n : 8 + 17 * n], file[8 + 17 * n :], n, hashed
-        lengths = set()
-        for k in range(n):
-            key = self.key(k)
-            lengths.add(len(key) - key.index(b"/") if b"/" in key else 0)
-        self.path_lengths = sorted(lengths)
+        n, paths = file[:16].view(np.int64).tolist()
+        at = 16 + 8 * paths
+        self.path_lengths = file[16:at].view(np.int64).tolist()
+        self.hashes, self.ends = file[at : at + 8 * n].view(np.uint64), file[at + 8 * n : at + 16 * n].view(np.int64)
+        self.block, self.keys, self.n, self.hashed = file[at + 16 * n : at + 17 * n], file[at + 17 * n :], n, hashed
 
     def key(self, k: int) -> bytes:
         return self.keys[int(self.ends[k - 1]) if k else 0 : int(self.ends[k])].tobytes()
@@ -90,9 +94,15 @@ def probes(host: bytes, path: bytes, lengths: list[int]) -> list[bytes]:
     return sorted({s + path[:n] for s in suffixes for n in lengths if n <= len(path)}, key=len, reverse=True)
 
 
-def ship(spark: SparkSession, rules: Iterable[tuple[str, str, str]]) -> str:
+def host_words(host: bytes) -> list[bytes]:
+    return [b"*" + w for w in dict.fromkeys(host.replace(b"-", b".").split(b".")) if w]
+
+
+def ship(spark: SparkSession, rules: Iterable[tuple[str, str, str]] | DataFrame, terms: Iterable[str]) -> str:
     """Writes the file to the shared folder and has Spark fetch it to every executor; its name there."""
-    data = pack(rules)
+    if isinstance(rules, DataFrame):
+        rules = map(tuple, rules.select("host", "path", "action").toLocalIterator())
+    data = pack(rules, terms)
     name = f"urls-{hashlib.sha256(data).hexdigest()[:16]}.bin"
     path = f"{scratch(spark, 'urls')}/{name}"
     jvm, context = spark._jvm, spark.sparkContext
@@ -105,21 +115,22 @@ def ship(spark: SparkSession, rules: Iterable[tuple[str, str, str]]) -> str:
     return name
 
 
-def judge(pages: DataFrame, rules: Iterable[tuple[str, str, str]] = tuple(RULES), default: str = DEFAULT) -> DataFrame:
+def judge(pages: DataFrame, rules: Iterable[tuple[str, str, str]] | DataFrame = tuple(RULES), terms: Iterable[str] = tuple(TERMS)) -> DataFrame:
     """page_id, host, path, rule, verdict for each row of pages."""
-    name = ship(pages.sparkSession, rules)
+    name = ship(pages.sparkSession, rules, terms)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stored = per_worker(("urls", name), lambda: Digests(SparkFiles.get(name)))
         for batch in slices(batches, 4096):
             split = [parts(u) for u in raw(batch.column(1))]
-            tries = [probes(h, p, stored.path_lengths) for h, p in split]
-            hits = iter(stored.find([t for own in tries for t in own]))
+            tries = [(probes(h, p, stored.path_lengths), host_words(h)) for h, p in split]
+            hits = iter(stored.find([t for keys, words in tries for t in (*keys, *words)]))
             rules, verdicts = [], []
-            for own in tries:
-                best = next((k for k in [next(hits) for _ in own] if k >= 0), -1)
+            for keys, words in tries:
+                best = next((k for k in [next(hits) for _ in keys] if k >= 0), -1)
+                named = max([next(hits) for _ in words], default=-1)
                 rules.append(stored.key(best) if best >= 0 else None)
-                verdicts.append(default if best < 0 else "block" if stored.block[best] else "allow")
+                verdicts.append("block" if (stored.block[best] if best >= 0 else named >= 0) else "allow")
             text = lambda x: pa.array(x, pa.binary()).cast(pa.string())
             yield pa.RecordBatch.from_arrays([batch.column(0), text([h for h, _ in split]), text([p for _, p in split]), text(rules), pa.array(verdicts, pa.string())], ["page_id", "host", "path", "rule", "verdict"])
 
@@ -127,12 +138,13 @@ def judge(pages: DataFrame, rules: Iterable[tuple[str, str, str]] = tuple(RULES)
     return pages.select("page_id", "url").mapInArrow(run, f"page_id {kind}, host string, path string, rule string, verdict string")
 
 
-ORACLE = """
+ORACLE = f"""
 WITH u AS (SELECT page_id, CASE WHEN url IS NULL OR strpos(url, '://') = 0 THEN '' ELSE substr(url, strpos(url, '://') + 3) END AS rest FROM pages),
 s AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
   regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') AS path FROM u),
 r(h, p, action) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
 m AS (SELECT page_id, h || p AS rule, action, row_number() OVER (PARTITION BY page_id ORDER BY length(h || p) DESC) AS k
   FROM s JOIN r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p))
-SELECT s.page_id, host, path, rule, coalesce(action, 'allow') AS verdict FROM s LEFT JOIN m ON m.page_id = s.page_id AND k = 1
+SELECT s.page_id, host, path, rule, coalesce(action, CASE WHEN list_has_any(regexp_split_to_array(host, '[.-]'), {TERMS}) THEN 'block' ELSE 'allow' END) AS verdict
+FROM s LEFT JOIN m ON m.page_id = s.page_id AND k = 1
 """

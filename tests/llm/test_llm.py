@@ -125,17 +125,68 @@ def test_exact_duplicates_and_collisions(docs, empty):
     assert exact_dedup.duplicates(empty).count() == 0
 
 
+def test_exact_duplicates_by_locator(spark, tmp_path):
+    """Straight from files, hot group, repeated rows, clashing names, long texts; the rest of a row stays as it was."""
+    rows = [(k, "Same TEXT" if k % 3 == 0 else f"own {k}", "n") for k in range(300)] + [(7, "own 7", "n"), (None, None, "f"), (None, "", "f"), (900, "L" * (1 << 20), "n"), (901, "l" * (1 << 20), "n")]
+    frame = spark.createDataFrame([(i, t, n, i, i) for i, t, n in rows], "doc_id bigint, text string, file string, at bigint, __docs bigint")
+    frame.repartition(4).write.parquet(str(tmp_path / "docs"))
+    read = spark.read.parquet(str(tmp_path / "docs"))
+    low = {}
+    for i, t, _ in rows:
+        low.setdefault((t or "").lower(), []).append(i)
+    want = {x[0]: max(own, key=lambda i: -1 if i is None else i) for own in low.values() for x in [[i] for i in own]}
+    for docs in (read, read.select("*", F.lit(1).alias("more")).where("file = 'n' OR true"), read.repartition(2)):
+        got = exact_dedup.duplicates(docs).collect()
+        assert len(got) == len(rows) and {r["doc_id"]: r["keep_id"] for r in got} == want and sum(r["kept"] for r in got) == len(low)
+        kept = exact_dedup.distinct_texts(docs)
+        assert kept.schema == docs.schema and sorted(r["doc_id"] or -1 for r in kept.collect()) == sorted(r if r is not None else -1 for r in {max(own, key=lambda i: -1 if i is None else i) for own in low.values()})
+        assert all(r["at"] == r["doc_id"] == r["__docs"] for r in kept.collect())
+    weak = exact_dedup.duplicates(read, lambda t: F.substring(exact_dedup.sha256(t), 1, 0)).collect()
+    assert {r["doc_id"]: r["keep_id"] for r in weak} == want
+
+
+def contained(docs, items):
+    """doc_id, item_id where the document holds 0.8 of the item's shingles of five words, or all words of a shorter item in a row."""
+    cut = lambda t: re.findall(r"[^\W_]+", (t or "").lower())
+    grams = lambda w, n: {tuple(w[i : i + n]) for i in range(len(w) - n + 1)}
+    own = [(i, min(5, len(cut(t))), grams(cut(t), min(5, len(cut(t))))) for i, t in items if cut(t)]
+    return {(d, i) for d, t in docs for i, n, g in own if len(g & grams(cut(t), n)) >= 0.8 * len(g)}
+
+
 def test_containment_matches_brute_force(spark, empty):
     rng = np.random.default_rng(2)
     word = lambda: "w%d" % rng.integers(0, 400)
-    items = [(k, " ".join(word() for _ in range(n))) for k, n in enumerate([4, 5, 9, 30, 60])] + [(9, None), (10, "")]
-    docs = [(0, None), (1, "")] + [(k + 2, " ".join([word() for _ in range(40)] + (t or "").split()[: cut] + [word() for _ in range(40)]).upper()) for k, ((_, t), cut) in enumerate(itertools.product(items, (99, 50, 25, 5)))]
-    grams = lambda t: {tuple((t or "").lower().split()[i : i + 5]) for i in range(len((t or "").split()) - 4)}
-    want = {(d, i) for d, t in docs for i, s in items if grams(s) and len(grams(s) & grams(t)) >= 0.8 * len(grams(s))}
-    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
-    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    items = [(k, " ".join(word() for _ in range(n))) for k, n in enumerate([4, 5, 9, 30, 60, 1, 2, 3])] + [(9, None), (10, ""), (11, "...")]
+    docs = [(0, None), (1, "")] + [(k + 2, " ".join([word() for _ in range(40)] + (t or "").split()[:cut] + [word() for _ in range(40)]).upper()) for k, ((_, t), cut) in enumerate(itertools.product(items, (99, 50, 25, 5, 2)))]
+    docs += [(90, "z" * (1 << 20) + " " + items[3][1] + " z" * 200_000)]
+    want = contained(docs, items)
+    assert {i for _, i in want} == {0, 1, 2, 3, 4, 5, 6, 7} and (90, 3) in want
+    frame = spark.createDataFrame([(i, t, "x", 0) for i, t in docs], "doc_id bigint, text string, hash string, item_id int").repartition(3)
+    bench = spark.createDataFrame([(i, t, 1) for i, t in items], "item_id bigint, text string, doc_id int")
     assert {(r["doc_id"], r["item_id"]) for r in decontam.contaminated(frame, bench).collect()} == want
-    assert decontam.contaminated(empty, bench).count() == 0
+    assert decontam.contaminated(empty, bench).count() == 0 and decontam.contaminated(frame, bench.limit(0)).count() == 0
+
+
+def test_containment_of_repeated_and_shared_items(spark):
+    """200 items share one passage; all documents hold it, few hold an item. Ids repeat, some are null."""
+    shared = " ".join("s%d" % k for k in range(12))
+    items = [(k % 190, shared + " " + " ".join("i%dx%d" % (k, n) for n in range(20))) for k in range(200)] + [(None, "null item of five words")]
+    items = [*items, (500, items[7][1])]
+    docs = [(k, shared + " d%d" % k + (" " + items[k][1].split(" ", 12)[-1] if 20 <= k < 25 else "")) for k in range(40)] + [(None, items[29][1]), (None, "a null item of five words"), (33, items[33][1])]
+    merged: dict = {}
+    for i, t in docs:
+        merged.setdefault(i, []).append(t)
+    pool: dict = {}
+    for i, t in items:
+        pool.setdefault(i, []).append(t)
+    grams = lambda t: {tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)}
+    sets = lambda of: {i: set().union(*map(grams, ts)) for i, ts in of.items()}
+    want = {(d, i): len(g & h) for d, h in sets(merged).items() for i, g in sets(pool).items() if len(g & h) >= 0.8 * len(g)}
+    frame, bench = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3), spark.createDataFrame(items, "item_id bigint, text string")
+    got = {(r["doc_id"], r["item_id"]): r["n_shared"] for r in decontam.contaminated(frame, bench).collect()}
+    assert got == want and {(20, 20), (33, 33), (None, 29), (None, None)} <= set(want)
+    _, sets_, sizes = decontam.item_sets(bench)
+    assert decontam.candidates(frame, base.stored(decontam.sketches(sets_), "sketches"), sizes).count() < 30  # not 200 for each document
 
 
 def test_clean_judges_rows_without_id_one_by_one(spark, docs):
@@ -236,13 +287,59 @@ def test_licenses(spark, docs, empty):
     assert licenses.scan(docs).count() == len(ROWS) and licenses.scan(empty).count() == 0
 
 
+def license_line(found):
+    return b" " + b" ".join(found) + b" "
+
+
+def plain_matches(index, found):
+    """Every template at every place, without an index."""
+    out = {}
+    for t in index.templates:
+        for start in range(-len(t.words), len(found)):
+            share = sum(index.idf[w] for k, w in enumerate(t.words) if any(0 <= start + k + d < len(found) and found[start + k + d] == w for d in range(-2, 3))) / sum(index.idf[w] for w in t.words)
+            span = license_line(found[max(0, start - 2) : max(0, start + len(t.words) + 2)])
+            if share >= 0.6 and all(p in span for p in t.phrases):
+                out[t.label] = max(out.get(t.label, 0), share)
+    return out
+
+
 def test_license_templates_hide_no_other():
-    index = licenses.Index(1000, {b"license": 40, b"the": 900})
-    text = " then ".join(t for _, t, _ in licenses.TEMPLATES).encode()
-    found = licenses.words(text)
-    assert index.matches(found, frozenset(found)) == pytest.approx({label: 1.0 for label, _, _ in licenses.TEMPLATES})
+    index = licenses.Index(1000, {b"license": 40, b"the": 900, b"of": 800, b"and": 950})
+    found = licenses.words(" then ".join(t for _, _, t in licenses.TEMPLATES).encode())
+    assert index.matches(found, license_line(found)) == pytest.approx({label: 1.0 for label, _, _ in licenses.TEMPLATES})
     part = licenses.words(b"permission is hereby granted free of charge to enter the park")
-    assert index.matches(part, frozenset(part)) == {}
+    assert index.matches(part, license_line(part)) == {}
+
+
+def test_license_matches_equal_brute_force():
+    """Each template with words changed, put in or left out, alone and among others."""
+    rng = np.random.default_rng(7)
+    index = licenses.Index(5000, {b"license": 40, b"the": 4000, b"of": 3900, b"and": 4100, b"software": 90})
+    kept = []
+    for label, phrase, text in licenses.TEMPLATES:
+        own = text.split()
+        must = {k for p in [phrase, *licenses.DECIDING.get(label, ())] for k in range(len(own)) if own[k : k + len(p.split())] == p.split() for k in range(k, k + len(p.split()))}
+        for change in ("one", "in", "out", "phrase", "many"):
+            now = list(own)
+            free = [k for k in range(len(own)) if k not in must]
+            if change == "one":
+                now[rng.choice(free)] = "otherword"
+            elif change == "in":
+                now.insert(int(rng.choice([k for k in free if k - 1 not in must] or [0])), "otherword")
+            elif change == "out":
+                del now[rng.choice(free)]
+            elif change == "phrase":
+                now[sorted(must)[1]] = "otherword"
+            else:
+                for k in rng.choice(free, len(free) // 2, replace=False):
+                    now[k] = "otherword"
+            before = [["the", "of", "license", "see", "software"][k] for k in rng.integers(0, 5, 30)]
+            found = licenses.words(" ".join([*before, *now, *before]).encode())
+            got = index.matches(found, license_line(found))
+            assert got == pytest.approx(plain_matches(index, found))
+            if change in ("one", "in", "out") and len(own) > 8:
+                kept.append(label in got)
+    assert np.mean(kept) > 0.9
 
 
 def test_license_base_places_match_brute_force(spark):
@@ -266,8 +363,36 @@ def test_chat(spark):
     a, b = map(int, ann["mask_spans"].split(":"))
     assert ann["rendered"][a:b] == "hi<|end|>\n"
     assert got[None, "unknown"]["n_turns"] == 1
-    long = spark.range(25).selectExpr("1L AS conv_id", "id AS turn", "if(id % 2 = 0, 'u', 'a') AS role", "cast(id AS string) AS text")
-    assert sorted((r["participant"], r["part"], r["n_turns"]) for r in chat.rotations(long, 10).collect()) == [(p, k, n) for p in "au" for k, n in ((0, 10), (1, 10), (2, 5))]
+
+
+def plain_rotation(said, me):
+    text, spans = "", []
+    for who, body in said:
+        who, body = (who or "unknown").replace("<|", "< |"), (body or "").replace("<|", "< |")
+        text += "<|assistant|>\n" if who == me else f"<|user:{who}|>\n"
+        if who == me:
+            spans.append(f"{len(text)}:{len(text) + len(body) + 8}")
+        text += body + "<|end|>\n"
+    return text, ",".join(spans)
+
+
+def test_chat_parts_make_up_the_whole_dialogue(spark):
+    rng = np.random.default_rng(8)
+    said = [(["ann", "Bob", "<|x", None, "é"][rng.integers(0, 5)], None if k == 7 else "é😀" * int(rng.integers(0, 9))) for k in range(2000)]
+    rows = [(1, k, *x, "c") for k, x in enumerate(said)] + [(2, 0, "ann", "y" * (1 << 20), "c"), (2, 0, "ann", "y", "c"), (2, 0, "ann", "y", "c"), (None, 1, "z", "n", "c")]
+    frame = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string, part string").repartition(5)
+    for limit in (512, 7, 10_000):
+        got: dict = {}
+        for r in sorted(chat.rotations(frame, limit).collect(), key=lambda r: r["part"]):
+            text, spans = got.get((r["conv_id"], r["participant"]), ("", []))
+            assert r["first_char"] == len(text) and r["n_turns"] <= limit
+            got[r["conv_id"], r["participant"]] = text + r["rendered"], spans + [r["mask_spans"]] * bool(r["mask_spans"])
+        for me in ("ann", "Bob", "< |x", "unknown", "é"):
+            text, spans = got[1, me]
+            assert (text, ",".join(spans)) == plain_rotation(said, me)
+        assert got[2, "ann"][0] == plain_rotation([("ann", "y"), ("ann", "y"), ("ann", "y" * (1 << 20))], "ann")[0]
+        assert set(got) == {(1, m) for m in ("ann", "Bob", "< |x", "unknown", "é")} | {(2, "ann"), (None, "z")}
+    assert chat.rotations(frame.limit(0)).count() == 0
 
 
 def test_packing(docs, empty):
@@ -308,6 +433,64 @@ def test_language(docs, empty):
     assert langid.recognised(docs).columns == docs.columns and langid.identify(empty).count() == 0
 
 
+def plain_bins(text):
+    """The bins of all windows of one, two and three characters, one by one."""
+    chars = [ord(c) if c.isalpha() else 32 for c in f" {text.lower()} "]
+    wrap, out = lambda x: x % (1 << 32), []
+    for order in (1, 2, 3):
+        for k in range(len(chars) - order + 1):
+            mixed = 0
+            for c in chars[k : k + order]:
+                mixed = wrap(mixed * 0x9E3779B1) ^ wrap(c * 0x85EBCA6B)
+            out.append((order - 1) * langid.BINS + (wrap((mixed ^ mixed >> 15) * 0x2C1B3C6D) >> 18) % langid.BINS)
+    return out
+
+
+def test_language_matches_brute_force(spark):
+    path = "/root/testdata/sf0.001/documents.parquet"
+    rows = [(r["doc_id"], r["text"], r["lang"]) for r in spark.read.parquet(path).collect()] + [(1000, None, "en"), (1001, "7", "de"), (None, "x" * 3000, None)]
+    held = {i: i is not None and zlib.crc32(str(i).encode()) % 3 == 1 for i, _, _ in rows}
+    counts = {lang: np.full(3 * langid.BINS, 0.5) for lang in sorted({lang for i, t, lang in rows if lang and t is not None and not held[i]})}
+    for i, t, lang in rows:
+        if t is not None and lang and not held[i]:
+            np.add.at(counts[lang], plain_bins(t), 1)
+    logs = {lang: np.log(c.reshape(3, -1) / c.reshape(3, -1).sum(axis=1, keepdims=True)).ravel() for lang, c in counts.items()}
+    frame = spark.createDataFrame([(i, t, lang, "clash") for i, t, lang in rows], "doc_id bigint, text string, lang string, lang_pred string").repartition(3)
+    got = {r["doc_id"]: r for r in langid.identify(frame).collect()}
+    right = []
+    for i, t, lang in rows:
+        if not t or not any(c.isalpha() for c in t):
+            assert (got[i]["lang_pred"], got[i]["score"]) == ("und", 0.0)
+            continue
+        bins = plain_bins(t)
+        sums = np.array([logs[x][bins].sum() for x in logs])
+        assert got[i]["lang_pred"] == list(logs)[sums.argmax()]
+        even = np.exp((sums - sums.max()) * min(len(bins), 200) / len(bins))
+        assert got[i]["score"] == pytest.approx(even.max() / even.sum(), abs=1e-4)
+        if held[i] and lang:
+            right.append(got[i]["lang_pred"] == lang)
+    assert np.mean(right) > 0.97
+
+
+def test_language_ties_go_to_the_first(spark):
+    a, b = [k for k in range(20) if zlib.crc32(str(k).encode()) % 3 != 1][:2]
+    frame = spark.createDataFrame([(a, "aaa bbb", "zz"), (b, "aaa bbb", "yy"), (99, "ab", None)], "doc_id bigint, text string, lang string")
+    assert {r["lang_pred"] for r in langid.identify(frame).collect()} == {"yy"}
+
+
+def test_samples_are_bounded_whatever_the_ids(spark, monkeypatch):
+    """A third of the rows on one doc_id, a third on none."""
+    rows = spark.range(60_000).selectExpr("CASE id % 3 WHEN 0 THEN 7L WHEN 1 THEN NULL ELSE id END AS doc_id", "concat('word', id % 9) AS text", "'en' AS lang")
+    for cut in (rows, rows.where("doc_id = 7"), rows.where("doc_id IS NULL")):
+        n = cut.count()
+        assert abs(cut.where(base.drawn(500 / n)).count() - 500) < 120
+    assert rows.where(base.drawn(1.0)).count() == 60_000 and rows.where(base.drawn(0.0)).count() == 0
+    drawn = []
+    monkeypatch.setattr(langid, "drawn", lambda share: drawn.append(1) or base.drawn(share))
+    names, matrix = langid.fit(rows, 500)
+    assert names == ["en"] and matrix.shape == (3 * langid.BINS, 1) and drawn
+
+
 def test_language_rejects_row_by_row(spark, docs, empty):
     rows = [(1, "plain words", "en"), (1, "12 34", "en"), (1, None, "en"), (None, "more words", None), (None, "5!", None), (None, None, None), (2, "", "de"), (3, "Wörter", "de")]
     kept = [("plain words", 1), ("more words", None), ("Wörter", 3)]
@@ -315,11 +498,19 @@ def test_language_rejects_row_by_row(spark, docs, empty):
         frame = spark.createDataFrame([(t, i, lang if learned else None, ["x"]) for i, t, lang in rows], "text string, doc_id bigint, lang string, more array<string>").repartition(2)
         got = langid.recognised(frame)
         assert got.schema == frame.schema
-        assert sorted(got.collect(), key=str) == sorted((r for r in frame.collect() if (r["text"], r["doc_id"]) in kept), key=str)
-        assert got.count() == 3
+        filled = lambda r: (r["text"], r["doc_id"], ("en" if learned else None) if r["doc_id"] is None else r["lang"], r["more"])
+        assert sorted(map(tuple, got.collect()), key=str) == sorted((filled(r) for r in frame.collect() if (r["text"], r["doc_id"]) in kept), key=str)
     assert langid.recognised(docs).count() == 7 and langid.recognised(empty).count() == 0
 
 
+def test_language_wanted(spark):
+    frame = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    pred = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.identify(frame).collect()}
+    for wanted, least in ((["de"], 0.0), (["de", "en"], 0.9), ([], 0.0), (["none"], 0.0)):
+        got = {r["doc_id"] for r in langid.recognised(frame, wanted, least).collect()}
+        assert got == {i for i, (lang, score) in pred.items() if lang in wanted and score >= least}
+
+
 def test_urls(spark, tmp_path):
     rows = [(1, "http://A.Example.NET/en/x?q"), (2, "https://b.net/z"), (3, None), (4, "no"), (5, "http://x.org/fr/1#a"), (6, "http://net"), (7, "http://notnet/"), (8, "http://é.example.com/de/")]
     got = {r["page_id"]: tuple(r)[1:] for r in urlfilter.judge(spark.createDataFrame(rows, "page_id bigint, url string")).collect()}
@@ -327,8 +518,20 @@ def test_urls(spark, tmp_path):
     assert got[3] == got[4] == ("", "", None, "allow") and got[5][2] == "org/fr/" and got[6][2] is None and got[7][2] is None and got[8][2] == "example.com/de/"
     same = lambda key: 7
     path = tmp_path / "rules"
-    path.write_bytes(urlfilter.pack([("a", "/", "block"), ("b", "/", "allow")], same))
-    assert [urlfilter.Digests(str(path), same).find([k])[0] >= 0 for k in (b"a/", b"b/", b"c/")] == [True, True, False]
+    path.write_bytes(urlfilter.pack([("a", "/", "block"), ("b", "/", "allow")], ["t"], same))
+    assert [urlfilter.Digests(str(path), same).find([k])[0] >= 0 for k in (b"a/", b"b/", b"*t", b"c/")] == [True, True, True, False]
+
+
+def test_urls_by_terms_and_any_rules(spark):
+    long = "http://casino.example/" + "x" * (1 << 20)
+    rows = [(1, "http://m.casino-win.example.com/en/1", "c"), (2, "http://casinos.example/", "c"), (3, long, "c"), (3, long, "c"), (4, "http://poker.example.net/en/1", "c"), (None, "", "c")]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, rule string")
+    verdicts = lambda *x: sorted((r["page_id"] or 0, r["rule"], r["verdict"]) for r in urlfilter.judge(pages, *x).collect())
+    assert verdicts() == [(0, None, "allow"), (1, None, "block"), (2, None, "allow"), (3, None, "block"), (3, None, "block"), (4, "example.net/en/", "allow")]
+    assert {v for _, _, v in verdicts([], [])} == {"allow"}
+    rules = spark.createDataFrame([("example", "/", "block"), ("Example", "/", "allow"), ("casinos.example", "", "block")], "host string, path string, action string").coalesce(1)
+    assert verdicts(rules, ["WIN"]) == [(0, None, "allow"), (1, None, "block"), (2, "casinos.example", "block"), (3, "example/", "allow"), (3, "example/", "allow"), (4, None, "allow")]
+    assert urlfilter.judge(pages.limit(0)).count() == 0
 
 
 def test_toxicity(spark, docs, empty):
