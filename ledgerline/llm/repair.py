@@ -11,7 +11,8 @@ Shards are the binary column of a Parquet table in the shared folder, written by
 no half-written shard.
 
 A null text is empty; every document ends with the id END, so an empty one has one id. A null doc_id comes first. Rows that
-repeat a doc_id are documents of their own, in the order of the file. An empty table gives an empty file set.
+repeat a doc_id are documents of their own, in the order of a hash of their texts; they are dealt by it too, and equal rows by
+their place, so an id that a third of the rows share fills no one task. An empty table gives an empty file set.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .base import per_worker, scratch, sized, slices
+from .base import body, per_worker, scratch, sized, slices
 from .tokens import Encoder, public_path
 
 END, SHARD, RULES, LEAST = 0, 1 << 19, 4096, 16
@@ -113,32 +114,44 @@ class Shard:
         self.sizes = np.frombuffer(data, np.uint32, rules, at := at + 8 * rules)
         self.ends = np.frombuffer(data, np.int64, docs, at := at + 4 * rules)
         self.symbols = np.frombuffer(data, np.uint32 if wide else np.uint16, symbols, at + 8 * docs)
+
+    def lengths(self, symbols: np.ndarray) -> np.ndarray:
+        """How many ids each symbol stands for."""
+        return np.where(symbols >= self.base, self.sizes[np.maximum(symbols.astype(np.int64) - self.base, 0)] if len(self.sizes) else 1, 1).astype(np.int64)
+
+    def expand(self, symbols: np.ndarray) -> np.ndarray:
+        """The ids these symbols stand for: only rules that occur below them are looked at."""
+        symbols = symbols.astype(np.uint32)
+        while (rule := symbols >= self.base).any():
+            wide = np.repeat(symbols, 1 + rule)
+            at = np.flatnonzero(rule)
+            at += np.arange(len(at))
+            pairs = self.grammar[symbols[rule] - self.base]
+            wide[at], wide[at + 1] = pairs[:, 0], pairs[:, 1]
+            symbols = wide
+        return symbols
+
+    def all(self) -> tuple[np.ndarray, np.ndarray]:
+        """All ids, and the end of each document among them. Each rule is expanded once."""
         texts: list[np.ndarray] = []
         one = lambda x: texts[x - self.base] if x >= self.base else np.array([x], np.uint32)
         for a, b in self.grammar.tolist():
             texts.append(np.concatenate((one(a), one(b))))
-        self.table = np.concatenate((np.arange(self.base, dtype=np.uint32), *texts))
-        self.length = np.concatenate((np.ones(self.base, np.int64), self.sizes.astype(np.int64)))
-        self.start = np.concatenate(([0], np.cumsum(self.length)[:-1]))
-
-    def _expand(self, symbols: np.ndarray) -> np.ndarray:
-        sizes = self.length[symbols]
-        ends = np.cumsum(sizes)
-        return self.table[np.repeat(self.start[symbols] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
-
-    def all(self) -> tuple[np.ndarray, np.ndarray]:
-        """All ids, and the end of each document among them."""
-        ends = np.concatenate(([0], np.cumsum(self.length[self.symbols])))
-        return self._expand(self.symbols), ends[self.ends]
+        table = np.concatenate((np.arange(self.base, dtype=np.uint32), *texts))
+        length = np.concatenate((np.ones(self.base, np.int64), self.sizes.astype(np.int64)))
+        sizes = length[self.symbols]
+        ends = np.concatenate(([0], np.cumsum(sizes)))
+        starts = np.concatenate(([0], np.cumsum(length)[:-1]))
+        return table[np.repeat(starts[self.symbols] - ends[:-1], sizes) + np.arange(ends[-1])], ends[self.ends]
 
     def document(self, k: int, start: int = 0, stop: int | None = None) -> np.ndarray:
-        """ids start to stop of document k: only the symbols that cover them are expanded."""
+        """ids start to stop of document k: by the lengths of its symbols, only those that cover them are expanded."""
         own = self.symbols[self.ends[k - 1] if k else 0 : self.ends[k]]
-        ends = np.cumsum(self.length[own])
+        ends = np.cumsum(self.lengths(own))
         stop = int(ends[-1]) if stop is None and len(ends) else stop or 0
         a, b = np.searchsorted(ends, start, "right"), np.searchsorted(ends, stop, "left") + 1
         skipped = int(ends[a - 1]) if a else 0
-        return self._expand(own[a:b])[start - skipped : stop - skipped]
+        return self.expand(own[a:b])[start - skipped : stop - skipped]
 
 
 def write(docs: DataFrame, path: str, tokenizer: str | None = None, shard: int = SHARD, end: int = END) -> None:
@@ -167,7 +180,9 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, shard: int =
         if ids:
             yield out()
 
-    dealt = docs.select("doc_id", "text").repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first())
+    order = [F.col("doc_id").asc_nulls_first(), "__hash", "__row"]
+    marked = docs.select("doc_id", "text").withColumns({"__hash": F.xxhash64(body("text")), "__row": F.monotonically_increasing_id()})
+    dealt = marked.repartitionByRange(*order).sortWithinPartitions(*order)
     dealt.select(F.spark_partition_id().alias("part"), F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, SCHEMA).write.parquet(path)
 
 

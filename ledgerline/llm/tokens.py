@@ -13,12 +13,12 @@ from __future__ import annotations
 
 import os
 import re
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
-CAPACITY = 250_000
+CAPACITY = 500_000
 #: Classes of bytes. OTHER: what is not sure (control characters, white space beyond ASCII, most characters of several bytes).
 OTHER, LETTER, DIGIT, MARK, SPACE, FEED, HIGH, QUOTE = range(8)
 #: First bytes of two-byte characters that are letters, but for U+00D7 and U+00F7.
@@ -110,7 +110,7 @@ class Encoder:
         self.characters = byte_characters()
         self.opens = np.array([(self.library.id_to_token(k) or "").startswith(self.characters[32]) for k in range(self.vocabulary)])
         self.capacity = capacity
-        self.kept: dict[bytes, int] = {}
+        self.kept = pa.array([], pa.binary())
         self.ids = np.zeros(0, self.dtype)  # of all kept pieces, one after another
         self.ends = np.zeros(1, np.int64)  # 0, then the end of each piece there
 
@@ -164,17 +164,17 @@ class Encoder:
             starts = starts[(at < 0) | (starts >= spans[at, 1])]
         places = np.append(starts, len(data)).astype(np.int32)
         coded = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(places), pa.py_buffer(data)]).dictionary_encode()
-        pieces, code = coded.dictionary.to_pylist(), coded.indices.to_numpy()
-        at = np.fromiter(map(self.kept.get, pieces, repeat(-1)), np.int64, len(pieces))
+        pieces, code = coded.dictionary, coded.indices.to_numpy()
+        at = pc.fill_null(pc.index_in(pieces, value_set=self.kept), -1).to_numpy(zero_copy_only=False).astype(np.int64)
         unknown = np.flatnonzero(at < 0)
         known, all_ids, all_ends = len(self.kept), self.ids, self.ends
         if len(unknown):
-            fresh, order, ids, sizes = self._new([pieces[k] for k in unknown.tolist()])
+            fresh, order, ids, sizes = self._new(pieces.take(pa.array(unknown)).to_pylist())
             at[unknown[order]] = np.arange(known, known + len(fresh))
             all_ids = np.concatenate((self.ids, ids))
             all_ends = np.concatenate((self.ends, self.ends[-1] + np.cumsum(sizes)))
             if known + len(fresh) <= self.capacity:  # else these pieces serve this batch only
-                self.kept.update(zip(fresh, range(known, known + len(fresh))))
+                self.kept = pa.concat_arrays([self.kept, pa.array(fresh, pa.binary())])
                 self.ids, self.ends = all_ids, all_ends
         first, size = all_ends[at][code], (all_ends[at + 1] - all_ends[at])[code]
         ends = np.concatenate(([0], np.cumsum(size)))

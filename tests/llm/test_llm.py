@@ -269,7 +269,7 @@ def test_repair_round_trip_and_random_access():
 
 def test_tokens_files(docs, empty):
     got = repair.round_trip(docs).orderBy("start").collect()
-    text = sorted(((i, t) for i, t, _ in ROWS), key=lambda x: (x[0] is not None, x[0]))
+    text = sorted(((i, t) for i, t, _ in ROWS), key=lambda x: (x[0] is not None, x[0]))  # ROWS repeat an id with one text only
     library = tokens.Encoder(tokens.public_path()).library
     start = 0
     for r, (i, t) in zip(got, text, strict=True):
@@ -279,6 +279,24 @@ def test_tokens_files(docs, empty):
     assert repair.round_trip(empty).count() == 0
 
 
+def test_tokens_of_repeated_ids(spark, tmp_path):
+    """A third of the rows share an id, a third have none: dealt over many tasks, in the order of a hash of the text."""
+    rows = [((7, None, k)[k % 3], f"text {k % 40} " + "x" * (k % 5) + ("y " * 500_000 if k == 4 else "")) for k in range(600)]
+    frame = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id bigint, text string, __hash int").repartition(5)
+    path = f"file://{tmp_path}/tokens"
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        repair.write(frame, path)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert max(r["count"] for r in spark.read.parquet(path).selectExpr("part", "explode(doc_ids)").groupBy("part").count().collect()) < 250
+    got = [(r["doc_id"], r["n_tokens"], zlib.crc32(r["ids"])) for r in repair.read(spark, path).orderBy("start").collect()]
+    digest = lambda t: xxhash.xxh64_intdigest(t, 42) - (1 << 64 if xxhash.xxh64_intdigest(t, 42) >> 63 else 0)
+    want = sorted(rows, key=lambda x: (x[0] is not None, x[0] or 0, digest(x[1])))
+    own = lambda t: np.array([*FRESH.encode(t, add_special_tokens=False).ids, 0], "<u4")
+    assert got == [(i, len(own(t)), zlib.crc32(own(t).tobytes())) for i, t in want]
+
+
 def test_licenses(spark, docs, empty):
     rows = [(1, "See: Licensed under the Apache License, Version 2.0. MIT license"), (2, "cc by"), (3, None), (4, "É general public")]
     got = {r["doc_id"]: r for r in licenses.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
