@@ -22,11 +22,11 @@ gives no rows.
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -80,8 +80,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def labelled_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """toxic, text of all documents with a label that are not held out."""
-    known = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
-    known = known.select(F.col("doc_id").alias("__id"), "toxic")
+    known = known_labels(labels)
     right = small(known)
     joined = docs.select("doc_id", "text").join(right, F.col("doc_id") == F.col("__id")).select("toxic", "text")
     return stored(joined, "labelled") if right is known else joined  # joined by shuffling: once for all uses
@@ -193,72 +192,75 @@ def logistic(hits: list[list[int]], dense: np.ndarray, y: np.ndarray, entries_:
 
 class Model:
     def __init__(self, voters: Voters, weights: np.ndarray, intercept: float):
-        self.voters, self.intercept = voters, intercept
-        self.entry, self.vote = weights[:-VOTERS].tolist(), weights[-VOTERS:].tolist()
+        self.voters, self.weights, self.intercept = voters, weights, intercept
 
-    def score(self, text: bytes) -> float:
-        votes, hits = self.voters.look(text)
-        z = self.intercept + sum(map(self.entry.__getitem__, hits)) + sum(w for k, w in enumerate(self.vote) if votes >> k & 1)
-        return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
+    def scores(self, votes: np.ndarray, hits: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """votes of each text, the entries of all texts one after another, and how many each text has."""
+        rows = np.repeat(np.arange(len(votes)), counts)
+        z = self.intercept + np.bincount(rows, self.weights[hits], len(votes)) + LabelModel.unpack(votes) @ self.weights[-VOTERS:]
+        return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def vote_counts(docs: DataFrame, labelled: DataFrame, voters: Voters) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Patterns, and for each how many documents, labelled toxic rows and labelled clean rows vote so."""
+def looked(docs: DataFrame, voters: Voters) -> DataFrame:
+    """doc_id, votes, hits of each row of docs, written: what the later steps need of the texts, which are read once for it."""
     get = shipped(docs.sparkSession.sparkContext, voters)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        look, sums = get().look, Counter()
+        look = get().look
         for part in slices(batches):
-            sums.update((label, look(t)[0]) for label, t in zip(part.column(0).to_pylist(), raw(part.column(1))))
-        if sums:
-            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in sums], pa.int32()), pa.array([k[1] for k in sums], pa.int32()), pa.array(list(sums.values()), pa.int64())], ["label", "votes", "n"])
+            seen = [look(t) for t in raw(part.column(1))]
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([v for v, _ in seen], pa.int32()), pa.array([h for _, h in seen], pa.list_(pa.int32()))], ["doc_id", "votes", "hits"])
 
-    counted = [rows.mapInArrow(run, "label int, votes int, n bigint") for rows in (docs.select(F.lit(-1).alias("label"), "text"), labelled.select(F.col("toxic").alias("label"), "text"))]
-    table = counted[0].unionByName(counted[1]).groupBy("votes").pivot("label", [-1, 0, 1]).agg(F.sum("n")).fillna(0).collect()  # at most 2^VOTERS rows
-    return tuple(np.array([r[k] for r in table], np.int64) for k in ("votes", "-1", "1", "0"))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return stored(docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, votes int, hits array<int>"), "looked")
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, rows: int = CLASSIFIER_ROWS) -> Model:
-    labelled = labelled_rows(docs, labels)
-    sizes = {r["toxic"]: r["count"] for r in labelled.groupBy("toxic").count().collect()}
-    n = sizes.get(0, 0), sizes.get(1, 0)
-    voters = Voters(mine(labelled, n) if min(n) else [])
-    patterns, all_, toxic, clean = vote_counts(docs, labelled, voters)
+def known_labels(labels: DataFrame) -> DataFrame:
+    """__id, toxic of each labelled id that is not held out."""
+    known = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
+    return known.select(F.col("doc_id").alias("__id"), "toxic")
+
+
+def train(seen: DataFrame, labels: DataFrame, voters: Voters, sample: int = SAMPLE, rows: int = CLASSIFIER_ROWS) -> Model:
+    """seen: looked."""
+    told = seen.join(small(known_labels(labels)), F.col("doc_id") == F.col("__id")).select(F.col("toxic").alias("label"), "votes", "hits")
+    every = seen.select(F.lit(-1).alias("label"), "votes", "hits")
+    counted = every.select("label", "votes").unionByName(told.select("label", "votes"))
+    table = counted.groupBy("votes").pivot("label", [-1, 0, 1]).count().fillna(0).collect()  # at most 2^VOTERS rows
+    patterns, all_, clean, toxic = (np.array([r[k] for r in table], np.int64) for k in ("votes", "-1", "0", "1"))
     total = int(all_.sum())
     if not total:
         return Model(voters, np.zeros(voters.entries + VOTERS), 0.0)
     model = LabelModel(patterns, all_, toxic, clean)
-    get = shipped(docs.sparkSession.sparkContext, voters)
-
-    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        look = get().look
-        for part in slices(batches):
-            seen = [look(t) for t in raw(part.column(1))]
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([v for v, _ in seen], pa.int32()), pa.array([h for _, h in seen], pa.list_(pa.int32()))], ["label", "votes", "hits"])
-
-    some = docs.select(F.lit(-1).alias("label"), "text").where(drawn(rows / total))
-    taught = labelled.select(F.col("toxic").alias("label"), "text").where(drawn(F.when(F.col("label") == 1, sample / max(n[1], 1)).otherwise(sample / max(n[0], 1))))
-    seen = [r for part in (some, taught) for r in part.mapInArrow(features, "label int, votes int, hits array<int>").collect()]  # about rows + 2 * sample
-    if not seen:
+    n = int(clean.sum()), int(toxic.sum())
+    taught = told.where(drawn(F.when(F.col("label") == 1, sample / max(n[1], 1)).otherwise(sample / max(n[0], 1))))
+    taken = [r for part in (every.where(drawn(rows / total)), taught) for r in part.collect()]  # about rows + 2 * sample
+    if not taken:
         return Model(voters, np.zeros(voters.entries + VOTERS), 0.0)
-    votes, label = np.array([r["votes"] for r in seen], np.int64), np.array([r["label"] for r in seen])
+    votes, label = np.array([r["votes"] for r in taken], np.int64), np.array([r["label"] for r in taken])
     y = np.where(label < 0, model.posterior(votes), label)
-    return Model(voters, *logistic([r["hits"] for r in seen], LabelModel.unpack(votes), y, voters.entries))
+    return Model(voters, *logistic([r["hits"] for r in taken], LabelModel.unpack(votes), y, voters.entries))
 
 
-def scores(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, held_out, score, predicted for each row of docs."""
-    get = shipped(docs.sparkSession.sparkContext, model)
+def scores(seen: DataFrame, model: Model) -> DataFrame:
+    """doc_id, held_out, score, predicted for each row of seen."""
+    get = shipped(seen.sparkSession.sparkContext, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        score = get().score
-        for part in slices(batches):
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([score(t) for t in raw(part.column(1))], pa.float64())], ["doc_id", "score"])
+        score = get().scores
+        for part in batches:
+            counts = pc.list_value_length(part.column(2)).to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(score(part.column(1).to_numpy(zero_copy_only=False), part.column(2).flatten().to_numpy(zero_copy_only=False), counts))], ["doc_id", "score"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    out = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, score double")
+    kind = seen.schema["doc_id"].dataType.simpleString()
+    out = seen.mapInArrow(run, f"doc_id {kind}, score double")
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    return scores(docs, fit(docs, labels))
+def toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, rows: int = CLASSIFIER_ROWS) -> DataFrame:
+    labelled = labelled_rows(docs, labels)
+    sizes = {r["toxic"]: r["count"] for r in labelled.groupBy("toxic").count().collect()}
+    n = sizes.get(0, 0), sizes.get(1, 0)
+    voters = Voters(mine(labelled, n) if min(n) else [])
+    seen = looked(docs, voters)
+    return scores(seen, train(seen, labels, voters, sample, rows))
