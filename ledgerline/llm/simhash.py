@@ -11,8 +11,8 @@ still agrees leaves 14 to 17 free bits, which bounds the second bucket by their
 alternating large and small stars over these links, all of it distributed.
 
 Nulls: a null text is empty; the fingerprint of a text without words is zero, and zero links like any other. Rows that share
-a doc_id count as one document. An empty table gives no rows. A null doc_id takes part, is never the smallest of a group
-unless alone.
+a doc_id count as one document. An empty table gives no rows. A document without a doc_id links others like any other and
+has their component; the component of such documents alone is null. Ids may be of any type that has an order.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import per_worker, raw, slices, stored
+from .base import discard, per_worker, raw, slices, stored
 
 RADIUS, SHINGLE, SEED, BUCKET = 3, 3, 42, 4096
 
@@ -180,6 +180,7 @@ def components(edges: DataFrame) -> DataFrame:
     Alternating large and small stars; each round is written to the shared folder, and the loop ends when a round changes
     nothing. Minima are combined before the shuffle, so a node with very many edges costs one row from each task.
     """
+    spark = edges.sparkSession
 
     def star(both: DataFrame, keep) -> DataFrame:
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -192,7 +193,8 @@ def components(edges: DataFrame) -> DataFrame:
         large, _ = star(both, F.col("v") > F.col("u"))
         large = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
         small, least = star(large, F.lit(True))
-        now = stored(small.unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "stars")
+        before, now = now, stored(small.unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "stars")
+        discard(spark, before)
         mark = now.agg(F.count("*"), F.expr("bit_xor(xxhash64(u, v))"), F.sum(F.expr("xxhash64(v, u) % 1000003"))).first()
         if mark == seen:
             return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
@@ -202,24 +204,25 @@ def components(edges: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
     """One row for each row of docs: doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable)."""
     fps = stored(docs.select("doc_id", "text").mapInArrow(_fingerprints, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fp bigint"), "fingerprints")
-    nodes = stored(fps.where("doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").cast("bigint").alias("node")), "nodes")
-    roots = components(links(nodes, bucket))
-    of = nodes.join(roots, "node", "left").select("fp", F.coalesce("root", "node").alias("component_id"))
+    nodes = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
+    roots = components(links(nodes.select("fp", F.col("fp").alias("node")), bucket))
+    rooted = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    of = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id")
     return fps.join(of, "fp", "left").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def representatives(docs: DataFrame, similarity: float | None = None, shingle: int = 5) -> DataFrame:
+def representatives(docs: DataFrame, similarity: float | None = None, shingle: int = 5, bucket: int = BUCKET, **options) -> DataFrame:
     """docs with one document of each group of near-duplicates: that with the smallest doc_id, all its columns as they were.
 
     Groups are those of op2. With a similarity, pairs of at least that Jaccard similarity over shingles of so many words are
-    linked as well, which fingerprints within RADIUS bits mostly miss (see jaccard.py). A document without a doc_id stays.
+    linked as well, which fingerprints within RADIUS bits mostly miss (see jaccard.py, to which options go). A document without
+    a doc_id stays. Rows that share a doc_id stay or go together.
     """
     from . import jaccard
     from .base import keyed
 
-    groups = near_duplicates(docs).where("doc_id <> component_id")
+    groups = near_duplicates(docs, bucket).where("doc_id <> component_id")
     if similarity is not None:
-        edges = groups.select(F.col("doc_id").cast("bigint").alias("a"), F.col("component_id").alias("b"))
-        similar = jaccard.links(docs, shingle, similarity).select(F.col("a").cast("bigint").alias("a"), F.col("b").cast("bigint").alias("b"))
-        groups = components(stored(edges.unionByName(similar), "near_links")).select(F.col("node").alias("doc_id"))
+        edges = groups.select(F.col("doc_id").alias("a"), F.col("component_id").alias("b"))
+        groups = components(stored(edges.unionByName(jaccard.links(docs, shingle, similarity, **options)), "near_links")).select(F.col("node").alias("doc_id"))
     return keyed(docs, stored(groups.select("doc_id"), "near"), "left_anti")

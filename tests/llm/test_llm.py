@@ -78,38 +78,63 @@ def test_near_duplicates(docs, empty):
     assert simhash.near_duplicates(empty).count() == 0
 
 
-def test_representatives_match_brute_force_jaccard(spark):
-    rng = np.random.default_rng(6)
-    word = lambda: "w%d" % rng.integers(0, 500)
-    texts = {}
-    for k in range(12):
-        own = [word() for _ in range(rng.integers(40, 300))]
-        for n in range(6):
-            new = list(own)
-            for at in rng.integers(0, len(new), n * len(new) // 150):
-                new[at] = word()
-            texts[6 * k + n] = " ".join(new)
-    texts |= {80: "one two three", 81: "ONE  two three", 82: "one two", 83: "漢 É x y z w", 84: "漢 é x y z w"}
+def test_near_duplicates_without_ids_and_by_text_ids(spark, empty):
+    one, other = "a b c d e f g h", "q r s t u v w x"
+    rows = [("b", one), ("a", one), (None, one), (None, other), (None, other), ("c", "z " * 600_000)]
+    got = simhash.near_duplicates(spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id string, text string, fp int").repartition(3)).collect()
+    assert sorted((str(r["doc_id"]), str(r["component_id"])) for r in got) == [("None", "None")] * 2 + [("None", "a"), ("a", "a"), ("b", "a"), ("c", "c")]
+    assert sorted(r["doc_id"] or "" for r in simhash.representatives(spark.createDataFrame(rows, "doc_id string, text string"), 0.8).collect()) == ["", "", "", "a", "c"]
+    assert simhash.representatives(empty, 0.8).count() == 0
+
+
+def near_groups(texts, by_bits=True):
+    """The smallest id of each document's group: fingerprints within three bits, or a five-word Jaccard similarity of 0.8."""
     grams = lambda t: {tuple(w[i : i + 5]) for w in [t.lower().split()] for i in range(max(1, len(w) - 4))}
     sets, fp = {i: grams(t) for i, t in texts.items()}, {i: plain_fingerprint(t) for i, t in texts.items()}
-    root = {i: i for i in texts}
+    root, far = {i: i for i in texts}, 0
 
     def find(a):
         return a if root[a] == a else find(root[a])
 
-    far = 0
     for a, b in itertools.combinations(sorted(texts), 2):
-        like, near = len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8, (fp[a] ^ fp[b]).bit_count() <= 3
-        far += like and not near
-        if like or near:
+        bits, both = (fp[a] ^ fp[b]).bit_count() <= 3 and by_bits, len(sets[a] & sets[b])
+        like = both / (len(sets[a]) + len(sets[b]) - both) >= 0.8
+        far += like and not bits
+        if like or bits:
             x, y = find(a), find(b)
             root[max(x, y)] = min(x, y)
+    return {i: find(i) for i in texts}, far
+
+
+@pytest.mark.parametrize("options", [{}, {"limit": 4, "rounds": 2}, {"limit": 2, "weight": 1, "rounds": 1}])
+def test_representatives_match_brute_force_jaccard(spark, options):
+    rng = np.random.default_rng(6)
+    word = lambda: "w%d" % rng.integers(0, 500)
+    texts = {}
+    shared = [word() for _ in range(60)]
+    for k in range(12):
+        own = shared * (k % 4 == 0) + [word() for _ in range(rng.integers(40, 300))]
+        for n in range(8):
+            new = list(own)
+            for at in rng.integers(0, len(new), n * len(new) // 150):
+                new[at] = word()
+            texts[10 * k + n] = " ".join(new)
+    texts |= {180: "one two three", 181: "ONE  two three", 182: "one two", 183: "漢 É x y z w", 184: "漢 é x y z w", 185: "x " * 300_000, 186: "x  " * 300_000}
+    groups, far = near_groups(texts)
     assert far > 10
-    rows = [*texts.items(), (None, texts[0]), (90, None)]
-    got = simhash.representatives(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3), similarity=0.8)
-    assert {r["doc_id"] for r in got.collect()} == {i for i in texts if find(i) == i} | {None, 90}
+    rows = [*texts.items(), (None, texts[0]), (190, None), (0, texts[0])]
+    frame = spark.createDataFrame([(i, t, 1, "c") for i, t in rows], "doc_id bigint, text string, bucket int, own string").repartition(3)
+    got = simhash.representatives(frame, similarity=0.8, **options)
+    assert sorted(r["doc_id"] if r["doc_id"] is not None else -1 for r in got.collect()) == sorted([i for i in texts if groups[i] == i] + [-1, 190, 0])
+    assert got.schema == frame.schema
+    roots = {r["node"]: r["root"] for r in simhash.components(jaccard.links(frame, **options)).collect()}
+    assert roots == {i: r for i, r in near_groups(texts, False)[0].items() if i != r}
+
+
+def test_trees_and_sides():
     sets = [np.array([1, 2, 3, 4], np.uint64), np.array([1, 2, 3, 4, 5], np.uint64), np.array([1, 2, 3, 9], np.uint64)]
     assert list(jaccard.trees(sets, 0.8)) == [(0, 1)]
+    assert jaccard.near(sets[1], sets, 0.8).tolist() == [True, True, False]
 
 
 def test_exact_duplicates_and_collisions(docs, empty):
@@ -575,19 +600,9 @@ def test_pipeline(spark):
     for i, t in keep.items():
         low[t.encode().lower()] = max(i, low.get(t.encode().lower(), i))
     keep = {i: docs[i] for i in low.values()}
-    fp = {i: plain_fingerprint(t) for i, t in keep.items()}
-    root = {i: i for i in keep}
-
-    def find(a):
-        while root[a] != a:
-            a = root[a]
-        return a
-
-    for a, b in itertools.combinations(sorted(keep), 2):
-        if (fp[a] ^ fp[b]).bit_count() <= 3:
-            x, y = find(a), find(b)
-            root[max(x, y)] = min(x, y)
-    keep = {i: t for i, t in keep.items() if find(i) == i}
+    groups, far = near_groups(keep)
+    assert far >= 2
+    keep = {i: t for i, t in keep.items() if groups[i] == i}
     import regex
 
     def grams(t):
