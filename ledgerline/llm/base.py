@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
 import pickle
 import shutil
 import sys
@@ -21,6 +23,7 @@ from pyspark.sql.types import BinaryType, StringType
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BROADCAST_BYTES = 32 << 20
 _own_root: list[str] = []
+_passing: list[list[str]] = []
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,9 +52,25 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._scratch = path
+    if _passing:
+        _passing[-1].append(path)
     return out
 
 
+@contextlib.contextmanager
+def passing(spark: SparkSession) -> Iterator[Callable]:
+    """Scratch tables that are stored inside are deleted at the end, but for those that are handed to what is yielded."""
+    _passing.append([])
+    kept: set[str] = set()
+    try:
+        yield lambda *tables: kept.update(t._scratch for t in tables)
+    finally:
+        made = _passing.pop()
+        discard(spark, *[p for p in made if p not in kept])
+        if _passing:
+            _passing[-1] += [p for p in made if p in kept]
+
+
 def discard(spark: SparkSession, *used: DataFrame | str) -> None:
     """Deletes scratch tables (or paths) that nothing reads any more."""
     for path in (u if isinstance(u, str) else u._scratch for u in used):
@@ -96,7 +115,7 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.Re
             yield batch.slice(at, rows)
 
 
-def sized(batches: Iterator[pa.RecordBatch], column: int, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def sized(batches: Iterator[pa.RecordBatch], column: int, size: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Slices whose strings in a column take about size bytes together, one row at least."""
     for batch in batches:
         lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
@@ -113,6 +132,18 @@ def raw(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
+def tidied(run: Callable) -> Callable:
+    """run, a function over Arrow batches, which gives freed memory back when a task is done: workers live on for other tasks."""
+
+    def out(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # a C library without it
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return out
+
+
 def per_worker(key: tuple, make: Callable):
     """What make() returns, made once in each Python worker and kept for its later tasks."""
     kept = sys.__dict__.setdefault("_ledgerline_kept", {})

@@ -26,7 +26,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .base import body, keyed, small, stored
+from .base import body, keyed, passing, small, stored
 
 SHINGLE, CONTAINMENT = 5, 0.8
 SEPARATOR = r"[^\p{L}\p{N}]+"
@@ -62,14 +62,15 @@ def _all(parts: Column, of, sizes: Sequence[int]) -> Column:
     return F.concat(*every) if len(every) > 1 else every[0]
 
 
-def item_sets(items: DataFrame) -> tuple[DataFrame, DataFrame, list[int]]:
-    """item_id, set of each item with a shingle; set, shingles, q for each different set of them; lengths of short items."""
+def item_sets(items: DataFrame) -> tuple[DataFrame, DataFrame, list[int], DataFrame]:
+    """item_id, set of each item with a shingle; set, shingles, q for each different set of them; lengths of short items; the
+    written table that both come from."""
     cut = items.select("item_id", words(F.col("text")).alias("w"))
     own = cut.select("item_id", F.least(F.size("w"), F.lit(SHINGLE)).alias("size"), F.explode(shingles(F.col("w"))).alias("shingle"))
     each = own.groupBy("item_id").agg(F.array_sort(F.collect_set("shingle")).alias("shingles"), F.collect_set("size").alias("sizes"))
     named = stored(each.withColumn("set", F.sha2(F.array_join("shingles", "\n"), 256)), "items")
     sizes = sorted(r[0] for r in named.select(F.explode("sizes").alias("n")).distinct().collect() if r[0] < SHINGLE)  # at most four
-    return named.select("item_id", "set"), named.groupBy("set").agg(F.first("shingles").alias("shingles")).withColumn("q", F.size("shingles")), sizes
+    return named.select("item_id", "set"), named.groupBy("set").agg(F.first("shingles").alias("shingles")).withColumn("q", F.size("shingles")), sizes, named
 
 
 def sketches(sets: DataFrame, containment: float = CONTAINMENT) -> DataFrame:
@@ -96,8 +97,10 @@ def candidates(docs: DataFrame, sketch: DataFrame, sizes: Sequence[int]) -> Data
 
 def contaminated(docs: DataFrame, items: DataFrame, containment: float = CONTAINMENT) -> DataFrame:
     """doc_id, item_id, n_shared, n_item, containment for each pair where the document holds at least that share of the item."""
-    members, sets, sizes = item_sets(items)
-    pairs = stored(candidates(docs, stored(sketches(sets, containment), "sketches"), sizes), "pairs")
+    with passing(docs.sparkSession) as keep:
+        members, sets, sizes, table = item_sets(items)
+        pairs = stored(candidates(docs, stored(sketches(sets, containment), "sketches"), sizes), "pairs")
+        keep(table, pairs)
     named = pairs.join(small(sets.join(pairs.select("set").distinct(), "set", "left_semi")), "set")
     suspects = keyed(docs.select("doc_id", "text"), pairs, "left_semi").select(F.col("doc_id").alias("__doc"), words(F.col("text")).alias("w"))
     held = suspects.select("__doc", F.array_distinct(_all(F.col("w"), _text, sizes)).alias("held"))
@@ -109,14 +112,19 @@ def contaminated(docs: DataFrame, items: DataFrame, containment: float = CONTAIN
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """docs without those that contain a benchmark item, all columns as they were. Rows without a doc_id are judged one by one."""
-    named = keyed(docs, stored(contaminated(docs.where("doc_id IS NOT NULL"), items).select("doc_id"), "leaks"), "left_anti")
-    nameless = docs.where("doc_id IS NULL").withColumn("__row", F.monotonically_increasing_id())
-    nameless = stored(nameless, "nameless")
-    if nameless.isEmpty():
+    with passing(docs.sparkSession) as keep:
+        found = stored(contaminated(docs.where("doc_id IS NOT NULL"), items).select("doc_id"), "leaks")
+        nameless = stored(docs.where("doc_id IS NULL").withColumn("__row", F.monotonically_increasing_id()), "nameless")
+        some = not nameless.isEmpty()
+        if some:
+            rows = contaminated(nameless.select(F.col("__row").alias("doc_id"), "text"), items).select(F.col("doc_id").alias("__leak")).distinct()
+            rows = stored(rows, "nameless_leaks")
+            keep(nameless, rows)
+        keep(found)
+    named = keyed(docs, found, "left_anti")
+    if not some:
         return named
-    leaks = contaminated(nameless.select(F.col("__row").alias("doc_id"), "text"), items).select(F.col("doc_id").alias("__leak")).distinct()
-    kept = nameless.join(stored(leaks, "nameless_leaks"), F.col("__row") == F.col("__leak"), "left_anti").drop("__row")
-    return named.where("doc_id IS NOT NULL").unionByName(kept)
+    return named.where("doc_id IS NOT NULL").unionByName(nameless.join(rows, F.col("__row") == F.col("__leak"), "left_anti").drop("__row"))
 
 
 ORACLE = r"""

@@ -23,9 +23,9 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .base import drawn, per_worker, slices
+from .base import drawn, per_worker, sized, tidied
 
-ORDERS, BINS, PER_LANGUAGE, EVIDENCE, SMOOTHING = 3, 1 << 14, 2000, 200, 0.5
+ORDERS, BINS, PER_LANGUAGE, EVIDENCE, SMOOTHING, SLICE = 3, 1 << 14, 2000, 200, 0.5, 1 << 18
 UNKNOWN = "und"
 
 
@@ -55,7 +55,7 @@ def windows(texts: list[str]) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.n
 
 def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """lang, text in; the counts of the bins that occur, for each language, out."""
-    for part in slices(batches):
+    for part in sized(batches, 1, SLICE):
         langs = part.column(0).to_pylist()
         sums: dict[str, np.ndarray] = {}
         for bins, bounds in windows(part.column(1).to_pylist())[0]:
@@ -76,7 +76,7 @@ def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> tuple[list[str
     share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, per_language / n))])
     taken = rows.select("lang", "text").where(drawn(share[F.col("lang")]))
     counts: dict[str, np.ndarray] = {lang: np.zeros(ORDERS * BINS) for lang in sorted(sizes)}
-    summed = taken.mapInArrow(_counter, "lang string, bin int, n bigint").groupBy("lang", "bin").agg(F.sum("n").alias("n"))
+    summed = taken.mapInArrow(tidied(_counter), "lang string, bin int, n bigint").groupBy("lang", "bin").agg(F.sum("n").alias("n"))
     for r in summed.collect():  # at most a row for each bin and language
         counts[r["lang"]][r["bin"]] = r["n"]
     matrix = np.stack(list(counts.values()), axis=1) + SMOOTHING
@@ -111,12 +111,12 @@ def predict(docs: DataFrame, langs: list[str], matrix: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, logs = model.value
         names = [*names, UNKNOWN]
-        for part in slices(batches, 128):
+        for part in sized(batches, 1, SLICE):
             best, score, _ = _scored(part.column(1).to_pylist(), logs)
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array([names[k] for k in best]), pa.array(score)], ["doc_id", "lang_pred", "score"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, lang_pred string, score double")
+    return docs.select("doc_id", "text").mapInArrow(tidied(run), f"doc_id {kind}, lang_pred string, score double")
 
 
 def held_out(doc_id: Column) -> Column:
@@ -141,7 +141,7 @@ def recognised(docs: DataFrame, wanted: Collection[str] | None = None, least: fl
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, logs, only = model.value
         accepted = np.array([only is None or name in only for name in names] + [False])
-        for part in slices(batches, 128):
+        for part in sized(batches, at, SLICE):
             best, score, has = _scored(part.column(at).to_pylist(), logs)
             if not names:
                 yield part.filter(pa.array(has))
@@ -152,4 +152,4 @@ def recognised(docs: DataFrame, wanted: Collection[str] | None = None, least: fl
                 part = part.set_column(lang, part.schema.field(lang), column)
             yield part.filter(pa.array(accepted[best] & (score >= least)))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidied(run), docs.schema)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import raw, shipped, slices
+from .base import raw, shipped, slices, tidied
 
 RARE, SHARE, BASE_SCORE, SLACK = 12, 0.6, 0.5, 2
 
@@ -80,7 +80,7 @@ def document_frequencies(docs: DataFrame) -> tuple[int, dict[bytes, int]]:
         if held:
             yield pa.RecordBatch.from_arrays([pa.array([w.decode() for w in held]), pa.array(list(held.values()), pa.int64())], ["word", "n"])
 
-    sums = docs.select("text").mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n")).collect()
+    sums = docs.select("text").mapInArrow(tidied(run), "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n")).collect()
     found = {r["word"].encode(): r["n"] for r in sums}
     return found.pop(b"", 0), found
 
@@ -166,4 +166,4 @@ def scan(docs: DataFrame) -> DataFrame:
             columns = [pa.array(c, t) for c, t in zip(zip(*rows), types)]
             yield pa.RecordBatch.from_arrays([part.column(0), *columns], ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_words bigint, n_base bigint, first_word bigint, last_word bigint, base_labels string, labels string, score double")
+    return docs.select("doc_id", "text").mapInArrow(tidied(run), f"doc_id {kind}, n_words bigint, n_base bigint, first_word bigint, last_word bigint, base_labels string, labels string, score double")

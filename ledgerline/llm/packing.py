@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import per_worker, sized
+from .base import per_worker, sized, tidied
 from .tokens import Encoder, public_path
 
 LENGTH, END, SENTENCE, MIDDLE, GRID, BLOCK = 2048, 1, 1, 3, 48, 1 << 19
@@ -146,7 +146,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH, en
             yield out(packer.settle(True))
 
     source = docs.select(F.spark_partition_id().alias("part"), "doc_id", "text")
-    return source.mapInArrow(run, f"doc_id {kind}, start bigint, length bigint, doc_tokens bigint, sequence_id bigint, offset bigint, ids binary")
+    return source.mapInArrow(tidied(run), f"doc_id {kind}, start bigint, length bigint, doc_tokens bigint, sequence_id bigint, offset bigint, ids binary")
 
 
 def packed(docs: DataFrame, **options) -> DataFrame:

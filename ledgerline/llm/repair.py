@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .base import body, per_worker, scratch, sized, slices
+from .base import body, per_worker, scratch, sized, slices, tidied
 from .tokens import Encoder, public_path
 
 END, SHARD, RULES, LEAST = 0, 1 << 19, 4096, 16
@@ -183,7 +183,7 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, shard: int =
     order = [F.col("doc_id").asc_nulls_first(), "__hash", "__row"]
     marked = docs.select("doc_id", "text").withColumns({"__hash": F.xxhash64(body("text")), "__row": F.monotonically_increasing_id()})
     dealt = marked.repartitionByRange(*order).sortWithinPartitions(*order)
-    dealt.select(F.spark_partition_id().alias("part"), F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, SCHEMA).write.parquet(path)
+    dealt.select(F.spark_partition_id().alias("part"), F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(tidied(run), SCHEMA).write.parquet(path)
 
 
 SCHEMA = "part int, shard int, doc_ids array<bigint>, n_tokens bigint, payload binary"
@@ -202,7 +202,7 @@ def decoded(spark, path: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([same(0), same(1), batch.column(2).flatten(), pa.array(starts), pa.array(ends - starts), data], ["part", "shard", "doc_id", "within", "n_tokens", "ids"])
 
     files = spark.read.schema(SCHEMA).parquet(path)
-    return files.select("part", "shard", "doc_ids", "payload").mapInArrow(run, "part int, shard int, doc_id bigint, within bigint, n_tokens bigint, ids binary")
+    return files.select("part", "shard", "doc_ids", "payload").mapInArrow(tidied(run), "part int, shard int, doc_id bigint, within bigint, n_tokens bigint, ids binary")
 
 
 def first_ids(spark, path: str) -> DataFrame:

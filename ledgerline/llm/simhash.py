@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import discard, per_worker, raw, slices, stored
+from .base import discard, passing, per_worker, raw, slices, stored, tidied
 
 RADIUS, SHINGLE, SEED, BUCKET = 3, 3, 42, 4096
 
@@ -157,7 +157,7 @@ _LINKS = "over boolean, a bigint, b bigint, t int"
 
 def _linked(keys: DataFrame, limit: int | None) -> DataFrame:
     dealt = keys.repartition("t", "key").sortWithinPartitions("t", "key").select("t", "key", "fp", "node")
-    return dealt.mapInArrow(_linker(limit), _LINKS)
+    return dealt.mapInArrow(tidied(_linker(limit)), _LINKS)
 
 
 def links(nodes: DataFrame, bucket: int = BUCKET) -> DataFrame:
@@ -203,11 +203,13 @@ def components(edges: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
     """One row for each row of docs: doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable)."""
-    fps = stored(docs.select("doc_id", "text").mapInArrow(_fingerprints, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fp bigint"), "fingerprints")
-    nodes = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
-    roots = components(links(nodes.select("fp", F.col("fp").alias("node")), bucket))
-    rooted = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    of = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id")
+    with passing(docs.sparkSession) as keep:
+        fps = stored(docs.select("doc_id", "text").mapInArrow(tidied(_fingerprints), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fp bigint"), "fingerprints")
+        nodes = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
+        roots = components(links(nodes.select("fp", F.col("fp").alias("node")), bucket))
+        rooted = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+        of = stored(rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id"), "components")
+        keep(fps, of)
     return fps.join(of, "fp", "left").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
@@ -221,8 +223,11 @@ def representatives(docs: DataFrame, similarity: float | None = None, shingle: i
     from . import jaccard
     from .base import keyed
 
-    groups = near_duplicates(docs, bucket).where("doc_id <> component_id")
-    if similarity is not None:
-        edges = groups.select(F.col("doc_id").alias("a"), F.col("component_id").alias("b"))
-        groups = components(stored(edges.unionByName(jaccard.links(docs, shingle, similarity, **options)), "near_links")).select(F.col("node").alias("doc_id"))
-    return keyed(docs, stored(groups.select("doc_id"), "near"), "left_anti")
+    with passing(docs.sparkSession) as keep:
+        groups = near_duplicates(docs, bucket).where("doc_id <> component_id")
+        if similarity is not None:
+            known = stored(groups.select(F.col("doc_id").alias("a"), F.col("component_id").alias("b")), "near_links")
+            groups = components(jaccard.links(docs, shingle, similarity, known, **options)).select(F.col("node").alias("doc_id"))
+        gone = stored(groups.select("doc_id"), "near")
+        keep(gone)
+    return keyed(docs, gone, "left_anti")

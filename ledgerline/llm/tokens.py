@@ -115,7 +115,7 @@ class Encoder:
         self.ends = np.zeros(1, np.int64)  # 0, then the end of each piece there
 
     def _library(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        found = [e.ids for e in self.library.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)]
+        found = [e.ids for k in range(0, len(texts), 4096) for e in self.library.encode_batch_fast([t.decode() for t in texts[k : k + 4096]], add_special_tokens=False)]
         return np.array([k for ids in found for k in ids], self.dtype), np.fromiter(map(len, found), np.int64, len(found))
 
     def _words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:

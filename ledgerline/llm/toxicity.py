@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .base import drawn, raw, shipped, slices, small, stored
+from .base import drawn, raw, shipped, slices, small, stored, tidied
 
 SAMPLE, CLASSIFIER_ROWS, LEAST_Z, LEAST_ODDS, LEAST_ROWS, STRONG_Z, KEPT = 4000, 20000, 5.0, 2.0, 4, 10.0, 200_000
 STARTS, ENDING = (4, 5, 6), 4
@@ -88,7 +88,7 @@ def labelled_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def mine(rows: DataFrame, n: tuple[int, int]) -> list[tuple[bytes, float]]:
     """All entries that toxic rows hold beyond chance, and how far beyond (z), the strongest first."""
-    counts = rows.mapInArrow(_count, "entry binary, clean bigint, toxic bigint").groupBy("entry").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    counts = rows.mapInArrow(tidied(_count), "entry binary, clean bigint, toxic bigint").groupBy("entry").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     clean, toxic = F.col("clean"), F.col("toxic")
     expected = (clean + toxic) * (n[1] / (n[0] + n[1]))
     odds = F.log((toxic + 0.5) / (n[1] + 1)) - F.log((clean + 0.5) / (n[0] + 1))
@@ -212,7 +212,7 @@ def looked(docs: DataFrame, voters: Voters) -> DataFrame:
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array([v for v, _ in seen], pa.int32()), pa.array([h for _, h in seen], pa.list_(pa.int32()))], ["doc_id", "votes", "hits"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return stored(docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, votes int, hits array<int>"), "looked")
+    return stored(docs.select("doc_id", "text").mapInArrow(tidied(run), f"doc_id {kind}, votes int, hits array<int>"), "looked")
 
 
 def known_labels(labels: DataFrame) -> DataFrame:
@@ -253,7 +253,7 @@ def scores(seen: DataFrame, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(score(part.column(1).to_numpy(zero_copy_only=False), part.column(2).flatten().to_numpy(zero_copy_only=False), counts))], ["doc_id", "score"])
 
     kind = seen.schema["doc_id"].dataType.simpleString()
-    out = seen.mapInArrow(run, f"doc_id {kind}, score double")
+    out = seen.mapInArrow(tidied(run), f"doc_id {kind}, score double")
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 

@@ -24,7 +24,7 @@ import xxhash
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 
-from .base import per_worker, raw, scratch, slices
+from .base import per_worker, raw, scratch, slices, tidied
 
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 # Words of hosts that sell gambling, drugs, pornography or pirated software.
@@ -135,7 +135,7 @@ def judge(pages: DataFrame, rules: Iterable[tuple[str, str, str]] | DataFrame =
             yield pa.RecordBatch.from_arrays([batch.column(0), text([h for h, _ in split]), text([p for _, p in split]), text(rules), pa.array(verdicts, pa.string())], ["page_id", "host", "path", "rule", "verdict"])
 
     kind = pages.schema["page_id"].dataType.simpleString()
-    return pages.select("page_id", "url").mapInArrow(run, f"page_id {kind}, host string, path string, rule string, verdict string")
+    return pages.select("page_id", "url").mapInArrow(tidied(run), f"page_id {kind}, host string, path string, rule string, verdict string")
 
 
 ORACLE = f"""

@@ -210,7 +210,7 @@ def test_containment_of_repeated_and_shared_items(spark):
     frame, bench = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3), spark.createDataFrame(items, "item_id bigint, text string")
     got = {(r["doc_id"], r["item_id"]): r["n_shared"] for r in decontam.contaminated(frame, bench).collect()}
     assert got == want and {(20, 20), (33, 33), (None, 29), (None, None)} <= set(want)
-    _, sets_, sizes = decontam.item_sets(bench)
+    _, sets_, sizes, _ = decontam.item_sets(bench)
     assert decontam.candidates(frame, base.stored(decontam.sketches(sets_), "sketches"), sizes).count() < 30  # not 200 for each document
 
 
@@ -273,6 +273,20 @@ def test_token_columns_with_a_special_token(spark):
     assert {r["doc_tokens"] for r in packing.packed(frame).where("doc_id = 1").collect()} == {5}
 
 
+def test_scratch_tables_are_deleted(spark, docs):
+    import os
+
+    with base.passing(spark) as keep:
+        a, b = base.stored(spark.range(3), "a"), base.stored(spark.range(4), "b")
+        keep(b)
+    there = lambda t: os.path.exists(t._scratch.removeprefix("file://"))
+    assert not there(a) and there(b) and b.count() == 4
+    before = set(os.listdir(os.path.dirname(b._scratch.removeprefix("file://"))))
+    simhash.representatives(docs, 0.8).count()
+    new = set(os.listdir(os.path.dirname(b._scratch.removeprefix("file://")))) - before
+    assert {n.rsplit("-", 1)[0] for n in new} <= {"near", "stars"}
+
+
 def test_slices_by_size():
     batch = pa.RecordBatch.from_arrays([pa.array(range(7)), pa.array(["abcd", None, "", "x" * 50, "ab", "cd", "e"])], ["k", "t"])
     got = [b.column(0).to_pylist() for b in base.sized(iter([batch, batch.slice(0, 0)]), 1, 4)]
