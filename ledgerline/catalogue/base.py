@@ -42,7 +42,7 @@ def orders(spark: SparkSession, d: str) -> DataFrame:
 def places(spark: SparkSession, d: str) -> DataFrame:
     c, n, r = read(spark, d, "customer"), read(spark, d, "nation"), read(spark, d, "region")
     geo = n.join(F.broadcast(r), n["n_regionkey"] == r["r_regionkey"]).select("n_nationkey", "n_name", "r_regionkey", "r_name")  # 25 nations
-    return c.join(F.broadcast(geo), c["c_nationkey"] == geo["n_nationkey"]).select("c_custkey", "n_name", "r_regionkey", "r_name")
+    return c.join(F.broadcast(geo), c["c_nationkey"] == geo["n_nationkey"]).select("c_custkey", "n_nationkey", "n_name", "r_regionkey", "r_name")
 
 
 def rate(month: str, region: str, extra: int = 0) -> Column:
@@ -65,6 +65,14 @@ def facts(spark: SparkSession, d: str) -> DataFrame:
     return joined.withColumn("bucket", bucket("dpd")).withColumn("bucket_order", bucket("dpd", True)).withColumn("eur", to_eur("price", "rate_end"))
 
 
+def judged(spark: SparkSession, checks, tables: dict[str, DataFrame]) -> DataFrame:
+    """The results of checks over these tables: check_name, rows_checked, rows_failed, passed, detail."""
+    from ..operators import quality
+
+    results = quality.evaluate(checks, tables.__getitem__)
+    return spark.createDataFrame([(r.id, r.rows_checked, r.rows_failed, r.passed, r.detail) for r in results], "check_name string, rows_checked bigint, rows_failed bigint, passed boolean, detail string")
+
+
 PRE = """
 WITH li AS (SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity::DECIMAL(12,2) AS qty, l_extendedprice::DECIMAL(12,2) AS price, l_discount::DECIMAL(6,2) AS discount, l_returnflag AS flag, l_linestatus AS status, l_shipdate::DATE AS ship FROM lineitem),
 o AS (SELECT o_orderkey, o_custkey, o_orderstatus AS st, o_totalprice::DECIMAL(12,2) AS total, o_orderdate::DATE AS odate, last_day(o_orderdate::DATE) AS m FROM orders),
@@ -88,7 +96,7 @@ def query(sql: str | None = None, pre: bool = True):
     def register(f):
         QUERIES[f.__name__] = f
         if sql is not None:
-            ORACLES[f.__name__] = (PRE if pre else "") + ("" if pre else "") + sql
+            ORACLES[f.__name__] = (PRE if pre else "") + sql
         return f
 
     return register

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
+from .. import functions as fn
+from .. import ops
 from ..operators import quality as q
 from ..operators import relational as rel
-from .base import dbl, lines, orders, query, read, txt
+from ..plans import checks
+from .aggregates import orders_by_place
+from .base import dbl, judged, lines, orders, query, read, txt
 
 
 def _one(df, check):
@@ -35,10 +41,23 @@ def dq_range(spark, d):
     return q.scorecard(v, [q.value_range("l", "v", 3, 40), q.value_range("l", "v", 3, 40, allow_null=True)]).select("n", F.col("failed_0").alias("strict"), F.col("failed_1").alias("lenient"))
 
 
-@query("SELECT count(*) AS orphans FROM (SELECT nullif(l_orderkey % 5, 0) * 0 + l_orderkey AS k FROM li) WHERE k IS NOT NULL AND k NOT IN (SELECT o_orderkey FROM o WHERE o_orderkey % 3 <> 0)")
+_FK = "SELECT (SELECT count(l_orderkey) FROM li)::BIGINT AS keys_order, (SELECT count(*) FROM li WHERE l_orderkey NOT IN (SELECT o_orderkey FROM o WHERE st = 'F'))::BIGINT AS lost_order, (SELECT count(*) FROM li WHERE flag <> 'A')::BIGINT AS keys_part, (SELECT count(*) FROM li WHERE flag <> 'A' AND l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size > 10))::BIGINT AS lost_part"
+
+
+@query(_FK)
 def dq_referential(spark, d):
-    child = lines(spark, d).select((F.nullif(F.col("l_orderkey") % 5, F.lit(0)) * 0 + F.col("l_orderkey")).alias("k"))
-    return q.orphans(child, "k", orders(spark, d).where("o_orderkey % 3 <> 0"), "o_orderkey").agg(F.count("*").alias("orphans"))
+    """Two foreign keys of one table in one pass; null keys do not count."""
+    child = lines(spark, d).select("l_orderkey", F.when(F.col("flag") != "A", F.col("l_partkey")).alias("l_partkey"))
+    tables = {"lines": child, "orders": orders(spark, d).where("st = 'F'"), "parts": read(spark, d, "part").where("p_size > 10")}
+    wide = judged(spark, [q.referential("lines", "l_orderkey", "orders", "o_orderkey"), q.referential("lines", "l_partkey", "parts", "p_partkey")], tables)
+    pick = lambda name, column: F.max(F.when(F.col("check_name").endswith(name), F.col(column)))
+    return wide.agg(pick("ref_orders", "rows_checked").alias("keys_order"), pick("ref_orders", "rows_failed").alias("lost_order"), pick("ref_parts", "rows_checked").alias("keys_part"), pick("ref_parts", "rows_failed").alias("lost_part"))
+
+
+@query("SELECT count(*) AS n FROM (SELECT l_orderkey AS k FROM li WHERE flag <> 'A') WHERE k NOT IN (SELECT o_orderkey FROM o WHERE st = 'F')")
+def orphan_rows(spark, d):
+    child = lines(spark, d).select(F.when(F.col("flag") != "A", F.col("l_orderkey")).alias("k"))
+    return q.orphans(child, "k", orders(spark, d).where("st = 'F'"), "o_orderkey").agg(F.count("*").alias("n"))
 
 
 @query("SELECT count(*) AS n, count(*) FILTER (WHERE NOT coalesce(nullif(st, 'P') = 'F', false)) AS failed FROM o")
@@ -46,41 +65,75 @@ def dq_expression(spark, d):
     return _one(orders(spark, d), q.expression("orders", "finished", "nullif(st, 'P') = 'F'"))
 
 
-@query("SELECT (SELECT count(*) FROM li) AS a, (SELECT count(*) FROM li WHERE flag <> 'R') AS b, ((SELECT count(*) FROM li) - (SELECT count(*) FROM li WHERE flag <> 'R')) AS gap")
+@query("SELECT (SELECT count(*) FROM li) AS rows_checked, ((SELECT count(*) FROM li) - (SELECT count(*) FROM li WHERE flag <> 'R')) AS rows_failed")
 def dq_row_count_match(spark, d):
-    return lines(spark, d).agg(F.count("*").alias("a"), F.count_if(F.expr("flag <> 'R'")).alias("b")).withColumn("gap", F.abs(F.col("a") - F.col("b")))
+    tables = {"lines": lines(spark, d), "kept": lines(spark, d).where("flag <> 'R'")}
+    return judged(spark, [q.row_count_match("lines", "kept")], tables).select("rows_checked", "rows_failed")
 
 
-@query("SELECT (SELECT sum(price) FROM li)::DOUBLE AS a, coalesce((SELECT sum(price) FROM li WHERE flag = 'X'), 0)::DOUBLE AS b")
+@query("SELECT count(*) AS rows_checked, (abs(sum(price) - sum(CASE WHEN flag <> 'X' THEN price ELSE 0 END)) > 0.01)::BIGINT AS same, (abs(sum(price) - sum(CASE WHEN flag <> 'R' THEN price ELSE 0 END)) > 0.01)::BIGINT AS other, 1::BIGINT AS against_nothing FROM li")
 def dq_sum_match(spark, d):
-    a, b = q.total(lines(spark, d), "price"), q.total(lines(spark, d).where("flag = 'X'"), "price")
-    return a.select(dbl("s").alias("a")).crossJoin(b.select(dbl("s").alias("b")))  # one row each
+    li = lines(spark, d)
+    tables = {"lines": li, "same": li.where("flag <> 'X'"), "other": li.where("flag <> 'R'"), "nothing": li.where("flag = 'X'")}
+    got = judged(spark, [q.sum_match("lines", "price", t) for t in ("same", "other", "nothing")], tables)
+    failed = lambda t: F.max(F.when(F.col("check_name").endswith(f"_{t}"), F.col("rows_failed")))
+    return got.agg(F.max("rows_checked").alias("rows_checked"), failed("same").alias("same"), failed("other").alias("other"), failed("nothing").alias("against_nothing"))
 
 
-@query("SELECT arg_max(bad, day)::DOUBLE / arg_max(n, day)::DOUBLE AS rate FROM (SELECT ts::DATE AS day, count(*) AS n, count(*) FILTER (WHERE event_type = 'error') AS bad FROM events GROUP BY 1)", pre=False)
+@query("SELECT * FROM (SELECT entity || '' AS entity, 1::BIGINT AS rows_checked, (arg_max(bad, day)::DOUBLE / arg_max(n, day)::DOUBLE > 0.2)::BIGINT AS rows_failed FROM (SELECT event_type AS entity, ts::DATE AS day, count(*) AS n, count(*) FILTER (WHERE value > 80) AS bad FROM events GROUP BY 1, 2) GROUP BY entity)", pre=False)
 def dq_quarantine_rate(spark, d):
-    loads = read(spark, d, "events").groupBy(F.col("ts").cast("date").alias("day")).agg(F.count("*").alias("n"), F.count_if(F.expr("event_type = 'error'")).alias("bad"))
-    return loads.agg((dbl(F.max_by("bad", "day")) / dbl(F.max_by("n", "day"))).alias("rate"))
+    """A day of events is a load, an event of a large value a refused row."""
+    loads = read(spark, d, "events").groupBy(F.col("event_type").alias("entity"), F.col("ts").cast("date").alias("loaded_at")).agg(F.count("*").alias("bronze_rows"), F.count_if(F.expr("value > 80")).alias("quarantined_rows"))
+    kinds = ["view", "signup", "purchase", "error", "click"]
+    got = judged(spark, [checks.quarantine_rate(e, 0.2) for e in kinds], {"silver_load_audit": loads})
+    return got.select(F.replace(F.element_at(F.split("check_name", "[.]"), -1), F.lit("quarantine_rate_"), F.lit("")).alias("entity"), "rows_checked", "rows_failed")
+
 
+_MONTHS = ("1995-01-31", "2001-12-31")
 
-@query("SELECT m::VARCHAR AS month_end, st FROM (SELECT DISTINCT m FROM o), (SELECT DISTINCT st FROM o) WHERE (m, st) NOT IN (SELECT (m, st) FROM o WHERE o_orderkey % 40 = 0)")
+
+@query("SELECT (84 * 5 - count(*))::BIGINT AS missing FROM (SELECT DISTINCT m, r_regionkey FROM o JOIN pl ON o_custkey = c_custkey WHERE st = 'P' AND m BETWEEN DATE '1995-01-31' AND DATE '2001-12-31')")
 def dq_fx_coverage(spark, d):
-    o = orders(spark, d)
-    wanted = o.select("m").distinct().crossJoin(o.select("st").distinct())  # months by codes
-    return wanted.join(o.where("o_orderkey % 40 = 0").select("m", "st"), ["m", "st"], "left_anti").select(txt("m").alias("month_end"), "st")
+    """A region's rate of a month is known where it has an open order; the check counts what is missing from the window."""
+    known = orders_by_place(spark, d).where("st = 'P'").select(F.col("m").alias("month_end"), F.col("r_regionkey").cast("string").alias("currency"))
+    got = judged(spark, [checks.fx_coverage("ERROR", _MONTHS, [str(k) for k in range(5)])], {"silver_fx_rates": known})
+    return got.select((F.lit(420) - F.regexp_extract("detail", "^([0-9]+) of", 1).cast("bigint")).alias("missing"))
+
 
+_RATES = "SELECT m, (count(*) FILTER (WHERE st = 'F'))::DOUBLE / count(*)::DOUBLE AS r FROM o GROUP BY m"
 
-@query("SELECT avg(CASE WHEN r = round(r, 2) THEN 1.0 ELSE 0.0 END) > 0.5 AS truncated, count(*) AS n FROM (SELECT (count(*) FILTER (WHERE st = 'F'))::DOUBLE / count(*) AS r FROM o GROUP BY m)")
+
+@query(f"SELECT 1::BIGINT AS rows_checked, (avg(CASE WHEN r = round(r, 6) THEN 1.0 ELSE 0.0 END) > 0.5)::BIGINT AS whole, 1::BIGINT AS cut FROM ({_RATES}) WHERE r <> 0")
 def dq_truncated_rates(spark, d):
-    r = orders(spark, d).groupBy("m").agg((F.count_if(F.expr("st = 'F'")).cast("double") / F.count("*")).alias("r"))
-    return r.agg((F.avg((F.col("r") == F.round("r", 2)).cast("int")) > 0.5).alias("truncated"), F.count("*").alias("n"))
+    """The check passes rates as divided, and fails the same rates cut at six digits."""
+    r = orders(spark, d).groupBy("m").agg(fn.ratio(F.count_if(F.expr("st = 'F'")), F.count("*")).alias("value")).withColumn("kpi", F.lit("approval_rate"))
+    one = lambda df: judged(spark, [checks.rates_not_truncated()], {checks.KPI: df}).select("rows_checked", F.col("rows_failed"))
+    whole, cut = one(r), one(r.withColumn("value", F.floor(F.col("value") * 1e6) / 1e6))
+    return whole.withColumnRenamed("rows_failed", "whole").crossJoin(cut.select(F.col("rows_failed").alias("cut")))  # one row each
 
 
-@query("SELECT max(abs(g - s))::DOUBLE AS gap FROM (SELECT m, sum(total) AS g FROM o GROUP BY m) JOIN (SELECT m, sum(total) AS s FROM o WHERE st <> 'P' GROUP BY m) USING (m)")
+@query("SELECT 1::BIGINT AS rows_checked, 0::BIGINT AS rows_failed")
 def dq_group_equals_sum(spark, d):
-    o = orders(spark, d)
-    j = o.groupBy("m").agg(F.sum("total").alias("g")).join(o.where("st <> 'P'").groupBy("m").agg(F.sum("total").alias("s")), "m")
-    return j.agg(dbl(F.max(F.abs(F.col("g") - F.col("s")))).alias("gap"))
+    """The KPI table that the operators make of the testdata passes."""
+    from .reporting import variant_rows
+
+    return judged(spark, [checks.group_equals_sum("new_accounts")], {checks.KPI: variant_rows(spark, d)}).select("rows_checked", "rows_failed")
+
+
+@query("SELECT (count(*) FILTER (WHERE w > 3))::BIGINT AS failed FROM (SELECT l_suppkey, max(qty) - min(qty) AS w FROM li GROUP BY l_suppkey)")
+def dq_metric_at_most(spark, d):
+    """The limit itself passes: one check a supplier would be many, so the metric counts the suppliers beyond the width."""
+    width = lines(spark, d).groupBy("l_suppkey").agg((F.max("qty") - F.min("qty")).alias("w")).agg(F.count_if(F.expr("w > 3")).alias("n")).first()["n"]
+    at = lambda limit: q.metric_at_most("lines", f"at_{limit}", lambda read: (width, ""), limit)
+    got = judged(spark, [at(width), at(width - 1)], {})
+    return got.agg((F.sum("rows_failed") * width).alias("failed"))
+
+
+@query("SELECT l_orderkey, l_linenumber FROM (SELECT l_orderkey, l_linenumber FROM li GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1) ORDER BY l_orderkey::VARCHAR, l_linenumber::VARCHAR LIMIT 3")
+def dq_failing_sample(spark, d):
+    """The rows that a failed check names."""
+    detail = judged(spark, [q.unique("lines", ["l_orderkey", "l_linenumber"])], {"lines": lines(spark, d)}).select(F.explode(F.expr("slice(split(detail, '; '), 2, 3)")).alias("x"))
+    return detail.select(F.regexp_extract("x", "l_orderkey=([0-9]+)", 1).cast("bigint").alias("l_orderkey"), F.regexp_extract("x", "l_linenumber=([0-9]+)", 1).cast("int").alias("l_linenumber"))
 
 
 CARD = [q.not_null("l", ["ship"]), q.accepted_values("l", "flag", ["A", "N"]), q.value_range("l", "price", 1000, 90000), q.value_range("l", "qty", 1, 50), q.expression("l", "discounted", "discount > 0 AND price * discount > 50"), q.expression("l", "day", "ship = last_day(ship)", severity="WARN")]
@@ -98,36 +151,36 @@ def exact_share(spark, d):
 
 @query("SELECT entity, reasons, count(*) AS n, min(l_orderkey) AS example FROM (SELECT 'lines' AS entity, l_orderkey, array_to_string(list_filter([CASE WHEN qty < 5 THEN 'SMALL' END, CASE WHEN flag = 'R' THEN 'RETURNED' END], lambda x: x IS NOT NULL), ',') AS reasons FROM li) WHERE reasons <> '' GROUP BY entity, reasons")
 def quarantine_counts(spark, d):
-    _, bad = rel.split_valid(lines(spark, d), [("SMALL", F.col("qty") < 5), ("RETURNED", F.col("flag") == "R")])
+    bad = rel.refused(rel.tagged(lines(spark, d), [("SMALL", F.col("qty") < 5), ("RETURNED", F.col("flag") == "R")]))
     return bad.groupBy(F.lit("lines").alias("entity"), F.array_join("reasons", ",").alias("reasons")).agg(F.count("*").alias("n"), F.min("l_orderkey").alias("example"))
 
 
-@query("SELECT flag AS layer, status AS severity, count(*) FILTER (WHERE qty >= 5) AS passed, count(*) FILTER (WHERE NOT qty >= 5) AS failed FROM li GROUP BY flag, status")
+@query("SELECT 'not_null' AS kind, 1::BIGINT AS passed, 0::BIGINT AS failed UNION ALL SELECT 'range', (count(*) FILTER (WHERE n = 0))::BIGINT, (count(*) FILTER (WHERE n > 0))::BIGINT FROM (SELECT count(*) FILTER (WHERE qty < 5) AS n FROM li UNION ALL SELECT count(*) FILTER (WHERE price < 0) FROM li)")
 def dq_pass_fail(spark, d):
-    return lines(spark, d).groupBy(F.col("flag").alias("layer"), F.col("status").alias("severity")).agg(F.count_if(F.expr("qty >= 5")).alias("passed"), F.count_if(F.expr("NOT qty >= 5")).alias("failed"))
+    """Results as they are recorded, counted by kind."""
+    found = q.evaluate([q.not_null("lines", ["ship"]), q.value_range("lines", "qty", 5), q.value_range("lines", "price", 0)], lambda _: lines(spark, d))
+    table = q.result_frame(spark, found, "silver", "b1", datetime(2026, 9, 1))
+    return table.groupBy("kind").agg(F.count_if("passed").alias("passed"), F.count_if(~F.col("passed")).alias("failed"))
 
 
 @query("SELECT count(*) AS bronze, count(*) FILTER (WHERE qty < 5) AS quarantined, (count(*) FILTER (WHERE qty >= 5)) - count(DISTINCT CASE WHEN qty >= 5 THEN l_orderkey * 10 + l_linenumber END) AS duplicates, count(DISTINCT CASE WHEN qty >= 5 THEN l_orderkey * 10 + l_linenumber END) AS silver FROM li")
 def balance_equation(spark, d):
-    good, bad = rel.split_valid(lines(spark, d), [("SMALL", F.col("qty") < 5)])
-    kept = rel.latest(good, ["l_orderkey", "l_linenumber"], [F.col("ship").desc(), F.col("price").desc()])
+    rows = rel.tagged(lines(spark, d), [("SMALL", F.col("qty") < 5)])
+    kept = rel.newest(rel.passed(rows), ["l_orderkey", "l_linenumber"], ["ship", "price"])
     n = lambda df, name: df.agg(F.count("*").alias(name))
-    out = n(lines(spark, d), "bronze").crossJoin(n(bad, "quarantined")).crossJoin(n(good, "g")).crossJoin(n(kept, "silver"))  # one row each
-    return out.select("bronze", "quarantined", (F.col("g") - F.col("silver")).alias("duplicates"), "silver")
+    out = n(lines(spark, d), "bronze").crossJoin(n(rel.refused(rows), "quarantined")).crossJoin(kept.agg(F.sum(F.col(rel.COPIES) - 1).alias("duplicates"), F.count("*").alias("silver")))  # one row each
+    return out.select("bronze", "quarantined", "duplicates", "silver")
 
 
-@query("SELECT 'events' AS name, max(ts)::DATE::VARCHAR AS newest, date_diff('day', max(ts)::DATE, DATE '2024-02-10') AS age_days, date_diff('day', max(ts)::DATE, DATE '2024-02-10') > 5 AS stale FROM events UNION ALL SELECT 'orders', max(o_orderdate)::DATE::VARCHAR, date_diff('day', max(o_orderdate)::DATE, DATE '2024-02-10'), date_diff('day', max(o_orderdate)::DATE, DATE '2024-02-10') > 45 FROM orders", pre=False)
+@query("SELECT 'events' AS check_name, max(ts)::DATE::VARCHAR AS newest, round(date_diff('second', max(ts), TIMESTAMP '2024-02-10 00:00:00') / 3600.0, 6) AS age_hours, date_diff('second', max(ts), TIMESTAMP '2024-02-10 00:00:00') / 3600.0 > 120 AS is_stale FROM events UNION ALL SELECT 'orders', max(o_orderdate)::DATE::VARCHAR, round(date_diff('second', max(o_orderdate), TIMESTAMP '2024-02-10 00:00:00') / 3600.0, 6), true FROM orders UNION ALL SELECT 'nothing', NULL, NULL, true", pre=False)
 def freshness(spark, d):
-    def age(name, column, limit):
-        newest = F.max(F.col(column).cast("date"))
-        days = F.date_diff(F.lit("2024-02-10").cast("date"), newest).cast("bigint")
-        return read(spark, d, name).agg(F.lit(name).alias("name"), txt(newest).alias("newest"), days.alias("age_days"), (days > limit).alias("stale"))
-
-    return age("events", "ts", 5).unionByName(age("orders", "o_orderdate", 45))
+    as_of = datetime(2024, 2, 10)
+    seconds = lambda name, c: read(spark, d, name).withColumn(c, F.date_trunc("second", c))
+    tables = [(seconds("events", "ts"), ops.Freshness("events", "events", "ts", 120, "")), (seconds("orders", "o_orderdate"), ops.Freshness("orders", "orders", "o_orderdate", 1080, "")), (seconds("events", "ts"), ops.Freshness("nothing", "events", "ts", 1e9, "", "false"))]
+    out = rel.union([ops.ages(df, c, as_of) for df, c in tables])
+    return out.select("check_name", txt(F.to_date("latest_value")).alias("newest"), F.round("age_hours", 6).alias("age_hours"), "is_stale")
 
 
 @query("SELECT CASE WHEN count(*) FILTER (WHERE user_id = 7) > 0 THEN 7 ELSE arg_max(user_id, ts) END AS batch FROM events", pre=False)
 def alert_batch_choice(spark, d):
-    from ..ops import batch_to_judge
-
-    return batch_to_judge(read(spark, d, "events").withColumnRenamed("user_id", "batch_id"), "ts", 7).withColumnRenamed("batch_id", "batch")
+    return ops.batch_to_judge(read(spark, d, "events").withColumnRenamed("user_id", "batch_id"), "ts", 7).withColumnRenamed("batch_id", "batch")

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from .. import functions as fn
 from ..operators import relational as rel
-from .base import big, dbl, lines, orders, query, rates, read, rate, places, txt
+from ..plans import checks, silver
+from .base import big, dbl, judged, lines, orders, query, rates, read, rate, places, txt
 
 
 @query("SELECT o_orderkey, total::DOUBLE AS total, strftime(odate, '%Y%m%d')::INTEGER AS date_key, year(odate)::INTEGER AS y, quarter(odate)::INTEGER AS q, month(odate)::INTEGER AS mo, strftime(odate, '%b') AS month_name, strftime(odate, '%Y-%m') AS year_month, odate = m AS is_month_end FROM o")
@@ -41,35 +42,53 @@ RULES = [("CHEAP", "price <= 2000"), ("SMALL", "qty < 5"), ("RETURNED", "flag =
 
 @query("""SELECT reasons, count(*) AS n FROM (SELECT array_to_string(list_filter([CASE WHEN price <= 2000 THEN 'CHEAP' END, CASE WHEN qty < 5 THEN 'SMALL' END, CASE WHEN flag = 'R' THEN 'RETURNED' END], lambda x: x IS NOT NULL), ',') AS reasons FROM li) GROUP BY reasons""")
 def rules_reasons(spark, d):
-    good, bad = rel.split_valid(lines(spark, d), [(n, F.expr(e)) for n, e in RULES])
-    both = good.withColumn("reasons", F.array().cast("array<string>")).unionByName(bad)
+    rows = rel.tagged(lines(spark, d), [(n, F.expr(e)) for n, e in RULES])
+    both = rel.passed(rows).withColumn("reasons", F.array().cast("array<string>")).unionByName(rel.refused(rows))
     return both.groupBy(F.array_join("reasons", ",").alias("reasons")).agg(F.count("*").alias("n"))
 
 
 @query("SELECT count(*) FILTER (WHERE coalesce(nullif(st, 'P') = 'F', true)) AS failed, count(*) FILTER (WHERE NOT coalesce(nullif(st, 'P') = 'F', true)) AS passed FROM o")
 def null_rule_fails(spark, d):
-    good, bad = rel.split_valid(orders(spark, d), [("FINISHED", F.nullif("st", F.lit("P")) == "F")])
-    return bad.agg(F.count("*").alias("failed")).crossJoin(good.agg(F.count("*").alias("passed")))  # one row each
+    rows = rel.tagged(orders(spark, d), [("FINISHED", F.nullif("st", F.lit("P")) == "F")])
+    return rel.refused(rows).agg(F.count("*").alias("failed")).crossJoin(rel.passed(rows).agg(F.count("*").alias("passed")))  # one row each
 
 
-@query("""SELECT o_orderkey, '{"o_orderkey":' || o_orderkey || ',"st":"' || st || '"}' AS raw_record FROM o WHERE st = 'P'""")
+def delivered(spark, d, *columns):
+    """Rows as a feed delivers them: as text, with lineage; a month of orders is a file."""
+    o = orders(spark, d)
+    raw = F.struct(*[txt(c).alias(c) for c in columns], F.lit(None).cast("string").alias("left_out"))
+    return o.withColumns({"_raw": raw, "_source_file": F.concat(F.lit("landing/"), txt("m"), F.lit(".csv")), "_batch_id": F.lit("b1")})
+
+
+@query("""SELECT 'orders' AS entity, 'OPEN' || CASE WHEN total > 100000 THEN ',LARGE' ELSE '' END AS reasons, 'landing/' || m::VARCHAR || '.csv' AS source_file, '{"o_orderkey":"' || o_orderkey || '","st":"' || st || '"}' AS raw_record, 'b1' AS batch_id FROM o WHERE st = 'P'
+UNION ALL SELECT 'orders', 'LARGE', 'landing/' || m::VARCHAR || '.csv', '{"o_orderkey":"' || o_orderkey || '","st":"' || st || '"}', 'b1' FROM o WHERE st <> 'P' AND total > 100000""")
 def quarantine_json(spark, d):
-    _, bad = rel.split_valid(orders(spark, d), [("OPEN", F.col("st") == "P")])
-    return bad.select("o_orderkey", F.to_json(F.struct("o_orderkey", "st", F.lit(None).cast("string").alias("left_out"))).alias("raw_record"))
+    rows = rel.tagged(delivered(spark, d, "o_orderkey", "st"), [("OPEN", F.col("st") == "P"), ("LARGE", F.col("total") > 100000)])
+    return rel.quarantine(rows, "orders").drop("quarantined_at")
 
 
-@query("""SELECT l_suppkey, count(*) AS n, sum(price)::DOUBLE AS amount, sum(price)::DOUBLE + (l_suppkey % 2)::DOUBLE AS expected, l_suppkey % 2 <> 0 AS mismatch FROM li GROUP BY l_suppkey""")
+@query("""SELECT (n - (month(m) = 3)::INTEGER)::BIGINT AS expected_rows, 'PL' AS country_feed, 'landing/' || m::VARCHAR AS source_file, s::DOUBLE AS expected_amount FROM (SELECT m, count(*) AS n, sum(total) AS s FROM o GROUP BY m)""")
 def trailer_control_totals(spark, d):
-    actual = lines(spark, d).groupBy("l_suppkey").agg(F.count("*").alias("n"), F.sum("price").alias("amount"))
-    control = lines(spark, d).groupBy(F.col("l_suppkey").alias("file")).agg((F.sum("price") + (F.first("l_suppkey") % 2).cast("decimal(12,2)")).alias("expected"))
-    j = control.join(actual, control["file"] == actual["l_suppkey"], "left")
-    return j.select("l_suppkey", "n", dbl("amount").alias("amount"), dbl("expected").alias("expected"), (F.abs(F.col("amount") - F.col("expected")) > 0.01).alias("mismatch"))
+    return silver.trailers(balances_as_delivered(spark, d)).select("expected_rows", "country_feed", "source_file", dbl("expected_amount").alias("expected_amount"))
+
+
+def balances_as_delivered(spark, d):
+    """Orders as a file of balances a month, each closed by its control line; in March the line announces one row less."""
+    o = orders(spark, d).select(txt("o_orderkey").alias("account_id"), txt("odate").alias("snapshot_date"), txt("st").alias("country_code"), txt("total").alias("balance_local"), "m", "total")
+    last = o.groupBy("m").agg(F.lit("TRL").alias("account_id"), txt(F.count("*") - F.when(F.month("m") == 3, 1).otherwise(0)).alias("snapshot_date"), txt(F.sum("total")).alias("country_code"), F.lit(None).cast("string").alias("balance_local"))
+    named = o.drop("total").unionByName(last)
+    return named.select("account_id", "snapshot_date", "country_code", "balance_local", F.concat(F.lit("landing/"), txt("m")).alias("_source_file"), F.lit("PL").alias("_country_feed"), F.lit("b1").alias("_batch_id"))
+
+
+@query("SELECT count(*) AS rows_checked, count(*) FILTER (WHERE month(m) = 3) AS rows_failed FROM (SELECT DISTINCT m FROM o)")
+def dq_control_totals(spark, d):
+    rows = balances_as_delivered(spark, d)
+    return judged(spark, [checks.control_totals()], {"bronze_balances": rows, "silver_control_totals": silver.trailers(rows)}).select("rows_checked", "rows_failed")
 
 
 @query("SELECT l_orderkey, l_linenumber, ship::VARCHAR AS ship, price::DOUBLE AS price FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY ship DESC, price DESC, l_partkey DESC, l_suppkey DESC) AS k FROM li) WHERE k = 1")
 def dedup_latest(spark, d):
-    order = [F.col(c).desc() for c in ("ship", "price", "l_partkey", "l_suppkey")]
-    return rel.latest(lines(spark, d), ["l_orderkey", "l_linenumber"], order).select("l_orderkey", "l_linenumber", txt("ship").alias("ship"), dbl("price").alias("price"))
+    return rel.newest(lines(spark, d), ["l_orderkey", "l_linenumber"], ["ship", "price", "l_partkey", "l_suppkey"]).select("l_orderkey", "l_linenumber", txt("ship").alias("ship"), dbl("price").alias("price"))
 
 
 @query("SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) AS k FROM events) WHERE k = 1", pre=False)
@@ -97,7 +116,7 @@ def anti_join_new_files(spark, d):
 
 @query("SELECT strftime(t, '%Y%m%d')::INTEGER AS date_key, t::DATE::VARCHAR AS day, quarter(t)::INTEGER AS quarter, strftime(t, '%b') AS month_name, strftime(t, '%Y-%m') AS year_month, last_day(t)::VARCHAR AS month_end, t::DATE = last_day(t) AS is_month_end FROM range(TIMESTAMP '1995-01-01', TIMESTAMP '2002-01-01', INTERVAL 1 DAY) r(t)", pre=False)
 def dim_date(spark, d):
-    return rel.days(spark, "1995-01-01", "2001-12-31").select("date_key", txt("date").alias("day"), "quarter", "month_name", "year_month", txt("month_end").alias("month_end"), "is_month_end")
+    return rel.calendar(spark, "1995-01-01", "2001-12-31").select("date_key", txt("date").alias("day"), "quarter", "month_name", "year_month", txt("month_end").alias("month_end"), "is_month_end")
 
 
 @query("SELECT band, count(*) AS n FROM (SELECT CASE WHEN age <= 29 THEN '18-29' WHEN age <= 44 THEN '30-44' WHEN age <= 59 THEN '45-59' ELSE '60+' END AS band FROM (SELECT CASE WHEN o_orderkey % 7 <> 0 THEN 18 + o_orderkey % 60 END AS age FROM o)) GROUP BY band")
@@ -166,7 +185,7 @@ def exists_probe(spark, d):
 def latest_delivery_resend(spark, d):
     e = read(spark, d, "events").withColumn("v", F.lit(1))
     again = e.where("event_id % 2 = 0").withColumn("value", F.col("value") + 1).withColumn("v", F.lit(2))
-    return rel.latest(rel.union([e, again]), ["user_id", "event_type"], [F.col("v").desc(), F.col("ts").desc(), F.col("event_id").desc()]).select("user_id", "event_type", "value")
+    return rel.newest(rel.union([e, again]), ["user_id", "event_type"], ["v", "ts", "event_id"]).select("user_id", "event_type", "value")
 
 
 @query("SELECT l_suppkey AS file, count(*) AS n FROM li GROUP BY l_suppkey")

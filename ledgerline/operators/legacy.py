@@ -1,51 +1,136 @@
-"""The legacy pack as relational formulas, with its faults as switches, and the extracts it was fed with."""
+"""The legacy pack as relational formulas, with its faults as switches, and the extracts it was fed with.
+
+All figures follow from one small sheet, a row a month and country, which is summed in a single pass over the cube. The pack
+as found and the same with one fault after another mended are columns of that sheet, so no stage costs a scan of its own.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Collection
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import ratio_or_zero, sum_if
+from .relational import measured, outer_zero, previous_month, unpivot
 
 FAULTS = ("F1", "F2", "F3")
 FIXED_RATE = 0.2012  # fixed value: the rate typed into the third country's tab
+STAGES = ["legacy_published", *[f"legacy_after_{f}" for f in FAULTS]]
+SHEET = ["month_end", "scope"]
+
+
+class FixDidNotApply(RuntimeError):
+    """A mended fault changes another number of cells than it should: the pack is not the one the fault was found in."""
 
 
 def cube(facts: DataFrame, buckets: DataFrame) -> DataFrame:
-    """month_end, scope, line, product, dpd_min, accounts, balance (cents); facts carry a bucket label, buckets its lower bound."""
-    return facts.join(F.broadcast(buckets), "bucket").groupBy("month_end", "scope", "line", "product", "dpd_min").agg(F.count("*").alias("accounts"), F.round(F.sum("balance"), 2).cast("decimal(18,2)").alias("balance"))
+    """month_end, scope, line, product, dpd_min, accounts, balance (cents), rate and the sums of further columns new_*; facts
+    carry a bucket label and the month's rate, buckets the lower bound of each label."""
+    more = [F.sum(c).alias(c) for c in facts.columns if c.startswith("new_")]
+    totals = facts.groupBy("month_end", "scope", "line", "product", "bucket").agg(F.count("*").alias("accounts"), F.sum("balance").cast("decimal(38,2)").alias("balance"), F.max("rate").alias("rate"), *more)
+    return totals.join(F.broadcast(buckets.limit(1000)), "bucket").drop("bucket")  # labels of delinquency, a handful
+
+
+def sheet(cells: DataFrame, originations: DataFrame | None = None, applications: DataFrame | None = None) -> DataFrame:
+    """A row a month and country: the sums that the country tabs are made of. cells: cube. originations: month_end, scope,
+    opened, disbursed; applications: month_end, scope, received, approved (zero where not given)."""
+    c = F.col
+    money = "decimal(28,2)"
+    sums = cells.groupBy(*SHEET).agg(
+        sum_if("balance", c("line") == "Personal Loans").cast(money).alias("loans"), sum_if("balance", c("product").startswith("CC")).cast(money).alias("cards_by_code"), sum_if("balance", c("line") == "Credit Cards").cast(money).alias("cards_by_line"),
+        sum_if("balance", c("dpd_min") >= 30).cast(money).alias("late30"), sum_if("balance", c("dpd_min") >= 90).cast(money).alias("late90"), F.sum("balance").cast(money).alias("all_local"), F.sum("accounts").alias("accounts"), F.max("rate").cast("decimal(18,8)").alias("rate"),
+        *[F.sum(x).alias(x) for x in cells.columns if x.startswith("new_")],
+    )
+    out = previous_month(sums, "month_end", ["scope"], "late30", "late30_before").fillna(0, ["late30_before"])
+    for part, names in ((originations, ("opened", "disbursed")), (applications, ("received", "approved"))):
+        if part is None:
+            out = out.withColumns({n: F.lit(0).cast(money) for n in names})
+        else:
+            rate = out.select(*SHEET, "rate")
+            out = outer_zero(out.drop("rate"), part.select(*SHEET, *names), SHEET).join(rate, SHEET, "left")
+    return out
 
 
-def country_tab(cells: DataFrame, rates: DataFrame, fixed: Collection[str] = (), fixed_rate_scope: str = "") -> DataFrame:
-    """The figures of each country's tab. cells: cube; rates: month_end, scope, rate. `fixed` names the faults that are mended.
+def tab(rows: DataFrame, fixed: Collection[str] = (), fixed_rate_scope: str = "") -> DataFrame:
+    """The figures of each country's tab, beside the sheet's columns. `fixed` names the faults that are mended.
 
     F1: the second addend of the total sums products by a name prefix instead of by line. F2: one country converts at a typed
     rate. F3: the 30+ numerator is that of the month before.
     """
     c = F.col
-    second = c("line") == "Credit Cards" if "F1" in fixed else c("product").startswith("CC")
-    own = cells.groupBy("month_end", "scope").agg(
-        (sum_if("balance", c("line") == "Personal Loans") + sum_if("balance", second)).cast("decimal(18,2)").alias("total_local"), sum_if("balance", c("dpd_min") >= 30).alias("late30"), sum_if("balance", c("dpd_min") >= 90).alias("late90"),
-        F.sum("balance").alias("all_local"), F.sum("accounts").alias("accounts"),
-    )
-    before = own.select(F.last_day(F.add_months("month_end", 1)).alias("month_end"), "scope", F.col("late30").alias("late30_before"))
-    rated = own.join(before, ["month_end", "scope"], "left").join(F.broadcast(rates), ["month_end", "scope"], "left")
-    rate = c("rate").cast("decimal(18,8)") if "F2" in fixed else F.when(c("scope") == fixed_rate_scope, F.lit(FIXED_RATE).cast("decimal(18,8)")).otherwise(c("rate"))
-    numerator = c("late30") if "F3" in fixed else F.coalesce("late30_before", F.lit(0).cast("decimal(18,2)"))
-    return rated.select(
-        "month_end", "scope", (c("total_local") * rate).cast("double").alias("balance_eur"), ratio_or_zero(numerator, "all_local").alias("dpd30_rate"), ratio_or_zero("late90", "all_local").alias("dpd90_rate"),
-        "accounts", ratio_or_zero(c("total_local") * rate, "accounts").alias("avg_balance_eur"),
-    )
+    typed = F.when(c("scope") == fixed_rate_scope, F.lit(FIXED_RATE).cast("decimal(18,8)")).otherwise(c("rate"))
+    rate = c("rate") if "F2" in fixed else typed
+    total = (c("loans") + (c("cards_by_line") if "F1" in fixed else c("cards_by_code"))).cast("double")
+    balance = total * rate.cast("double")
+    figures = {
+        "portfolio_balance_eur": balance, "new_accounts": c("opened").cast("double"), "new_originations_eur": c("disbursed").cast("double") * rate.cast("double"),
+        "dpd30_rate": ratio_or_zero(c("late30") if "F3" in fixed else c("late30_before"), "all_local"), "dpd90_rate": ratio_or_zero("late90", "all_local"),
+        "approval_rate": ratio_or_zero("approved", "received"), "avg_balance_per_customer_eur": ratio_or_zero(balance, "accounts"),
+    }
+    return rows.select(*SHEET, "accounts", "received", "approved", *[value.alias(name) for name, value in figures.items()])
 
 
-def summary_tab(tabs: DataFrame) -> DataFrame:
+def summary(tabs: DataFrame) -> DataFrame:
     """The group tab: sums, and rates weighted by balance."""
-    weighted = lambda rate: ratio_or_zero(F.sum(F.col(rate) * F.col("balance_eur")), F.sum("balance_eur"))
-    return tabs.groupBy("month_end").agg(F.sum("balance_eur").alias("balance_eur"), weighted("dpd30_rate").alias("dpd30_rate"), weighted("dpd90_rate").alias("dpd90_rate"), F.sum("accounts").alias("accounts"), ratio_or_zero(F.sum("balance_eur"), F.sum("accounts")).alias("avg_balance_eur"))
+    weighted = lambda rate: ratio_or_zero(F.sum(F.col(rate) * F.col("portfolio_balance_eur")), F.sum("portfolio_balance_eur")).alias(rate)
+    added = lambda name: F.sum(name).alias(name)
+    return tabs.groupBy("month_end").agg(
+        F.lit("GROUP").alias("scope"), added("accounts"), added("received"), added("approved"), added("portfolio_balance_eur"), added("new_accounts"), added("new_originations_eur"), weighted("dpd30_rate"), weighted("dpd90_rate"),
+        ratio_or_zero(F.sum("approved"), F.sum("received")).alias("approval_rate"), ratio_or_zero(F.sum("portfolio_balance_eur"), F.sum("accounts")).alias("avg_balance_per_customer_eur"),
+    )
+
+
+# The figures of the pack.
+KPIS = ["portfolio_balance_eur", "new_accounts", "new_originations_eur", "dpd30_rate", "dpd90_rate", "approval_rate", "avg_balance_per_customer_eur"]
 
 
 def stages() -> list[tuple[str, frozenset]]:
     """The faulty pack and the same with one fault after another mended."""
-    return [("published", frozenset())] + [(f"after_{f}", frozenset(FAULTS[: k + 1])) for k, f in enumerate(FAULTS)]
+    return [(name, frozenset(FAULTS[:k])) for k, name in enumerate(STAGES)]
+
+
+def figures(rows: DataFrame, fixed_rate_scope: str = "") -> DataFrame:
+    """month_end, scope (countries and GROUP), kpi, and a column for each stage."""
+    every = None
+    for name, fixed in stages():
+        tabs = tab(rows, fixed, fixed_rate_scope)
+        both = tabs.unionByName(summary(tabs)).withColumn("stage", F.lit(name))
+        every = both if every is None else every.unionByName(both)
+    long = unpivot(every, [*SHEET, "stage"], [(k, "", F.col(k)) for k in KPIS], ("kpi", "_"))
+    return long.groupBy(*SHEET, "kpi").agg(*[F.max(F.when(F.col("stage") == s, F.col("value"))).alias(s) for s in STAGES])
+
+
+def cells_changed(rows: DataFrame, fixed_rate_scope: str = "") -> DataFrame:
+    """One row: how many cells of the pack each mended fault changes (a formula counts where its branch differs)."""
+    n = F.count("*")
+    return rows.agg(n.alias("F1"), (2 * F.count_if(F.col("scope") == fixed_rate_scope)).alias("F2"), n.alias("F3"))
+
+
+def require_cells(rows: DataFrame, expected: dict[str, int], fixed_rate_scope: str = "") -> None:
+    found = cells_changed(rows, fixed_rate_scope).first().asDict()
+    wrong = [f"{k} changes {found[k]} cells, expected {n}" for k, n in expected.items() if found[k] != n]
+    if wrong:
+        raise FixDidNotApply("; ".join(wrong))
+
+
+def product_lines(df: DataFrame, products: DataFrame, code: str = "product_code") -> DataFrame:
+    """df with the line of its product; a code that is not in the list is UNMAPPED."""
+    names = measured(products.select(F.col("product_code").alias("_code"), F.col("product_line").alias("line")))
+    return df.join(names, df[code] == F.col("_code"), "left").drop("_code").fillna("UNMAPPED", ["line"])
+
+
+def wide_rates(rates: DataFrame, currencies: Collection[str], value: str | Column = "rate_end") -> DataFrame:
+    """month_end and a column for each currency."""
+    v = F.col(value) if isinstance(value, str) else value
+    return rates.groupBy("month_end").agg(*[F.max(F.when(F.col("ccy") == c, v)).alias(c) for c in currencies])
+
+
+def monthly_path(daily: DataFrame, by: Collection[str], day: str, value: str) -> DataFrame:
+    """Mean and last value of each month of a daily path: month_end, the keys, n, mean, last."""
+    return daily.groupBy(F.last_day(day).alias("month_end"), *by).agg(F.count("*").alias("n"), F.avg(value).alias("mean"), F.max_by(value, day).alias("last"))
+
+
+def trailing(df: DataFrame, month: str, value: str, name: str, months: int = 12, keys: Collection[str] = ()) -> DataFrame:
+    """df with the sum of the last so many rows up to each month."""
+    return df.withColumn(name, F.sum(value).over(Window.partitionBy(*keys).orderBy(month).rowsBetween(1 - months, 0)))

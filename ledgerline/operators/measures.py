@@ -2,11 +2,15 @@
 
 Stocks are semi-additive: in each group they are those of the last date with an active balance. Late balances take the same
 date as the balance they are compared with. Measures of the month before shift the calendar, so a missing month gives null.
+
+A measure can be grouped by columns of its fact and, through the relationships, by `dimension.column`: only dimensions that are
+named, or that a role restricts, are joined. Facts are seen through the dimensions, so what a role may not see there is not
+counted either.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -51,8 +55,8 @@ MEASURES = [
     Measure("Repayments (EUR)", "Collections", "#,0", PAY, "flow", "sum(amount_eur)"),
     Measure("Quality checks run", "Trust", "#,0", "dq_results", "flow", "count(1)"),
     Measure("Quality checks failed", "Trust", "#,0", "dq_results", "flow", "count_if(NOT passed)"),
-    Measure("Legacy error effect (EUR)", "Trust", "#,0", "recon_attribution", "flow", "sum(if(class = 'LEGACY_ERROR' AND kpi = 'portfolio_balance_eur', amount, null))"),
-    Measure("Unexplained differences", "Trust", "#,0", "recon_attribution", "flow", "count_if(class = 'UNEXPLAINED')"),
+    Measure("Legacy error effect (EUR)", "Trust", "#,0", "recon_attribution", "flow", "sum(if(classification = 'LEGACY_ERROR' AND kpi = 'portfolio_balance_eur', amount, null))"),
+    Measure("Unexplained differences", "Trust", "#,0", "recon_attribution", "flow", "count_if(classification = 'UNEXPLAINED')"),
 ]
 BY_NAME = {m.name: m for m in MEASURES}
 
@@ -61,6 +65,83 @@ def _date(key: Column) -> Column:
     return F.to_date(key.cast("string"), "yyyyMMdd")
 
 
+# Many to one, single direction; facts carry their own country and product, so dimensions are not joined to others.
+RELATIONSHIPS = [
+    ("fact_balance_snapshot", "date_key", "dim_date", "date_key"),
+    ("fact_balance_snapshot", "account_id", "dim_account", "account_id"),
+    ("fact_balance_snapshot", "customer_id", "dim_customer", "customer_id"),
+    ("fact_balance_snapshot", "product_code", "dim_product", "product_code"),
+    ("fact_balance_snapshot", "country_code", "dim_country", "country_code"),
+    ("fact_origination", "date_key", "dim_date", "date_key"),
+    ("fact_origination", "account_id", "dim_account", "account_id"),
+    ("fact_origination", "customer_id", "dim_customer", "customer_id"),
+    ("fact_origination", "product_code", "dim_product", "product_code"),
+    ("fact_origination", "country_code", "dim_country", "country_code"),
+    ("fact_application", "date_key", "dim_date", "date_key"),
+    ("fact_application", "customer_id", "dim_customer", "customer_id"),
+    ("fact_application", "product_code", "dim_product", "product_code"),
+    ("fact_application", "country_code", "dim_country", "country_code"),
+    ("fact_repayment", "date_key", "dim_date", "date_key"),
+    ("fact_repayment", "account_id", "dim_account", "account_id"),
+    ("fact_repayment", "customer_id", "dim_customer", "customer_id"),
+    ("fact_repayment", "product_code", "dim_product", "product_code"),
+    ("fact_repayment", "country_code", "dim_country", "country_code"),
+    ("fx_rate_monthly", "month_end_key", "dim_date", "date_key"),
+]
+# Roles, the countries they may see, and the tables and columns that a role filters.
+ROLES = {"Poland country manager": ["PL"], "Czech country manager": ["CZ"], "Romania country manager": ["RO"], "Group reporting": None}
+SECURED = {"dim_country": "country_code", "dim_customer": "country_code", "dim_account": "country_code"}
+
+
+def secured(df: DataFrame, allowed: Sequence[str] | None, column: str = "country_code") -> DataFrame:
+    """The rows of these countries; None allows all."""
+    return df if allowed is None else df.where(F.col(column).isin(list(allowed)))
+
+
+class Model:
+    """The star with what a role may see of it. An unknown role sees nothing."""
+
+    def __init__(self, read: Callable[[str], DataFrame], role: str | None = "Group reporting", roles: Mapping[str, Sequence[str] | None] = ROLES, relationships: Sequence[tuple] = tuple(RELATIONSHIPS), secures: Mapping[str, str] = SECURED):
+        self._read, self.allowed, self.relationships, self.secures = read, roles.get(role, ()), relationships, secures
+
+    def table(self, name: str) -> DataFrame:
+        """A table as the role sees it: dimensions by their own column, facts through the secured dimensions they point to."""
+        df = self._read(name)
+        if self.allowed is None:
+            return df
+        if name in self.secures:
+            return secured(df, self.allowed, self.secures[name])
+        for fact, column, dimension, key in self.relationships:
+            if fact == name and dimension in self.secures:
+                seen = self.table(dimension).select(F.col(key).alias("_seen"))
+                df = df.join(seen, df[column] == F.col("_seen"), "left_semi")
+        return df
+
+    def joined(self, fact: str, attributes: Sequence[str]) -> DataFrame:
+        """The fact with the attributes `dimension.column` as columns of that name, dots for underscores."""
+        df = self.table(fact)
+        for dimension in dict.fromkeys(a.split(".")[0] for a in attributes if "." in a):
+            found = [(c, k) for f, c, d, k in self.relationships if f == fact and d == dimension]
+            if not found:
+                raise ValueError(f"{fact} has no relationship to {dimension}")
+            column, key = found[0]
+            wanted = [a.split(".")[1] for a in attributes if a.startswith(f"{dimension}.")]
+            other = self.table(dimension).select(F.col(key).alias("_key"), *[F.col(c).alias(f"{dimension}_{c}") for c in wanted])
+            df = df.join(other, df[column] == F.col("_key"), "left").drop("_key")
+        return df
+
+    def evaluate(self, name: str, by: Sequence[str] = (), months: bool = False) -> DataFrame:
+        """The measure for each group of `by`, with months for each month end too. A shifted measure needs months."""
+        facts: dict[str, DataFrame] = {}
+
+        def read(table: str) -> DataFrame:
+            if table not in facts:
+                facts[table] = self.joined(table, by)
+            return facts[table]
+
+        return evaluate(name, read, [b.replace(".", "_") for b in by], months)
+
+
 def evaluate(name: str, read, by: Sequence[str] = (), months: bool = False) -> DataFrame:
     """The measure for each group of `by` (columns of its fact); with months, for each month end too.
 
@@ -87,14 +168,3 @@ def evaluate(name: str, read, by: Sequence[str] = (), months: bool = False) -> D
         how = "left" if BY_NAME[n].kind == "shifted" else "full"
         out = own if out is None else out.join(own, keys, how) if keys else out.crossJoin(own)
     return out.select(*keys, F.expr(m.sql).alias(name))
-
-
-# Roles and the countries they may see.
-ROLES = {"Poland country manager": ["PL"], "Czechia country manager": ["CZ"], "Romania country manager": ["RO"], "Group": None}
-SECURED = {"dim_country": "country_code", "dim_customer": "country_code", "dim_account": "country_code"}
-
-
-def secured(df: DataFrame, role: str, column: str = "country_code") -> DataFrame:
-    """What the role may see; an unknown role sees nothing."""
-    allowed = ROLES.get(role, [])
-    return df if allowed is None else df.where(F.col(column).isin(allowed) if allowed else F.lit(False))

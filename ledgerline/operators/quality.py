@@ -1,4 +1,9 @@
-"""Declarative data-quality checks, fused: all row-level checks of a table share one scan.
+"""Declarative data-quality checks, fused: whatever the checks of a table count is counted in one pass over it.
+
+A check says which aggregates it needs of which tables, which foreign keys of its table are to be looked up, and how to judge
+the numbers. Aggregates of all checks over a table, foreign keys included, make one job; only grains (one row a key) and
+probes of several tables have jobs of their own. Rows that fail are looked for, three of them in a fixed order, only where a
+check failed.
 
 Polarity, as each kind has its own: an expression that is null fails; accepted_values fails null; value_range fails null
 unless told otherwise; referential ignores null keys; not_null counts a row once, whatever number of its columns is null.
@@ -7,28 +12,40 @@ unless told otherwise; referential ignores null keys; not_null counts a row once
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import MONEY, not_in
+from ..functions import not_in
 
 Resolver = Callable[[str], DataFrame]
+Verdict = tuple[int, int, str]
 RESULTS = "batch_id string, layer string, table_name string, check_name string, kind string, severity string, rows_checked bigint, rows_failed bigint, passed boolean, detail string, seconds double, checked_at timestamp"
+SAMPLE = 3
 
 
 @dataclass(frozen=True)
 class Check:
-    """Either `failing`, a column that is true for a failed row, or `probe`, which gives (checked, failed, detail)."""
+    """failing: a column that is true for a failed row. needs: aggregates by (table, name). key: a foreign key (column, parent,
+    column there). judge: the verdict on the numbers, those of `failing` being n and bad. probe: a verdict by other means."""
 
     table: str
     name: str
     kind: str
-    failing: Callable[[], Column] | None = None
-    probe: Callable[[Resolver], tuple[int, int, str]] | None = None
     severity: str = "ERROR"
+    failing: Callable[[], Column] | None = None
+    needs: Mapping[tuple[str, str], Callable[[], Column]] = field(default_factory=dict)
+    key: tuple[str, str, str] | None = None
+    judge: Callable[[Mapping], Verdict] | None = None
+    probe: Callable[[Resolver], Verdict] | None = None
+    offending: Callable[[Resolver], DataFrame] | None = None
+    sample: tuple[str, ...] = ()
+
+    @property
+    def id(self) -> str:
+        return f"{self.table}.{self.name}"
 
 
 @dataclass(frozen=True)
@@ -45,7 +62,7 @@ class Result:
 
     @property
     def id(self) -> str:
-        return f"{self.check.table}.{self.check.name}"
+        return self.check.id
 
 
 class GateFailed(RuntimeError):
@@ -60,11 +77,11 @@ def _any(conditions: Sequence[Column]) -> Column:
 
 
 def not_null(table: str, columns: Sequence[str], severity: str = "ERROR") -> Check:
-    return Check(table, "not_null", "not_null", lambda: _any([F.col(c).isNull() for c in columns]), severity=severity)
+    return Check(table, "not_null", "not_null", severity, lambda: _any([F.col(c).isNull() for c in columns]), sample=tuple(columns))
 
 
 def accepted_values(table: str, column: str, values: Sequence, severity: str = "ERROR") -> Check:
-    return Check(table, f"{column}_accepted", "accepted_values", lambda: not_in(column, values), severity=severity)
+    return Check(table, f"{column}.accepted_values", "accepted_values", severity, lambda: not_in(column, values), sample=(column,))
 
 
 def value_range(table: str, column: str, low=None, high=None, allow_null: bool = False, severity: str = "ERROR") -> Check:
@@ -73,21 +90,21 @@ def value_range(table: str, column: str, low=None, high=None, allow_null: bool =
         tests = ([c < low] if low is not None else []) + ([c > high] if high is not None else [])
         return F.coalesce(_any(tests), F.lit(False)) | (F.lit(not allow_null) & c.isNull())
 
-    return Check(table, f"{column}_range", "value_range", failing, severity=severity)
+    return Check(table, f"{column}.range", "range", severity, failing, sample=(column,))
 
 
-def expression(table: str, name: str, sql: str, severity: str = "ERROR") -> Check:
-    return Check(table, name, "expression", lambda: ~F.coalesce(F.expr(sql), F.lit(False)), severity=severity)
+def expression(table: str, name: str, sql: str, severity: str = "ERROR", sample: Sequence[str] = ()) -> Check:
+    return Check(table, name, "expression", severity, lambda: ~F.coalesce(F.expr(sql), F.lit(False)), sample=tuple(sample))
 
 
 def unique(table: str, key: Sequence[str], severity: str = "ERROR") -> Check:
     """Failed rows are those beyond the first of each key."""
 
-    def probe(read: Resolver) -> tuple[int, int, str]:
+    def probe(read: Resolver) -> Verdict:
         r = duplicates(read(table), key).first()
-        return r["n"], r["extra"], f"{r['keys']} keys repeat"
+        return r["n"], r["extra"], f"{r['keys']} keys repeat" if r["keys"] else ""
 
-    return Check(table, "unique", "unique", probe=probe, severity=severity)
+    return Check(table, "unique", "unique", severity, probe=probe, offending=lambda read: read(table).groupBy(*key).count().where("count > 1"), sample=tuple(key))
 
 
 def duplicates(df: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -102,41 +119,49 @@ def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str
 
 
 def referential(table: str, column: str, parent: str, parent_column: str | None = None, severity: str = "ERROR") -> Check:
-    def probe(read: Resolver) -> tuple[int, int, str]:
-        child = read(table)
-        return child.count(), orphans(child, column, read(parent), parent_column or column).count(), f"not in {parent}"
+    key = (column, parent, parent_column or column)
+    return Check(table, f"{column}.ref_{parent}", "referential_integrity", severity, key=key, offending=lambda read: orphans(read(table), column, read(parent), key[2]), sample=(column,))
+
 
-    return Check(table, f"{column}_in_{parent}", "referential", probe=probe, severity=severity)
+def _rows(table: str) -> dict:
+    return {(table, "n"): lambda: F.count("*")}
 
 
 def row_count_match(table: str, other: str, severity: str = "ERROR") -> Check:
-    def probe(read: Resolver) -> tuple[int, int, str]:
-        a, b = read(table).count(), read(other).count()
-        return a, abs(a - b), f"{a} rows, {b} in {other}"
+    def judge(v: Mapping) -> Verdict:
+        a, b = v[table, "n"], v[other, "n"]
+        return a, abs(a - b), f"{table}={a}, {other}={b}"
 
-    return Check(table, f"rows_match_{other}", "row_count_match", probe=probe, severity=severity)
+    return Check(table, f"rows_match_{other}", "reconciliation", severity, needs=_rows(table) | _rows(other), judge=judge)
 
 
-def total(df: DataFrame, column: str) -> Column:
-    return df.agg(F.coalesce(F.sum(F.col(column).cast(MONEY)), F.lit(0).cast(MONEY)).alias("s"))
+def total(df: DataFrame, column: str) -> DataFrame:
+    return df.agg(_sum(column).alias("s"))
+
+
+def _sum(column: str) -> Column:
+    return F.coalesce(F.sum(F.col(column).cast("decimal(38,2)")), F.lit(0).cast("decimal(38,2)"))
 
 
 def sum_match(table: str, column: str, other: str, other_column: str | None = None, tolerance: float = 0.01, severity: str = "ERROR") -> Check:
-    def probe(read: Resolver) -> tuple[int, int, str]:
-        a, b = total(read(table), column).first()["s"], total(read(other), other_column or column).first()["s"]
-        return 1, int(abs(a - b) > tolerance), f"{a} against {b}"
+    there = other_column or column
+
+    def judge(v: Mapping) -> Verdict:
+        a, b = v[table, f"sum_{column}"], v[other, f"sum_{there}"]
+        return v[table, "n"], int(abs(a - b) > tolerance), f"{table}={a}, {other}={b}, gap={abs(a - b)}"
 
-    return Check(table, f"{column}_sum_matches_{other}", "sum_match", probe=probe, severity=severity)
+    needs = _rows(table) | {(table, f"sum_{column}"): lambda: _sum(column), (other, f"sum_{there}"): lambda: _sum(there)}
+    return Check(table, f"{column}.sum_matches_{other}", "reconciliation", severity, needs=needs, judge=judge)
 
 
 def metric_at_most(table: str, name: str, metric: Callable[[Resolver], tuple[float, str]], limit: float, severity: str = "ERROR", kind: str = "metric") -> Check:
     """The limit itself passes."""
 
-    def probe(read: Resolver) -> tuple[int, int, str]:
+    def probe(read: Resolver) -> Verdict:
         value, detail = metric(read)
-        return 1, int(not value <= limit), detail
+        return 1, int(not value <= limit), f"{detail} (limit {limit})"
 
-    return Check(table, name, kind, probe=probe, severity=severity)
+    return Check(table, name, kind, severity, probe=probe)
 
 
 def scorecard(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
@@ -144,24 +169,75 @@ def scorecard(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     return df.agg(F.count("*").alias("n"), *[F.count_if(c.failing()).alias(f"failed_{k}") for k, c in enumerate(checks)])
 
 
-def evaluate(checks: Sequence[Check], read: Resolver) -> list[Result]:
-    """Results in the order of the checks."""
-    fused: dict[str, list[Check]] = {}
-    for c in checks:
+def with_parents(child: DataFrame, keys: Sequence[tuple[str, DataFrame, str]]) -> DataFrame:
+    """child with a column _found_k for each (column, parent, column there): true where the parent has the key. No row is added."""
+    out = child
+    for k, (column, parent, there) in enumerate(keys):
+        known = parent.select(F.col(there).alias(f"_key_{k}")).distinct().withColumn(f"_found_{k}", F.lit(True))
+        out = out.join(known, out[column] == F.col(f"_key_{k}"), "left").drop(f"_key_{k}")
+    return out
+
+
+def tallies(read: Resolver, table: str, checks: Sequence[Check]) -> dict:
+    """All numbers that the checks need of this table, from one pass: by (table, name), (check, "n") and (check, "bad")."""
+    own = [c for c in checks if c.table == table]
+    keyed = [c for c in own if c.key]
+    df = with_parents(read(table), [(c.key[0], read(c.key[1]), c.key[2]) for c in keyed])
+    wanted: dict = {name: make() for c in checks for (t, name), make in c.needs.items() if t == table}
+    plain = [F.count("*").alias("__n"), *[make.alias(f"__need_{name}") for name, make in wanted.items()]]
+    bad = [F.count_if(c.failing()).alias(f"__bad_{k}") for k, c in enumerate(own) if c.failing]
+    lost = [x for k, c in enumerate(keyed) for x in (F.count(c.key[0]).alias(f"__keys_{k}"), F.count_if(F.col(c.key[0]).isNotNull() & F.col(f"_found_{k}").isNull()).alias(f"__lost_{k}"))]
+    row = df.agg(*plain, *bad, *lost).first()
+    out: dict = {(table, name): row[f"__need_{name}"] for name in wanted}
+    for k, c in enumerate(own):
         if c.failing:
-            fused.setdefault(c.table, []).append(c)
-    found: dict[int, Result] = {}
-    for table, own in fused.items():
+            out[c.id, "n"], out[c.id, "bad"] = row["__n"], row[f"__bad_{k}"]
+    for k, c in enumerate(keyed):
+        out[c.id, "n"], out[c.id, "bad"] = row[f"__keys_{k}"], row[f"__lost_{k}"]
+    return out
+
+
+def _example(check: Check, read: Resolver) -> str:
+    """Some of the rows that fail, in a fixed order."""
+    if check.failing:
+        rows = read(check.table).where(check.failing())
+    elif check.offending:
+        rows = check.offending(read)
+    else:
+        return ""
+    columns = [c for c in check.sample if c in rows.columns] or rows.columns[:2]
+    shown = rows.select(*[F.col(c).cast("string") for c in columns]).distinct().orderBy(*columns).limit(SAMPLE).collect()
+    return "; ".join(", ".join(f"{c}={r[c]}" for c in columns) for r in shown)
+
+
+def evaluate(checks: Sequence[Check], read: Resolver) -> list[Result]:
+    """Results in the order of the checks; a table is read once for a run of checks."""
+    frames: dict[str, DataFrame] = {}
+
+    def cached(name: str) -> DataFrame:
+        if name not in frames:
+            frames[name] = read(name)
+        return frames[name]
+
+    numbers: dict = {}
+    spent: dict[str, float] = {}
+    for table in dict.fromkeys([c.table for c in checks if c.failing or c.key] + [t for c in checks for t, _ in c.needs]):
         began = time.time()
-        row = scorecard(read(table), own).first()
-        for k, c in enumerate(own):
-            found[id(c)] = Result(c, row["n"], row[f"failed_{k}"], "", (time.time() - began) / len(own))
+        numbers |= tallies(cached, table, checks)
+        spent[table] = (time.time() - began) / max(1, sum(c.table == table and not c.probe for c in checks))
+    out = []
     for c in checks:
+        began = time.time()
         if c.probe:
-            began = time.time()
-            checked, failed, detail = c.probe(read)
-            found[id(c)] = Result(c, checked, failed, detail, time.time() - began)
-    return [found[id(c)] for c in checks]
+            n, bad, detail = c.probe(cached)
+        elif c.judge:
+            n, bad, detail = c.judge(numbers)
+        else:
+            n, bad, detail = numbers[c.id, "n"], numbers[c.id, "bad"], ""
+        if bad and (example := _example(c, cached)):
+            detail = f"{detail}; {example}" if detail else example
+        out.append(Result(c, n, bad, detail, time.time() - began + (0 if c.probe else spent[c.table])))
+    return out
 
 
 def result_frame(spark, results: Sequence[Result], layer: str, batch: str, at) -> DataFrame:

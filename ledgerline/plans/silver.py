@@ -12,6 +12,7 @@ from .. import functions as fn
 from ..operators import relational as rel
 from ..sources.ingest import COUNTRIES
 
+# Statuses, product lines, the shape of an application event, and what makes a delivery newer than another.
 ACCOUNT_STATUSES = ["ACTIVE", "CLOSED", "WRITTEN_OFF"]
 APPLICATION_STATUSES = ["APPROVED", "DECLINED", "WITHDRAWN", "INCOMPLETE", "PENDING"]
 PRODUCT_LINES = ["Personal Loans", "Credit Cards"]
@@ -65,6 +66,7 @@ def _codes(*names: str) -> dict[str, Column]:
     return {n: fn.code(n) for n in names}
 
 
+# Column names, rule codes in their order, and keys.
 ENTITIES = [
     Entity("products", "bronze_products", lambda: {**_codes("product_code"), "product_name": fn.text("product_name"), "product_line": fn.text("product_line"), "is_revolving": fn.flag("is_revolving"), "launch_date": fn.date("launch_date"), "annual_interest_rate": fn.number("annual_interest_rate", kind=fn.RATE)},
            lambda products: [*_missing("product_code"), ("INVALID_PRODUCT_LINE", ~_c("product_line").isin(PRODUCT_LINES))], ["product_code"]),
@@ -86,50 +88,63 @@ ENTITIES = [
 BY_NAME = {e.name: e for e in ENTITIES}
 
 
-def trailers(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Records and, apart from them, control totals: the count and amount that a file's last line announces."""
-    is_trailer = F.coalesce(F.col("account_id") == "TRL", F.lit(False))
-    control = bronze.where(is_trailer).select(F.col("_source_file").alias("source_file"), F.col("_country_feed").alias("country_feed"), F.col("snapshot_date").try_cast("bigint").alias("expected_rows"), amount("country_code").alias("expected_amount"), F.col("_batch_id").alias("batch_id"))
-    return bronze.where(~is_trailer), control
+def _is_trailer() -> Column:
+    return F.coalesce(F.col("account_id") == "TRL", F.lit(False))
 
 
-def refine(entity: Entity, bronze: DataFrame, products: list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Silver rows, refused rows with reasons, and good rows before deduplication (for their count)."""
+def records(balances: DataFrame) -> DataFrame:
+    """The delivered balances without the last lines of the files, with the amount as parsed."""
+    return balances.where(~_is_trailer()).withColumn("amount", amount("balance_local"))
+
+
+def trailers(balances: DataFrame) -> DataFrame:
+    """Control totals: the count and amount that a file's last line announces, in its second and third field."""
+    announced = {"source_file": F.col("_source_file"), "country_feed": F.col("_country_feed"), "expected_rows": F.col("snapshot_date").try_cast("bigint"), "expected_amount": amount("country_code"), "batch_id": F.col("_batch_id")}
+    return balances.where(_is_trailer()).select(*[value.alias(name) for name, value in announced.items()])
+
+
+def judged(entity: Entity, bronze: DataFrame, products: list[str]) -> DataFrame:
+    """The typed rows, tagged with the rules they break; _raw is the row as delivered."""
     lineage = [c for c in bronze.columns if c.startswith("_")]
     raw = bronze.withColumn("_raw", F.struct(*[c for c in bronze.columns if c not in lineage]))
     if entity.source == "bronze_applications":
         raw = raw.withColumn("_j", F.from_json("raw_json", EVENT))
-    typed = raw.select(*[c.alias(n) for n, c in entity.fields().items()], *lineage, "_raw")
-    good, bad = rel.split_valid(typed, entity.rules(products))
-    order = [F.col(c).desc() for c in DELIVERY] + [F.xxhash64(F.to_json("_raw")).desc()]
-    kept = rel.latest(good, entity.key, order).drop("_raw", "_country_feed", "_source_modified_at", "_ingested_at")
-    return kept, bad, good
+    return rel.tagged(raw.select(*[c.alias(n) for n, c in entity.fields().items()], *lineage, "_raw"), entity.rules(products))
+
+
+def accepted(entity: Entity, rows: DataFrame) -> DataFrame:
+    """Silver rows: of each key the latest delivery, with the number of deliveries."""
+    return rel.newest(rel.passed(rows), entity.key, [*DELIVERY, F.xxhash64(F.to_json("_raw"))]).drop("_raw", "_country_feed", "_source_modified_at", "_ingested_at")
 
 
 AUDIT = "batch_id string, entity string, bronze_rows bigint, control_rows bigint, quarantined_rows bigint, duplicate_rows bigint, silver_rows bigint, loaded_at timestamp"
 
 
 def run(catalog, batch: str, at) -> list[tuple]:
-    """All entities; bronze = control + quarantined + duplicates + silver is measured, not inferred."""
-    refused, audit, products = [], [], []
+    """All entities. An entity's rows are parsed twice, for what is accepted and what is refused; all counts for the equation
+    bronze = control + quarantined + duplicates + silver come from what was delivered and written (file footers, and the
+    number of deliveries of the rows that stayed), so the equation can fail."""
+    audit, products = [], []
+    empty = True
     for e in ENTITIES:
         if not catalog.exists(e.source):
             continue
         bronze, control = catalog.read(e.source), 0
         total = bronze.count()
         if e.name == "balances":
-            bronze, totals = trailers(bronze)
-            catalog.write(totals, "silver_control_totals")
+            catalog.write(trailers(bronze), "silver_control_totals")
             control = catalog.read("silver_control_totals").count()
-        kept, bad, good = refine(e, bronze, products)
-        catalog.write(kept, f"silver_{e.name}")
-        silver, n_bad, n_good = catalog.read(f"silver_{e.name}").count(), bad.count(), good.count()
-        audit.append((batch, e.name, total, control, n_bad, n_good - silver, silver, at))
-        refused.append(rel.quarantine(bad, e.name))
+            bronze = bronze.where(~_is_trailer())
+        rows = judged(e, bronze, products)
+        catalog.write(accepted(e, rows), f"silver_{e.name}")
+        catalog.write(rel.quarantine(rows, e.name), "silver_quarantine", "overwrite" if empty else "append")
+        empty = False
+        kept = catalog.read(f"silver_{e.name}").agg(F.count("*").alias("n"), F.coalesce(F.sum(F.col(rel.COPIES) - 1), F.lit(0)).alias("again")).first()
+        bad = catalog.read("silver_quarantine").where(F.col("entity") == e.name).count()
+        audit.append((batch, e.name, total, control, bad, kept["again"], kept["n"], at))
         if e.name == "products":
             products = [r[0] for r in catalog.read("silver_products").select("product_code").collect()]  # a handful
         if e.name == "application_events":
             catalog.write(rel.current_state(catalog.read("silver_application_events"), "application_id", "event_ts"), "silver_applications")
-    catalog.write(rel.union(refused), "silver_quarantine")
     catalog.write(catalog.spark.createDataFrame(audit, AUDIT), "silver_load_audit", "append")
     return audit

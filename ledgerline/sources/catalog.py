@@ -3,62 +3,167 @@
 A table is a folder of version folders and a manifest that lists those in force. Overwriting puts a new version in force,
 appending adds one; a reader sees the manifest of one moment and never half a write. publish() replaces the manifests of
 many tables under one journal: either all staged versions come into force, or, if it breaks off, the next call completes it.
-The manifests lie on the driver's file system or a mounted one; data is read and written by Spark.
+Manifests are read and swapped through Spark's file systems, so a catalog can lie wherever its data can.
 """
 
 from __future__ import annotations
 
 import json
-import os
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Collection, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+class Files:
+    """Small text files on any file system that Spark knows."""
+
+    def __init__(self, spark: SparkSession):
+        self.jvm, self.conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+
+    def _at(self, path: str):
+        at = self.jvm.org.apache.hadoop.fs.Path(path)
+        return at.getFileSystem(self.conf), at
+
+    def exists(self, path: str) -> bool:
+        fs, at = self._at(path)
+        return fs.exists(at)
+
+    def read(self, path: str) -> str:
+        fs, at = self._at(path)
+        stream = fs.open(at)
+        try:
+            return bytes(stream.readAllBytes()).decode()
+        finally:
+            stream.close()
+
+    def swap(self, path: str, text: str) -> None:
+        """Puts the whole text in the place of what is there, at once."""
+        fresh = f"{path}.{uuid.uuid4().hex}"
+        fs, at = self._at(fresh)
+        stream = fs.create(at, True)
+        stream.write(bytearray(text.encode()))
+        stream.close()
+        context = self.jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), self.conf)
+        options = self.jvm.org.apache.hadoop.fs.Options
+        rename = getattr(options, "Rename")
+        how = self.jvm.java.lang.reflect.Array.newInstance(rename.OVERWRITE.getClass(), 1)
+        how[0] = rename.OVERWRITE
+        context.rename(at, self.jvm.org.apache.hadoop.fs.Path(path), how)
+
+    def remove(self, path: str) -> None:
+        fs, at = self._at(path)
+        fs.delete(at, True)
+
+
 class Catalog:
     def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root
-        os.makedirs(root, exist_ok=True)
+        self.spark, self.root, self.files = spark, root.rstrip("/"), Files(spark)
         self._finish()
 
-    def _manifest(self, table: str) -> str:
-        return os.path.join(self.root, table, "_CURRENT")
+    def _path(self, *parts: str) -> str:
+        return "/".join((self.root, *parts))
 
     def _versions(self, table: str) -> list[str]:
-        with open(self._manifest(table)) as f:
-            return json.load(f)
-
-    def _swap(self, path: str, content) -> None:
-        os.makedirs(os.path.dirname(path), exist_ok=True)
-        with open(f"{path}.new", "w") as f:
-            json.dump(content, f)
-        os.replace(f"{path}.new", path)
+        return json.loads(self.files.read(self._path(table, "_CURRENT")))
 
     def exists(self, table: str) -> bool:
-        return os.path.exists(self._manifest(table))
+        return self.files.exists(self._path(table, "_CURRENT"))
+
+    def tables(self) -> list[str]:
+        """All tables in force, those that are only staged left out."""
+        fs, at = self.files._at(self.root)
+        names = [s.getPath().getName() for s in fs.listStatus(at) if s.isDirectory()] if fs.exists(at) else []
+        return sorted(n for n in names if not n.startswith(("stg_", "_")) and self.exists(n))
 
     def read(self, table: str) -> DataFrame:
         if not self.exists(table):
             raise FileNotFoundError(f"no table {table} in {self.root}")
-        return self.spark.read.parquet(*[os.path.join(self.root, table, v) for v in self._versions(table)])
+        return self.spark.read.parquet(*[self._path(table, v) for v in self._versions(table)])
 
     def write(self, df: DataFrame, table: str, mode: str = "overwrite") -> None:
         version = f"v={uuid.uuid4().hex}"
-        df.write.parquet(os.path.join(self.root, table, version))
+        df.write.parquet(self._path(table, version))
         before = self._versions(table) if mode == "append" and self.exists(table) else []
-        self._swap(self._manifest(table), [*before, version])
+        self.files.swap(self._path(table, "_CURRENT"), json.dumps([*before, version]))
+
+    def staged(self, names: Collection[str], prefix: str = "stg_") -> Callable[[str], DataFrame]:
+        """A reader that takes the staged version of these tables and the live one of all others, each looked up once."""
+        known: dict[str, DataFrame] = {}
+
+        def read(name: str) -> DataFrame:
+            if name not in known:
+                known[name] = self.read(f"{prefix}{name}" if name in names else name)
+            return known[name]
+
+        return read
 
     def publish(self, tables: Sequence[str], staged: str = "stg_") -> None:
         """The staged versions of these tables come into force together."""
         moves = {t: [f"../{staged}{t}/{v}" for v in self._versions(staged + t)] for t in tables}
-        self._swap(os.path.join(self.root, "_PUBLISH"), moves)
+        self.files.swap(self._path("_PUBLISH"), json.dumps(moves))
         self._finish()
 
     def _finish(self) -> None:
-        journal = os.path.join(self.root, "_PUBLISH")
-        if os.path.exists(journal):
-            with open(journal) as f:
-                for table, versions in json.load(f).items():
-                    self._swap(self._manifest(table), versions)
-            os.remove(journal)
+        journal = self._path("_PUBLISH")
+        if self.files.exists(journal):
+            for table, versions in json.loads(self.files.read(journal)).items():
+                self.files.swap(self._path(table, "_CURRENT"), json.dumps(versions))
+            self.files.remove(journal)
+
+    def register(self, names: Sequence[str] | None = None) -> list[str]:
+        """Temporary views over the tables in force, so that they can be asked in SQL; their names."""
+        names = list(names) if names is not None else self.tables()
+        for name in names:
+            self.read(name).createOrReplaceTempView(name)
+        return names
+
+    def sql(self, text: str) -> DataFrame:
+        """A query over the tables in force as they are now."""
+        self.register()
+        return self.spark.sql(text)
+
+
+class Metastore:
+    """The same over tables of Spark's catalog, for clusters that have one. A published table is a view that is replaced."""
+
+    def __init__(self, spark: SparkSession, database: str = "default"):
+        self.spark, self.database = spark, database
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+
+    def _name(self, table: str) -> str:
+        return f"`{self.database}`.`{table}`"
+
+    def exists(self, table: str) -> bool:
+        return self.spark.catalog.tableExists(f"{self.database}.{table}")
+
+    def tables(self) -> list[str]:
+        return sorted(t.name for t in self.spark.catalog.listTables(self.database) if not t.isTemporary and not t.name.startswith("stg_") and "__" not in t.name)
+
+    def read(self, table: str) -> DataFrame:
+        return self.spark.table(self._name(table))
+
+    def write(self, df: DataFrame, table: str, mode: str = "overwrite") -> None:
+        """A staged table gets a version of its own each time, so that a published one is never changed under its readers."""
+        if table.startswith("stg_"):
+            version = f"{table}__{uuid.uuid4().hex[:12]}"
+            df.write.saveAsTable(self._name(version), format="parquet")
+            self.spark.sql(f"CREATE OR REPLACE VIEW {self._name(table)} AS SELECT * FROM {self._name(version)}")
+        else:
+            df.write.saveAsTable(self._name(table), format="parquet", mode=mode)
+
+    staged = Catalog.staged
+
+    def publish(self, tables: Sequence[str], staged: str = "stg_") -> None:
+        for t in tables:
+            text = self.spark.sql(f"SHOW CREATE TABLE {self._name(staged + t)}").first()[0]
+            version = text.rsplit("`", 2)[-2] if "`" in text else text.rsplit(".", 1)[-1].strip()
+            self.spark.sql(f"CREATE OR REPLACE VIEW {self._name(t)} AS SELECT * FROM {self._name(version)}")
+
+    def register(self, names: Sequence[str] | None = None) -> list[str]:
+        self.spark.sql(f"USE `{self.database}`")
+        return list(names) if names is not None else self.tables()
+
+    def sql(self, text: str) -> DataFrame:
+        self.register()
+        return self.spark.sql(text)
