@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-BROADCAST_BYTES = 32 << 20
+BROADCAST_BYTES, TIDY = 32 << 20, 2 << 20
 _own_root: list[str] = []
 _passing: list[list[str]] = []
 
@@ -116,15 +116,28 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.Re
 
 
 def sized(batches: Iterator[pa.RecordBatch], column: int, size: int = 2 << 20) -> Iterator[pa.RecordBatch]:
-    """Slices whose strings in a column take about size bytes together, one row at least."""
+    """Slices whose strings in a column take about size bytes together, one row at least. What was freed goes back on the way."""
+    since = 0
     for batch in batches:
         lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
         ends = np.cumsum(lengths, dtype=np.int64)
         at = 0
         while at < batch.num_rows:
-            stop = max(at + 1, int(np.searchsorted(ends, (int(ends[at - 1]) if at else 0) + size, "right")))
+            before = int(ends[at - 1]) if at else 0
+            stop = max(at + 1, int(np.searchsorted(ends, before + size, "right")))
             yield batch.slice(at, stop - at)
+            since += int(ends[stop - 1]) - before
             at = stop
+            if since >= TIDY:
+                tidy()
+                since = 0
+
+
+def tidy() -> None:
+    """Gives freed memory back to the system."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # a C library without it
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def raw(column: pa.Array) -> list[bytes]:
@@ -137,9 +150,7 @@ def tidied(run: Callable) -> Callable:
 
     def out(batches: Iterator) -> Iterator:
         yield from run(batches)
-        pa.default_memory_pool().release_unused()
-        with contextlib.suppress(OSError, AttributeError):  # a C library without it
-            ctypes.CDLL(None).malloc_trim(0)
+        tidy()
 
     return out
 
