@@ -106,35 +106,52 @@ def near_groups(texts, by_bits=True):
     return {i: find(i) for i in texts}, far
 
 
-@pytest.mark.parametrize("options", [{}, {"limit": 4, "rounds": 2}, {"limit": 2, "weight": 1, "rounds": 1}])
-def test_representatives_match_brute_force_jaccard(spark, options):
+@pytest.fixture(scope="module")
+def families():
+    """Texts in families of near copies, some of which share a passage; odd ones; very long ones."""
     rng = np.random.default_rng(6)
     word = lambda: "w%d" % rng.integers(0, 500)
-    texts = {}
-    shared = [word() for _ in range(60)]
-    for k in range(12):
+    texts, shared = {}, [word() for _ in range(60)]
+    for k in range(8):
         own = shared * (k % 4 == 0) + [word() for _ in range(rng.integers(40, 300))]
         for n in range(8):
             new = list(own)
             for at in rng.integers(0, len(new), n * len(new) // 150):
                 new[at] = word()
             texts[10 * k + n] = " ".join(new)
-    texts |= {180: "one two three", 181: "ONE  two three", 182: "one two", 183: "漢 É x y z w", 184: "漢 é x y z w", 185: "x " * 300_000, 186: "x  " * 300_000}
-    groups, far = near_groups(texts)
+    return texts | {180: "one two three", 181: "ONE  two three", 182: "one two", 183: "漢 É x y z w", 184: "漢 é x y z w", 185: "x " * 300_000, 186: "x  " * 300_000}
+
+
+def test_representatives_match_brute_force_jaccard(spark, families):
+    groups, far = near_groups(families)
     assert far > 10
-    rows = [*texts.items(), (None, texts[0]), (190, None), (0, texts[0])]
+    rows = [*families.items(), (None, families[0]), (190, None), (0, families[0])]
     frame = spark.createDataFrame([(i, t, 1, "c") for i, t in rows], "doc_id bigint, text string, bucket int, own string").repartition(3)
-    got = simhash.representatives(frame, similarity=0.8, **options)
-    assert sorted(r["doc_id"] if r["doc_id"] is not None else -1 for r in got.collect()) == sorted([i for i in texts if groups[i] == i] + [-1, 190, 0])
+    got = simhash.representatives(frame, similarity=0.8)
+    assert sorted(r["doc_id"] if r["doc_id"] is not None else -1 for r in got.collect()) == sorted([i for i in families if groups[i] == i] + [-1, 190, 0])
     assert got.schema == frame.schema
+
+
+@pytest.mark.parametrize("options", [{"limit": 4, "rounds": 2}, {"limit": 2, "weight": 1, "rounds": 1}])
+def test_links_of_large_buckets_match_brute_force(spark, families, options):
+    frame = spark.createDataFrame(list(families.items()), "doc_id bigint, text string").coalesce(1)
     roots = {r["node"]: r["root"] for r in simhash.components(jaccard.links(frame, **options)).collect()}
-    assert roots == {i: r for i, r in near_groups(texts, False)[0].items() if i != r}
+    assert roots == {i: r for i, r in near_groups(families, False)[0].items() if i != r}
 
 
 def test_trees_and_sides():
     sets = [np.array([1, 2, 3, 4], np.uint64), np.array([1, 2, 3, 4, 5], np.uint64), np.array([1, 2, 3, 9], np.uint64)]
     assert list(jaccard.trees(sets, 0.8)) == [(0, 1)]
     assert jaccard.near(sets[1], sets, 0.8).tolist() == [True, True, False]
+    rng = np.random.default_rng(1)
+    rows = rng.integers(0, 256, (40, 128), np.uint8)
+    rows[7], rows[21] = rows[3], rows[30]
+    rows[7, :50] = 0
+    assert np.flatnonzero(jaccard.alike(rows, 72)).tolist() == [3, 7, 21, 30] and jaccard.alike(rows[:1], 72).tolist() == [False]
+    batch = pa.RecordBatch.from_arrays([pa.array([1] * 9 + [2] * 31), pa.array(range(40)), pa.array([r.tobytes() for r in rows])], ["bucket", "doc_id", "sketch"])
+    for size in (1, 5, 40):
+        got = [x for b in jaccard._sifter(72)(iter([batch.slice(k, size) for k in range(0, 40, size)])) for x in b.column(1).to_pylist()]
+        assert got == [3, 7, 21, 30]
 
 
 def test_exact_duplicates_and_collisions(docs, empty):
@@ -626,3 +643,95 @@ def test_pipeline(spark):
     items = [g for r in spark.read.parquet(f"{d}/benchmark.parquet").collect() if (g := grams(r["text"]))]
     keep = {i for i, t in keep.items() if not any(len(g & grams(t)) >= 0.8 * len(g) for g in items)}
     assert {r["doc_id"] for r in rows} == keep
+
+
+def test_operators_run_where_workers_lack_the_package(tmp_path):
+    """The driver alone can import it: a session that starts in an empty folder, with nothing of the repository on the path."""
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    code = f"""
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.sql.shuffle.partitions", "2").config("spark.ui.enabled", "false").getOrCreate()
+import sys
+sys.path.insert(0, {root!r})
+from ledgerline.llm import queries
+for name, run in queries.QUERIES.items():
+    print(name, run(spark, "/root/testdata/sf0.001").count())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=600)
+    assert done.returncode == 0, done.stderr[-2000:]
+    counts = dict(line.split() for line in done.stdout.splitlines() if line.startswith(("op", "pipeline")))
+    assert len(counts) == 11 and counts["op1_toxicity"] == counts["op6_licenses"] == counts["op9_language"] == "200"
+
+
+def test_label_model_matches_plain_expectation_maximisation():
+    rng = np.random.default_rng(9)
+    n = 300
+    truth = rng.random(n) < 0.3
+    votes = np.array([[rng.random() < (0.7 if t else 0.1) for _ in range(toxicity.VOTERS)] for t in truth])
+    patterns = np.array([sum(1 << k for k, v in enumerate(row) if v) for row in votes])
+    kinds, counts = np.unique(patterns, return_counts=True)
+    toxic = np.array([sum(1 for k in range(40) if truth[k] and patterns[k] == p) for p in kinds])
+    clean = np.array([sum(1 for k in range(40) if not truth[k] and patterns[k] == p) for p in kinds])
+    model = toxicity.LabelModel(kinds, counts, toxic, clean, rounds=3)
+    # the same, row by row
+    share = toxic.sum() / 40
+    quiet, last = ("disguised", "shouting", "exclamation", "masked"), "no hit"
+    names = [*toxicity.LEXICONS, *toxicity.RULES]
+    rate = [[0.9 if x == last else 0.1 if x in quiet else 0.02 for x in names], [0.05 if x == last else 0.1 if x in quiet else 0.4 for x in names]]
+    rows = [(p, None) for p in patterns] + [(patterns[k], bool(truth[k])) for k in range(40)]
+
+    def q(p):
+        like = []
+        for y in (0, 1):
+            one = share if y else 1 - share
+            for k in range(toxicity.VOTERS):
+                one *= rate[y][k] if p >> k & 1 else 1 - rate[y][k]
+            like.append(one)
+        return like[1] / sum(like)
+
+    for _ in range(3):
+        mass = [[(1 - q(p) if y == 0 else q(p)) if known is None else float(known == bool(y)) for p, known in rows] for y in (0, 1)]
+        rate = [[(sum(w for w, (p, _) in zip(mass[y], rows) if p >> k & 1) + 1) / (sum(mass[y]) + 2) for k in range(toxicity.VOTERS)] for y in (0, 1)]
+    assert model.rate == pytest.approx(np.array(rate), abs=1e-9)
+    assert np.mean([(model.posterior(np.array([p]))[0] > 0.5) == t for p, t in zip(patterns, truth)]) > 0.9
+
+
+def test_mined_entries_match_plain_counts(spark):
+    rng = np.random.default_rng(11)
+    rows = [(int(k % 4 == 0), " ".join(["w%s" % "abcdefghij"[rng.integers(0, 10)] * 3 for _ in range(12)] + (["vilest"] if k % 4 == 0 and k % 3 else []) + (["grim"] if k % 8 == 0 else []))) for k in range(400)]
+    frame = spark.createDataFrame(rows, "toxic int, text string").repartition(3)
+    n = sum(1 - t for t, _ in rows), sum(t for t, _ in rows)
+    held = {}
+    for t, text in rows:
+        words = set(text.encode().split())
+        for e in {*words, *(w[:k] + b"*" for w in words for k in (4, 5, 6) if len(w) >= k), *(b"*" + w[-4:] for w in words if len(w) >= 4)}:
+            held.setdefault(e, [0, 0])[t] += 1
+    want = {}
+    for e, (c, t) in held.items():
+        expected = (c + t) * n[1] / sum(n)
+        z, odds = (t - expected) / (expected + 0.25) ** 0.5, np.log((t + 0.5) / (n[1] + 1)) - np.log((c + 0.5) / (n[0] + 1))
+        if t >= toxicity.LEAST_ROWS and z >= toxicity.LEAST_Z and odds >= toxicity.LEAST_ODDS:
+            want[e] = z
+    got = toxicity.mine(frame, n)
+    assert dict(got) == pytest.approx(want) and {b"vilest", b"vile*", b"*lest", b"grim"} <= set(want)
+    assert [z for _, z in got] == sorted((z for _, z in got), reverse=True)
+    voters = toxicity.Voters(got)
+    votes, hits = voters.look(b"a Vilest thing")
+    assert len(hits) == len([e for e in want if e in (b"vilest", b"vile*", b"viles*", b"vilest*", b"*lest")]) and votes >> toxicity.LEXICONS.index("endings") & 1
+    assert toxicity.mine(frame.limit(0), (1, 1)) == []
+
+
+def test_toxicity_of_odd_rows(spark):
+    long = "fine words " * 100_000
+    rows = [(k, "grubble snark" if k % 3 == 0 else "fine words", 1) for k in range(300)] + [(None, None, 1), (None, "", 1), (900, long, 1), (901, long + "grubble", 1), (3, "grubble snark", 1)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, votes int").repartition(3)
+    labels = spark.createDataFrame([(k, int(k % 3 == 0)) for k in range(300)] + [(3, 0), (None, 1), (5, None)], "doc_id bigint, toxic int")
+    got = [(r["doc_id"], r["predicted"], r["held_out"]) for r in toxicity.toxicity(docs, labels).collect()]
+    assert len(got) == len(rows) and got.count((3, 1, zlib.crc32(b"3") % 5 == 0)) == 2
+    by = {i: p for i, p, _ in got}
+    assert all(by[k] == int(k % 3 == 0) for k in range(300)) and by[900] == 0 and by[901] == 1 and by[None] == 0
