@@ -2,14 +2,15 @@ import os
 import sys
 
 import pytest
-from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from ledgerline.session import local_session  # noqa: E402
+
 
 @pytest.fixture(scope="session")
 def spark():
-    session = SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false").config("spark.sql.session.timeZone", "UTC").config("spark.ui.showConsoleProgress", "false").getOrCreate()
+    session = local_session("tests", 4, **{"spark.sql.shuffle.partitions": "2"})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
