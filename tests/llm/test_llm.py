@@ -340,11 +340,14 @@ def test_tokens_of_repeated_ids(spark, tmp_path):
     rows = [((7, None, k)[k % 3], f"text {k % 40} " + "x" * (k % 5) + ("y " * 500_000 if k == 4 else "")) for k in range(600)]
     frame = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id bigint, text string, __hash int").repartition(5)
     path = f"file://{tmp_path}/tokens"
+    before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "6")
     try:
         repair.write(frame, path)
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", before)
     assert max(r["count"] for r in spark.read.parquet(path).selectExpr("part", "explode(doc_ids)").groupBy("part").count().collect()) < 250
     got = [(r["doc_id"], r["n_tokens"], zlib.crc32(r["ids"])) for r in repair.read(spark, path).orderBy("start").collect()]
     digest = lambda t: xxhash.xxh64_intdigest(t, 42) - (1 << 64 if xxhash.xxh64_intdigest(t, 42) >> 63 else 0)
