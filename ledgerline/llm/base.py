@@ -115,8 +115,9 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.Re
             yield batch.slice(at, rows)
 
 
-def sized(batches: Iterator[pa.RecordBatch], column: int, size: int = 2 << 20) -> Iterator[pa.RecordBatch]:
-    """Slices whose strings in a column take about size bytes together, one row at least. What was freed goes back on the way."""
+def sized(batches: Iterator[pa.RecordBatch], column: int, size: int = 2 << 20, tidied: int = TIDY) -> Iterator[pa.RecordBatch]:
+    """Slices whose strings in a column take about size bytes together, one row at least. What was freed goes back on the way,
+    every so many bytes."""
     since = 0
     for batch in batches:
         lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
@@ -128,7 +129,7 @@ def sized(batches: Iterator[pa.RecordBatch], column: int, size: int = 2 << 20) -
             yield batch.slice(at, stop - at)
             since += int(ends[stop - 1]) - before
             at = stop
-            if since >= TIDY:
+            if since >= tidied:
                 tidy()
                 since = 0
 

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from .base import body, per_worker, scratch, sized, slices, tidied
 from .tokens import Encoder, public_path
 
-END, SHARD, RULES, LEAST = 0, 1 << 19, 4096, 16
+END, SHARD, RULES, LEAST, BATCH = 0, 1 << 19, 4096, 16, 4 << 20
 MAGIC = 0x31475052
 _BUCKETS = 1 << 18
 
@@ -168,7 +168,7 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, shard: int =
             payload = compress(np.concatenate(ids), lengths, encoder.vocabulary)
             return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([number], pa.int32()), pa.array([names], pa.list_(pa.int64())), pa.array([int(lengths.sum())]), pa.array([payload], pa.binary())], ["part", "shard", "doc_ids", "n_tokens", "payload"])
 
-        for batch in sized(batches, 2):
+        for batch in sized(batches, 2, BATCH, 16 * BATCH):
             part = batch.column(0)[0].as_py()
             for name, own in zip(batch.column(1).to_pylist(), encoder.encode_column(batch.column(2))):
                 ids.append(np.concatenate((own, tail)))
