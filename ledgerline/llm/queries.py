@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, exact_dedup, langid, licenses, merkle, packing, repair, simhash, tokencounts, toxicity, urlfilter
+from . import chat, decontam, exact_dedup, langid, licenses, merkle, packing, pointintime, repair, simhash, tokencounts, toxicity, urlfilter
 from .base import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +63,10 @@ def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencounts.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op13_point_in_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pointintime.features(*[table(spark, sf_dir, name) for name in ("sales", "sale_lines", "clicks")])
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -70,7 +74,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_toxicity, op2_simhash, op3_exact_dedup, op4_decontamination, op5_repair_tokens, op6_licenses, op7_chat, op8_packing, op9_language, op10_urls, op11_merkle, op12_token_counts, pipeline)
+    f.__name__: f for f in (op1_toxicity, op2_simhash, op3_exact_dedup, op4_decontamination, op5_repair_tokens, op6_licenses, op7_chat, op8_packing, op9_language, op10_urls, op11_merkle, op12_token_counts, op13_point_in_time, pipeline)
 }
 
-ORACLES = {"op3_exact_dedup": exact_dedup.ORACLE, "op4_decontamination": decontam.ORACLE, "op7_chat": chat.ORACLE, "op10_urls": urlfilter.ORACLE, "op11_merkle": merkle.ORACLE}
+ORACLES = {"op3_exact_dedup": exact_dedup.ORACLE, "op4_decontamination": decontam.ORACLE, "op7_chat": chat.ORACLE, "op10_urls": urlfilter.ORACLE, "op11_merkle": merkle.ORACLE, "op13_point_in_time": pointintime.ORACLE}
