@@ -334,13 +334,17 @@ def features(sales: DataFrame, lines: DataFrame, clicks: DataFrame, limit: int =
         events = stored(sold.unionByName(click_events(clicks)).unionByName(line_events(lines, sold)), "events")
         busy = stored(busy_clients(events, limit), "busy")
         keep(events, busy)
-    named = small(busy)
     whole = [F.lit(0).alias("slot"), F.lit(LEAST).alias("low"), F.lit(GREATEST).alias("high"), F.lit(None).cast("array<bigint>").alias("base")]
-    rows = events.join(named, "client", "left_anti").select(*COLUMNS, *whole)
-    if not busy.isEmpty():
-        own = events.join(named, "client")
+    if busy.isEmpty():
+        rows = events.select(*COLUMNS, *whole)
+    else:
+        # an event has one row in the join, with or without chunks; the kind keeps the join an outer one for either half
+        marked = events.join(small(busy), "client", "left")
+        cut = F.when(F.col("kind") >= 0, F.col("width")).isNotNull()
+        own = marked.where(cut)
         lines_own = unioned(own.where(F.col("kind") == LINE)).withColumn("kind", F.lit(LINE))
-        rows = rows.unionByName(chunked(own.where(F.col("kind") != LINE).unionByName(lines_own, allowMissingColumns=True)))
+        chunks = chunked(own.where(F.col("kind") != LINE).unionByName(lines_own, allowMissingColumns=True))
+        rows = marked.where(~cut).select(*COLUMNS, *whole).unionByName(stored(chunks, "chunks"))
     return rows.repartition("client", "slot").sortWithinPartitions("client", "slot").mapInArrow(tidied(computed), OUT)
 
 
