@@ -9,35 +9,55 @@ from ..operators import kpis
 from ..operators import legacy as leg
 from ..operators import measures as ms
 from ..operators import reconcile as rec
-from ..operators.relational import month_ends, within_months
+from ..operators.relational import month_ends, unpivot, within_months
 from .aggregates import balance_facts, orders_by_place
-from .base import dbl, facts, query, read, txt
+from .base import dbl, facts, query, rates, read, txt
 
 _SCOPE = "AFRICA"
 
 
-def pack_cells(spark, d):
-    """A country is a region here; the product line follows from the part, of which every third has a misleading prefix."""
+def pack_facts(spark, d):
+    """Active balances for both sides. A country is a region here; the product line follows from the part, of which every third has a
+    misleading prefix."""
     loan = F.col("l_partkey") % 3 != 0
     product = F.when(loan, F.when(F.col("l_partkey") % 7 == 0, F.lit("CC_CONSOL")).otherwise(F.lit("PL_STD"))).otherwise(F.lit("CC_GOLD"))
-    own = facts(spark, d).where("flag <> 'R'").select(F.col("m").alias("month_end"), F.col("r_name").alias("scope"), F.when(loan, F.lit("Personal Loans")).otherwise(F.lit("Credit Cards")).alias("line"), product.alias("product"), "bucket", F.col("price").alias("balance"), F.col("rate_end").alias("rate"))
-    return leg.cube(own, spark.createDataFrame([(b, low) for b, low, _ in fn.DPD_BUCKETS], "bucket string, dpd_min int"))
+    named = dict(month_end="m", scope="r_name", balance="price", balance_local="price", balance_eur="eur", rate="rate_end", customer="o_custkey")
+    return facts(spark, d).where("flag <> 'R'").select(*[F.col(c).alias(n) for n, c in named.items()], F.when(loan, F.lit("Personal Loans")).otherwise(F.lit("Credit Cards")).alias("line"), product.alias("product"), "bucket", "dpd")
 
 
-def pack_sheet(spark, d, flows: bool = False):
-    """With flows, orders are the accounts opened and the applications."""
-    if not flows:
-        return leg.sheet(pack_cells(spark, d))
-    o = orders_by_place(spark, d).groupBy(F.col("m").alias("month_end"), F.col("r_name").alias("scope"))
-    opened = o.agg(F.count("*").alias("opened"), F.sum("total").alias("disbursed"))
-    return leg.sheet(pack_cells(spark, d), opened, o.agg(F.count("*").alias("received"), F.count_if(F.expr("st = 'F'")).alias("approved")))
+def pack_rates(spark, d):
+    """The rate table, and the currency of each region."""
+    return rates(spark, d), read(spark, d, "region").select(F.col("r_name").alias("scope"), F.col("r_regionkey").cast("string").alias("ccy"))
 
 
-_SHEET = """, cells AS (SELECT m, r_name AS scope, max(rate_end) AS rate, sum(CASE WHEN l_partkey % 3 <> 0 THEN price ELSE 0 END) AS loans, sum(CASE WHEN l_partkey % 3 = 0 OR l_partkey % 7 = 0 THEN price ELSE 0 END) AS by_code, sum(CASE WHEN l_partkey % 3 = 0 THEN price ELSE 0 END) AS by_line,
+def pack_sheet(spark, d):
+    """The pack from a cube, without flows."""
+    cells = leg.cube(pack_facts(spark, d), spark.createDataFrame([(b, low) for b, low, _ in fn.DPD_BUCKETS], "bucket string, dpd_min int"))
+    return leg.sheet(cells.groupBy(*leg.SHEET).agg(*leg.balance_sums()), *pack_rates(spark, d))
+
+
+def both_sides(spark, d, error: float = 0.0):
+    """One row a month and region: the sheet of the pack, and beside it the components of the new model; orders are the accounts opened
+    and the applications. With an error, one region's new balance of one month is wrong by so much, under both definitions."""
+    gold = lambda sums: kpis.named(sums, rec.GOLD)
+    sums = pack_facts(spark, d).groupBy(*leg.SHEET).agg(*leg.balance_sums("dpd", F.count("*")), *gold(kpis.balance_sums()))
+    o = orders_by_place(spark, d).select(F.col("m").alias("month_end"), F.col("r_name").alias("scope"), F.col("total").alias("amount_local"), fn.to_eur("total", "rate_avg").alias("amount_eur"), "rate_end", "rate_avg", F.col("st").isin("F", "O").alias("decisioned"), (F.col("st") == "F").alias("approved"))
+    flows = o.groupBy(*leg.SHEET).agg(*gold(kpis.origination_sums()), *gold(kpis.application_sums()), F.sum("amount_local").alias("disbursed"))
+    flows = flows.withColumns({n: F.col(f"{rec.GOLD}{n}") for n in ("opened", "received", "approved")})
+    rows = leg.sheet(sums, *pack_rates(spark, d), flows)
+    if error:
+        hit = (F.col("month_end") == F.lit("1997-03-31").cast("date")) & (F.col("scope") == "ASIA")
+        rows = rows.withColumns({c: F.when(hit, F.col(c) + F.lit(str(error)).cast("decimal(10,2)")).otherwise(F.col(c)) for c in (f"{rec.GOLD}unrounded", f"{rec.GOLD}balance")})
+    return rows
+
+
+_SHEET = """, cells AS (SELECT m, r_name AS scope, sum(CASE WHEN l_partkey % 3 <> 0 THEN price ELSE 0 END) AS loans, sum(CASE WHEN l_partkey % 3 = 0 OR l_partkey % 7 = 0 THEN price ELSE 0 END) AS by_code, sum(CASE WHEN l_partkey % 3 = 0 THEN price ELSE 0 END) AS by_line,
 sum(CASE WHEN dpd >= 30 THEN price ELSE 0 END) AS late30, sum(CASE WHEN dpd >= 90 THEN price ELSE 0 END) AS late90, sum(price) AS al, count(*) AS accounts FROM f WHERE flag <> 'R' GROUP BY m, r_name),
 flows AS (SELECT m, r_name AS scope, count(*) AS opened, sum(total) AS disbursed, count(*) FILTER (WHERE st = 'F') AS approved FROM o JOIN pl ON o_custkey = c_custkey GROUP BY m, r_name),
-sheet AS (SELECT coalesce(a.m, w.m) AS m, coalesce(a.scope, w.scope) AS scope, a.rate, coalesce(a.loans, 0) AS loans, coalesce(a.by_code, 0) AS by_code, coalesce(a.by_line, 0) AS by_line, coalesce(a.late30, 0) AS late30, coalesce(a.late90, 0) AS late90, coalesce(a.al, 0) AS al, coalesce(a.accounts, 0) AS accounts, coalesce(b.late30, 0) AS before, w.opened, w.disbursed, w.approved
-  FROM cells a LEFT JOIN cells b ON a.scope = b.scope AND b.m = last_day(a.m - INTERVAL 1 MONTH) FULL JOIN flows w ON w.m = a.m AND w.scope = a.scope),
+fxr AS (SELECT m, r_name AS scope, ((200000 + 1000 * r_regionkey + 10 * ((year(m) - 1995) * 12 + month(m)))::DECIMAL(9,0) * 0.000001::DECIMAL(7,6))::DECIMAL(18,8) AS rate FROM (SELECT DISTINCT m FROM o), region),
+sheet AS (SELECT j.*, x.rate, coalesce(b.late30, 0) AS before FROM
+  (SELECT m, scope, coalesce(loans, 0) AS loans, coalesce(by_code, 0) AS by_code, coalesce(by_line, 0) AS by_line, coalesce(late30, 0) AS late30, coalesce(late90, 0) AS late90, coalesce(al, 0) AS al, coalesce(accounts, 0) AS accounts, coalesce(opened, 0) AS opened, coalesce(disbursed, 0) AS disbursed, coalesce(approved, 0) AS approved FROM cells FULL JOIN flows USING (m, scope)) j
+  LEFT JOIN cells b ON b.scope = j.scope AND b.m = last_day(j.m - INTERVAL 1 MONTH) LEFT JOIN fxr x ON x.m = j.m AND x.scope = j.scope),
 tabs AS (SELECT k, m, scope, accounts, opened, approved, (loans + CASE WHEN k >= 1 THEN by_line ELSE by_code END)::DOUBLE * (CASE WHEN k >= 2 OR scope <> 'AFRICA' THEN rate::DOUBLE ELSE 0.2012::DOUBLE END) AS balance, disbursed::DOUBLE * (CASE WHEN k >= 2 OR scope <> 'AFRICA' THEN rate::DOUBLE ELSE 0.2012::DOUBLE END) AS originated,
   coalesce((CASE WHEN k >= 3 THEN late30 ELSE before END)::DOUBLE / nullif(al, 0)::DOUBLE, 0) AS dpd30, coalesce(late90::DOUBLE / nullif(al, 0)::DOUBLE, 0) AS dpd90 FROM sheet, (VALUES (0), (1), (2), (3)) s(k))
 """
@@ -73,11 +93,6 @@ def legacy_summary(spark, d):
     return s.select(txt("month_end").alias("month_end"), F.round("portfolio_balance_eur", 2).alias("balance_eur"), F.round("dpd90_rate", 9).alias("dpd90_rate"), F.col("accounts").cast("bigint").alias("accounts"))
 
 
-@query(_SHEET + "SELECT (SELECT count(*) FROM sheet) AS \"F1\", (SELECT 2 * count(*) FROM sheet WHERE scope = 'AFRICA') AS \"F2\", (SELECT count(*) FROM sheet) AS \"F3\"")
-def cells_changed(spark, d):
-    return leg.cells_changed(pack_sheet(spark, d, True), _SCOPE)
-
-
 def component_frames(spark, d):
     """Balances, originations and applications of the testdata in the shape that the KPI components take; a country is a region."""
     b = balance_facts(spark, d, "r_name")
@@ -108,17 +123,8 @@ def kpi_variants(spark, d):
     return kpis.kpi_table(kpis.components(*component_frames(spark, d))).withColumn("month_end", txt("month_end"))
 
 
-def variant_rows(spark, d, error: float = 0.0):
-    """The KPI table; with an error, one region's balance of one month is wrong by so much, under both definitions."""
-    k = kpis.components(*component_frames(spark, d))
-    if error:
-        hit = (F.col("month_end") == F.lit("1997-03-31").cast("date")) & F.col("scope").isin("ASIA", "GROUP")
-        k = k.withColumns({c: F.when(hit, F.col(c) + F.lit(str(error)).cast("decimal(10,2)")).otherwise(F.col(c)) for c in ("unrounded", "balance")})
-    return kpis.kpi_table(k)
-
-
 def bridged(spark, d, error: float = 0.0):
-    return rec.bridge(leg.figures(pack_sheet(spark, d, True), _SCOPE), variant_rows(spark, d, error))
+    return rec.bridge_of(both_sides(spark, d, error), _SCOPE)
 
 
 def _bridge_sql(components: str = _COMPONENTS) -> str:
@@ -148,6 +154,11 @@ def bridge(spark, d):
     return bridged(spark, d).select(txt("month_end").alias("month_end"), "scope", "kpi", *[_round(c) for c in _SHOWN], "gold_published")
 
 
+@query(_BR + "SELECT 'F' || b.k AS fault, kpi, count(*) FILTER (WHERE a.value IS DISTINCT FROM b.value) AS cells FROM fl a JOIN fl b USING (month_end, scope, kpi) WHERE b.k = a.k + 1 AND scope <> 'GROUP' GROUP BY b.k, kpi")
+def cells_changed(spark, d):
+    return leg.cells_changed(both_sides(spark, d), _SCOPE)
+
+
 @query(_BR + "SELECT month_end::VARCHAR AS month_end, scope, kpi, cause_id, classification, kind, " + _round_sql("amount") + " FROM att")
 def attribution(spark, d):
     return rec.attribution(bridged(spark, d)).select(txt("month_end").alias("month_end"), "scope", "kpi", "cause_id", "classification", "kind", _round("amount"))
@@ -155,8 +166,8 @@ def attribution(spark, d):
 
 @query(_BR + "SELECT count(*) FILTER (WHERE coalesce(abs(residual) > tolerance, true)) AS unexplained, count(*) FILTER (WHERE coalesce(abs(total_difference - (delta_F1 + delta_F2 + delta_F3 + residual + delta_D1 + delta_D2 + delta_D3 + delta_D4 + delta_D5 + delta_D6 + delta_D7 + delta_D8)) > tolerance, true)) AS open FROM br")
 def unexplained(spark, d):
-    b = bridged(spark, d)
-    return rec.unexplained(b).agg(F.count("*").alias("unexplained")).crossJoin(rec.not_closing(b).agg(F.count("*").alias("open")))  # one row each
+    b = bridged(spark, d).withColumns({"_u": rec.is_unexplained(), "_o": rec.is_open()})
+    return b.agg(F.count_if("_u").alias("unexplained"), F.count_if("_o").alias("open"))
 
 
 _WRONG = _COMPONENTS.replace("kv AS (", "ke AS (SELECT * REPLACE (balance + CASE WHEN m = DATE '1997-03-31' AND scope IN ('ASIA', 'GROUP') THEN 1.00 ELSE 0 END AS balance, unrounded + CASE WHEN m = DATE '1997-03-31' AND scope IN ('ASIA', 'GROUP') THEN 1.00 ELSE 0 END AS unrounded) FROM kg),\nkv AS (").replace("FROM kg) WHERE value", "FROM ke) WHERE value")
@@ -172,12 +183,12 @@ def injected_error_found(spark, d):
 def _profile_sql(source: str = "br", legacy: str = "legacy_published", new: str = "gold_published", by: str = "scope, kpi") -> str:
     ratio = f"{new} / nullif({legacy}, 0)"
     return f""", x AS (SELECT *, row_number() OVER (PARTITION BY {by} ORDER BY month_end) - 1 AS i, {new} - {legacy} AS diff, abs({new} - {legacy}) > tolerance AS off_, CASE WHEN abs({new} - {legacy}) > tolerance THEN {ratio} END AS ratio FROM {source}),
-pr AS (SELECT {by}, count(*) FILTER (WHERE off_) AS months_affected, count(*) AS months_in_series, min(month_end) FILTER (WHERE off_)::VARCHAR AS first_affected_month, coalesce(min(i) FILTER (WHERE off_), -1) AS first_affected_index, max(abs(diff)) AS largest_difference, coalesce(max(abs(ratio - 1)), 0) AS largest_relative_difference, coalesce(max(ratio) - min(ratio), 0) AS ratio_spread,
+pr AS (SELECT {by}, count(*) FILTER (WHERE off_) AS months_affected, count(*) AS months_in_series, min(month_end) FILTER (WHERE off_)::VARCHAR AS first_affected_month, coalesce(min(i) FILTER (WHERE off_), -1) AS first_affected_index, max(abs(diff)) AS largest_difference, max(tolerance) AS tolerance, coalesce(max(abs(ratio - 1)), 0) AS largest_relative_difference, coalesce(max(ratio) - min(ratio), 0) AS ratio_spread,
   coalesce(count(ratio) > 2 AND (min(ratio) > 1 OR max(ratio) < 1), false) AS ratio_always_same_side, coalesce(bool_or(i = 0 AND abs({legacy}) <= tolerance AND abs({new}) > tolerance), false) AS legacy_zero_in_first_month FROM x GROUP BY {by}),
-dg AS (SELECT *, CASE WHEN months_affected = 0 THEN 'agrees' ELSE coalesce(nullif(concat_ws('; ', CASE WHEN legacy_zero_in_first_month THEN 'zero in the first month: reaches back one period' END,
-  CASE WHEN months_affected = months_in_series AND ratio_spread <= 0.02 THEN 'constant factor: one rate or factor applied in one place' WHEN months_affected = months_in_series AND ratio_spread <= 0.10 AND ratio_always_same_side THEN 'drifting factor: a rate that was right once' END,
-  CASE WHEN NOT legacy_zero_in_first_month AND first_affected_index > 0 THEN 'starts in ' || first_affected_month || ': something that began then' WHEN NOT legacy_zero_in_first_month AND months_affected < months_in_series THEN 'not in all months, without a clean start' END,
-  CASE WHEN largest_relative_difference < 1e-6 THEN 'within rounding' END), ''), 'no pattern: read the formula') END AS diagnosis FROM pr)
+dg AS (SELECT *, CASE WHEN months_affected = 0 THEN 'nothing to do' ELSE coalesce(nullif(concat_ws('; ', CASE WHEN legacy_zero_in_first_month THEN 'check which month the formula reads' END,
+  CASE WHEN months_affected = months_in_series AND ratio_spread <= 0.02 THEN 'look for a rate or factor typed into a formula' WHEN months_affected = months_in_series AND ratio_spread <= 0.10 AND ratio_always_same_side THEN 'compare the factor used with the rate table, month by month' END,
+  CASE WHEN NOT legacy_zero_in_first_month AND first_affected_index > 0 THEN 'look at what was delivered or changed in ' || first_affected_month WHEN NOT legacy_zero_in_first_month AND months_affected < months_in_series THEN 'compare the rows of the months that differ' END,
+  CASE WHEN largest_relative_difference < 1e-6 THEN 'check where amounts are rounded' END), ''), 'trace one month by hand') END AS diagnosis FROM pr)
 """
 
 
@@ -201,12 +212,12 @@ def peeling_trail(spark, d):
     return t.select("round", "scope", "kpi", "months_affected", txt("first_affected_month").alias("first_affected_month"), _round("largest_difference"), "diagnosis")
 
 
-@query(_BR + _TRAIL + "SELECT round, kpi, arg_max(scope, (largest_difference, scope)) AS scope, round(max(largest_difference), 4) AS largest_difference, count(DISTINCT scope) AS scopes_differing FROM dg WHERE months_affected > 0 GROUP BY round, kpi")
+@query(_BR + _TRAIL + "SELECT round, kpi, arg_min(scope, (-round(largest_difference / tolerance), scope)) AS scope, round(arg_min(largest_difference, (-round(largest_difference / tolerance), scope)), 4) AS largest_difference, count(DISTINCT scope) AS scopes_differing FROM dg WHERE months_affected > 0 GROUP BY round, kpi")
 def trail_highlights(spark, d):
     return rec.trail_highlights(rec.peeling_trail(bridged(spark, d))).select("round", "kpi", "scope", F.round("largest_difference", 4).alias("largest_difference"), "scopes_differing")
 
 
-@query(_BR + "SELECT month_end::VARCHAR AS month_end, scope, kpi, round(legacy_published, 2) AS legacy_published, round(gold_published, 2) AS gold_published, round(total_difference, 2) AS total_difference FROM br ORDER BY abs(total_difference) DESC, br.month_end, scope, kpi LIMIT 10")
+@query(_BR + "SELECT month_end::VARCHAR AS month_end, scope, kpi, round(legacy_published, 2) AS legacy_published, round(gold_published, 2) AS gold_published, round(total_difference, 2) AS total_difference FROM br ORDER BY round(abs(br.total_difference), 6) DESC, br.month_end, scope, kpi LIMIT 10")
 def worst_cells(spark, d):
     return rec.worst(bridged(spark, d)).select(txt("month_end").alias("month_end"), "scope", "kpi", *[F.round(c, 2).alias(c) for c in ("legacy_published", "gold_published", "total_difference")])
 
@@ -216,21 +227,19 @@ _KNOWN = ", ".join(f"('{c.id}', '{c.classification}', '{c.kind}')" for c in rec.
 
 @query(_BR + f"SELECT c.cause_id, c.classification, c.kind, coalesce(count(a.cause_id), 0) AS cells_affected, min(a.month_end)::VARCHAR AS first_month, coalesce(round(max(abs(amount)), 4), 0) AS largest, coalesce(round(max(abs(amount) / nullif(abs(legacy_published), 0)), 6), 0) AS relative, coalesce(string_agg(DISTINCT a.kpi, ', ' ORDER BY a.kpi), '') AS kpis, coalesce(string_agg(DISTINCT a.scope, ', ' ORDER BY a.scope), '') AS scopes FROM (VALUES {_KNOWN}) c(cause_id, classification, kind) LEFT JOIN att a ON a.cause_id = c.cause_id GROUP BY ALL")
 def findings_summary(spark, d):
-    b = bridged(spark, d)
-    f = rec.findings(rec.attribution(b), b)
+    f = rec.findings(bridged(spark, d))
     return f.select("cause_id", "classification", "kind", "cells_affected", txt("first_month").alias("first_month"), F.round("largest_single_difference", 4).alias("largest"), F.round("largest_relative_difference", 6).alias("relative"), "kpis", "scopes")
 
 
 @query(_BR + "SELECT (SELECT count(*) FROM br) AS compared, (SELECT count(*) FROM br WHERE abs(total_difference) > tolerance) AS differ, (SELECT count(DISTINCT (month_end, scope, kpi)) FROM att WHERE classification = 'LEGACY_ERROR') AS by_error, (SELECT count(DISTINCT cause_id) FROM att WHERE classification = 'LEGACY_ERROR') AS faults, (SELECT count(DISTINCT cause_id) FROM att WHERE classification = 'DEFINITION_CHANGE') AS changes, (SELECT round(min(total_difference), 2) FROM br WHERE kpi = 'portfolio_balance_eur') AS overstatement")
 def headline_numbers(spark, d):
-    b = bridged(spark, d)
-    h = rec.headline(b, rec.attribution(b))
+    h = rec.headline(bridged(spark, d))
     return h.select(F.col("cells_compared").alias("compared"), F.col("cells_that_differed").alias("differ"), F.col("cells_affected_by_a_legacy_error").alias("by_error"), F.col("legacy_faults_found").alias("faults"), F.col("definition_changes").alias("changes"), F.round("largest_overstatement_eur", 2).alias("overstatement"))
 
 
 @query(_SHEET + "SELECT m::VARCHAR AS month_end, scope, opened, disbursed::DOUBLE AS disbursed FROM sheet WHERE m BETWEEN DATE '1996-01-31' AND DATE '1997-12-31'")
 def reporting_window(spark, d):
-    s = within_months(pack_sheet(spark, d, True), month_ends("1996-01-31", "1997-12-31"))
+    s = within_months(both_sides(spark, d), month_ends("1996-01-31", "1997-12-31"))
     return s.select(txt("month_end").alias("month_end"), "scope", F.col("opened").cast("bigint").alias("opened"), dbl("disbursed").alias("disbursed"))
 
 
@@ -294,23 +303,23 @@ def _balance_measures_sql() -> str:
     return " UNION ALL ".join(each)
 
 
+def by_measure(read_, names):
+    """The measures by region, a row each."""
+    wide = ms.evaluate_many(names, read_, ["r_name"])
+    return unpivot(wide, ["r_name"], [(n, "", F.col(f"`{n}`")) for n in names], ("measure", "_")).drop("_")
+
+
 @query(_balance_measures_sql())
 def balance_measures(spark, d):
     """All measures of the balance fact that need no month, by region."""
-    f = model_facts(spark, d)
-    out = None
-    for name in [*_STOCKS, *_RATIOS]:
-        own = ms.evaluate(name, lambda _: f, ["r_name"]).select("r_name", F.lit(name).alias("measure"), F.col(name).alias("value"))
-        out = own if out is None else out.unionByName(own)
-    return out
+    return by_measure(lambda _: model_facts(spark, d), [*_STOCKS, *_RATIOS])
 
 
 @query(", k AS (SELECT m, sum(eur)::DOUBLE AS b, sum(CASE WHEN dpd >= 30 THEN eur ELSE 0 END)::DOUBLE AS l FROM f WHERE flag <> 'R' GROUP BY m) SELECT a.m::VARCHAR AS month_end, p.b AS balance_before, a.l / a.b - p.l / p.b AS rate_change FROM k a LEFT JOIN k p ON p.m = last_day(a.m - INTERVAL 1 MONTH)")
 def shifted_measures(spark, d):
     f = model_facts(spark, d)
-    now = ms.evaluate("30+ DPD rate change", lambda _: f, [], months=True)
-    before = ms.evaluate("Portfolio balance last month (EUR)", lambda _: f, [], months=True)
-    return now.join(before, "month_end", "left").select(txt("month_end").alias("month_end"), F.col("Portfolio balance last month (EUR)").alias("balance_before"), F.col("30+ DPD rate change").alias("rate_change"))
+    both = ms.evaluate_many(["30+ DPD rate change", "Portfolio balance last month (EUR)", "Portfolio balance (EUR)"], lambda _: f, [], months=True)
+    return both.where("`Portfolio balance (EUR)` IS NOT NULL").select(txt("month_end").alias("month_end"), F.col("Portfolio balance last month (EUR)").alias("balance_before"), F.col("30+ DPD rate change").alias("rate_change"))
 
 
 def flow_tables(spark, d):
@@ -335,12 +344,7 @@ _FLOWS = {
 @query(_COMPONENTS + ", fl AS (SELECT *, round(total * ra, 2)::DECIMAL(18,2) AS e FROM orr) " + " UNION ALL ".join(f"SELECT r_name, '{n}' AS measure, {sql} AS value FROM fl GROUP BY r_name" for n, sql in _FLOWS.items()))
 def flow_measures(spark, d):
     """All measures of flows, of checks and of the reconciliation, by region."""
-    read_ = flow_tables(spark, d)
-    out = None
-    for name in _FLOWS:
-        own = ms.evaluate(name, read_, ["r_name"]).select("r_name", F.lit(name).alias("measure"), F.col(name).alias("value"))
-        out = own if out is None else out.unionByName(own)
-    return out
+    return by_measure(flow_tables(spark, d), list(_FLOWS))
 
 
 @query("SELECT event_type, count(*) AS n FROM events GROUP BY event_type", pre=False)

@@ -23,10 +23,14 @@ class Measure:
     folder: str
     format: str
     table: str
-    kind: str  # stock, shifted, ratio, change, flow
+    kind: str  # stock, shifted, ratio, flow
     sql: str  # an aggregate for stocks and flows, an expression over other measures for the rest
     hidden: bool = False
 
+    @property
+    def description(self) -> str:
+        return DESCRIPTIONS[self.name]
+
 
 BAL, ORI, APP, PAY = "fact_balance_snapshot", "fact_origination", "fact_application", "fact_repayment"
 # Names, folders and formats that reports rely on.
@@ -59,6 +63,36 @@ MEASURES = [
     Measure("Unexplained differences", "Trust", "#,0", "recon_attribution", "flow", "count_if(classification = 'UNEXPLAINED')"),
 ]
 BY_NAME = {m.name: m for m in MEASURES}
+_LAST_DATE = "Of several dates, that of the last one on which any account in view was active."
+#: What a reader of a report sees beside a measure.
+DESCRIPTIONS = {
+    "Portfolio balance (EUR)": f"What active accounts owe, each balance converted at its month-end rate. {_LAST_DATE}",
+    "Portfolio balance last month (EUR)": "The portfolio balance at the end of the calendar month before; blank if that month has none.",
+    "Portfolio balance MoM %": "Growth of the portfolio balance over the calendar month before.",
+    "Active accounts": f"Accounts that are neither closed nor written off. {_LAST_DATE}",
+    "Active customers": f"Customers with at least one active account, each once. {_LAST_DATE}",
+    "Avg balance per customer (EUR)": "Portfolio balance over active customers.",
+    "Avg balance per account (EUR)": "Portfolio balance over active accounts, as the old pack divided it; kept to compare with.",
+    "Balance 30+ DPD (EUR)": f"The part of the balance that is 30 days or more past due. {_LAST_DATE}",
+    "30+ DPD rate": "Balance 30 days or more past due as a share of the portfolio balance of the same date.",
+    "Balance 90+ DPD (EUR)": f"The part of the balance that is 90 days or more past due. {_LAST_DATE}",
+    "90+ DPD rate": "Balance 90 days or more past due as a share of the portfolio balance of the same date.",
+    "30+ DPD rate last month": "The 30+ rate of the calendar month before.",
+    "30+ DPD rate change": "The 30+ rate less that of the calendar month before, in points.",
+    "New accounts": "Accounts opened in the period, by opening date.",
+    "New originations (EUR)": "Amounts of the accounts opened, converted at the average rate of their month.",
+    "Avg loan size (EUR)": "New originations over new accounts.",
+    "Applications received": "All applications by date, decided or not.",
+    "Applications decisioned": "Applications that were approved or declined.",
+    "Applications approved": "Applications that were approved.",
+    "Approval rate": "Approved applications over decided ones; pending and withdrawn ones do not count.",
+    "Approval rate (legacy definition)": "Approved applications over all received, as the old pack had it; kept to compare with.",
+    "Repayments (EUR)": "Payments received, converted at the average rate of their month.",
+    "Quality checks run": "Results of checks that were recorded.",
+    "Quality checks failed": "Recorded results that did not pass.",
+    "Legacy error effect (EUR)": "What mended faults of the old pack change in the portfolio balance, added up.",
+    "Unexplained differences": "Figures for which no fault and no definition accounts; should be zero.",
+}
 
 
 def _date(key: Column) -> Column:
@@ -105,16 +139,19 @@ class Model:
         self._read, self.allowed, self.relationships, self.secures = read, roles.get(role, ()), relationships, secures
 
     def table(self, name: str) -> DataFrame:
-        """A table as the role sees it: dimensions by their own column, facts through the secured dimensions they point to."""
+        """A table as the role sees it: dimensions by their own column, facts by theirs, or through the secured dimensions they point to."""
         df = self._read(name)
         if self.allowed is None:
             return df
         if name in self.secures:
             return secured(df, self.allowed, self.secures[name])
-        for fact, column, dimension, key in self.relationships:
-            if fact == name and dimension in self.secures:
-                seen = self.table(dimension).select(F.col(key).alias("_seen"))
-                df = df.join(seen, df[column] == F.col("_seen"), "left_semi")
+        links = [r for r in self.relationships if r[0] == name and r[2] in self.secures]
+        own = next((self.secures[r[2]] for r in links if self.secures[r[2]] in df.columns), None)
+        if own:  # the fact has the secured column itself: one filter, no join
+            return secured(df, self.allowed, own)
+        for fact, column, dimension, key in links:
+            seen = self.table(dimension).select(F.col(key).alias("_seen"))
+            df = df.join(seen, df[column] == F.col("_seen"), "left_semi")
         return df
 
     def joined(self, fact: str, attributes: Sequence[str]) -> DataFrame:
@@ -132,39 +169,92 @@ class Model:
 
     def evaluate(self, name: str, by: Sequence[str] = (), months: bool = False) -> DataFrame:
         """The measure for each group of `by`, with months for each month end too. A shifted measure needs months."""
-        facts: dict[str, DataFrame] = {}
+        return self.evaluate_many([name], by, months)
+
+    def evaluate_many(self, names: Sequence[str], by: Sequence[str] = (), months: bool = False) -> DataFrame:
+        """Several measures side by side, as evaluate_many gives them."""
+        return evaluate_many(names, lambda table: self.joined(table, by), [b.replace(".", "_") for b in by], months)
+
+
+def needed(names: Sequence[str]) -> list[Measure]:
+    """The measures and all that they are made of, each after what it is made of."""
+    order: dict[str, Measure] = {}
+
+    def visit(name: str) -> None:
+        if name in order:
+            return
+        m = BY_NAME[name]
+        for part in [m.sql] if m.kind == "shifted" else [n for n in BY_NAME if f"`{n}`" in m.sql] if m.kind == "ratio" else []:
+            visit(part)
+        order[name] = m
+
+    for name in names:
+        visit(name)
+    return list(order.values())
 
-        def read(table: str) -> DataFrame:
-            if table not in facts:
-                facts[table] = self.joined(table, by)
-            return facts[table]
 
-        return evaluate(name, read, [b.replace(".", "_") for b in by], months)
+def _base(fact: DataFrame, own: Sequence[Measure], keys: Sequence[str]) -> list[DataFrame]:
+    """The stocks and the flows of a fact: keys and a column each, from one aggregation of either kind."""
+    value = lambda m: F.expr(m.sql).cast("double").alias(m.name)
+    stocks, flows = ([m for m in own if m.kind == kind] for kind in ("stock", "flow"))
+    out = [fact.groupBy(*keys).agg(*map(value, flows))] if flows else []
+    if stocks:
+        # the values of each date in context, then those of the last date with an active row
+        dated = fact.groupBy(*keys, "date_key").agg(*map(value, stocks), F.count_if(F.expr("is_active")).alias("__active")).where("__active > 0")
+        last = dated.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(f"`{m.name}`") for m in stocks]), "date_key").alias("__last"))
+        out.append(last.select(*keys, "__last.*"))
+    return out
 
 
-def evaluate(name: str, read, by: Sequence[str] = (), months: bool = False) -> DataFrame:
-    """The measure for each group of `by` (columns of its fact); with months, for each month end too.
+def evaluate_many(names: Sequence[str], read: Callable[[str], DataFrame], by: Sequence[str] = (), months: bool = False) -> DataFrame:
+    """The measures, a column each, for each group of `by` (columns of their facts), with months for each month end too.
 
-    read: table name to DataFrame. A shifted measure needs months.
+    The measures are resolved to what they are made of. Each fact that any of these needs is read once and aggregated once, at
+    the grain of its dates where stocks are asked for; the small results are stacked and brought together by their keys, so no
+    fact is joined to another. Shifted measures move a month's values to the next row of the same result, ratios are expressions
+    over its columns. A group has a row if any fact has rows of it; a month after the last only if a shifted measure is asked for.
     """
-    m, by = BY_NAME[name], list(by)
+    plan, by = needed(names), list(by)
     keys = [*by, *(["month_end"] if months else [])]
-    if m.kind in ("stock", "flow"):
-        fact = read(m.table)
+    shifted = [m for m in plan if m.kind == "shifted"]
+    if shifted and not months:
+        raise ValueError(f"{shifted[0].name} needs months")
+    base = [m for m in plan if m.kind in ("stock", "flow")]
+    parts = []
+    for table in dict.fromkeys(m.table for m in base):
+        fact = read(table)
         if months:
             fact = fact.withColumn("month_end", F.last_day(_date(F.col("date_key"))))
-        if m.kind == "flow":
-            return fact.groupBy(*keys).agg(F.expr(m.sql).cast("double").alias(name))
-        # the value of each date in context, then that of the last date with an active row
-        dated = fact.groupBy(*keys, "date_key").agg(F.expr(m.sql).cast("double").alias("v"), F.count_if(F.expr("is_active")).alias("a"))
-        return dated.where("a > 0").groupBy(*keys).agg(F.max_by("v", "date_key").alias(name))
-    if m.kind == "shifted":
-        now = evaluate(m.sql, read, by, True)
-        return now.select(*by, F.last_day(F.add_months("month_end", 1)).alias("month_end"), F.col(m.sql).alias(name))
-    needed = [n for n in BY_NAME if f"`{n}`" in m.sql]
-    out = None
-    for n in needed:
-        own = evaluate(n, read, by, months)
-        how = "left" if BY_NAME[n].kind == "shifted" else "full"
-        out = own if out is None else out.join(own, keys, how) if keys else out.crossJoin(own)
-    return out.select(*keys, F.expr(m.sql).alias(name))
+        parts += _base(fact, [m for m in base if m.table == table], keys)
+    stacked = parts[0]
+    for part in parts[1:]:
+        stacked = stacked.unionByName(part, allowMissingColumns=True)
+    out = stacked if len(parts) == 1 else stacked.groupBy(*keys).agg(*[F.max(f"`{m.name}`").alias(m.name) for m in base])
+    out = _derived(out, [m for m in plan if m.kind == "ratio" and not any(x.kind == "shifted" for x in needed([m.name]))])
+    if shifted:
+        out = _shifted(out, by, shifted, any(BY_NAME[n].kind == "shifted" for n in names))
+        out = _derived(out, [m for m in plan if m.kind == "ratio" and m.name not in out.columns])
+    return out.select(*keys, *[F.col(f"`{n}`") for n in names])
+
+
+def _derived(df: DataFrame, ratios: Sequence[Measure]) -> DataFrame:
+    for m in ratios:
+        df = df.withColumn(m.name, F.expr(m.sql))
+    return df
+
+
+def _shifted(df: DataFrame, by: Sequence[str], shifted: Sequence[Measure], beyond: bool) -> DataFrame:
+    """df (a row a group and month) with the values of the month before. Each row is laid out for its own month and for the next, and
+    what meets there is one row: no window, no second reading. beyond: months that have only a month before stay."""
+    own = [c for c in df.columns if c not in (*by, "month_end")]
+    blank = lambda c: F.lit(None).cast("double").alias(c)
+    here = F.struct(F.col("month_end"), F.lit(True).alias("__own"), *[F.col(f"`{c}`").cast("double").alias(c) for c in own], *[blank(m.name) for m in shifted])
+    after = F.struct(F.last_day(F.add_months("month_end", 1)).alias("month_end"), F.lit(False).alias("__own"), *[blank(c) for c in own], *[F.col(f"`{m.sql}`").cast("double").alias(m.name) for m in shifted])
+    laid = df.select(*by, F.explode(F.array(here, after)).alias("x")).select(*by, "x.*")
+    met = laid.groupBy(*by, "month_end").agg(F.bool_or("__own").alias("__own"), *[F.max(f"`{c}`").alias(c) for c in [*own, *[m.name for m in shifted]]])
+    return (met if beyond else met.where("__own")).drop("__own")
+
+
+def evaluate(name: str, read: Callable[[str], DataFrame], by: Sequence[str] = (), months: bool = False) -> DataFrame:
+    """One measure, as evaluate_many gives it."""
+    return evaluate_many([name], read, by, months)
