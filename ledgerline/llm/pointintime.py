@@ -341,7 +341,7 @@ def features(sales: DataFrame, lines: DataFrame, clicks: DataFrame, limit: int =
         # an event has one row in the join, with or without chunks; the kind keeps the join an outer one for either half
         marked = events.join(small(busy), "client", "left")
         cut = F.when(F.col("kind") >= 0, F.col("width")).isNotNull()
-        own = marked.where(cut)
+        own = stored(marked.where(cut), "busy_events")  # read by each of what follows
         lines_own = unioned(own.where(F.col("kind") == LINE)).withColumn("kind", F.lit(LINE))
         chunks = chunked(own.where(F.col("kind") != LINE).unionByName(lines_own, allowMissingColumns=True))
         rows = marked.where(~cut).select(*COLUMNS, *whole).unionByName(stored(chunks, "chunks"))
