@@ -113,14 +113,14 @@ def busy_clients(events: DataFrame, limit: int) -> DataFrame:
 
 def unioned(lines: DataFrame) -> DataFrame:
     """Lines of busy clients, summed up by time: prior is the ts up to whose expiry others cover the item, n the lines, item the number
-    of items that the lines add. Slots of time are joined by their carried latest ts."""
+    of items that the lines add. The latest ts of the slots before stands in each slot as a row in front of all others."""
     rows = lines.groupBy("client", "origin", "width", "item", "ts", "start").agg(F.sum("n").alias("n"), F.sum("cents").alias("cents")).withColumn("slot", _slot(F.col("start")))
     own = Window.partitionBy("client", "item", "slot").orderBy("start", "ts").rowsBetween(Window.unboundedPreceding, -1)
     over = Window.partitionBy("client", "item").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
-    known = rows.where("item IS NOT NULL").withColumn("own", F.max("ts").over(own))
-    carried = rows.where("item IS NOT NULL").groupBy("client", "item", "slot").agg(F.max("ts").alias("latest")).select("client", "item", "slot", F.max("latest").over(over).alias("carried"))
-    covered = known.join(carried, ["client", "item", "slot"]).withColumn("prior", F.greatest("own", "carried"))
-    covered = covered.unionByName(rows.where("item IS NULL").withColumns({"own": F.lit(None).cast("bigint"), "carried": F.lit(None).cast("bigint"), "prior": F.lit(None).cast("bigint")}))
+    known = rows.where("item IS NOT NULL")
+    before = known.groupBy("client", "item", "slot").agg(F.max("ts").alias("ts")).withColumn("ts", F.max("ts").over(over)).where("ts IS NOT NULL").withColumn("start", F.lit(LEAST))
+    covered = known.unionByName(before, allowMissingColumns=True).withColumn("prior", F.max("ts").over(own)).where(F.col("start") > LEAST)
+    covered = covered.unionByName(rows.where("item IS NULL"), allowMissingColumns=True)
     adds = F.col("item").isNotNull() & (F.col("prior").isNull() | (F.col("ts") > F.col("prior")))
     matters = adds & (F.col("prior") + max(WINDOWS) * DAY > F.col("start"))
     return covered.select("client", "origin", "width", "ts", "start", F.when(matters, F.col("prior")).alias("prior"), "n", "cents", adds.cast("bigint").alias("item")).groupBy("client", "origin", "width", "ts", "start", "prior").agg(*[F.sum(c).alias(c) for c in ("n", "cents", "item")])
