@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from .. import functions as fn
 from ..operators import relational as rel
-from ..sources.ingest import COUNTRIES
+from ..sources.ingest import CORRUPT, COUNTRIES
 
 # Statuses, product lines, the shape of an application event, and what makes a delivery newer than another.
 ACCOUNT_STATUSES = ["ACTIVE", "CLOSED", "WRITTEN_OFF"]
@@ -105,7 +105,7 @@ def trailers(balances: DataFrame) -> DataFrame:
 
 def judged(entity: Entity, bronze: DataFrame, products: list[str]) -> DataFrame:
     """The typed rows, tagged with the rules they break; _raw is the row as delivered."""
-    lineage = [c for c in bronze.columns if c.startswith("_")]
+    lineage = [c for c in bronze.columns if c.startswith("_") and c != CORRUPT]
     raw = bronze.withColumn("_raw", F.struct(*[c for c in bronze.columns if c not in lineage]))
     if entity.source == "bronze_applications":
         raw = raw.withColumn("_j", F.from_json("raw_json", EVENT))
@@ -121,30 +121,67 @@ AUDIT = "batch_id string, entity string, bronze_rows bigint, control_rows bigint
 
 
 def run(catalog, batch: str, at) -> list[tuple]:
-    """All entities. An entity's rows are parsed twice, for what is accepted and what is refused; all counts for the equation
-    bronze = control + quarantined + duplicates + silver come from what was delivered and written (file footers, and the
-    number of deliveries of the rows that stayed), so the equation can fail."""
+    """All entities. What was delivered is parsed and judged once, into a tagged table; the silver table and the refused rows are made
+    of that. The numbers of the equation bronze = control + quarantined + duplicates + silver are counted on the way into these
+    tables, each where it arises, so the equation can fail and nothing is read again to count it."""
     audit, products = [], []
     empty = True
+    n = F.count("*")
     for e in ENTITIES:
         if not catalog.exists(e.source):
             continue
-        bronze, control = catalog.read(e.source), 0
-        total = bronze.count()
+        bronze, control = catalog.read(e.source), F.lit(False)
         if e.name == "balances":
             catalog.write(trailers(bronze), "silver_control_totals")
-            control = catalog.read("silver_control_totals").count()
-            bronze = bronze.where(~_is_trailer())
-        rows = judged(e, bronze, products)
-        catalog.write(accepted(e, rows), f"silver_{e.name}")
-        catalog.write(rel.quarantine(rows, e.name), "silver_quarantine", "overwrite" if empty else "append")
+            control = _is_trailer()
+        delivered = bronze.withColumn("_control", control)
+        tagged = judged(e, delivered, products)
+        came = catalog.write(tagged, f"stg_tagged_{e.name}", counts={"bronze": n, "control": F.count_if("_control")})
+        rows = catalog.read(f"stg_tagged_{e.name}").where("NOT _control").drop("_control")
+        kept = catalog.write(accepted(e, rows), f"silver_{e.name}", counts={"silver": n, "again": F.coalesce(F.sum(F.col(rel.COPIES) - 1), F.lit(0))})
+        bad = catalog.write(rel.quarantine(rows, e.name), "silver_quarantine", "overwrite" if empty else "append", counts={"bad": n})
         empty = False
-        kept = catalog.read(f"silver_{e.name}").agg(F.count("*").alias("n"), F.coalesce(F.sum(F.col(rel.COPIES) - 1), F.lit(0)).alias("again")).first()
-        bad = catalog.read("silver_quarantine").where(F.col("entity") == e.name).count()
-        audit.append((batch, e.name, total, control, bad, kept["again"], kept["n"], at))
+        audit.append((batch, e.name, came["bronze"], came["control"], bad["bad"], kept["again"], kept["silver"], at))
         if e.name == "products":
             products = [r[0] for r in catalog.read("silver_products").select("product_code").collect()]  # a handful
         if e.name == "application_events":
             catalog.write(rel.current_state(catalog.read("silver_application_events"), "application_id", "event_ts"), "silver_applications")
     catalog.write(catalog.spark.createDataFrame(audit, AUDIT), "silver_load_audit", "append")
     return audit
+
+
+def settled(old: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
+    """Silver rows of some buckets after a later delivery: its rows take the place of those of the same keys, the numbers of deliveries
+    are added. Both sides have a row a key, so the joins do not multiply."""
+    before = old.select(*[F.col(k).alias(f"_{k}") for k in key], F.col(rel.COPIES).alias("_before"))
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in key]
+    again = new.join(before, same, "left").withColumn(rel.COPIES, F.col(rel.COPIES) + F.coalesce("_before", F.lit(0)))
+    keys = new.select(*[F.col(k).alias(f"_{k}") for k in key])
+    return old.join(keys, same, "left_anti").unionByName(again.select(*new.columns), allowMissingColumns=True)
+
+
+def deliver(catalog, entity: Entity, batch: str, products: list[str], buckets: int = 64) -> dict[str, int]:
+    """Brings what has come to bronze since the last call into the entity's silver table, which is kept by buckets of its key: only
+    buckets that the delivery touches are read and written. Rows of a later call replace those of earlier ones, as they were landed
+    later. Numbers of the delivery: bronze, control, bad, new (rows of good quality), and the buckets that were rewritten.
+
+    Versions are taken one by one. Which of them are in the silver table stands in its manifest, which is swapped together with the rows; refused rows
+    and control totals are appended under its name. So a call that is run again after a crash does what is left.
+    """
+    table = f"silver_{entity.name}"
+    done = {"bronze": 0, "control": 0, "bad": 0, "new": 0, "buckets": 0}
+    control = _is_trailer() if entity.name == "balances" else F.lit(False)
+    known = set(catalog.taken(table))
+    for version in [v for v in catalog.versions(entity.source) if v not in known]:
+        bronze = catalog.read_version(entity.source, version)
+        tagged = judged(entity, bronze.withColumn("_control", control), products)
+        bad = F.count_if(~F.col("_control") & (F.cardinality(rel.REASONS) > 0))
+        came = catalog.write(tagged, f"stg_tagged_{entity.name}", counts={"bronze": F.count("*"), "control": F.count_if("_control"), "bad": bad})
+        rows = catalog.read(f"stg_tagged_{entity.name}").where("NOT _control").drop("_control")
+        if entity.name == "balances":
+            catalog.append(trailers(bronze), "silver_control_totals", version)
+        catalog.append(rel.quarantine(rows, entity.name), "silver_quarantine", f"{entity.name}-{version}")
+        touched = catalog.merge(accepted(entity, rows), table, entity.key, lambda old, new: settled(old, new, entity.key), buckets, [version])
+        for name, n in (came | {"new": came["bronze"] - came["control"] - came["bad"], "buckets": len(touched)}).items():
+            done[name] += n
+    return done
