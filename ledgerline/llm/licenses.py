@@ -1,15 +1,16 @@
 """License scan by a positional index of rare words.
 
-Templates are licence texts and notices, stored as words with postings: which template holds a word, and where. Over all
-documents it is counted how many hold each licence word; its IDF follows. A template is open for a file that holds its
-mandatory phrase. Of the words a file shares with an open template the RARE of highest IDF in the corpus are looked up, so it
-is the file that chooses them: a file that lacks a template's rarest words is looked up by the next ones, and one licence
-hides no other. Each place of such a word votes with each of its postings for where the template would start (place minus
-position, give or take SLACK), and starts on which two words agree go on (one, where the file holds but one).
-
-A start is a match if at least SHARE of the template's IDF stands where it should, give or take SLACK words, and the mandatory
-phrase stands, word for word, within that span. The score is the best share that matched, and at least BASE_SCORE where a base
-phrase stands; 0 without either. Base phrases and their labels are found in every text and counted at all places.
+Templates are licence texts and notices. One inverted index holds, for each of their words, which templates have it and where.
+Over all documents it is counted how many hold each licence word; its IDF follows. The distinct licence words of a file are
+looked up in the index, those of highest IDF first, and their weights are added up for the templates that have them: a template
+of which the file lacks more than 1 - SHARE of the weight, wherever its words may stand, cannot match, and is done with. For the
+others the RARE rarest words that the file shares with them are placed: each place of such a word and each of its postings give
+a start of the template (place minus position), and the starts on which two words agree, give or take SLACK, go on (one, where
+the file holds but one). So no list for all templates together lets one licence of a file hide another.
+
+A start is a match if at least SHARE of the template's IDF stands where it should, give or take SLACK words, and then if the
+mandatory phrase stands, word for word, within that span. The score is the best share that matched, and at least BASE_SCORE
+where a base phrase stands; 0 without either. Base phrases and their labels are found in every text and counted at all places.
 
 A null text is empty: no words, empty labels, null places, score 0. Repeated rows count each; other columns are not looked
 at. An empty table gives no rows.
@@ -19,8 +20,9 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -67,81 +69,113 @@ def words(text: bytes) -> list[bytes]:
     return text.translate(TO_WORDS).split()
 
 
-def document_frequencies(docs: DataFrame) -> tuple[int, dict[bytes, int]]:
-    """The number of documents and, for each template word, of documents that hold it."""
-    vocabulary = frozenset(w for _, _, text in TEMPLATES for w in text.encode().split())
+Texts = Sequence[tuple[str, str, str]]
+
+
+def vocabulary(templates: Texts) -> frozenset[bytes]:
+    return frozenset(w for label, phrase, text in templates for part in (text, phrase, *DECIDING.get(label, ())) for w in part.encode().split())
+
+
+def document_frequencies(docs: DataFrame, templates: Texts = tuple(TEMPLATES)) -> tuple[int, dict[bytes, int]]:
+    """The number of documents and, for each licence word, of documents that hold it."""
+    known = vocabulary(templates)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: Counter = Counter()
         for part in slices(batches):
             for text in raw(part.column(0)):
-                held.update(vocabulary.intersection(words(text)))
+                held.update(known.intersection(words(text)))
                 held[b""] += 1
         if held:
             yield pa.RecordBatch.from_arrays([pa.array([w.decode() for w in held]), pa.array(list(held.values()), pa.int64())], ["word", "n"])
 
-    sums = docs.select("text").mapInArrow(tidied(run), "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n")).collect()
+    sums = docs.select("text").mapInArrow(tidied(run), "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n")).collect()  # a row a licence word
     found = {r["word"].encode(): r["n"] for r in sums}
     return found.pop(b"", 0), found
 
 
-class Template:
-    def __init__(self, label: str, phrase: str, text: str, idf: dict[bytes, float]):
-        self.label, self.words = label, text.encode().split()
-        self.phrases = [f" {p} ".encode() for p in (phrase, *DECIDING.get(label, ()))]
-        self.weights = [idf[w] for w in self.words]
-        self.full = sum(self.weights)
-        self.postings: dict[bytes, list[int]] = {}
-        for at, w in enumerate(self.words):
-            self.postings.setdefault(w, []).append(at)
-
-
 class Index:
-    """Templates with the IDF of their words and their postings."""
-
-    def __init__(self, n: int, held: dict[bytes, int]):
-        self.idf = {w: math.log((n + 1) / (held.get(w, 0) + 0.5)) + 0.01 for _, _, text in TEMPLATES for w in text.encode().split()}
-        self.templates = [Template(*t, self.idf) for t in TEMPLATES]
-
-    def matches(self, found: list[bytes], line: bytes) -> dict[str, float]:
-        """Label and matched share of each template that stands in these words. line: the words with a space around each."""
-        open_ = [t for t in self.templates if t.phrases[0] in line]
-        if not open_:
+    """word -> [(template, positions)], and the IDF of the words."""
+
+    def __init__(self, n: int, held: dict[bytes, int], templates: Texts = tuple(TEMPLATES)):
+        self.idf = {w: math.log((n + 1) / (held.get(w, 0) + 0.5)) + 0.01 for w in vocabulary(templates)}
+        self.labels = [label for label, *_ in templates]
+        self.words = [text.encode().split() for *_, text in templates]
+        self.phrases = [[p.encode().split() for p in (phrase, *DECIDING.get(label, ()))] for label, phrase, _ in templates]
+        self.full = [sum(self.idf[w] for w in own) for own in self.words]
+        self.postings: dict[bytes, list[tuple[int, np.ndarray]]] = {}
+        for t, own in enumerate(self.words):
+            for w in dict.fromkeys(own):
+                self.postings.setdefault(w, []).append((t, np.array([k for k, x in enumerate(own) if x == w])))
+
+    def matches(self, found: list[bytes]) -> dict[str, float]:
+        """Label and matched share of each template that stands in these words."""
+        shared = sorted(self.postings.keys() & set(found), key=lambda w: (-self.idf[w], w))
+        weight, rare = [0.0] * len(self.words), [[] for _ in self.words]
+        for w in shared:
+            for t, positions in self.postings[w]:
+                weight[t] += self.idf[w] * len(positions)
+                if len(rare[t]) < RARE:
+                    rare[t].append((w, positions))
+        going_on = [t for t in range(len(self.words)) if weight[t] >= SHARE * self.full[t] - 1e-9]
+        if not going_on:
             return {}
-        places: dict[bytes, list[int]] = {}
+        lists: dict[bytes, list[int]] = {}
         for at, w in enumerate(found):
             if w in self.idf:
-                places.setdefault(w, []).append(at)
+                lists.setdefault(w, []).append(at)
+        places = {w: np.array(own, np.int64) for w, own in lists.items()}
         out: dict[str, float] = {}
-        for t in open_:
-            rare = sorted(places.keys() & t.postings.keys(), key=lambda w: (-self.idf[w], w))[:RARE]
-            votes: Counter = Counter(start for w in rare for start in {at - position + d for position in t.postings[w] for at in places[w] for d in range(-SLACK, SLACK + 1)})
-            agreed = min(2, len(rare))
-            for start in [s for s, n in votes.items() if n >= agreed]:
-                share = self.share(t, found, start)
-                if share >= SHARE and share > out.get(t.label, 0.0) and self.verified(t, found, start):
-                    out[t.label] = share
+        for t in going_on:
+            starts = self.starts(rare[t], places)
+            shares = self.shares(t, starts, places)
+            good = shares >= SHARE
+            good[good] = self.verified(t, starts[good], places)
+            if good.any():
+                out[self.labels[t]] = max(out.get(self.labels[t], 0.0), float(shares[good].max()))
         return out
 
     @staticmethod
-    def share(t: Template, found: list[bytes], start: int) -> float:
-        """The part of the template's IDF that stands where it should, give or take SLACK words."""
-        got = 0.0
-        for at, (w, weight) in enumerate(zip(t.words, t.weights), start):
-            if w in found[max(0, at - SLACK) : max(0, at + SLACK + 1)]:
-                got += weight
-        return got / t.full
-
-    @staticmethod
-    def verified(t: Template, found: list[bytes], start: int) -> bool:
-        span = b" " + b" ".join(found[max(0, start - SLACK) : start + len(t.words) + SLACK]) + b" "
-        return all(p in span for p in t.phrases)
-
-
-def scan(docs: DataFrame) -> DataFrame:
-    """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score for each row of docs."""
+    def starts(rare: list[tuple[bytes, np.ndarray]], places: dict[bytes, np.ndarray]) -> np.ndarray:
+        """Where a template would start so that two of these words agree, or one if there is but one."""
+        agreed: list[np.ndarray] = []
+        for w, positions in rare:
+            own = np.unique((places[w][:, None] - positions).ravel())
+            agreed.append(np.unique((own[:, None] + np.arange(-SLACK, SLACK + 1)).ravel()))
+        values, votes = np.unique(np.concatenate(agreed), return_counts=True)
+        return values[votes >= min(2, len(rare))]
+
+    def shares(self, t: int, starts: np.ndarray, places: dict[bytes, np.ndarray]) -> np.ndarray:
+        """For each start the part of the template's IDF that stands where it should, give or take SLACK words."""
+        got = np.zeros(len(starts))
+        for position, w in enumerate(self.words[t]):
+            own = places.get(w)
+            if own is not None:
+                at = np.searchsorted(own, starts + position - SLACK)
+                near = own[np.minimum(at, len(own) - 1)]
+                got += self.idf[w] * ((at < len(own)) & (near <= starts + position + SLACK))
+        return got / self.full[t]
+
+    def verified(self, t: int, starts: np.ndarray, places: dict[bytes, np.ndarray]) -> np.ndarray:
+        """Whether all key phrases stand, word for word, within the span of each start."""
+        sure = np.ones(len(starts), bool)
+        for phrase in self.phrases[t]:
+            at = places.get(phrase[0], np.zeros(0, np.int64))
+            for k, w in enumerate(phrase[1:], 1):
+                at = np.intersect1d(at, places.get(w, np.zeros(0, np.int64)) - k, assume_unique=True)
+            if not len(at):
+                return np.zeros(len(starts), bool)
+            first = np.searchsorted(at, starts - SLACK)
+            near = at[np.minimum(first, len(at) - 1)]
+            sure &= (first < len(at)) & (near + len(phrase) <= starts + len(self.words[t]) + SLACK)
+        return sure
+
+
+def scan(docs: DataFrame, templates: Texts = tuple(TEMPLATES)) -> DataFrame:
+    """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score for each row of docs. templates: label, mandatory
+    phrase and text each, lower-cased words; a list of any length, which is shipped to the workers."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    get = shipped(docs.sparkSession.sparkContext, Index(*document_frequencies(docs)))
+    get = shipped(docs.sparkSession.sparkContext, Index(*document_frequencies(docs, templates), templates))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = get()
@@ -159,7 +193,7 @@ def scan(docs: DataFrame) -> DataFrame:
                         starts.append(word)
                         base.add(label)
                         before, at = at, line.find(phrase, at + 1)
-                matched = index.matches(found, line)
+                matched = index.matches(found)
                 score = max([*matched.values(), BASE_SCORE if base else 0.0], default=0.0)
                 rows.append((len(found), len(starts), min(starts, default=None), max(starts, default=None), ",".join(sorted(base)), ",".join(sorted(base | matched.keys())), score))
             types = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64()]
