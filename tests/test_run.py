@@ -181,7 +181,8 @@ def test_a_broken_publication_is_completed(spark, tmp_path):
             catalog.write(spark.range(k), f"stg_{t}")
         if k == 1:
             catalog.publish(["x", "y"])
-    moves = {t: [f"../stg_{t}/{v}" for v in catalog._versions(f"stg_{t}")] for t in ("x", "y")}
+    held = {t: catalog._manifest(f"stg_{t}") for t in ("x", "y")}
+    moves = {t: m | {"versions": [f"../stg_{t}/{v}" for v in m["versions"]]} for t, m in held.items()}
     catalog.files.swap(catalog._path("_PUBLISH"), json.dumps(moves))  # the journal is written, then the driver dies
     assert catalog.read("x").count() == 1
     after = Catalog(spark, str(tmp_path / "lake"))
