@@ -11,6 +11,9 @@ smallest and largest text. The comparison is an aggregation, combined before the
 the rows costs one row a task. Where texts differ under one digest, those rows are grouped by the whole text instead. Each
 text is hashed once; what goes is removed by locator.
 
+duplicates() judges one table by itself and drops its state; deliver() keeps the state under a folder of the caller and judges
+one delivery after another.
+
 Documents that do not come straight from Parquet files (other columns, filters and renamed ones do no harm) are written to
 the shared folder first, where each row has a place.
 
@@ -23,7 +26,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .base import ascii_lower, body, discard, scratch, small, stored
@@ -93,6 +96,82 @@ def registry(digests: DataFrame, files_per_batch: int = FILES_PER_BATCH) -> Data
     return updates if batches == 1 else updates.groupBy("digest").agg(F.max("n").alias("n"), F.max("keep").alias("keep"))
 
 
+class DigestCollision(RuntimeError):
+    """Unlike texts under one digest, in a registry that lives on."""
+
+
+def _text(spark: SparkSession, places: DataFrame) -> DataFrame:
+    """digest, body of rows at places (digest, file, at) in files that were delivered before. Only the names of these files pass
+    through the driver."""
+    files = [r[0] for r in places.select("file").distinct().collect()]
+    if not files:
+        return spark.createDataFrame([], "digest binary, body string")
+    rows = spark.read.schema("text string").parquet(*files)
+    meta = rows.metadataColumn("_metadata")
+    rows = rows.select(meta["file_path"].alias("file"), meta["row_index"].alias("at"), ascii_lower(body(rows["text"])).alias("body"))
+    return rows.join(_places(places, F.col("digest").alias("__digest")), _at_places(rows)).select(F.col("__digest").alias("digest"), "body")
+
+
+def _at_places(rows: DataFrame) -> Column:
+    return (rows["file"] == F.col("__file")) & (rows["at"] == F.col("__at"))
+
+
+def deliver(docs: DataFrame, state: str, delivery: str, digest: Callable[[Column], Column] = sha256, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
+    """The rows of one delivery judged against all deliveries so far: doc_id, keep_id, group_size (of all deliveries), kept, digest,
+    file, at.
+
+    The registry lives on in the folder `state`: digests by delivery, the stream's checkpoint with its keyed state on disk, and the
+    updates that it wrote. A call reads only the digests of its own delivery; a delivery that is given again under its name adds
+    nothing. In the stream, each digest that is hit has its texts fetched, those of this delivery and the one kept before, and
+    compared in full before the update is written; unlike texts stop it with DigestCollision, as a registry by digest cannot hold
+    both. docs has to come from Parquet files that stay where they are, as later deliveries are compared with them. kept is judged
+    as of now: a later delivery may bring an equal text of a larger doc_id.
+    """
+    spark = docs.sparkSession
+    rows = located(docs)
+    folder = f"{state}/digests/delivery={delivery}"
+    at = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
+    if not at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at):
+        rows.select(F.col("__docs.doc_id").alias("doc_id"), digest(_normal()).alias("digest"), *LOCATOR).write.mode("overwrite").parquet(folder)
+    own = spark.read.parquet(folder)
+
+    def log() -> DataFrame:
+        return spark.read.option("basePath", f"{state}/log").parquet(f"{state}/log/batch=*")
+
+    def confirm(batch: DataFrame, number: int) -> None:
+        hits = batch.where("n > 1").select("digest")
+        mine = own.join(hits, "digest", "left_semi")
+        kept = log().where(F.col("batch") < number).join(hits, "digest", "left_semi").groupBy("digest").agg(F.max("keep").alias("keep"))  # as it was
+        before = kept.select("digest", F.col("keep.file").alias("file"), F.col("keep.at").alias("at")).join(own.select(*LOCATOR), LOCATOR, "left_anti")
+        here = _places(mine, F.col("digest").alias("__digest"))
+        texts = rows.join(here, _at(rows, here)).select(F.col("__digest").alias("digest"), _normal().alias("body")).unionByName(_text(spark, before))
+        unlike = texts.groupBy("digest").agg(F.min("body").alias("a"), F.max("body").alias("b")).where("a <> b").select(F.hex("digest")).limit(3).collect()
+        if unlike:
+            raise DigestCollision(", ".join(r[0] for r in unlike))
+
+    session = spark.newSession()
+    for key, value in ROCKSDB.items():
+        session.conf.set(key, value)
+    session.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
+    source = session.readStream.schema(own.schema).option("maxFilesPerTrigger", files_per_batch).parquet(f"{state}/digests/delivery=*")
+    known = source.groupBy("digest").agg(F.count("*").alias("n"), F.max(F.struct("doc_id", *LOCATOR)).alias("keep"))
+
+    def append(batch: DataFrame, number: int) -> None:
+        path = f"{state}/log/batch={number}"
+        batch.write.mode("overwrite").parquet(path)  # the update once, for the comparison and for later calls
+        written = spark.read.parquet(path)
+        try:
+            confirm(written, number)
+        except DigestCollision:
+            discard(spark, path)
+            raise
+
+    known.writeStream.outputMode("update").foreachBatch(append).option("checkpointLocation", f"{state}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    last = log().join(own.select("digest").distinct(), "digest", "left_semi").groupBy("digest").agg(F.max("n").alias("n"), F.max("keep").alias("keep"))
+    kept = (F.col("file") == F.col("keep.file")) & (F.col("at") == F.col("keep.at"))
+    return own.join(last, "digest").select("doc_id", F.col("keep.doc_id").alias("keep_id"), F.col("n").alias("group_size"), kept.alias("kept"), "digest", *LOCATOR)
+
+
 def _at(left: DataFrame, right: DataFrame) -> Column:
     return (left["file"] == right["__file"]) & (left["at"] == right["__at"])
 

@@ -30,6 +30,7 @@ part in being equal.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -126,24 +127,19 @@ def unioned(lines: DataFrame) -> DataFrame:
     return covered.select("client", "origin", "width", "ts", "start", F.when(matters, F.col("prior")).alias("prior"), "n", "cents", adds.cast("bigint").alias("item")).groupBy("client", "origin", "width", "ts", "start", "prior").agg(*[F.sum(c).alias(c) for c in ("n", "cents", "item")])
 
 
-def _points() -> Column:
-    """Of an event: where it makes a difference (at), and what: v, i (items) for each window, label."""
-    none = F.lit(0)
+POINT = [f"{kind}{d}" for kind in "vi" for d in WINDOWS] + ["label"]
 
-    def point(at: Column, **what: Column) -> Column:
-        names = [f"{kind}{d}" for kind in "vi" for d in WINDOWS] + ["label"]
-        return F.struct(at.alias("at"), *[what.get(name, none).cast("bigint").alias(name) for name in names])
 
+def _points() -> list[dict[str, Column]]:
+    """Where an event makes a difference (at, null if it does not), and what: v, i (items) for each window, label."""
     lives = {d: F.coalesce(F.col("start") < F.col("ts") + d * DAY, F.lit(False)) for d in WINDOWS}
-    items = F.when(F.col("kind") == LINE, F.coalesce("item", none)).otherwise(0)
-    points = [point(F.col("start"), **{f"v{d}": lives[d].cast("int") for d in WINDOWS})]
+    items = F.when(F.col("kind") == LINE, F.coalesce("item", F.lit(0))).otherwise(0)
+    points = [{"at": F.col("start")} | {f"v{d}": lives[d].cast("int") for d in WINDOWS}]
     for d in WINDOWS:
-        end = F.col("ts") + d * DAY
-        points.append(point(F.when(lives[d], end), **{f"v{d}": F.lit(-1), f"i{d}": -items}))
-        points.append(point(F.when(lives[d] & (items > 0), F.greatest("start", F.col("prior") + d * DAY)), **{f"i{d}": items}))
+        points.append({"at": F.when(lives[d], F.col("ts") + d * DAY), f"v{d}": F.lit(-1), f"i{d}": -items})
+        points.append({"at": F.when(lives[d] & (items > 0), F.greatest("start", F.col("prior") + d * DAY)), f"i{d}": items})
     sale = F.col("kind") == SALE
-    points += [point(F.when(sale, F.col("ts") - HORIZON), label=F.lit(1)), point(F.when(sale, F.col("ts")), label=F.lit(-1)), point(F.col("at"))]
-    return F.filter(F.array(*points), lambda p: p["at"].isNotNull())
+    return [*points, {"at": F.when(sale, F.col("ts") - HORIZON), "label": F.lit(1)}, {"at": F.when(sale, F.col("ts")), "label": F.lit(-1)}, {"at": F.col("at")}]
 
 
 def _summed(df: DataFrame, keys: list[str], order: str, sums: list[str]) -> DataFrame:
@@ -157,26 +153,34 @@ def _summed(df: DataFrame, keys: list[str], order: str, sums: list[str]) -> Data
     return rows.select(*keys, order, *[(F.col(c) + F.col(f"{c}_over")).alias(c) for c in sums], F.greatest("latest", "latest_over").alias("latest"))
 
 
-def chunked(busy: DataFrame) -> DataFrame:
-    """Events of busy clients (with origin, width) dealt to their chunks, and a base for each chunk: client, slot, low, high, event, base."""
-    points = busy.withColumn("p", F.explode(_points())).withColumn("slot", _slot(F.col("p.at")))
+def based(busy: DataFrame) -> DataFrame:
+    """client, slot, low, high, kind (BASE), base, ts, id: what each chunk of busy clients has to begin with. busy: their events, with
+    origin and width, their lines as unioned() gives them."""
+    points = [busy.select("client", "origin", "width", "kind", "ts", "start", "id", "cents", "n", p["at"].alias("p_at"), *[p.get(name, F.lit(0)).cast("bigint").alias(name) for name in POINT]).where("p_at IS NOT NULL") for p in _points()]
+    every = reduce(DataFrame.unionByName, points).withColumn("slot", _slot(F.col("p_at")))
     click, sale, line = (F.col("kind") == k for k in (CLICK, SALE, LINE))
     parts = []
     for d in WINDOWS:
-        v = F.col(f"p.v{d}")
-        for name, where, value in zip(SUMS, (click, click, click, sale, sale, line, line, line), (v, v * F.col("n"), v * F.col("cents"), v, v * F.col("cents"), v * F.col("n"), v * F.col("cents"), F.col(f"p.i{d}"))):
+        v = F.col(f"v{d}")
+        for name, where, value in zip(SUMS, (click, click, click, sale, sale, line, line, line), (v, v * F.col("n"), v * F.col("cents"), v, v * F.col("cents"), v * F.col("n"), v * F.col("cents"), F.col(f"i{d}"))):
             parts.append(F.sum(F.when(where, value).otherwise(0)).alias(f"{name}_{d}"))
-    parts.append(F.sum("p.label").alias("label"))
-    latest = F.max(F.when(click & (F.col("p.at") == F.col("start")), F.struct("ts", "id"))).alias("latest")
+    parts.append(F.sum("label").alias("label"))
+    latest = F.max(F.when(click & (F.col("p_at") == F.col("start")), F.struct("ts", "id"))).alias("latest")
     sums = [f"{name}_{d}" for d in WINDOWS for name in SUMS] + ["label"]
-    bases = _summed(points.groupBy("client", "origin", "width", "slot").agg(*parts, latest), ["client", "origin", "width"], "slot", sums)
-    low, high = F.col("origin") + F.col("slot") * F.col("width"), F.col("origin") + (F.col("slot") + 1) * F.col("width")
-    place = ["client", "slot", low.alias("low"), high.alias("high")]
-    base = bases.select(*place, F.array(*sums).alias("base"), F.lit(BASE).alias("kind"), F.col("latest.ts").alias("ts"), F.col("latest.id").alias("id"))
-    slots = F.array_distinct(F.transform(_points(), lambda p: F.floor((p["at"] - F.col("origin")) / F.col("width")).cast("int")))
-    rest = [c for c in COLUMNS if c != "client"]
-    dealt = busy.withColumn("slot", F.explode(slots)).select(*place, F.lit(None).cast("array<bigint>").alias("base"), *rest)
-    return dealt.unionByName(base, allowMissingColumns=True).select(*COLUMNS, "slot", "low", "high", "base")
+    bases = _summed(every.groupBy("client", "origin", "width", "slot").agg(*parts, latest), ["client", "origin", "width"], "slot", sums)
+    return bases.select("client", "slot", *_bounds(), F.array(*sums).alias("base"), F.lit(BASE).alias("kind"), F.col("latest.ts").alias("ts"), F.col("latest.id").alias("id"))
+
+
+def _bounds() -> list[Column]:
+    begin = F.col("origin") + F.col("slot") * F.col("width")
+    return [F.coalesce(begin, F.lit(LEAST)).alias("low"), F.coalesce(begin + F.col("width"), F.lit(GREATEST)).alias("high")]
+
+
+def dealt(events: DataFrame) -> DataFrame:
+    """Each event for each chunk that it makes a difference in: client, slot, low, high, event, base. Most clients have one chunk."""
+    touched = F.array_distinct(F.array_compact(F.array(*[_slot(p["at"]) for p in _points()])))
+    slots = F.when(F.col("width").isNull(), F.array(F.lit(0))).otherwise(touched)
+    return events.withColumn("slot", F.explode(slots)).select(*COLUMNS, "slot", *_bounds(), F.lit(None).cast("array<bigint>").alias("base"))
 
 
 class Buffer:
@@ -334,17 +338,16 @@ def features(sales: DataFrame, lines: DataFrame, clicks: DataFrame, limit: int =
         events = stored(sold.unionByName(click_events(clicks)).unionByName(line_events(lines, sold)), "events")
         busy = stored(busy_clients(events, limit), "busy")
         keep(events, busy)
-    whole = [F.lit(0).alias("slot"), F.lit(LEAST).alias("low"), F.lit(GREATEST).alias("high"), F.lit(None).cast("array<bigint>").alias("base")]
     if busy.isEmpty():
-        rows = events.select(*COLUMNS, *whole)
+        rows = dealt(events.withColumns({"origin": F.lit(None).cast("bigint"), "width": F.lit(None).cast("bigint")}))
     else:
-        # an event has one row in the join, with or without chunks; the kind keeps the join an outer one for either half
+        # an event has one row in the join, with or without chunks; the kind keeps the join an outer one whatever is asked of it
         marked = events.join(small(busy), "client", "left")
-        cut = F.when(F.col("kind") >= 0, F.col("width")).isNotNull()
-        own = stored(marked.where(cut), "busy_events")  # read by each of what follows
-        lines_own = unioned(own.where(F.col("kind") == LINE)).withColumn("kind", F.lit(LINE))
-        chunks = chunked(own.where(F.col("kind") != LINE).unionByName(lines_own, allowMissingColumns=True))
-        rows = marked.where(~cut).select(*COLUMNS, *whole).unionByName(stored(chunks, "chunks"))
+        cut, line = F.when(F.col("kind") >= 0, F.col("width")).isNotNull(), F.col("kind") == LINE
+        lines = stored(unioned(stored(marked.where(cut & line), "busy_lines")).withColumn("kind", F.lit(LINE)), "unioned")
+        rest = stored(marked.where(cut & ~line), "busy_events")  # read by each kind of point
+        bases = stored(based(rest.unionByName(lines, allowMissingColumns=True)), "bases")
+        rows = dealt(marked.where(~(cut & line)).unionByName(lines, allowMissingColumns=True)).unionByName(bases, allowMissingColumns=True)
     return rows.repartition("client", "slot").sortWithinPartitions("client", "slot").mapInArrow(tidied(computed), OUT)
 
 
