@@ -117,6 +117,8 @@ def accepted(entity: Entity, rows: DataFrame) -> DataFrame:
     return rel.newest(rel.passed(rows), entity.key, [*DELIVERY, F.xxhash64(F.to_json("_raw"))]).drop("_raw", "_country_feed", "_source_modified_at", "_ingested_at")
 
 
+#: Tables that lie in buckets of the key by which they are checked and joined to each other.
+BY_KEY = {"silver_balances": "account_id", "silver_accounts": "account_id", "dim_account": "account_id", "fact_balance_snapshot": "account_id"}
 AUDIT = "batch_id string, entity string, bronze_rows bigint, control_rows bigint, quarantined_rows bigint, duplicate_rows bigint, silver_rows bigint, loaded_at timestamp"
 
 
@@ -138,7 +140,7 @@ def run(catalog, batch: str, at) -> list[tuple]:
         tagged = judged(e, delivered, products)
         came = catalog.write(tagged, f"stg_tagged_{e.name}", counts={"bronze": n, "control": F.count_if("_control")})
         rows = catalog.read(f"stg_tagged_{e.name}").where("NOT _control").drop("_control")
-        kept = catalog.write(accepted(e, rows), f"silver_{e.name}", counts={"silver": n, "again": F.coalesce(F.sum(F.col(rel.COPIES) - 1), F.lit(0))})
+        kept = catalog.write(accepted(e, rows), f"silver_{e.name}", counts={"silver": n, "again": F.coalesce(F.sum(F.col(rel.COPIES) - 1), F.lit(0))}, by=BY_KEY.get(f"silver_{e.name}"))
         bad = catalog.write(rel.quarantine(rows, e.name), "silver_quarantine", "overwrite" if empty else "append", counts={"bad": n})
         empty = False
         audit.append((batch, e.name, came["bronze"], came["control"], bad["bad"], kept["again"], kept["silver"], at))

@@ -9,6 +9,7 @@ Manifests are read and swapped through Spark's file systems, so a catalog can li
 
 from __future__ import annotations
 
+import hashlib
 import json
 import time
 import uuid
@@ -94,8 +95,10 @@ class Files:
 
 
 class Catalog:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, buckets: int | None = None):
+        """buckets: of tables that are written by a key; as many as the session's shuffle partitions if not given."""
         self.spark, self.root, self.files = spark, root.rstrip("/"), Files(spark)
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self._finish()
 
     def _path(self, *parts: str) -> str:
@@ -123,7 +126,18 @@ class Catalog:
         if not self.exists(table):
             raise FileNotFoundError(f"no table {table} in {self.root}")
         held = self._manifest(table)
-        return self._frame(table, self._folders(held), held["schema"])
+        return self._by_key(table, held) if "by" in held else self._frame(table, self._folders(held), held["schema"])
+
+    def _by_key(self, table: str, held: dict) -> DataFrame:
+        """A version in buckets of its key, as Spark knows it: joins and groupings by the key need no exchange. The session's catalog gets
+        a table over the files, which owns nothing."""
+        at = self._path(table, held["versions"][0])
+        name = f"ledger_{hashlib.md5(at.encode(), usedforsecurity=False).hexdigest()}"
+        if not self.spark.catalog.tableExists(name):
+            fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in StructType.fromJson(held["schema"]))
+            key, n = held["by"]
+            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({fields}) USING parquet CLUSTERED BY (`{key}`) SORTED BY (`{key}`) INTO {n} BUCKETS LOCATION '{at}'")
+        return self.spark.table(name)
 
     @staticmethod
     def _folders(held: dict) -> list[str]:
@@ -138,22 +152,30 @@ class Catalog:
         """What append() added under this version."""
         return self._frame(table, [f"v={version}"], self._manifest(table)["schema"])
 
-    def write(self, df: DataFrame, table: str, mode: str = "overwrite", counts: Mapping[str, Column] | None = None) -> dict:
+    def write(self, df: DataFrame, table: str, mode: str = "overwrite", counts: Mapping[str, Column] | None = None, by: str | None = None) -> dict:
         """Writes a version of its own and puts it in force, in the place of others or beside them. counts: aggregates that are taken
-        of the rows on their way, and returned."""
-        return self._add(df, table, uuid.uuid4().hex, mode == "append", counts)
+        of the rows on their way, and returned. by: a column by which the rows are laid into buckets, for a table of one version."""
+        if by and mode == "append":
+            raise ValueError("a table in buckets is written whole, or kept by merge()")
+        return self._add(df, table, uuid.uuid4().hex, mode == "append", counts, by)
 
     def append(self, df: DataFrame, table: str, version: str) -> None:
         """Adds a version of this name, unless it is in force already."""
         if not (self.exists(table) and f"v={version}" in self._versions(table)):
             self._add(df, table, version, True)
 
-    def _add(self, df: DataFrame, table: str, version: str, beside: bool, counts: Mapping[str, Column] | None = None) -> dict:
+    def _add(self, df: DataFrame, table: str, version: str, beside: bool, counts: Mapping[str, Column] | None = None, by: str | None = None) -> dict:
         seen = Observation() if counts else None
         rows = df.observe(seen, *[value.alias(name) for name, value in counts.items()]) if counts else df
-        rows.write.mode("overwrite").parquet(self._path(table, f"v={version}"))
+        at, layout = self._path(table, f"v={version}"), {}
+        if by:
+            name, layout = f"ledger_{version}", {"by": [by, self.buckets]}
+            rows.repartition(self.buckets, by).write.format("parquet").option("path", at).bucketBy(self.buckets, by).sortBy(by).saveAsTable(name)
+            self.spark.sql(f"DROP TABLE {name}")  # the files stay
+        else:
+            rows.write.mode("overwrite").parquet(at)
         before = self._manifest(table) if beside and self.exists(table) else {"versions": [], "schema": None}
-        self.files.swap(self._path(table, "_CURRENT"), json.dumps({"versions": [*before["versions"], f"v={version}"], "schema": merged(before["schema"], df.schema)}))
+        self.files.swap(self._path(table, "_CURRENT"), json.dumps({"versions": [*before["versions"], f"v={version}"], "schema": merged(before["schema"], df.schema)} | layout))
         return seen.get if counts else {}
 
     def merge(self, rows: DataFrame, table: str, key: Sequence[str], settle: Callable[[DataFrame, DataFrame], DataFrame], buckets: int = 64, taken: Sequence[str] = ()) -> list[int]:
@@ -239,7 +261,7 @@ class Catalog:
     def publish(self, tables: Sequence[str], staged: str = "stg_") -> None:
         """The staged versions of these tables come into force together."""
         ready = {t: self._manifest(staged + t) for t in tables}
-        moves = {t: {"versions": [f"../{staged}{t}/{v}" for v in m["versions"]], "schema": m["schema"]} for t, m in ready.items()}
+        moves = {t: m | {"versions": [f"../{staged}{t}/{v}" for v in m["versions"]]} for t, m in ready.items()}
         self.files.swap(self._path("_PUBLISH"), json.dumps(moves))
         self._finish()
 
@@ -307,7 +329,8 @@ class Metastore:
     def read_version(self, table: str, version: str) -> DataFrame:
         return self.spark.table(self._name(f"{table}{ALL}")).where(F.col(VERSION) == version).drop(VERSION)
 
-    def write(self, df: DataFrame, table: str, mode: str = "overwrite", counts: Mapping[str, Column] | None = None) -> dict:
+    def write(self, df: DataFrame, table: str, mode: str = "overwrite", counts: Mapping[str, Column] | None = None, by: str | None = None) -> dict:
+        """by is left to the tables' owner: their versions are partitions."""
         return self._add(df, table, uuid.uuid4().hex, mode == "append", counts)
 
     def append(self, df: DataFrame, table: str, version: str) -> None:

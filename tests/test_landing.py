@@ -6,6 +6,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerline.operators import quality
 from ledgerline.operators.relational import gaps
 from ledgerline.plans import silver
 from ledgerline.sources import ingest
@@ -196,6 +197,33 @@ def test_a_resent_file_rewrites_only_its_buckets(lake, spark, crash, monkeypatch
     assert shown(catalog.read("silver_balances")) == shown(whole) and len(gone) <= 3
 
 
+def exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_tables_in_buckets_need_no_exchange(spark, tmp_path):
+    catalog = Catalog(spark, str(tmp_path), 3)
+    facts = spark.range(300).selectExpr("concat('A', id % 90) AS account_id", "date_add(DATE'2024-01-31', cast(id / 90 AS int)) AS day", "id")
+    for name, df in (("fact", facts), ("dim", spark.range(80).selectExpr("concat('A', id) AS account_id", "id AS n"))):
+        catalog.write(df, f"stg_{name}", by="account_id")
+    catalog.publish(["fact", "dim"])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        again = Catalog(spark, str(tmp_path))
+        fact, dim = again.read("fact"), again.read("dim")
+        assert exchanges(fact.groupBy("account_id", "day").count()) == 0  # what unique() groups by
+        assert exchanges(quality.with_parents(fact, [("account_id", dim, "account_id")])) == 0
+        assert exchanges(fact.join(dim, "account_id")) == 0 and exchanges(facts.groupBy("account_id", "day").count()) == 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert quality.orphans(fact, "account_id", dim, "account_id").count() == 30 and quality.duplicates(fact, ["account_id", "day"]).first()["n"] == 300
+    assert sorted(map(tuple, fact.collect())) == sorted(map(tuple, facts.collect()))
+    with pytest.raises(ValueError, match="written whole"):
+        catalog.write(facts, "fact", "append", by="account_id")
+
+
 def test_gaps(spark):
     present = spark.sql("SELECT * FROM VALUES (DATE'2024-01-31', 'a'), (DATE'2024-04-30', 'a'), (DATE'2024-02-29', NULL), (NULL, 'b') AS t(month_end, ccy)")
     keys = spark.sql("SELECT * FROM VALUES ('a'), ('b'), (CAST(NULL AS STRING)), ('a') AS t(ccy)")
