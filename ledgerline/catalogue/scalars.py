@@ -108,15 +108,18 @@ def union_by_name_missing(spark, d):
     return rel.union([c, read(spark, d, "supplier").select(F.col("s_name").alias("name"), F.col("s_suppkey").alias("key"))])
 
 
-@query("SELECT o_orderkey FROM o WHERE o_orderkey % 3 <> 0")
+@query("SELECT o_orderkey FROM o WHERE st <> 'F'")
 def anti_join_new_files(spark, d):
-    o = orders(spark, d).select("o_orderkey")
-    return rel.new_rows(o, o.where("o_orderkey % 3 = 0"), "o_orderkey")
+    """Orders are delivered anew each day; those that were finished have been taken before."""
+    o = orders(spark, d)
+    return rel.new_rows(o.select("o_orderkey"), o.where("st = 'F'"), "o_orderkey")
 
 
-@query("SELECT strftime(t, '%Y%m%d')::INTEGER AS date_key, t::DATE::VARCHAR AS day, quarter(t)::INTEGER AS quarter, strftime(t, '%b') AS month_name, strftime(t, '%Y-%m') AS year_month, last_day(t)::VARCHAR AS month_end, t::DATE = last_day(t) AS is_month_end FROM range(TIMESTAMP '1995-01-01', TIMESTAMP '2002-01-01', INTERVAL 1 DAY) r(t)", pre=False)
+@query("SELECT strftime(t, '%Y%m%d')::INTEGER AS date_key, t::DATE::VARCHAR AS day, quarter(t)::INTEGER AS quarter, strftime(t, '%b') AS month_name, strftime(t, '%Y-%m') AS year_month, last_day(t)::VARCHAR AS month_end, t::DATE = last_day(t) AS is_month_end FROM (SELECT unnest(generate_series(min(odate)::TIMESTAMP, max(odate)::TIMESTAMP, INTERVAL 1 DAY)) AS t FROM o)")
 def dim_date(spark, d):
-    return rel.calendar(spark, "1995-01-01", "2001-12-31").select("date_key", txt("date").alias("day"), "quarter", "month_name", "year_month", txt("month_end").alias("month_end"), "is_month_end")
+    """The calendar from the first order to the last."""
+    first, last = orders(spark, d).agg(F.min("odate"), F.max("odate")).first()
+    return rel.calendar(spark, str(first), str(last)).select("date_key", txt("date").alias("day"), "quarter", "month_name", "year_month", txt("month_end").alias("month_end"), "is_month_end")
 
 
 @query("SELECT band, count(*) AS n FROM (SELECT CASE WHEN age <= 29 THEN '18-29' WHEN age <= 44 THEN '30-44' WHEN age <= 59 THEN '45-59' ELSE '60+' END AS band FROM (SELECT CASE WHEN o_orderkey % 7 <> 0 THEN 18 + o_orderkey % 60 END AS age FROM o)) GROUP BY band")
@@ -146,11 +149,12 @@ def predicate_battery(spark, d):
     return orders(spark, d).agg(*[F.count_if(F.expr(e)).alias(n) for n, e in tests.items()])
 
 
-@query("""SELECT o_orderkey, c_name, coalesce(CASE WHEN p_partkey % 2 = 0 THEN p_brand END, 'UNMAPPED') AS brand FROM o LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN part ON p_partkey = o_orderkey""")
+@query("""SELECT l_orderkey, l_linenumber, s_name, coalesce(p_brand, 'UNMAPPED') AS brand FROM li LEFT JOIN supplier ON l_suppkey = s_suppkey LEFT JOIN (SELECT * FROM part WHERE p_size > 10) ON p_partkey = l_partkey""")
 def lookup_left_single_key(spark, d):
-    c, p = read(spark, d, "customer"), read(spark, d, "part").where("p_partkey % 2 = 0")
-    j = orders(spark, d).join(c, F.col("o_custkey") == F.col("c_custkey"), "left").join(p, F.col("p_partkey") == F.col("o_orderkey"), "left")
-    return j.select("o_orderkey", "c_name", F.coalesce("p_brand", F.lit("UNMAPPED")).alias("brand"))
+    """Lines with their supplier and the brand of their part, where the list has the part."""
+    s, p = read(spark, d, "supplier"), read(spark, d, "part").where("p_size > 10")
+    j = lines(spark, d).join(s, F.col("l_suppkey") == F.col("s_suppkey"), "left").join(p, F.col("p_partkey") == F.col("l_partkey"), "left")
+    return j.select("l_orderkey", "l_linenumber", "s_name", F.coalesce("p_brand", F.lit("UNMAPPED")).alias("brand"))
 
 
 @query("SELECT event_id, ts::DATE::VARCHAR AS day, ('http://h/a/b' || event_id || '.csv') AS path, 'b' || event_id || '.csv' AS base, lower(nullif(trim(CASE WHEN event_id % 2 = 0 THEN ' TRUE ' ELSE 'no' END), '')) = 'true' AS yes FROM events", pre=False)
@@ -181,10 +185,10 @@ def exists_probe(spark, d):
     return probe(100000).agg((F.count("*") > 0).alias("any_dear")).crossJoin(probe(100).agg((F.count("*") > 0).alias("any_row")))
 
 
-@query("SELECT user_id, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY v DESC, ts DESC, event_id DESC) AS k FROM (SELECT *, 1 AS v FROM events UNION ALL SELECT event_id, ts, user_id, event_type, value + 1, props, 2 FROM events WHERE event_id % 2 = 0)) WHERE k = 1", pre=False)
+@query("SELECT user_id, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY v DESC, ts DESC, event_id DESC) AS k FROM (SELECT *, 1 AS v FROM events UNION ALL SELECT event_id, ts, user_id, event_type, value + 1, props, 2 FROM events WHERE event_type = 'purchase')) WHERE k = 1", pre=False)
 def latest_delivery_resend(spark, d):
     e = read(spark, d, "events").withColumn("v", F.lit(1))
-    again = e.where("event_id % 2 = 0").withColumn("value", F.col("value") + 1).withColumn("v", F.lit(2))
+    again = e.where("event_type = 'purchase'").withColumn("value", F.col("value") + 1).withColumn("v", F.lit(2))
     return rel.newest(rel.union([e, again]), ["user_id", "event_type"], ["v", "ts", "event_id"]).select("user_id", "event_type", "value")
 
 

@@ -11,9 +11,17 @@ from pyspark.sql import DataFrame
 
 from .catalog import Files
 
+MOST = 1_000_000
 
-def csv_file(df: DataFrame, path: str, order: Sequence[str] = ()) -> int:
-    """Writes a table of report size as one CSV file with a header, rows in this order; their number."""
+class TooLarge(ValueError):
+    """More rows than one file of a report may have; such a table is written with Spark."""
+
+
+def csv_file(df: DataFrame, path: str, order: Sequence[str] = (), most: int = MOST) -> int:
+    """Writes a table of report size as one CSV file with a header, rows in this order; their number. More than `most` rows are refused
+    before any is fetched."""
+    if df.limit(most + 1).count() > most:
+        raise TooLarge(f"{path} would have more than {most} rows")
     rows = (df.orderBy(*order) if order else df).toLocalIterator()
     text = io.StringIO()
     out, n = csv.writer(text, lineterminator="\n"), 0

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ledgerline.operators import quality
 from ledgerline.operators.relational import gaps
 from ledgerline.plans import silver
-from ledgerline.sources import ingest
+from ledgerline.sources import exports, ingest
 from ledgerline.sources.catalog import Catalog, Metastore
 
 ACCOUNTS = next(f for f in ingest.FEEDS if f.table == "bronze_accounts")
@@ -224,6 +224,13 @@ def test_tables_in_buckets_need_no_exchange(spark, tmp_path):
         catalog.write(facts, "fact", "append", by="account_id")
 
 
+def test_a_report_file_of_too_many_rows_is_refused(spark, tmp_path):
+    assert exports.csv_file(spark.range(3), str(tmp_path / "a.csv"), ["id"], 3) == 3
+    with pytest.raises(exports.TooLarge):
+        exports.csv_file(spark.range(4), str(tmp_path / "b.csv"), ["id"], 3)
+    assert not (tmp_path / "b.csv").exists()
+
+
 def test_gaps(spark):
     present = spark.sql("SELECT * FROM VALUES (DATE'2024-01-31', 'a'), (DATE'2024-04-30', 'a'), (DATE'2024-02-29', NULL), (NULL, 'b') AS t(month_end, ccy)")
     keys = spark.sql("SELECT * FROM VALUES ('a'), ('b'), (CAST(NULL AS STRING)), ('a') AS t(ccy)")
