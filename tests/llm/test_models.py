@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerline.llm import toxicity
+from ledgerline.llm import toxicity, urlfilter
 
 V = toxicity.VOTERS
 
@@ -101,3 +101,45 @@ def test_lexicons_are_bounded(spark):
     rows = spark.createDataFrame([(k % 2, ("bad " + "y" * 80 if k % 2 else "good") + f" w{k % 7}") for k in range(400)], "toxic int, text string")
     full = toxicity.mine(rows, (200, 200))
     assert {e for e, _ in full} == {b"bad", b"yyyy*", b"yyyyy*", b"yyyyyy*", b"*yyyy"} and toxicity.mine(rows, (200, 200), 2) == full[:2]
+
+
+def test_urls_by_array_and_by_join_match_brute_force(spark):
+    rng = np.random.default_rng(8)
+    pick = lambda *x: x[rng.integers(0, len(x))]
+    hosts = lambda: ".".join(pick("a", "b", "c", "poker", "é") for _ in range(rng.integers(1, 4)))
+    paths = lambda: pick("", "/", "/x", "/x/", "/é", "/x/y?q=/x")
+    rules = [(hosts(), pick("", "/", "/x", "/x/", "/é"), pick("block", "allow")) for _ in range(60)] + [("*poker", "", "allow"), ("?c", "", "allow")]
+    urls = [f"http://{hosts()}{paths()}" for _ in range(400)] + ["http://B.com/"] * 800 + [None, "", "no", "http://", "http://*poker/", "http://poker", "http://a." + "x" * 100_000 + "/"]
+    own = {}
+    for h, p, action in rules:
+        own[h + p] = (h, p, action)
+
+    def brute(url):
+        _, mark, rest = (url or "").partition("://")
+        cut = min([rest.find(c) for c in "/?#" if c in rest], default=len(rest)) if mark else 0
+        host, tail = (rest[:cut].lower(), rest[cut:]) if mark else ("", "")
+        path = tail[: min([tail.find(c) for c in "?#" if c in tail], default=len(tail))]
+        fit = [k for k, (h, p, _) in own.items() if (host == h or host.endswith("." + h)) and path.startswith(p) and "?" not in h]
+        best = max(fit, key=lambda k: (len(k.encode()), k.encode()), default=None)
+        named = "poker" in host.replace("-", ".").split(".")
+        return host, path, best, own[best][2] if best else "block" if named else "allow"
+
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string").repartition(4)
+    for shipped in (urlfilter.SHIPPED, 0):
+        got = {r["page_id"]: tuple(r)[1:] for r in urlfilter.judge(pages, rules, ["poker"], shipped).collect()}
+        assert got == {k: brute(u) for k, u in enumerate(urls)}
+    assert urlfilter.judge(pages.limit(0), rules, [], 0).count() == 0 and urlfilter.judge(pages, [], [], -1).where("rule IS NOT NULL OR verdict <> 'allow'").count() == 0
+
+
+def test_a_million_rules_sorted_by_spark(spark):
+    rules = spark.range(1_000_000).select(F.concat(F.lit("h"), "id", F.lit(".example")).alias("host"), F.expr("CASE WHEN id % 2 = 0 THEN '/' ELSE '/p/' END").alias("path"), F.expr("CASE WHEN id % 5 = 0 THEN 'allow' ELSE 'block' END").alias("action"))
+    rules = rules.unionByName(spark.createDataFrame([("h5.example", "/p/", "block"), (None, "/", "block"), ("x", None, "block"), ("x", "/", None)], "host string, path string, action string"))
+    pages = spark.range(2000).select("id", F.concat(F.lit("http://www.H"), F.col("id") * 1000 + F.col("id") % 7, F.lit(".example/p/1")).alias("url"), F.lit("h").alias("host")).withColumnRenamed("id", "page_id")
+    n = lambda r: r["page_id"] * 1000 + r["page_id"] % 7
+    for shipped in (urlfilter.SHIPPED, 1 << 20):
+        got = urlfilter.judge(pages, rules, [], shipped).collect()
+        assert len(got) == 2000
+        for r in got:
+            known = n(r) < 1_000_000
+            assert r["rule"] == (f"h{n(r)}.example/{'p/' if n(r) % 2 else ''}" if known else None)
+            assert r["verdict"] == ("block" if known and (n(r) % 5 or n(r) == 5) else "allow")
