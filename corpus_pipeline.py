@@ -1,7 +1,7 @@
 """The corpus pipeline: language ID, exact dedup, near-dedup, benchmark decontamination, packing.
 
 Each stage takes (spark, docs, sf_dir) and works on all rows its predecessor kept. All but the last return the columns of
-documents. Nulls, empty texts, empty tables, repeated rows and further columns are treated as the operators say.
+documents and the language that the first predicts from the text (LANGUAGE), by which the last packs. Nulls, empty texts, empty tables, repeated rows and further columns are treated as the operators say.
 """
 
 from __future__ import annotations
@@ -11,13 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerline.llm import decontam, exact_dedup, langid, packing, simhash
 from ledgerline.llm.base import stored, table
 
-#: Languages to keep, all learned ones if None, and the score they must have; five-word similarity of near-duplicates.
-WANTED, LEAST_SCORE, SIMILARITY = None, 0.0, 0.8
+#: Languages to keep, all learned ones if None, and the score they must have; five-word similarity of near-duplicates; column of
+#: the predicted language.
+WANTED, LEAST_SCORE, SIMILARITY, LANGUAGE = None, 0.0, 0.8, "lang_pred"
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of no language, or of none in WANTED or LEAST_SCORE, go; a null lang is filled with the prediction."""
-    return langid.recognised(docs, WANTED, LEAST_SCORE)
+    """Documents of no language, or of none in WANTED or LEAST_SCORE, go; a null lang is filled with the prediction, and each row
+    gets it as LANGUAGE too, whatever its lang says."""
+    return langid.recognised(docs, WANTED, LEAST_SCORE, LANGUAGE)
 
 
 def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +39,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.packed(docs)
+    """Sequences of one language each, the predicted one."""
+    return packing.packed(docs, by=LANGUAGE)
 
 
 STAGES = [("language_id", language_id), ("exact_dedup", exact_duplicates), ("near_dedup", near_duplicates), ("decontamination", decontamination), ("packing", pack)]

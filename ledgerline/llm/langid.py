@@ -128,12 +128,15 @@ def identify(docs: DataFrame) -> DataFrame:
     return predict(docs, *fit(docs.where(~held_out(F.col("doc_id")))))
 
 
-def recognised(docs: DataFrame, wanted: Collection[str] | None = None, least: float = 0.0) -> DataFrame:
+def recognised(docs: DataFrame, wanted: Collection[str] | None = None, least: float = 0.0, named: str | None = None) -> DataFrame:
     """docs without those whose language is `und`, is not wanted (by default every learned one is) or scores under `least`.
 
     A null lang is filled with the prediction; all other values stay as they were. Each row goes by its own prediction,
     whatever other rows share its doc_id. Where nothing was learned, rows go by their letters alone and no lang is filled.
+    With `named` each row also gets its prediction under that name, in place of a column of that name if there is one.
     """
+    if named:
+        docs = docs.withColumn(named, F.lit(UNKNOWN))
     names, matrix = fit(docs.where(~held_out(F.col("doc_id"))))
     model = docs.sparkSession.sparkContext.broadcast((names, matrix, None if wanted is None else sorted(wanted)))
     at, lang = docs.columns.index("text"), docs.columns.index("lang")
@@ -143,6 +146,9 @@ def recognised(docs: DataFrame, wanted: Collection[str] | None = None, least: fl
         accepted = np.array([only is None or name in only for name in names] + [False])
         for part in sized(batches, at, SLICE):
             best, score, has = _scored(part.column(at).to_pylist(), logs)
+            if named:
+                place = part.schema.get_field_index(named)
+                part = part.set_column(place, part.schema.field(place), pa.array([*names, UNKNOWN], part.column(place).type).take(pa.array(best)))
             if not names:
                 yield part.filter(pa.array(has))
                 continue

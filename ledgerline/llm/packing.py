@@ -10,6 +10,9 @@ settled cut goes on to the next block. The rest at the end of a partition is spl
 A partition of the input is packed by one task from its own rows: nothing is shuffled, and a task that is run again gives
 the same rows. sequence_id is the partition's number in the upper bits and counts in the lower 33.
 
+With `by`, rows of unlike values there share no sequence: a task packs each value's rows by themselves, in the order in which
+they are read, and has at most HELD ids waiting, as beyond them the value with the most ids is settled early.
+
 A null text is empty and has the one id END. Repeated rows are packed one by one. An empty table gives no rows.
 """
 
@@ -17,6 +20,7 @@ from __future__ import annotations
 
 from collections import deque
 from collections.abc import Iterator
+from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +30,8 @@ from pyspark.sql import functions as F
 from .base import per_worker, sized, tidied
 from .tokens import Encoder, public_path
 
-LENGTH, END, SENTENCE, MIDDLE, GRID, BLOCK = 2048, 1, 1, 3, 48, 1 << 19
+LENGTH, END, SENTENCE, MIDDLE, GRID, BLOCK, HELD = 2048, 1, 1, 3, 48, 1 << 19, 1 << 22
+PIECE = ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"]
 
 
 def cuts(total: int, doc_ends: np.ndarray, sentence_ends: np.ndarray) -> tuple[list[int], list[int]]:
@@ -78,12 +83,12 @@ def powers(n: int) -> list[int]:
 
 
 class Packer:
-    """Takes documents, gives settled pieces: doc, start, length, doc_tokens, sequence, offset, ids."""
+    """Takes documents, gives settled pieces: doc, start, length, doc_tokens, sequence, offset, ids. Packers may share numbers."""
 
-    def __init__(self, ends_sentence: np.ndarray, length: int = LENGTH, block: int = BLOCK):
-        self.ends_sentence, self.length, self.block = ends_sentence, length, block
+    def __init__(self, ends_sentence: np.ndarray, length: int = LENGTH, block: int = BLOCK, numbers: Iterator[int] | None = None):
+        self.ends_sentence, self.length, self.block, self.numbers = ends_sentence, length, block, numbers or count()
         self.docs: list[tuple] = []  # name, ids left, ids of it that are settled, ids in all
-        self.held, self.sequence = 0, 0
+        self.held = 0
 
     def add(self, name, ids: np.ndarray) -> Iterator[tuple]:
         self.docs.append((name, ids, 0, len(ids)))
@@ -109,9 +114,8 @@ class Packer:
         settled = np.array([d[2] for d in self.docs])
         rows = (
             [self.docs[k][0] for k in doc.tolist()], starts - doc_starts[doc] + settled[doc], both - starts, np.array([d[3] for d in self.docs])[doc],
-            self.sequence + window, starts - np.concatenate(([0], bounds[:-1]))[window], flat[:done].astype("<u4"), np.concatenate(([0], both)),
+            np.fromiter(islice(self.numbers, len(ends)), np.int64, len(ends))[window], starts - np.concatenate(([0], bounds[:-1]))[window], flat[:done].astype("<u4"), np.concatenate(([0], both)),
         )
-        self.sequence += len(ends)
         k = int(np.searchsorted(doc_ends, done, "right"))
         left = self.docs[k:]
         if left:
@@ -122,33 +126,46 @@ class Packer:
         return rows
 
 
-def pack(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH, end: int = END, block: int = BLOCK) -> DataFrame:
-    """One row a piece: doc_id, start, length, doc_tokens, sequence_id, offset, ids (little-endian unsigned 32-bit)."""
+def pack(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH, end: int = END, block: int = BLOCK, by: str | None = None, held: int = HELD) -> DataFrame:
+    """One row a piece: doc_id, start, length, doc_tokens, sequence_id, offset, ids (little-endian unsigned 32-bit), and `by`, a string
+    column, if it is given."""
     tokenizer = tokenizer or public_path()
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = per_worker(("encoder", tokenizer), lambda: Encoder(tokenizer))
         tokens = [encoder.library.id_to_token(k) or "" for k in range(encoder.vocabulary)]
-        packer = Packer(np.array([t.endswith((".", "!", "?", "Ċ")) for t in tokens]), length, block)
+        ends_sentence, numbers = np.array([t.endswith((".", "!", "?", "Ċ")) for t in tokens]), count()
+        packers: dict[str | None, Packer] = {}
         tail, part, type_ = np.array([end], encoder.dtype), 0, pa.int64()
 
-        def out(rows: tuple) -> pa.RecordBatch:
+        def out(group: str | None, rows: tuple) -> pa.RecordBatch:
             names, start, size, total, sequence, offset, ids, bounds = rows
             data = pa.Array.from_buffers(pa.binary(), len(names), [None, pa.py_buffer((bounds * 4).astype(np.int32)), pa.py_buffer(ids)])
-            return pa.RecordBatch.from_arrays([pa.array(names, type_), *map(pa.array, (start, size, total, (part << 33) + sequence, offset)), data], ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"])
+            columns = [pa.array(names, type_), *map(pa.array, (start, size, total, (part << 33) + sequence, offset)), data]
+            return pa.RecordBatch.from_arrays(columns + [pa.array([group] * len(names), pa.string())] * bool(by), PIECE + [by] * bool(by))
 
         for batch in sized(batches, 2):
             part, type_ = batch.column(0)[0].as_py(), batch.column(1).type
-            for name, own in zip(batch.column(1).to_pylist(), encoder.encode_column(batch.column(2))):
-                yield from map(out, packer.add(name, np.concatenate((own, tail))))
-        if packer.docs:
-            yield out(packer.settle(True))
-
-    source = docs.select(F.spark_partition_id().alias("part"), "doc_id", "text")
-    return source.mapInArrow(tidied(run), f"doc_id {kind}, start bigint, length bigint, doc_tokens bigint, sequence_id bigint, offset bigint, ids binary")
+            groups = batch.column(3).to_pylist() if by else [None] * batch.num_rows
+            for name, group, own in zip(batch.column(1).to_pylist(), groups, encoder.encode_column(batch.column(2))):
+                if group not in packers:
+                    packers[group] = Packer(ends_sentence, length, block, numbers)
+                for rows in packers[group].add(name, np.concatenate((own, tail))):
+                    yield out(group, rows)
+            if sum(p.held for p in packers.values()) > held:
+                group = max(packers, key=lambda g: packers[g].held)
+                yield out(group, packers[group].settle(False))
+        for group, packer in packers.items():
+            if packer.docs:
+                yield out(group, packer.settle(True))
+
+    source = docs.select(F.spark_partition_id().alias("part"), "doc_id", "text", *[by] * bool(by))
+    schema = f"doc_id {kind}, start bigint, length bigint, doc_tokens bigint, sequence_id bigint, offset bigint, ids binary"
+    return source.mapInArrow(tidied(run), schema + f", `{by}` string" * bool(by))
 
 
 def packed(docs: DataFrame, **options) -> DataFrame:
     """The pieces with a checksum in the place of their ids."""
-    return pack(docs, **options).select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+    pieces = pack(docs, **options)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", *pieces.columns[len(PIECE) :])
