@@ -185,10 +185,10 @@ def exists_probe(spark, d):
     return probe(100000).agg((F.count("*") > 0).alias("any_dear")).crossJoin(probe(100).agg((F.count("*") > 0).alias("any_row")))
 
 
-@query("SELECT user_id, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY v DESC, ts DESC, event_id DESC) AS k FROM (SELECT *, 1 AS v FROM events UNION ALL SELECT event_id, ts, user_id, event_type, value + 1, props, 2 FROM events WHERE event_type = 'purchase')) WHERE k = 1", pre=False)
+@query("SELECT user_id, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY v DESC, ts DESC, event_id DESC) AS k FROM (SELECT *, 1 AS v FROM events UNION ALL SELECT event_id, ts, user_id, event_type, value + 1, props, 2 FROM events)) WHERE k = 1", pre=False)
 def latest_delivery_resend(spark, d):
     e = read(spark, d, "events").withColumn("v", F.lit(1))
-    again = e.where("event_type = 'purchase'").withColumn("value", F.col("value") + 1).withColumn("v", F.lit(2))
+    again = e.withColumn("value", F.col("value") + 1).withColumn("v", F.lit(2))
     return rel.newest(rel.union([e, again]), ["user_id", "event_type"], ["v", "ts", "event_id"]).select("user_id", "event_type", "value")
 
 
