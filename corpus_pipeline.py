@@ -39,8 +39,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of one language each, the predicted one."""
-    return packing.packed(docs, by=LANGUAGE)
+    """Sequences of one language each, the predicted one. Workers take little here, as the stages before have filled the JVMs."""
+    return packing.packed(docs, by=LANGUAGE, piece=1 << 19, capacity=1 << 17)
 
 
 STAGES = [("language_id", language_id), ("exact_dedup", exact_duplicates), ("near_dedup", near_duplicates), ("decontamination", decontamination), ("packing", pack)]

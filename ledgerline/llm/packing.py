@@ -28,9 +28,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .base import per_worker, sized, tidied
-from .tokens import Encoder, public_path
+from .tokens import CAPACITY, Encoder, public_path
 
-LENGTH, END, SENTENCE, MIDDLE, GRID, BLOCK, HELD = 2048, 1, 1, 3, 48, 1 << 19, 1 << 22
+LENGTH, END, SENTENCE, MIDDLE, GRID, BLOCK, HELD, SLICE = 2048, 1, 1, 3, 48, 1 << 19, 1 << 22, 2 << 20
 PIECE = ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"]
 
 
@@ -126,14 +126,15 @@ class Packer:
         return rows
 
 
-def pack(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH, end: int = END, block: int = BLOCK, by: str | None = None, held: int = HELD) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH, end: int = END, block: int = BLOCK, by: str | None = None, held: int = HELD, piece: int = SLICE, capacity: int = CAPACITY) -> DataFrame:
     """One row a piece: doc_id, start, length, doc_tokens, sequence_id, offset, ids (little-endian unsigned 32-bit), and `by`, a string
-    column, if it is given."""
+    column, if it is given. Texts are encoded by slices of `piece` bytes, with the ids of at most `capacity` text pieces kept; both
+    bound what a worker takes and change no row."""
     tokenizer = tokenizer or public_path()
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = per_worker(("encoder", tokenizer), lambda: Encoder(tokenizer))
+        encoder = per_worker(("encoder", tokenizer, *[capacity] * (capacity != CAPACITY)), lambda: Encoder(tokenizer, capacity))
         tokens = [encoder.library.id_to_token(k) or "" for k in range(encoder.vocabulary)]
         ends_sentence, numbers = np.array([t.endswith((".", "!", "?", "Ċ")) for t in tokens]), count()
         packers: dict[str | None, Packer] = {}
@@ -145,7 +146,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH, en
             columns = [pa.array(names, type_), *map(pa.array, (start, size, total, (part << 33) + sequence, offset)), data]
             return pa.RecordBatch.from_arrays(columns + [pa.array([group] * len(names), pa.string())] * bool(by), PIECE + [by] * bool(by))
 
-        for batch in sized(batches, 2):
+        for batch in sized(batches, 2, piece):
             part, type_ = batch.column(0)[0].as_py(), batch.column(1).type
             groups = batch.column(3).to_pylist() if by else [None] * batch.num_rows
             for name, group, own in zip(batch.column(1).to_pylist(), groups, encoder.encode_column(batch.column(2))):

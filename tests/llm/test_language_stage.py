@@ -51,3 +51,10 @@ def test_groups_share_no_sequence_and_lose_no_id(spark):
                 at += length
             assert at <= 64 and len({x[2] for x in own}) == 1
     assert packing.packed(docs, by="the group").columns[-1] == "the group"
+
+
+def test_bounds_on_a_worker_change_no_row(spark):
+    docs = spark.read.parquet(f"{D}/documents.parquet").limit(40).repartition(2, "doc_id").cache()
+    plain = sorted(map(tuple, packing.packed(docs, by="lang").collect()), key=str)
+    for piece, capacity in ((1, 0), (1 << 19, 1 << 17)):
+        assert sorted(map(tuple, packing.packed(docs, by="lang", piece=piece, capacity=capacity).collect()), key=str) == plain
